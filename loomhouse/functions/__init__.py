@@ -6,13 +6,14 @@ from .text import (
     string_to_list,
     strip_trailing,
 )
-from .versioning import OPEN_DATE, OPEN_TIMESTAMP, as_date, as_timestamp, is_open
+from .versioning import OPEN_DATE, OPEN_TIMESTAMP, as_date, as_timestamp, day, is_open
 
 __all__ = [
     "OPEN_DATE",
     "OPEN_TIMESTAMP",
     "as_date",
     "as_timestamp",
+    "day",
     "encode_parts",
     "hash_key",
     "is_open",

@@ -16,6 +16,11 @@ def as_date(value: dt.date | str) -> dt.date:
     return dt.date.fromisoformat(value) if isinstance(value, str) else value
 
 
+def day(value: dt.date | str) -> Column:
+    """Date literal."""
+    return F.lit(as_date(value).isoformat()).cast("date")
+
+
 def as_timestamp(value: dt.datetime | str) -> Column:
     """Zone-free timestamp literal."""
     if isinstance(value, str):
@@ -24,4 +29,4 @@ def as_timestamp(value: dt.datetime | str) -> Column:
 
 
 def is_open(valid_to: Column) -> Column:
-    return valid_to == F.lit(OPEN_DATE)
+    return valid_to == day(OPEN_DATE)

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import day
 from .keys import assign_sk
 from .normalize import resolve_fk
 from .scd2 import Dimension
@@ -36,12 +37,12 @@ def _periods(link: Link, extend_first: bool) -> DataFrame:
     if not extend_first:
         return rows
     first = rows.groupBy(link.on).agg(F.min("_from").alias("_first"))
-    start = F.when(F.col("_from") == F.col("_first"), F.lit(BEGINNING)).otherwise(F.col("_from"))
+    start = F.when(F.col("_from") == F.col("_first"), day(BEGINNING)).otherwise(F.col("_from"))
     return rows.join(first, link.on).withColumn("_from", start).drop("_first")
 
 
-def _bucket(day):
-    return F.floor(F.unix_date(day) / F.lit(BUCKET_DAYS))
+def _bucket(when):
+    return F.floor(F.unix_date(when) / F.lit(BUCKET_DAYS))
 
 
 def _match_deep(events: DataFrame, periods: DataFrame, on: str, date_col: str) -> DataFrame:
@@ -52,7 +53,7 @@ def _match_deep(events: DataFrame, periods: DataFrame, on: str, date_col: str) -
     key has very many. Versions are clipped to the days on which events occur.
     """
     span = events.agg(F.min(date_col), F.max(date_col)).first()
-    low, high = F.lit(span[0]).cast("date"), F.lit(span[1]).cast("date")
+    low, high = day(span[0]), day(span[1])
     spread = (periods.filter((F.col("_from") <= high) & (F.col("_to") >= low))
               .withColumn("_bucket", F.explode(F.sequence(
                   _bucket(F.greatest("_from", low)), _bucket(F.least("_to", high))))))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import OPEN_DATE, as_date
+from ..functions import OPEN_DATE, as_date, day
 from .keys import assign_sk, highest_sk
 from .normalize import resolve_fk
 
@@ -85,7 +85,7 @@ def scd2_changes(src: DataFrame, dim: DataFrame, spec: Dimension) -> DataFrame:
 def scd2_late(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFrame:
     """Changes a refresh refuses: the current version starts after `as_of`."""
     return (_paired(src, dim, spec, "inner")
-            .filter(_differs(spec) & (F.col("_since") > F.lit(as_date(as_of))))
+            .filter(_differs(spec) & (F.col("_since") > day(as_of)))
             .select(F.col("_old_sk").alias(spec.sk), spec.bk, *spec.attrs,
                     F.col("_since").alias("valid_from")))
 
@@ -111,13 +111,13 @@ def scd2_open(rows: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFra
     """New current versions for rows that already carry their surrogate key."""
     return rows.select(
         spec.sk, spec.bk, *spec.attrs,
-        F.lit(as_date(as_of)).alias("valid_from"),
-        F.lit(OPEN_DATE).alias("valid_to"),
+        day(as_of).alias("valid_from"),
+        day(OPEN_DATE).alias("valid_to"),
         F.lit(True).alias("is_current"))
 
 
 def _day_before(as_of: dt.date | str) -> Column:
-    return F.lit(as_date(as_of) - dt.timedelta(days=1))
+    return day(as_date(as_of) - dt.timedelta(days=1))
 
 
 def scd2_init(src: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFrame:
@@ -134,13 +134,13 @@ def scd2_delta(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date |
     table, so they cannot disagree. Only the current versions take part in the wide
     join; of the history just the keys are read, against the keys not found current.
     """
-    day = F.lit(as_date(as_of))
+    today = day(as_of)
     candidates = _paired(src, dim, spec, "left").filter(
-        F.col("_old_sk").isNull() | (_differs(spec) & (F.col("_since") <= day)))
+        F.col("_old_sk").isNull() | (_differs(spec) & (F.col("_since") <= today)))
     closed = (dim.filter(~F.col("is_current")).select(spec.bk).distinct()
               .withColumn("_closed", F.lit(True)))
     kind = (F.when(F.col("_old_sk").isNull(), NEW)
-            .when(F.col("_since") == day, OVERWRITE)
+            .when(F.col("_since") == today, OVERWRITE)
             .otherwise(CHANGED))
     delta = (candidates.join(closed, spec.bk, "left")
              .filter(F.col("_old_sk").isNotNull() | F.col("_closed").isNull())
@@ -220,9 +220,9 @@ def scd2_cascade(sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]
     return result
 
 
-def dim_as_of(dim: DataFrame, day: dt.date | str) -> DataFrame:
+def dim_as_of(dim: DataFrame, on: dt.date | str) -> DataFrame:
     """The dimension as it was on a day."""
-    return dim.filter(F.lit(as_date(day)).between(F.col("valid_from"), F.col("valid_to")))
+    return dim.filter(day(on).between(F.col("valid_from"), F.col("valid_to")))
 
 
 def version_history(dim: DataFrame, bk: str) -> DataFrame:
