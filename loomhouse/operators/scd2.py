@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import OPEN_DATE, as_date, day
+from ..sources.staging import at_once, stage
 from .keys import assign_sk, highest_sk
 from .normalize import resolve_fk
 
@@ -207,16 +208,28 @@ def scd2_cascade(sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]
     """Refresh (or first load) several dimensions, parents before children.
 
     A new parent version has a new surrogate key, which is a tracked attribute of the
-    child, so the child gets a new version as well. `specs` must list parents first.
+    child, so the child gets a new version as well. Each result is written: children and
+    facts then join a table of known size, and small dimensions are broadcast to them.
+    Dimensions that do not wait for one another are refreshed concurrently.
     """
     result: dict[str, DataFrame] = {}
-    for name, spec in specs.items():
-        src = sources[name]
+
+    def refresh(name: str) -> DataFrame:
+        src, spec, known = sources[name], specs[name], dims.get(name)
         for parent in parents.get(name, ()):
             src = with_parent_sk(src, result[parent.name], specs[parent.name], parent.column)
-        known = dims.get(name)
-        result[name] = (scd2_init(src, spec, as_of) if known is None
-                        else scd2_apply(src, known, spec, as_of))
+        following = (scd2_init(src, spec, as_of) if known is None
+                     else scd2_apply(src, known, spec, as_of))
+        return stage(following, name)
+
+    waiting = list(specs)
+    while waiting:
+        ready = [n for n in waiting
+                 if all(p.name in result for p in parents.get(n, ()))]
+        if not ready:
+            raise ValueError(f"parents missing for {waiting}")
+        result.update(zip(ready, at_once(refresh, ready)))
+        waiting = [n for n in waiting if n not in ready]
     return result
 
 

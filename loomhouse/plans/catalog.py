@@ -48,6 +48,7 @@ Dims = dict[str, DataFrame]
 
 CITIES, STUDENTS = "cities_3nf_scd2", "student_3nf_scd2"
 TEACHERS, COURSES = "teachers_3nf_scd2", "courses_3nf_scd2"
+FED_BY = {"student_2nf": (CITIES, STUDENTS), "course_2nf": (TEACHERS, COURSES)}
 LISTS = ["lines", "sentences", "label"]
 LINE_BREAK = "\n"
 A_DAY_BETWEEN = "1997-06-30"
@@ -130,7 +131,8 @@ def numbered_orders(spark, folder):
 # --- history -------------------------------------------------------------------------
 
 def _load(spark, folder, names: Sequence[str], second: bool, dims: Dims, as_of: str) -> Dims:
-    sources = relational.dimension_sources(views.snapshot(spark, folder, second))
+    wanted = [n2 for n2, fed in FED_BY.items() if any(n in fed for n in names)]
+    sources = relational.dimension_sources(views.snapshot(spark, folder, second, wanted))
     specs = {n: relational.DIMENSIONS[n] for n in names}
     return scd2_cascade(sources, dims, specs, relational.PARENTS, as_of)
 
@@ -201,7 +203,7 @@ def dimension_store(spark, folder):
     store = DimensionStore(spark, f"{staging_root(spark)}/cities-{_run_name()}",
                            relational.CITY, HISTORY[CITIES].schema())
     for second, day in ((False, FIRST_LOAD), (True, SECOND_LOAD)):
-        nf2 = views.snapshot(spark, folder, second)
+        nf2 = views.snapshot(spark, folder, second, ["student_2nf"])
         store.refresh(relational.dimension_sources(nf2)[CITIES], day)
     return store.read()
 
@@ -217,7 +219,7 @@ def students_as_of(spark, folder):
 def _fact(spark, folder, mode) -> tuple[DataFrame, Dims, Dims]:
     dims = _both(spark, folder, [CITIES, STUDENTS, TEACHERS, COURSES])
     orders = stage(views.orders_2nf(spark, folder), "orders_2nf")
-    refs = {n: stage(df, n) for n, df in relational.references(orders).items()}
+    refs = relational.stage_all(relational.references(orders))
     return relational.orders_fact(orders, dims, mode, refs=refs), dims, refs
 
 

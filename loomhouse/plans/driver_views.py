@@ -6,10 +6,13 @@ lineitem with its order. Everything runs over whole tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..sources.files import stored_bytes
 
 # Dates of the two loads of every dimension.
 FIRST_LOAD = "1995-01-01"
@@ -20,8 +23,34 @@ SECOND_BATCH = "2026-06-02 10:00:00"
 THIRD_BATCH = "2026-06-03 10:00:00"
 
 
+# Below this many bytes per core a table is spread over all cores before row work.
+SPREAD_BELOW = 16 * 1024 * 1024
+
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """A stored table; its footer is read for the schema only once."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def spread(df: DataFrame, path_bytes: int) -> DataFrame:
+    """Share out a table that is too small to be read by all cores.
+
+    One row group is read by one task however many cores there are. Tables with enough
+    splits to keep the cluster busy are left as they are: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    small = path_bytes < cores * SPREAD_BELOW
+    return df.repartition(cores) if small and path_bytes > SPREAD_BELOW // 4 else df
+
+
+def lineitem(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    path = f"{folder.rstrip('/')}/lineitem.parquet"
+    return spread(table(spark, folder, "lineitem").select(*columns), stored_bytes(spark, path))
 
 
 def _joined(*parts: Column | str) -> Column:
@@ -36,7 +65,7 @@ def courses(spark: SparkSession, folder: str) -> DataFrame:
     """part with its teacher: suppliers are numbered from 0 without holes, so the
     remainder gives every part exactly one."""
     supplier = table(spark, folder, "supplier")
-    teachers = F.lit(supplier.count())
+    teachers = supplier.agg(F.count(F.lit(1))).scalar()
     part = table(spark, folder, "part").withColumn(
         "s_suppkey", F.pmod(F.col("p_partkey"), teachers))
     return part.join(supplier, "s_suppkey")
@@ -55,7 +84,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct (customer, part, day, payment) of all order lines, before any attribute
     is joined, so that the widest table is shuffled on few narrow columns."""
     orders = table(spark, folder, "orders")
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    lines = lineitem(spark, folder, "l_orderkey", "l_partkey")
     return (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .select("o_custkey", "l_partkey", F.col("o_orderdate").cast("date").alias("order_date"),
                     "o_orderpriority", "o_orderstatus").distinct())
@@ -134,9 +163,12 @@ def course_snapshot(spark: SparkSession, folder: str, second: bool) -> DataFrame
         F.col("s_suppkey").alias("teacher_email"))
 
 
-def snapshot(spark: SparkSession, folder: str, second: bool) -> dict[str, DataFrame]:
-    return {"student_2nf": student_snapshot(spark, folder, second),
-            "course_2nf": course_snapshot(spark, folder, second)}
+SNAPSHOTS = {"student_2nf": student_snapshot, "course_2nf": course_snapshot}
+
+
+def snapshot(spark: SparkSession, folder: str, second: bool,
+             names: Iterable[str] = tuple(SNAPSHOTS)) -> dict[str, DataFrame]:
+    return {n: SNAPSHOTS[n](spark, folder, second) for n in names}
 
 
 def orders_2nf(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,7 +183,7 @@ def orders_2nf(spark: SparkSession, folder: str) -> DataFrame:
 def staged_orders(spark: SparkSession, folder: str,
                   status: Callable[[Column], Column] = lambda c: c) -> DataFrame:
     """Vault staging rows; `status` alters the order status of a batch."""
-    line = table(spark, folder, "lineitem")
+    line = lineitem(spark, folder, "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     order = table(spark, folder, "orders")
     part = table(spark, folder, "part")
     nation = table(spark, folder, "nation")

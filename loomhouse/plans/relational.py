@@ -17,7 +17,7 @@ from ..operators.normalize import (
 )
 from ..operators.parse import Piece, parse_composite
 from ..operators.scd2 import Dimension, Parent, scd2_cascade
-from ..sources.staging import stage
+from ..sources.staging import at_once, stage
 
 Tables = dict[str, DataFrame]
 
@@ -43,7 +43,6 @@ TEACHER = Dimension("teacher_sk", "teacher_email", ("teacher_name",))
 COURSE = Dimension("course_sk", "course_name",
                    ("course_category", "course_price", "teacher_sk"))
 
-# Parents before children.
 DIMENSIONS = {
     "cities_3nf_scd2": CITY,
     "student_3nf_scd2": STUDENT,
@@ -56,6 +55,11 @@ PARENTS = {
 }
 
 
+def stage_all(tables: Mapping[str, DataFrame]) -> Tables:
+    names = list(tables)
+    return dict(zip(names, at_once(lambda n: stage(tables[n], n), names)))
+
+
 def to_1nf(raw: DataFrame, strict: bool = True) -> DataFrame:
     return parse_composite(raw, ORDER_LINE, keep=["order_date"], strict=strict)
 
@@ -108,14 +112,17 @@ def to_3nf(nf2: Mapping[str, DataFrame]) -> Tables:
 
 def dimension_sources(nf2: Mapping[str, DataFrame]) -> Tables:
     """What each dimension is loaded from: the 2NF tables under the dimension's names."""
-    student, course = nf2["student_2nf"], nf2["course_2nf"]
-    return {
-        "cities_3nf_scd2": student.select("student_city", "student_region").toDF(
-            "city_name", "region_name"),
-        "student_3nf_scd2": student,
-        "teachers_3nf_scd2": course.select("teacher_email", "teacher_name"),
-        "courses_3nf_scd2": course,
-    }
+    sources = {}
+    if "student_2nf" in nf2:
+        student = nf2["student_2nf"]
+        sources["cities_3nf_scd2"] = student.select("student_city", "student_region").toDF(
+            "city_name", "region_name")
+        sources["student_3nf_scd2"] = student
+    if "course_2nf" in nf2:
+        course = nf2["course_2nf"]
+        sources["teachers_3nf_scd2"] = course.select("teacher_email", "teacher_name")
+        sources["courses_3nf_scd2"] = course
+    return sources
 
 
 def refresh_dimensions(nf2: Mapping[str, DataFrame], dims: Mapping[str, DataFrame],
@@ -157,9 +164,9 @@ def run_relational(raw: DataFrame, as_of: dt.date | str,
                    fact_mode: str = "current") -> Tables:
     """Raw lines to every layer. Layers with several readers are written once."""
     nf1 = stage(to_1nf(raw), "courses_1nf")
-    nf2 = {name: stage(df, name) for name, df in to_2nf(nf1).items()}
+    nf2 = stage_all(to_2nf(nf1))
     result = {"courses_1nf": nf1, **nf2, **to_3nf(nf2)}
-    refs = {n: stage(df, n) for n, df in references(nf2["orders_2nf"]).items()}
+    refs = stage_all(references(nf2["orders_2nf"]))
     history = refresh_dimensions(nf2, dims or {}, as_of)
     result.update(refs)
     result.update(history)

@@ -13,7 +13,7 @@ from ..operators.vault import (
     load_link_satellite,
     load_satellite,
 )
-from ..sources.staging import stage
+from ..sources.staging import at_once, stage
 from ..sources.vault_store import VaultStore
 
 HUBS = {
@@ -90,8 +90,9 @@ def load_vault(stg: DataFrame, store: VaultStore, load_ts: LoadTime,
                compare: str = "any") -> None:
     """Append one batch to a store, hubs first. Repeating it, or finishing it after a
     failure, adds nothing twice."""
-    stored = stage(stg, "stg_orders")
-    tables = [*HUBS, *LINKS, *SATELLITES, *LINK_SATELLITES]
+    stored = stage(stg, "stg_orders", store.spark)
+    layers = [HUBS, LINKS, [*SATELLITES, *LINK_SATELLITES]]
+    tables = [t for layer in layers for t in layer]
     added = run_vault(stored, load_ts, {t: store.read(t) for t in tables}, compare)
-    for table in tables:
-        store.append(table, added[table])
+    for layer in layers:
+        at_once(lambda t: store.append(t, added[t]), layer)

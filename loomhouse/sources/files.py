@@ -34,6 +34,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getContentSummary(target).getLength()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of any file system Spark can reach; empty if there is none."""
     if not path_exists(spark, path):

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +24,8 @@ def staging_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def stage(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write once, read back.
+def stage(df: DataFrame, name: str = "table", session: SparkSession | None = None) -> DataFrame:
+    """Write once, read back (in `session`, if another one than the table's own).
 
     The result survives lost executors, is the same for every consumer, is read column
     by column, and carries its true size, so broadcast decisions rest on a measured size.
@@ -30,4 +33,18 @@ def stage(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (session or spark).read.schema(df.schema).parquet(path)
+
+
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
+
+def at_once(work: Callable[[Item], Result], items: Iterable[Item]) -> list[Result]:
+    """Run actions that do not depend on each other as concurrent Spark jobs, so that the
+    last tasks of one share the cluster with the first tasks of the next."""
+    todo = list(items)
+    if len(todo) < 2:
+        return [work(i) for i in todo]
+    with ThreadPoolExecutor(len(todo)) as pool:
+        return list(pool.map(work, todo))
