@@ -93,13 +93,16 @@ def match_current(events: DataFrame, link: Link) -> DataFrame:
 def build_fact(events: DataFrame, links: Sequence[Link],
                references: Sequence[tuple[DataFrame, str]] = (), mode: str = "current",
                date_col: str = "order_date", sk: str = "order_sk",
-               extend_first: bool = True, start: int = 0) -> DataFrame:
+               extend_first: bool = True, start: int = 0, ordered: bool = True) -> DataFrame:
     """Events with business keys replaced by version keys and a dense key of their own.
 
     `mode` is "current" (today's version) or "as_of" (the version on the event's day;
     with `extend_first` a first version also covers all days before it). Events without
     a matching version or reference value drop out. Rows are numbered by date, then
     business keys; the range shuffle this takes also leaves the fact sorted by date.
+    `ordered=False` saves that shuffle and numbers rows as they come, still densely.
+    Give dimensions and references as stored tables: those small enough are then
+    broadcast from the start and the events are not shuffled for them.
     """
     if mode not in ("current", "as_of"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -111,7 +114,8 @@ def build_fact(events: DataFrame, links: Sequence[Link],
                 else match_as_of(fact, link, date_col, extend_first))
     business = [link.on for link in links]
     others = [c for c in events.columns if c != date_col and c not in business]
-    numbered = assign_sk(fact, [date_col, *business, *others], sk, start)
+    order = [date_col, *business, *others] if ordered else []
+    numbered = assign_sk(fact, order, sk, start)
     return numbered.select(sk, date_col, *[link.spec.sk for link in links], *others)
 
 

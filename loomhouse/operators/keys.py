@@ -20,12 +20,15 @@ def ordered_slices(df: DataFrame, order_by: Sequence[str], slices: int | None =
 
     Adds the slice number and the position in the slice: reading slices in turn gives the
     total order. All other columns break ties, so that one frequent `order_by` value still
-    spreads over many slices.
+    spreads over many slices. With an empty `order_by` the partitions are written as they
+    come: no shuffle, any order, but fixed from then on.
     """
-    order = list(order_by) + [c for c in df.columns if c not in order_by]
-    ranged = (df.repartitionByRange(slices, *order) if slices
-              else df.repartitionByRange(*order))
-    placed = ranged.sortWithinPartitions(*order).select(
+    if order_by:
+        order = list(order_by) + [c for c in df.columns if c not in order_by]
+        ranged = (df.repartitionByRange(slices, *order) if slices
+                  else df.repartitionByRange(*order))
+        df = ranged.sortWithinPartitions(*order)
+    placed = df.select(
         F.spark_partition_id().alias(SLICE),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_INDEX_MASK)).alias(POSITION),
         "*",
@@ -37,18 +40,19 @@ def assign_sk(df: DataFrame, order_by: Sequence[str], sk: str = "sk", start: int
               slices: int | None = None) -> DataFrame:
     """Number rows start+1, start+2, ... in `order_by` order.
 
-    Equals row_number() over the whole table. Only the row count of each slice meets in
-    one task; that is one row per shuffle partition, whatever the size of the table.
+    Equals row_number() over the whole table. Only the row count of each slice reaches
+    the driver: one number per shuffle partition, whatever the size of the table. The
+    offsets come back as a literal, so the result is one scan of known size.
     """
     placed = ordered_slices(df, order_by, slices)
-    sizes = placed.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sizes.select(
-        SLICE,
-        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) + F.lit(start + 1)).alias("_first"),
-    )
-    return placed.join(F.broadcast(firsts), SLICE).select(
-        (F.col("_first") + F.col(POSITION)).cast("long").alias(sk), *df.columns)
+    sizes = dict(placed.groupBy(SLICE).count().collect())
+    offsets, total = [], start
+    for n in range(max(sizes, default=-1) + 1):
+        offsets.append(total)
+        total += sizes.get(n, 0)
+    known = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
+    number = F.get(known, F.col(SLICE)) + F.col(POSITION) + F.lit(1)
+    return placed.select(number.cast("long").alias(sk), *df.columns)
 
 
 def highest_sk(df: DataFrame, sk: str) -> int:

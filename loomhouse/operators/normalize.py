@@ -44,8 +44,9 @@ def resolve_fk(child: DataFrame, parent: DataFrame, on: Mapping[str, str] | str,
 
     `on` maps child column to parent column; `take` maps output name to parent column.
     Without `take` only existence matters, so a semi join does it. The physical join is
-    left to the optimizer: small parents are broadcast by their size, a frequent child
-    key is split by the adaptive skew join.
+    left to the optimizer: give parents as stored tables, then those that are small are
+    broadcast by their measured size and the child is not shuffled; for large parents a
+    frequent child key is split by the adaptive skew join.
     """
     pairs = {on: on} if isinstance(on, str) else dict(on)
     keys = [F.col(p).alias(c) for c, p in pairs.items()]

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..operators import checks
 from ..operators.explode import explode_by_index, explode_zip, list_length_report
 from ..operators.keys import assign_sk
-from ..operators.normalize import decompose
+from ..operators.normalize import decompose, extract_dictionary
 from ..operators.scd2 import (
     dim_as_of,
     opened_versions,
@@ -80,8 +80,35 @@ def _nf2(spark, folder):
     return relational.to_2nf(nf1)
 
 
-def _nf3(name: str) -> Query:
-    return lambda spark, folder: relational.to_3nf(_nf2(spark, folder))[name]
+def nf3_city(spark, folder):
+    return relational.cities_3nf(relational.student_2nf(_nf1(spark, folder)))
+
+
+def nf3_teacher(spark, folder):
+    return relational.teachers_3nf(relational.course_2nf(_nf1(spark, folder)))
+
+
+def _nf3_dictionary(column: str) -> Query:
+    return lambda spark, folder: extract_dictionary(
+        relational.orders_2nf(_nf1(spark, folder)), column)
+
+
+def nf3_student(spark, folder):
+    student = stage(relational.student_2nf(_nf1(spark, folder)), "student_2nf")
+    return relational.student_3nf(student, stage(relational.cities_3nf(student), "cities_3nf"))
+
+
+def _course_and_teachers(spark, folder) -> tuple[DataFrame, DataFrame]:
+    course = stage(relational.course_2nf(_nf1(spark, folder)), "course_2nf")
+    return course, stage(relational.teachers_3nf(course), "teachers_3nf")
+
+
+def nf3_course(spark, folder):
+    return relational.course_3nf(*_course_and_teachers(spark, folder))
+
+
+def nf3_orders(spark, folder):
+    return relational.to_3nf(relational.stage_all(_nf2(spark, folder)))["orders_3nf"]
 
 
 def csv_load(spark, folder):
@@ -404,9 +431,7 @@ def dq_spelling(spark, folder):
 
 def students_per_city(spark, folder):
     """From composite strings through the normal forms to a count."""
-    students = relational.student_2nf(_nf1(spark, folder))
-    cities = relational.extract_transitive(students, "student_city", ["student_region"])
-    return marts.students_per_city(relational.resolve_fk(students, cities, "student_city"))
+    return marts.students_per_city(nf3_student(spark, folder))
 
 
 def avg_price_by_category(spark, folder):
@@ -415,9 +440,7 @@ def avg_price_by_category(spark, folder):
 
 
 def teacher_count(spark, folder):
-    course = relational.course_2nf(_nf1(spark, folder))
-    return marts.teacher_count(
-        relational.extract_transitive(course, "teacher_email", ["teacher_name"]))
+    return marts.teacher_count(nf3_teacher(spark, folder))
 
 
 def co_purchases(spark, folder):
@@ -429,8 +452,8 @@ def best_seller_company(spark, folder):
 
 
 def teachers_by_category(spark, folder):
-    nf3 = relational.to_3nf(_nf2(spark, folder))
-    return marts.teachers_by_category(nf3["course_3nf"], nf3["teachers_3nf"])
+    course, teachers = _course_and_teachers(spark, folder)
+    return marts.teachers_by_category(relational.course_3nf(course, teachers), teachers)
 
 
 def dup_persons(spark, folder):
@@ -448,13 +471,13 @@ CATALOG: dict[str, Query] = {
     "nf2_course": lambda s, f: relational.course_2nf(_nf1(s, f)),
     "nf2_orders": lambda s, f: relational.orders_2nf(_nf1(s, f)),
     "nf2_course_latest": course_latest,
-    "nf3_city": _nf3("cities_3nf"),
-    "nf3_teacher": _nf3("teachers_3nf"),
-    "nf3_dict_method": _nf3("payment_methods_3nf"),
-    "nf3_dict_status": _nf3("payment_statuses_3nf"),
-    "nf3_student": _nf3("student_3nf"),
-    "nf3_course": _nf3("course_3nf"),
-    "nf3_orders": _nf3("orders_3nf"),
+    "nf3_city": nf3_city,
+    "nf3_teacher": nf3_teacher,
+    "nf3_dict_method": _nf3_dictionary("payment_method"),
+    "nf3_dict_status": _nf3_dictionary("payment_status"),
+    "nf3_student": nf3_student,
+    "nf3_course": nf3_course,
+    "nf3_orders": nf3_orders,
     "assign_sk": numbered_orders,
     "scd2_init_city": _initial(CITIES),
     "scd2_init_customer": _initial(CITIES, STUDENTS),

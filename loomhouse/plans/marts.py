@@ -1,7 +1,7 @@
 """Business questions on the normalised and historised tables.
 
 Event rows are counted per key before any join, so a frequent student or course is one
-row by the time it meets its attributes.
+row by the time it meets its attributes. What is needed twice is written once.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
+
 
 def students_per_city(student: DataFrame) -> DataFrame:
     return student.groupBy("student_city").agg(F.count(F.lit(1)).alias("n_students"))
@@ -35,8 +37,8 @@ def courses_of_students(orders: DataFrame) -> DataFrame:
     Answers "which other courses did this student buy" for every student at once, one
     row per student and course: no pairs of courses are formed.
     """
-    bought = orders.groupBy("student_email", "course_name").agg(
-        F.count(F.lit(1)).alias("n_orders"))
+    bought = stage(orders.groupBy("student_email", "course_name").agg(
+        F.count(F.lit(1)).alias("n_orders")), "bought")
     breadth = bought.groupBy("student_email").agg((F.count(F.lit(1)) - 1).alias("n_others"))
     return bought.join(breadth.filter(F.col("n_others") > 0), "student_email").select(
         "student_email", "course_name", "n_orders", "n_others")
@@ -47,7 +49,7 @@ def bought_with_best_seller(orders: DataFrame) -> DataFrame:
 
     The best seller is the course with most students, the least name on a tie.
     """
-    bought = orders.select("student_email", "course_name").distinct()
+    bought = stage(orders.select("student_email", "course_name").distinct(), "bought")
     best = (bought.groupBy("course_name").agg(F.count(F.lit(1)).alias("_n"))
             .agg(F.min(F.struct((-F.col("_n")).alias("_less"), "course_name")).alias("_top"))
             .select("_top.course_name"))

@@ -87,27 +87,45 @@ def to_2nf(nf1: DataFrame) -> Tables:
     }
 
 
+def cities_3nf(student: DataFrame) -> DataFrame:
+    return extract_transitive(student, "student_city", ["student_region"])
+
+
+def teachers_3nf(course: DataFrame) -> DataFrame:
+    return extract_transitive(course, "teacher_email", ["teacher_name"])
+
+
+def student_3nf(student: DataFrame, cities: DataFrame) -> DataFrame:
+    return resolve_fk(student, cities, "student_city").select(
+        "student_email", "student_name", "student_phone", "student_city")
+
+
+def course_3nf(course: DataFrame, teachers: DataFrame) -> DataFrame:
+    return resolve_fk(course, teachers, "teacher_email").select(
+        "course_name", "course_category", "course_price", "teacher_email")
+
+
 def to_3nf(nf2: Mapping[str, DataFrame]) -> Tables:
+    """Parents are written before their children are joined to them: a child is then
+    shuffled only for parents too large to broadcast."""
     student, course, orders = nf2["student_2nf"], nf2["course_2nf"], nf2["orders_2nf"]
-    cities = extract_transitive(student, "student_city", ["student_region"])
-    teachers = extract_transitive(course, "teacher_email", ["teacher_name"])
-    methods = extract_dictionary(orders, "payment_method")
-    statuses = extract_dictionary(orders, "payment_status")
-    student_3nf = resolve_fk(student.drop("student_region"), cities, "student_city")
-    course_3nf = resolve_fk(course.drop("teacher_name"), teachers, "teacher_email")
-    orders_3nf = orders
-    for parent, key in ((methods, "payment_method"), (statuses, "payment_status"),
-                        (student_3nf, "student_email"), (course_3nf, "course_name")):
-        orders_3nf = resolve_fk(orders_3nf, parent, key)
-    return {
-        "cities_3nf": cities,
-        "student_3nf": student_3nf,
-        "teachers_3nf": teachers,
-        "course_3nf": course_3nf,
-        "payment_methods_3nf": methods,
-        "payment_statuses_3nf": statuses,
-        "orders_3nf": orders_3nf.select(*orders.columns),
-    }
+    result = stage_all({
+        "cities_3nf": cities_3nf(student),
+        "teachers_3nf": teachers_3nf(course),
+        "payment_methods_3nf": extract_dictionary(orders, "payment_method"),
+        "payment_statuses_3nf": extract_dictionary(orders, "payment_status"),
+    })
+    result.update(stage_all({
+        "student_3nf": student_3nf(student, result["cities_3nf"]),
+        "course_3nf": course_3nf(course, result["teachers_3nf"]),
+    }))
+    linked = orders
+    for parent, key in (("payment_methods_3nf", "payment_method"),
+                        ("payment_statuses_3nf", "payment_status"),
+                        ("student_3nf", "student_email"), ("course_3nf", "course_name")):
+        linked = resolve_fk(linked, result[parent], key)
+    result["orders_3nf"] = linked.select(*orders.columns)
+    return result
 
 
 def dimension_sources(nf2: Mapping[str, DataFrame]) -> Tables:
