@@ -14,12 +14,10 @@ HASH_SEPARATOR = "|"
 def _literal_pattern(delim: str) -> str:
     """Regex that matches `delim` literally.
 
-    A lone escaped character keeps Java's String.split on its no-regex path, so no
-    pattern is compiled per row.
+    For a single character Java's String.split then takes its no-regex path, so no pattern
+    is compiled per row.
     """
-    if len(delim) == 1:
-        return delim if delim.isalnum() else "\\" + delim
-    return "\\Q" + delim + "\\E"
+    return "".join(c if c.isalnum() else "\\" + c for c in delim)
 
 
 def string_to_list(text: Column, delim: str) -> Column:

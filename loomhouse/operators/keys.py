@@ -15,16 +15,18 @@ POSITION = "_position"
 _ROW_INDEX_MASK = (1 << 33) - 1
 
 
-def ordered_slices(df: DataFrame, order_by: Sequence[str], slices: int | None = None) -> DataFrame:
+def ordered_slices(df: DataFrame, order_by: Sequence[str], slices: int | None = None,
+                   unique: bool = False) -> DataFrame:
     """Range-partition by `order_by`, sort each partition and write it.
 
     Adds the slice number and the position in the slice: reading slices in turn gives the
-    total order. All other columns break ties, so that one frequent `order_by` value still
-    spreads over many slices. With an empty `order_by` the partitions are written as they
+    total order. Unless `order_by` is `unique`, all other columns break ties, so that one
+    frequent `order_by` value still spreads over many slices. With an empty `order_by` the partitions are written as they
     come: no shuffle, any order, but fixed from then on.
     """
     if order_by:
-        order = list(order_by) + [c for c in df.columns if c not in order_by]
+        ties = [] if unique else [c for c in df.columns if c not in order_by]
+        order = [*order_by, *ties]
         ranged = (df.repartitionByRange(slices, *order) if slices
                   else df.repartitionByRange(*order))
         df = ranged.sortWithinPartitions(*order)
@@ -37,14 +39,14 @@ def ordered_slices(df: DataFrame, order_by: Sequence[str], slices: int | None =
 
 
 def assign_sk(df: DataFrame, order_by: Sequence[str], sk: str = "sk", start: int = 0,
-              slices: int | None = None) -> DataFrame:
+              slices: int | None = None, unique: bool = False) -> DataFrame:
     """Number rows start+1, start+2, ... in `order_by` order.
 
     Equals row_number() over the whole table. Only the row count of each slice reaches
     the driver: one number per shuffle partition, whatever the size of the table. The
     offsets come back as a literal, so the result is one scan of known size.
     """
-    placed = ordered_slices(df, order_by, slices)
+    placed = ordered_slices(df, order_by, slices, unique)
     sizes = dict(placed.groupBy(SLICE).count().collect())
     offsets, total = [], start
     for n in range(max(sizes, default=-1) + 1):

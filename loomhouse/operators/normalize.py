@@ -51,7 +51,8 @@ def resolve_fk(child: DataFrame, parent: DataFrame, on: Mapping[str, str] | str,
     pairs = {on: on} if isinstance(on, str) else dict(on)
     keys = [F.col(p).alias(c) for c, p in pairs.items()]
     if not take:
-        return child.join(parent.select(*keys), list(pairs), "left_semi")
+        kept = child.join(parent.select(*keys), list(pairs), "left_semi")
+        return kept.select(*child.columns)
     taken = [F.col(p).alias(out) for out, p in take.items()]
     joined = child.join(parent.select(*keys, *taken), list(pairs), "inner")
     kept = [c for c in child.columns if not (drop_key and c in pairs)]

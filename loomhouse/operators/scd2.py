@@ -123,45 +123,56 @@ def _day_before(as_of: dt.date | str) -> Column:
 
 def scd2_init(src: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFrame:
     """First load: one open version per key, numbered in key order."""
-    keyed = assign_sk(one_row_per_key(src, spec), [spec.bk], spec.sk)
+    keyed = assign_sk(one_row_per_key(src, spec), [spec.bk], spec.sk, unique=True)
     return scd2_open(keyed, spec, as_of)
 
 
-def scd2_delta(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFrame:
+def scd2_delta(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date | str,
+               closed_only: bool = True) -> DataFrame:
     """The change set of a refresh, computed and written once.
 
     Columns: surrogate key of the resulting version, business key, new attributes,
-    `_kind` and, except for new keys, `_old_sk`. Closing and opening both read this one
-    table, so they cannot disagree. Only the current versions take part in the wide
-    join; of the history just the keys are read, against the keys not found current.
+    `_kind` and, except for new keys, key, start and attributes of the version it meets
+    (`_old_sk`, `_since`, `_was`). Closing and opening both read this one table, so they
+    cannot disagree. Only the current versions take part in the wide join; of the
+    history just the keys are read, against the keys not found current. With
+    `closed_only=False` the caller vouches that every key with a closed version also has
+    a current one, and `dim` may be the current versions alone: a refresh then costs the
+    same however long the history is.
     """
     today = day(as_of)
     candidates = _paired(src, dim, spec, "left").filter(
         F.col("_old_sk").isNull() | (_differs(spec) & (F.col("_since") <= today)))
-    closed = (dim.filter(~F.col("is_current")).select(spec.bk).distinct()
-              .withColumn("_closed", F.lit(True)))
+    if closed_only:
+        closed = (dim.filter(~F.col("is_current")).select(spec.bk).distinct()
+                  .withColumn("_closed", F.lit(True)))
+        candidates = candidates.join(closed, spec.bk, "left").filter(
+            F.col("_old_sk").isNotNull() | F.col("_closed").isNull())
     kind = (F.when(F.col("_old_sk").isNull(), NEW)
             .when(F.col("_since") == today, OVERWRITE)
             .otherwise(CHANGED))
-    delta = (candidates.join(closed, spec.bk, "left")
-             .filter(F.col("_old_sk").isNotNull() | F.col("_closed").isNull())
-             .select(kind.alias("_kind"), spec.bk, *spec.attrs, "_old_sk"))
-    numbered = assign_sk(delta, ["_kind", spec.bk], "_new_sk", highest_sk(dim, spec.sk))
+    delta = candidates.select(kind.alias("_kind"), spec.bk, *spec.attrs,
+                              "_old_sk", "_since", "_was")
+    numbered = assign_sk(delta, ["_kind", spec.bk], "_new_sk", highest_sk(dim, spec.sk),
+                         unique=True)
     resulting = F.when(F.col("_kind") == OVERWRITE, F.col("_old_sk")).otherwise(F.col("_new_sk"))
-    return numbered.select(resulting.alias(spec.sk), spec.bk, *spec.attrs, "_kind", "_old_sk")
+    return numbered.select(resulting.alias(spec.sk), spec.bk, *spec.attrs,
+                           "_kind", "_old_sk", "_since", "_was")
 
 
 def opened_versions(delta: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFrame:
     return scd2_open(delta.filter(F.col("_kind") != OVERWRITE), spec, as_of)
 
 
-def closed_versions(current: DataFrame, delta: DataFrame, spec: Dimension,
-                    as_of: dt.date | str) -> DataFrame:
-    """Versions that this refresh ends, in their closed form."""
-    ended = delta.filter(F.col("_kind") == CHANGED).select(F.col("_old_sk").alias(spec.sk))
-    return (current.join(ended, spec.sk, "left_semi")
-            .withColumn("valid_to", _day_before(as_of))
-            .withColumn("is_current", F.lit(False)))
+def closed_versions(delta: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFrame:
+    """Versions that this refresh ends, in their closed form: all in the change set, so
+    the dimension is not read again."""
+    return delta.filter(F.col("_kind") == CHANGED).select(
+        F.col("_old_sk").alias(spec.sk), spec.bk,
+        *[F.col(f"_was.{a}").alias(a) for a in spec.attrs],
+        F.col("_since").alias("valid_from"),
+        _day_before(as_of).alias("valid_to"),
+        F.lit(False).alias("is_current"))
 
 
 def kept_versions(current: DataFrame, delta: DataFrame, spec: Dimension) -> DataFrame:
@@ -189,7 +200,7 @@ def scd2_apply(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date |
     delta = scd2_delta(src, dim, spec, as_of)
     current = _current(dim)
     return (dim.filter(~F.col("is_current"))
-            .unionByName(closed_versions(current, delta, spec, as_of))
+            .unionByName(closed_versions(delta, spec, as_of))
             .unionByName(kept_versions(current, delta, spec))
             .unionByName(opened_versions(delta, spec, as_of)))
 

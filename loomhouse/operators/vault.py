@@ -14,18 +14,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import OPEN_TIMESTAMP, as_timestamp, hash_key
+from ..sources.staging import stage_sized
 
 LoadTime = dt.datetime | str
 
+# Up to this many written bytes the keys of a batch are broadcast to the stored table.
+SMALL_BATCH_BYTES = 8 * 1024 * 1024
+
 
 def _key(columns: Sequence[str]) -> Column:
     return hash_key(*[F.col(c) for c in columns])
 
 
-def _absent(rows: DataFrame, existing: DataFrame | None, on: Sequence[str]) -> DataFrame:
+def _absent(rows: DataFrame, existing: DataFrame | None, on: Sequence[str],
+            latest: bool = False) -> DataFrame:
+    """Rows whose `on` columns, the hash key first, are not stored.
+
+    The batch is written to know its size. A small one thins out the stored rows where
+    they are read, so that a large table is scanned for two columns but never shuffled;
+    beyond that both sides meet in a shuffled join.
+    """
     if existing is None:
         return rows
-    return rows.join(existing.select(*on), list(on), "left_anti")
+    hk, columns = on[0], rows.columns
+    incoming, size = stage_sized(rows, "incoming")
+    if size <= SMALL_BATCH_BYTES:
+        existing = existing.join(F.broadcast(incoming.select(hk)), hk, "left_semi")
+    if latest:
+        existing = latest_satellite(existing.select(*on, "load_dts"), hk)
+    return incoming.join(existing.select(*on), list(on), "left_anti").select(*columns)
 
 
 def _present(rows: DataFrame, parent: DataFrame | None, hk: str) -> DataFrame:
@@ -121,13 +138,9 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
     if parent is not None:
         owner = parent.select(F.col(parent_hk or hk).alias(hk))
         rows = rows.join(owner, hk, "left_semi")
-    if existing is not None:
-        if compare == "latest":
-            existing = latest_satellite(existing.select(hk, "hash_diff", "load_dts"), hk)
-        elif end_dated:
-            existing = existing.filter(F.col("end_date") == as_timestamp(OPEN_TIMESTAMP))
-    columns = rows.columns
-    return _absent(rows, existing, [hk, "hash_diff"]).select(*columns)
+    if existing is not None and compare == "any" and end_dated:
+        existing = existing.filter(F.col("end_date") == as_timestamp(OPEN_TIMESTAMP))
+    return _absent(rows, existing, [hk, "hash_diff"], compare == "latest")
 
 
 def load_link_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str, str],

@@ -35,6 +35,8 @@ LINK_SATELLITES = {
                           {"qty": "qty", "price": "price"}),
 }
 
+TABLES = [*HUBS, *LINKS, *SATELLITES, *LINK_SATELLITES]
+
 Existing = Mapping[str, DataFrame | None]
 
 
@@ -78,12 +80,17 @@ def run_vault(stg: DataFrame, load_ts: LoadTime, existing: Existing | None = Non
     table.
     """
     old = existing or {}
-    added = {t: hub(stg, t, load_ts, old.get(t)) for t in HUBS}
-    added |= {t: link(stg, t, load_ts, old.get(t)) for t in LINKS}
-    added |= {t: satellite(stg, t, load_ts, old.get(t), compare=compare) for t in SATELLITES}
-    added |= {t: link_satellite(stg, t, load_ts, old.get(t), compare=compare)
-              for t in LINK_SATELLITES}
-    return added
+
+    def added(table: str) -> DataFrame:
+        if table in HUBS:
+            return hub(stg, table, load_ts, old.get(table))
+        if table in LINKS:
+            return link(stg, table, load_ts, old.get(table))
+        if table in SATELLITES:
+            return satellite(stg, table, load_ts, old.get(table), compare=compare)
+        return link_satellite(stg, table, load_ts, old.get(table), compare=compare)
+
+    return dict(zip(TABLES, at_once(added, TABLES)))
 
 
 def load_vault(stg: DataFrame, store: VaultStore, load_ts: LoadTime,
@@ -91,8 +98,6 @@ def load_vault(stg: DataFrame, store: VaultStore, load_ts: LoadTime,
     """Append one batch to a store, hubs first. Repeating it, or finishing it after a
     failure, adds nothing twice."""
     stored = stage(stg, "stg_orders", store.spark)
-    layers = [HUBS, LINKS, [*SATELLITES, *LINK_SATELLITES]]
-    tables = [t for layer in layers for t in layer]
-    added = run_vault(stored, load_ts, {t: store.read(t) for t in tables}, compare)
-    for layer in layers:
+    added = run_vault(stored, load_ts, {t: store.read(t) for t in TABLES}, compare)
+    for layer in (HUBS, LINKS, [*SATELLITES, *LINK_SATELLITES]):
         at_once(lambda t: store.append(t, added[t]), layer)

@@ -65,15 +65,18 @@ class DimensionStore:
         return current.unionByName(closed)
 
     def refresh(self, src: DataFrame, as_of: dt.date | str) -> None:
-        """First load or refresh, committed as one step."""
+        """First load or refresh, committed as one step.
+
+        Versions are only ever closed for a successor, so every key, and the highest
+        surrogate key, is found among the current versions: history is not read.
+        """
         version = self.committed()
         if version == 0:
             self._write(scd2_init(src, self.spec, as_of), self._current_path(1))
             return
         current = self.current()
-        delta = scd2_delta(src, self.read(), self.spec, as_of)
-        closed = closed_versions(current, delta, self.spec, as_of)
-        self._write(closed, self._closed_path(version + 1))
+        delta = scd2_delta(src, current, self.spec, as_of, closed_only=False)
+        self._write(closed_versions(delta, self.spec, as_of), self._closed_path(version + 1))
         following = kept_versions(current, delta, self.spec).unionByName(
             opened_versions(delta, self.spec, as_of))
         self._write(following, self._current_path(version + 1))

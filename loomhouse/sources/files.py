@@ -9,16 +9,17 @@ from pyspark.sql import types as T
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType,
-                 sep: str = ",") -> DataFrame:
+                 sep: str = ",", multi_line: bool = True) -> DataFrame:
     """Header CSV, UTF-8, quotes doubled inside quotes, line breaks allowed in quotes.
 
-    A row that does not fit the schema fails the read. `multiLine` keeps one file in one
-    task, so deliver large loads as many files.
+    A row that does not fit the schema fails the read. With `multi_line` a file is one
+    task, so deliver large loads as many files; without, files are split, and a line
+    break inside quotes is an error.
     """
     return (spark.read.schema(schema)
             .option("header", True).option("sep", sep)
             .option("quote", '"').option("escape", '"')
-            .option("multiLine", True).option("mode", "FAILFAST")
+            .option("multiLine", multi_line).option("mode", "FAILFAST")
             .option("encoding", "UTF-8").option("dateFormat", "yyyy-MM-dd")
             .csv(path))
 

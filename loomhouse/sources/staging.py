@@ -10,6 +10,8 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import stored_bytes
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -30,10 +32,16 @@ def stage(df: DataFrame, name: str = "table", session: SparkSession | None = Non
     The result survives lost executors, is the same for every consumer, is read column
     by column, and carries its true size, so broadcast decisions rest on a measured size.
     """
+    return stage_sized(df, name, session)[0]
+
+
+def stage_sized(df: DataFrame, name: str = "table", session: SparkSession | None = None
+                ) -> tuple[DataFrame, int]:
+    """Like `stage`, with the number of bytes written."""
     spark = df.sparkSession
     path = f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return (session or spark).read.schema(df.schema).parquet(path)
+    return (session or spark).read.schema(df.schema).parquet(path), stored_bytes(spark, path)
 
 
 Item = TypeVar("Item")
