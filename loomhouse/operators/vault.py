@@ -45,8 +45,12 @@ def _absent(rows: DataFrame, existing: DataFrame | None, on: Sequence[str],
     return incoming.join(existing.select(*on), list(on), "left_anti").select(*columns)
 
 
-def _present(rows: DataFrame, parent: DataFrame | None, hk: str) -> DataFrame:
-    return rows if parent is None else rows.join(parent.select(hk), hk, "left_semi")
+def _in_hub(rows: DataFrame, hub: DataFrame | None, bk: str) -> DataFrame:
+    """Rows whose business key the hub holds, compared as text like the hub stores it."""
+    if hub is None:
+        return rows
+    known = hub.select(F.col(bk).alias("_known"))
+    return rows.join(known, F.col(bk).cast("string") == F.col("_known"), "left_semi")
 
 
 def load_hub(stg: DataFrame, hk: str, bk: str, load_ts: LoadTime,
@@ -69,18 +73,19 @@ def load_link(stg: DataFrame, hk: str, ends: Sequence[tuple[str, str]], load_ts:
               source: str = "source_system") -> DataFrame:
     """Pairs of business keys not yet linked; `ends` lists (hub key, business key).
 
-    Staged rows shrink to distinct pairs before anything is joined. Give `hubs` to keep
-    only pairs whose keys exist there; without, the caller vouches for them.
+    Staged rows shrink to distinct pairs before anything is joined, and digests are made
+    last, so that joins move short business keys only. Give `hubs` to keep only pairs
+    whose keys exist there; without, the caller vouches for them.
     """
     bks = [bk for _, bk in ends]
     known = F.lit(True)
     for bk in bks:
         known = known & F.col(bk).isNotNull()
     pairs = stg.filter(known).groupBy(*bks).agg(F.min(source).alias("record_source"))
+    for bk, hub in zip(bks, hubs):
+        pairs = _in_hub(pairs, hub, bk)
     rows = pairs.select(_key(bks).alias(hk), *[_key([bk]).alias(end) for end, bk in ends],
                         as_timestamp(load_ts).alias("load_dts"), "record_source")
-    for (end, _), hub in zip(ends, hubs):
-        rows = _present(rows, hub, end)
     return _absent(rows, existing, [hk]).select(
         hk, *[end for end, _ in ends], "load_dts", "record_source")
 

@@ -61,7 +61,7 @@ def test_fact_and_link_with_a_hot_key(eager):
     assert matched.filter("sk <> student_email + 1").count() == 0
     assert matched.count() == 60000
     staged = child.withColumn("source_system", F.lit("S"))
-    hub = eager.range(5000).select(F.md5(F.col("id").cast("string").cast("binary")).alias("a"))
+    hub = eager.range(5000).select(F.col("id").cast("string").alias("student_email"))
     links = load_link(staged, "hk", [("a", "student_email"), ("b", "id")],
                       "2026-01-01 00:00:00", hubs=[hub, None])
     assert "skew=true" in final_plan(links)
