@@ -7,7 +7,7 @@ A dimension table has a surrogate key, a business key, tracked attributes and
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -213,6 +213,20 @@ def with_parent_sk(src: DataFrame, parent: DataFrame, parent_spec: Dimension,
                       {parent_spec.sk: parent_spec.sk})
 
 
+def parents_first(names: Iterable[str], parents: Mapping[str, Sequence[Parent]]
+                  ) -> list[list[str]]:
+    """Groups of dimensions such that the parents of each are in an earlier group."""
+    groups, waiting, done = [], list(names), set()
+    while waiting:
+        ready = [n for n in waiting if all(p.name in done for p in parents.get(n, ()))]
+        if not ready:
+            raise ValueError(f"parents missing for {waiting}")
+        groups.append(ready)
+        done.update(ready)
+        waiting = [n for n in waiting if n not in done]
+    return groups
+
+
 def scd2_cascade(sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame],
                  specs: Mapping[str, Dimension], parents: Mapping[str, Sequence[Parent]],
                  as_of: dt.date | str) -> dict[str, DataFrame]:
@@ -233,14 +247,8 @@ def scd2_cascade(sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]
                      else scd2_apply(src, known, spec, as_of))
         return stage(following, name)
 
-    waiting = list(specs)
-    while waiting:
-        ready = [n for n in waiting
-                 if all(p.name in result for p in parents.get(n, ()))]
-        if not ready:
-            raise ValueError(f"parents missing for {waiting}")
-        result.update(zip(ready, at_once(refresh, ready)))
-        waiting = [n for n in waiting if n not in ready]
+    for names in parents_first(specs, parents):
+        result.update(zip(names, at_once(refresh, names)))
     return result
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -30,7 +29,7 @@ from ..operators.vault import latest_satellite, satellite_rejects
 from ..sources.contracts import HISTORY
 from ..sources.dimension_store import DimensionStore
 from ..sources.files import read_raw_csv
-from ..sources.staging import stage, staging_root
+from ..sources.staging import stage, staged_path
 from ..sources.vault_store import VaultStore
 from ..streaming.vault_stream import vault_stream
 from . import driver_views as views
@@ -114,17 +113,13 @@ def nf3_orders(spark, folder):
 def csv_load(spark, folder):
     """Documents written as CSV and read again: quotes and line breaks included."""
     documents = views.table(spark, folder, "documents").select("doc_id", "lang", "text")
-    path = f"{staging_root(spark)}/csv-{_run_name()}"
+    path = staged_path(spark, "csv")
     (documents.write.option("header", True).option("quote", '"').option("escape", '"')
      .option("quoteAll", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
     return read_raw_csv(spark, path, documents.schema)
 
 
-def _run_name() -> str:
-    return uuid.uuid4().hex
-
-
 def explode_zip_lists(spark, folder):
     return explode_zip(views.parallel_lists(spark, folder), LISTS, LINE_BREAK)
 
@@ -227,7 +222,7 @@ def scd2_same_day(spark, folder):
 
 def dimension_store(spark, folder):
     """Cities refreshed twice through the folder layout."""
-    store = DimensionStore(spark, f"{staging_root(spark)}/cities-{_run_name()}",
+    store = DimensionStore(spark, staged_path(spark, "cities"),
                            relational.CITY, HISTORY[CITIES].schema())
     for second, day in ((False, FIRST_LOAD), (True, SECOND_LOAD)):
         nf2 = views.snapshot(spark, folder, second, ["student_2nf"])
@@ -347,7 +342,7 @@ def vault_pipeline(spark, folder):
 
 def streamed_vault(spark, folder):
     """Staged orders as a stream of files; what the order satellite then holds."""
-    root = f"{staging_root(spark)}/vault-{_run_name()}"
+    root = staged_path(spark, "vault")
     staged = views.staged_orders(spark, folder)
     staged.repartition(2, "order_id").write.parquet(f"{root}/incoming")
     stream = (spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", 1)
@@ -439,6 +434,12 @@ def avg_price_by_category(spark, folder):
     return marts.avg_price_by_category(nf2["orders_2nf"], nf2["course_2nf"])
 
 
+def preview(spark, folder):
+    return marts.preview(views.orders_2nf(spark, folder),
+                         ["order_date", "student_email", "course_name", "payment_method",
+                          "payment_status"])
+
+
 def teacher_count(spark, folder):
     return marts.teacher_count(nf3_teacher(spark, folder))
 
@@ -478,6 +479,7 @@ CATALOG: dict[str, Query] = {
     "nf3_student": nf3_student,
     "nf3_course": nf3_course,
     "nf3_orders": nf3_orders,
+    "preview": preview,
     "assign_sk": numbered_orders,
     "scd2_init_city": _initial(CITIES),
     "scd2_init_customer": _initial(CITIES, STUDENTS),

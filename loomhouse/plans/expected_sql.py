@@ -372,6 +372,12 @@ BODIES: dict[str, str] = {
         SELECT course_name, course_category, CAST(course_price AS DOUBLE) AS course_price,
                teacher_email FROM course3""",
     "nf3_orders": f"SELECT {_ORDERS} FROM orders3",
+    "preview": """
+        SELECT CAST(order_date AS VARCHAR) AS order_date, o_custkey AS student_email,
+               l_partkey AS course_name, o_orderpriority AS payment_method,
+               o_orderstatus AS payment_status
+        FROM lines ORDER BY order_date, o_custkey, l_partkey, o_orderpriority, o_orderstatus
+        LIMIT 3""",
     "assign_sk": """
         SELECT row_number() OVER (ORDER BY order_date, o_custkey, l_partkey, o_orderpriority,
                                   o_orderstatus) AS order_sk,

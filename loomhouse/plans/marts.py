@@ -6,12 +6,19 @@ row by the time it meets its attributes. What is needed twice is written once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
 
 
+def preview(df: DataFrame, order_by: Sequence[str], n: int = 3) -> DataFrame:
+    """The first rows in an order, each task passing on `n` rows at most."""
+    return df.orderBy(*order_by).limit(n)
+
+
 def students_per_city(student: DataFrame) -> DataFrame:
     return student.groupBy("student_city").agg(F.count(F.lit(1)).alias("n_students"))
 

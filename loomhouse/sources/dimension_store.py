@@ -12,6 +12,7 @@ its folders are simply written again. History is never rewritten.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +20,17 @@ from pyspark.sql import types as T
 
 from ..operators.scd2 import (
     Dimension,
+    Parent,
     closed_versions,
     kept_versions,
     opened_versions,
+    parents_first,
     scd2_delta,
     scd2_init,
+    with_parent_sk,
 )
 from .files import child_names, path_exists
+from .staging import at_once
 
 
 class DimensionStore:
@@ -83,3 +88,17 @@ class DimensionStore:
 
     def _write(self, df: DataFrame, path: str) -> None:
         df.select(*self.spec.columns).write.mode("overwrite").parquet(path)
+
+
+def refresh_stores(stores: Mapping[str, DimensionStore], sources: Mapping[str, DataFrame],
+                   parents: Mapping[str, Sequence[Parent]], as_of: dt.date | str) -> None:
+    """Refresh stored dimensions, parents before the children that point to their versions."""
+    def refresh(name: str) -> None:
+        src = sources[name]
+        for parent in parents.get(name, ()):
+            store = stores[parent.name]
+            src = with_parent_sk(src, store.current(), store.spec, parent.column)
+        stores[name].refresh(src, as_of)
+
+    for names in parents_first(stores, parents):
+        at_once(refresh, names)

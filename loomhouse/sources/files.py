@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Stands for a missing value while reading: it cannot occur in text.
+_MISSING = "\u0000"
+
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType,
                  sep: str = ",", multi_line: bool = True) -> DataFrame:
     """Header CSV, UTF-8, quotes doubled inside quotes, line breaks allowed in quotes.
 
-    A row that does not fit the schema fails the read. With `multi_line` a file is one
+    Nothing between separators is NULL, "" is an empty string. A row that does not fit
+    the schema fails the read. With `multi_line` a file is one
     task, so deliver large loads as many files; without, files are split, and a line
     break inside quotes is an error.
     """
@@ -20,6 +24,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType,
             .option("header", True).option("sep", sep)
             .option("quote", '"').option("escape", '"')
             .option("multiLine", multi_line).option("mode", "FAILFAST")
+            .option("nullValue", _MISSING).option("emptyValue", "")
             .option("encoding", "UTF-8").option("dateFormat", "yyyy-MM-dd")
             .csv(path))
 
@@ -43,6 +48,12 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return system.getContentSummary(target).getLength()
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of any file system Spark can reach; empty if there is none."""
     if not path_exists(spark, path):

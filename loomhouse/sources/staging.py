@@ -8,9 +8,10 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from .files import stored_bytes
+from .files import delete_folder, stored_bytes
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -26,6 +27,20 @@ def staging_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def staged_folder(spark: SparkSession) -> str:
+    """Where this application writes its staged tables."""
+    return f"{staging_root(spark).rstrip('/')}/staged-{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables, once nothing built on them is needed."""
+    delete_folder(spark, staged_folder(spark))
+
+
+def staged_path(spark: SparkSession, name: str) -> str:
+    return f"{staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str = "table", session: SparkSession | None = None) -> DataFrame:
     """Write once, read back (in `session`, if another one than the table's own).
 
@@ -39,7 +54,7 @@ def stage_sized(df: DataFrame, name: str = "table", session: SparkSession | None
                 ) -> tuple[DataFrame, int]:
     """Like `stage`, with the number of bytes written."""
     spark = df.sparkSession
-    path = f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = staged_path(spark, name)
     df.write.parquet(path)
     return (session or spark).read.schema(df.schema).parquet(path), stored_bytes(spark, path)
 
@@ -54,5 +69,8 @@ def at_once(work: Callable[[Item], Result], items: Iterable[Item]) -> list[Resul
     todo = list(items)
     if len(todo) < 2:
         return [work(i) for i in todo]
+    session = SparkSession.active()
     with ThreadPoolExecutor(len(todo)) as pool:
-        return list(pool.map(work, todo))
+        # Wrapped one by one: each thread needs its own copy of the job properties.
+        running = [pool.submit(inheritable_thread_target(session)(work), i) for i in todo]
+        return [r.result() for r in running]

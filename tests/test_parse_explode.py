@@ -11,7 +11,8 @@ from loomhouse.operators.explode import explode_by_index, explode_zip, list_leng
 from loomhouse.operators.parse import Piece, parse_composite, parse_rejects
 from loomhouse.plans.relational import ORDER_LINE, to_1nf
 from loomhouse.sources.contracts import RAW
-from loomhouse.sources.files import append_absent, literal_rows, read_raw_csv
+from loomhouse.sources.files import append_absent, literal_rows, path_exists, read_raw_csv
+from loomhouse.sources.staging import drop_staged, stage, staged_folder
 
 LISTS = ["courses", "professors", "grades"]
 
@@ -67,6 +68,22 @@ def test_csv_quotes_and_line_breaks(spark, tmp_path):
         read_raw_csv(spark, str(tmp_path / "bad.csv"), RAW["courses_0nf"].schema()).collect()
 
 
+def test_csv_tells_empty_from_missing(spark, tmp_path):
+    (tmp_path / "in.csv").write_text(
+        'order_date,student_info,course_info,teacher_info,payment_info\n'
+        ',"",,x,\n', encoding="utf-8")
+    got = read_raw_csv(spark, str(tmp_path / "in.csv"), RAW["courses_0nf"].schema())
+    assert [tuple(r) for r in got.collect()] == [(None, "", None, "x", None)]
+
+
+def test_staged_tables_can_be_dropped(spark):
+    df = stage(spark.range(3))
+    assert df.count() == 3
+    assert path_exists(spark, staged_folder(spark))
+    drop_staged(spark)
+    assert not path_exists(spark, staged_folder(spark))
+
+
 def test_append_absent_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")

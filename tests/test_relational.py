@@ -21,7 +21,7 @@ from loomhouse.operators.scd2 import (
 )
 from loomhouse.plans import marts, relational
 from loomhouse.sources.contracts import HISTORY, RAW, TABLES, conform, violations
-from loomhouse.sources.dimension_store import DimensionStore
+from loomhouse.sources.dimension_store import DimensionStore, refresh_stores
 from loomhouse.sources.files import literal_rows
 
 LOAD = "2024-02-01"
@@ -299,6 +299,19 @@ def test_lines_loaded_twice_break_the_key(spark):
     assert violations({"courses_1nf": nf1}, "courses_1nf")["key"].count() == 12
 
 
+def test_stores_cascade_like_frames(spark, layers, tmp_path):
+    nf2 = {n: layers[n] for n in ("student_2nf", "course_2nf")}
+    moved = student_change("student_region", F.lit("Новый"), "student_city = 'Казань'")(nf2)
+    stores = {n: DimensionStore(spark, str(tmp_path / n), spec, HISTORY[n].schema())
+              for n, spec in relational.DIMENSIONS.items()}
+    for state, day in ((nf2, LOAD), (moved, NEXT)):
+        refresh_stores(stores, relational.dimension_sources(state), relational.PARENTS, day)
+    expected = relational.refresh_dimensions(
+        moved, {n: layers[n] for n in relational.DIMENSIONS}, NEXT)
+    for name, dim in expected.items():
+        assert rows(stores[name].read()) == rows(dim)
+
+
 def test_store_commits_a_refresh_as_one_step(spark, tmp_path):
     def city(*pairs):
         return spark.createDataFrame(list(pairs), "city_name string, region_name string")
