@@ -233,8 +233,9 @@ def scd2_cascade(sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]
     """Refresh (or first load) several dimensions, parents before children.
 
     A new parent version has a new surrogate key, which is a tracked attribute of the
-    child, so the child gets a new version as well. Each result is written: children and
-    facts then join a table of known size, and small dimensions are broadcast to them.
+    child, so the child gets a new version as well. Each result is a written table (a
+    first load is one already): children and facts then join a table of known size, and
+    small dimensions are broadcast to them.
     Dimensions that do not wait for one another are refreshed concurrently.
     """
     result: dict[str, DataFrame] = {}
@@ -243,9 +244,9 @@ def scd2_cascade(sources: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]
         src, spec, known = sources[name], specs[name], dims.get(name)
         for parent in parents.get(name, ()):
             src = with_parent_sk(src, result[parent.name], specs[parent.name], parent.column)
-        following = (scd2_init(src, spec, as_of) if known is None
-                     else scd2_apply(src, known, spec, as_of))
-        return stage(following, name)
+        if known is None:
+            return scd2_init(src, spec, as_of)
+        return stage(scd2_apply(src, known, spec, as_of), name)
 
     for names in parents_first(specs, parents):
         result.update(zip(names, at_once(refresh, names)))
