@@ -76,6 +76,8 @@ class DimensionStore:
         surrogate key, is found among the current versions: history is not read.
         """
         version = self.committed()
+        src = src.select(*[F.col(c).cast(self.schema[c].dataType).alias(c)
+                           for c in (self.spec.bk, *self.spec.attrs)])
         if version == 0:
             self._write(scd2_init(src, self.spec, as_of), self._current_path(1))
             return

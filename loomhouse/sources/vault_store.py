@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .contracts import VAULT
+from .contracts import VAULT, conform
 from .files import append, path_exists
 
 
@@ -23,4 +23,4 @@ class VaultStore:
         return self.spark.read.schema(VAULT[table].schema()).parquet(self.path(table))
 
     def append(self, table: str, rows: DataFrame) -> None:
-        append(rows.select(*VAULT[table].names()), self.path(table))
+        append(conform(rows, VAULT[table]), self.path(table))
