@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import day
+from ..sources.staging import stage
 from .keys import assign_sk
 from .normalize import resolve_fk
 from .scd2 import Dimension
@@ -38,7 +39,9 @@ def _periods(link: Link, extend_first: bool) -> DataFrame:
         return rows
     first = rows.groupBy(link.on).agg(F.min("_from").alias("_first"))
     start = F.when(F.col("_from") == F.col("_first"), day(BEGINNING)).otherwise(F.col("_from"))
-    return rows.join(first, link.on).withColumn("_from", start).drop("_first")
+    stretched = rows.join(first, link.on).withColumn("_from", start).drop("_first")
+    # Written, so that its size is known where the events are joined to it.
+    return stage(stretched, "periods")
 
 
 def _bucket(when):
@@ -71,7 +74,7 @@ def match_as_of(events: DataFrame, link: Link, date_col: str, extend_first: bool
     on = link.on
     within = F.col(date_col).between(F.col("_from"), F.col("_to"))
     periods = _periods(link, extend_first)
-    deep = (link.dim.groupBy(F.col(link.spec.bk).alias(on)).count()
+    deep = (periods.groupBy(on).count()
             .filter(F.col("count") > deep_key_versions).select(on))
     if deep.isEmpty():
         matched = events.join(periods, on)
