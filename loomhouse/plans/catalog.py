@@ -129,7 +129,8 @@ def explode_index_lists(spark, folder):
 
 
 def explode_index_sparse(spark, folder):
-    return explode_by_index(views.parallel_lists(spark, folder), "label", LISTS, LINE_BREAK)
+    return explode_by_index(views.parallel_lists(spark, folder), "label", LISTS, LINE_BREAK,
+                            order_by=["doc_id"])
 
 
 def list_lengths(spark, folder):
@@ -269,7 +270,7 @@ def _row_counts(tables: Dims) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def relational_pipeline(spark, folder):
+def relational_layers(spark, folder):
     return _row_counts(relational.run_relational(views.raw_orders(spark, folder), SECOND_LOAD))
 
 
@@ -335,7 +336,7 @@ def sat_rejects(spark, folder):
     return satellite_rejects(stg, ["order_id"], vault.SATELLITES["sat_order"][1])
 
 
-def vault_pipeline(spark, folder):
+def vault_layers(spark, folder):
     stg = stage(views.staged_orders(spark, folder), "stg_orders")
     return _row_counts(vault.run_vault(stg, FIRST_BATCH))
 
@@ -499,7 +500,7 @@ CATALOG: dict[str, Query] = {
     "fact_current": fact_current,
     "fact_as_of": fact_as_of,
     "star_view": star,
-    "relational_pipeline": relational_pipeline,
+    "relational_layers": relational_layers,
     "hub_customer": _hub("hub_customer"),
     "hub_order": _hub("hub_order"),
     "hub_product": _hub("hub_product"),
@@ -514,7 +515,7 @@ CATALOG: dict[str, Query] = {
     "sat_latest": sat_latest,
     "sat_returning": sat_returning,
     "sat_rejects": sat_rejects,
-    "vault_pipeline": vault_pipeline,
+    "vault_layers": vault_layers,
     "vault_stream": streamed_vault,
     "dq_pk": dq_pk,
     "dq_one_current": dq_one_current,

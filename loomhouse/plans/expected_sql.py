@@ -60,31 +60,17 @@ CTES: dict[str, str] = {
         SELECT DISTINCT o_custkey, l_partkey, CAST(o_orderdate AS DATE) AS order_date,
                o_orderpriority, o_orderstatus
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "raw0": """
-        SELECT order_date,
-               c_custkey || ';' || c_name || ';' || c_mktsegment || ';' || n_name || '|'
-                   || r_name AS student_info,
-               p_partkey || '|' || p_type || '|'
-                   || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) AS course_info,
-               s_name || '<' || s_suppkey || '>' AS teacher_info,
-               o_orderpriority || '|' || o_orderstatus AS payment_info
+    # What parsing must bring back: the columns the composite texts were made of.
+    "nf1": """
+        SELECT order_date, CAST(c_custkey AS VARCHAR) AS student_email,
+               c_name AS student_name, c_mktsegment AS student_phone,
+               n_name AS student_city, r_name AS student_region,
+               CAST(p_partkey AS VARCHAR) AS course_name, p_type AS course_category,
+               CAST(p_retailprice AS DECIMAL(10,2)) AS course_price,
+               s_name AS teacher_name, CAST(s_suppkey AS VARCHAR) AS teacher_email,
+               o_orderpriority AS payment_method, o_orderstatus AS payment_status
         FROM lines JOIN customers ON o_custkey = c_custkey
         JOIN courses ON l_partkey = p_partkey""",
-    "nf1": """
-        SELECT order_date,
-               split_part(student_info, ';', 1) AS student_email,
-               split_part(student_info, ';', 2) AS student_name,
-               split_part(student_info, ';', 3) AS student_phone,
-               split_part(split_part(student_info, ';', 4), '|', 1) AS student_city,
-               split_part(split_part(student_info, ';', 4), '|', 2) AS student_region,
-               split_part(course_info, '|', 1) AS course_name,
-               split_part(course_info, '|', 2) AS course_category,
-               CAST(split_part(course_info, '|', 3) AS DECIMAL(10,2)) AS course_price,
-               split_part(teacher_info, '<', 1) AS teacher_name,
-               rtrim(split_part(teacher_info, '<', 2), '>') AS teacher_email,
-               split_part(payment_info, '|', 1) AS payment_method,
-               split_part(payment_info, '|', 2) AS payment_status
-        FROM raw0""",
     "student2": """
         SELECT DISTINCT student_email, student_name, student_phone, student_city,
                student_region FROM nf1""",
@@ -415,7 +401,7 @@ BODIES: dict[str, str] = {
                payment_status, student_email, course_name
         FROM fact_then f JOIN student_dim s ON f.student_sk = s.student_sk
         JOIN course_dim c ON f.course_sk = c.course_sk""",
-    "relational_pipeline": _counts({
+    "relational_layers": _counts({
         "courses_1nf": "nf1", "student_2nf": "student2", "course_2nf": "course2",
         "orders_2nf": "orders2", "cities_3nf": "city3", "student_3nf": "student3",
         "teachers_3nf": "teacher3", "course_3nf": "course3",
@@ -462,7 +448,7 @@ BODIES: dict[str, str] = {
         SELECT DISTINCT order_id, CAST(order_amount AS DOUBLE) AS amount,
                CAST(NULL AS VARCHAR) AS status
         FROM stg WHERE order_status = 'P'""",
-    "vault_pipeline": _counts({
+    "vault_layers": _counts({
         "hub_customer": "(SELECT DISTINCT customer_id FROM stg)",
         "hub_order": "(SELECT DISTINCT order_id FROM stg)",
         "hub_product": "(SELECT DISTINCT product_id FROM stg)",

@@ -21,7 +21,7 @@ from ..sources.staging import at_once, stage
 
 Tables = dict[str, DataFrame]
 
-# Where each atomic column sits in the raw order line.
+# Where each atomic column sits in the raw order line.
 ORDER_LINE = {
     "student_email": Piece("student_info", ((";", 1),)),
     "student_name": Piece("student_info", ((";", 2),)),

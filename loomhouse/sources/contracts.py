@@ -82,6 +82,7 @@ def _period() -> tuple[Column, ...]:
     )
 
 
+# Names, types, lengths, keys and references of the modelled tables.
 RAW = {
     "courses_0nf": Contract((
         of("order_date", DATE),

@@ -97,6 +97,9 @@ def test_both_tools_give_the_same_fourteen_rows(spark):
     zipped = explode_zip(df, LISTS)
     indexed = explode_by_index(df, "courses", LISTS)
     assert zipped.count() == 14
+    listed = [(r.student_record_id, r.pos) for r in explode_by_index(
+        df, "courses", LISTS, order_by=["student_record_id"]).collect()]
+    assert listed == sorted(listed)
     columns = ["student_record_id", "pos", "courses", "professors", "grades"]
     assert rows(zipped, *columns) == rows(indexed, *columns)
     assert rows(zipped.filter("student_record_id = 9"), *columns) == [
