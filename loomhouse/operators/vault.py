@@ -116,7 +116,8 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
 
     `attrs` maps the satellite's attribute names to staged columns.
     `bks` is one business key for a hub satellite, two for a link satellite. A key with
-    several attribute sets in the batch keeps the greatest. compare="any" skips a set
+    several attribute sets in the batch keeps the greatest. Give `parent`, the hub or the
+    link (whose hash key is `parent_hk`), to keep only keys it holds. compare="any" skips a set
     the key ever had; compare="latest" compares with the newest row only, so a return to
     former values is recorded. Rows with NULLs are left to `satellite_rejects`, unless
     `null_safe` switches to a hash text that has a mark for NULL. `end_dated` satellites
@@ -133,6 +134,8 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
         rows = rows.filter(condition)
     best = F.max(F.struct(*[f"a_{n}" for n in names])).alias("_best")
     rows = rows.groupBy(*bks).agg(best)
+    if len(bks) == 1:
+        rows = _in_hub(rows, parent, bks[0])
     values = [F.col(f"_best.a_{n}") for n in names]
     rows = rows.select(_key(bks).alias(hk),
                        hash_key(*values, null_safe=null_safe).alias("hash_diff"),
@@ -140,7 +143,7 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
                        as_timestamp(load_ts).alias("load_dts"))
     if end_dated:
         rows = rows.withColumn("end_date", as_timestamp(OPEN_TIMESTAMP))
-    if parent is not None:
+    if parent is not None and len(bks) > 1:
         owner = parent.select(F.col(parent_hk or hk).alias(hk))
         rows = rows.join(owner, hk, "left_semi")
     if existing is not None and compare == "any" and end_dated:
