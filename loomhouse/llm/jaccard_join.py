@@ -32,27 +32,29 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import stage
 from .common import (FIRST, SECOND, U64, byte_rows, column, doc_key, groups, mix, numbers, own_id,
-                     ship, whole_text, words)
+                     ship, stored_size, whole_text, words)
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Chance to find a link between two texts in one of the runs.
-RECALL = 0.99999
+RECALL = 0.9999
 #: Expected number of shingles that a set picks in a run.
 PICKS = 2.0
 #: Sets of a bucket that are compared directly, and how often larger ones are split.
-BUCKET = 256
-DEPTH = 3
+BUCKET = 1024
+DEPTH = 2
 #: Least hashes in a sketch; its similarity must be this share of the one asked for.
 SKETCH, SLACK = 64, 0.65
-#: Bytes of shingles in a block of a candidate group.
-BLOCK_BYTES = 12 << 20
+#: Bytes of shingles and number of sets in a block of a candidate group, at most.
+BLOCK_BYTES, BLOCK_SETS = 12 << 20, 2048
 
 
-def runs_for(similarity: float = SIMILARITY, recall: float = RECALL, picks: float = PICKS) -> int:
-    """Runs after which a link is missed with a chance of at most 1 - recall."""
-    missed = math.exp(-picks * similarity)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(missed)))
+def runs_for(similarity: float = SIMILARITY, recall: float = RECALL, picks: float = PICKS,
+             depth: int = DEPTH) -> int:
+    """Runs after which a link is missed with a chance of at most 1 - recall, even where both
+    sets must follow the same path through `depth` splits."""
+    shared = (1 - math.exp(-picks * similarity)) ** depth
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - shared)))
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE
@@ -119,7 +121,8 @@ def _describe(runs, picks, size):
                     pa.array(np.searchsorted(rows_of[order], np.arange(high - low + 1)),
                              pa.int32()), pa.array(paths_of[order].view(np.int64)))
                 # The sets are sorted by hash: their first ones are the sketch.
-                sketch = [value[s:min(s + SKETCH, e)].tobytes()
+                high_bits = (value >> U64(32)).astype("<u4")
+                sketch = [high_bits[s:min(s + SKETCH, e)].tobytes()
                           for s, e in zip(edge[:-1].tolist(), edge[1:].tolist())]
                 yield pa.RecordBatch.from_pydict(
                     {"doc": doc[low:high], "a": a.view(np.int64), "b": b.view(np.int64),
@@ -168,7 +171,8 @@ def _shared(one: np.ndarray, one_row: np.ndarray, ones: int,
         return total
     here = np.bincount(place[:len(one)], minlength=len(value))
     there = np.bincount(place[len(one):], minlength=len(value))
-    common = (here > 0) & (there > 0)
+    # A value in one row of one side only says nothing about a pair.
+    common = (here > 0) & (there > 0) if one is not other else here > 1
     rank = np.cumsum(common) - 1
     a, b = place[:len(one)], place[len(one):]
     keep_a, keep_b = common[a], common[b]
@@ -176,8 +180,9 @@ def _shared(one: np.ndarray, one_row: np.ndarray, ones: int,
     order_a, order_b = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
     a, a_row, b, b_row = a[order_a], a_row[order_a], b[order_b], b_row[order_b]
     # Some columns at a time, so that the tables stay small.
-    step = max(1, (4 << 20) // max(ones, others, 1))
-    for low in range(0, int(common.sum()), step):
+    columns = int(common.sum())
+    step = min(max(1, (4 << 20) // max(ones, others, 1)), columns)
+    for low in range(0, columns, max(step, 1)):
         left, right = np.zeros((ones, step), np.float32), np.zeros((others, step), np.float32)
         s, e = np.searchsorted(a, [low, low + step])
         left[a_row[s:e], a[s:e] - low] = 1
@@ -192,24 +197,29 @@ def _similarity(shared, sizes, other_sizes):
     return shared / np.maximum(union, 1)
 
 
-def _sketch_edges(similarity, directly):
-    """One edge for each set that its bucket connects to another; larger buckets than
-    `directly` are compared block by block."""
+def _sketch_edges(similarity):
+    """One edge for each set that its bucket connects to another; a group holds whole
+    buckets."""
     def edges(key, table):
-        reps, n = table["rep"].to_numpy(), table["n"].to_numpy()
-        sketches = [np.frombuffer(s, U64) for s in table["sketch"].to_pylist()]
-        _, one = np.unique(reps, return_index=True)
-        reps, n, sketches = reps[one], n[one], [sketches[i] for i in one.tolist()]
-        value = np.concatenate(sketches) if sketches else np.zeros(0, U64)
-        sizes = np.array([len(s) for s in sketches])
-        row = np.repeat(np.arange(len(reps)), sizes)
-        shared = _shared(value, row, len(reps), value, row, len(reps))
-        near = _similarity(shared, sizes, sizes) >= similarity * SLACK
-        # Sets of very different sizes are not alike, whatever their sketches share.
-        near &= np.minimum(n[:, None], n[None, :]) >= similarity * np.maximum(n[:, None], n[None, :])
-        least = _connected(near)
-        moved = np.flatnonzero(least != np.arange(len(reps)))
-        return pa.table({"x": reps[moved], "y": reps[least[moved]]})
+        table = table.sort_by([("bucket", "ascending"), ("rep", "ascending")])
+        bucket, reps, n = (table[c].to_numpy() for c in ("bucket", "rep", "n"))
+        sketches = [np.frombuffer(s, "<u4") for s in table["sketch"].to_pylist()]
+        xs, ys = [], []
+        cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
+        for low, high in zip(cut, [*cut[1:], len(bucket)]):
+            held, size = sketches[low:high], n[low:high]
+            count = np.array([len(s) for s in held])
+            value, row = np.concatenate(held), np.repeat(np.arange(high - low), count)
+            shared = _shared(value, row, high - low, value, row, high - low)
+            near = _similarity(shared, count, count) >= similarity * SLACK
+            # Sets of very different sizes are not alike, whatever their sketches share.
+            near &= (np.minimum(size[:, None], size[None, :])
+                     >= similarity * np.maximum(size[:, None], size[None, :]))
+            least = _connected(near)
+            moved = np.flatnonzero(least != np.arange(high - low))
+            xs.append(reps[low:high][moved])
+            ys.append(reps[low:high][least[moved]])
+        return pa.table({"x": np.concatenate(xs), "y": np.concatenate(ys)})
     return edges
 
 
@@ -274,6 +284,8 @@ def _block_links(similarity):
             sizes = np.array([len(s) for s in sets])
             parts.append((np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes))
         (va, ra, na), (vb, rb, nb) = parts
+        if low == high:
+            vb, rb = va, ra
         near = _similarity(_shared(va, ra, len(na), vb, rb, len(nb)), na, nb) >= similarity
         if low == high:
             np.fill_diagonal(near, False)
@@ -317,34 +329,44 @@ def _candidates(docs, reps, similarity, runs, picks, bucket, depth, size):
         if wanted.isEmpty():
             break
         texts = docs.join(wanted, F.col("doc") == F.col("rep")).select("rep", "paths", "text")
-        rows = stage(texts.mapInArrow(_again(picks * (level + 1), size), "rep long, path long"),
+        rows = stage(texts.mapInArrow(_again(picks, size), "rep long, path long"),
                      "paths")
     members = found[0]
     for more in found[1:]:
         members = members.unionByName(more)
-    return members.join(reps.select("rep", "n", "sketch"), "rep")
+    return stage(members, "members")
 
 
-def _bucket_edges(members: DataFrame, similarity: float, bucket: int) -> DataFrame:
-    """Edges of all buckets; one of more than `bucket` sets is cut into blocks, and each
-    pair of its blocks compared."""
+def _bucket_edges(members: DataFrame, reps: DataFrame, similarity: float, bucket: int
+                  ) -> DataFrame:
+    """Edges of all buckets. Buckets of the same sets are compared once; one of more than
+    `bucket` sets is cut into blocks, and each pair of its blocks compared."""
+    alike = (members.filter(F.col("sets") <= bucket).groupBy("path")
+             .agg(F.sort_array(F.collect_set("rep")).alias("held")).select("held").distinct())
+    small = alike.select(F.xxhash64("held").alias("bucket"), F.explode("held").alias("rep"))
     blocks = F.ceil(F.col("sets") / F.lit(bucket)).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    placed = (members.withColumn("own", own).withColumn("other", other)
-              .withColumn("low", F.least("own", "other"))
-              .withColumn("high", F.greatest("own", "other")))
-    return placed.groupBy("path", "low", "high").applyInArrow(
-        _sketch_edges(similarity, bucket), "x long, y long")
+    large = (members.filter(F.col("sets") > bucket).distinct()
+             .withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))
+                     .alias("bucket"), "rep"))
+    described = reps.select("rep", "n", "sketch")
+    placed = stage(small.unionByName(large).distinct().join(described, "rep"), "placed")
+    # A group is a handful of buckets: as many groups as there are megabytes of rows.
+    most = F.lit(max(1, stored_size(placed) >> 20))
+    return (placed.groupBy(F.pmod("bucket", most).alias("batch"))
+            .applyInArrow(_sketch_edges(similarity), "x long, y long"))
 
 
 def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
                     picks: float = PICKS, bucket: int = BUCKET, depth: int = DEPTH,
-                    size: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    size: int = SHINGLE, block_bytes: int = BLOCK_BYTES,
+                    block_sets: int = BLOCK_SETS) -> DataFrame:
     """One row per document: `class_id` (least doc_id of its class) and `n_links`, the number
     of other documents with a similarity of at least `similarity` (copies included)."""
     ship(docs)
-    runs = runs_for(similarity, recall, picks)
+    runs = runs_for(similarity, recall, picks, depth)
     texts = docs.select(doc_key().alias("doc"), whole_text().alias("text"))
     described = stage(texts.mapInArrow(
         _describe(runs, picks, size),
@@ -356,13 +378,13 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
                  .filter(F.col("doc") == F.col("rep"))
                  .select("rep", "copies", "n", "paths", "sketch"), "representatives")
     members = _candidates(texts, reps, similarity, runs, picks, bucket, depth, size)
-    groups_of = _components(_bucket_edges(members, similarity, bucket))
+    groups_of = _components(_bucket_edges(members, reps, similarity, bucket))
     # Every candidate with its group; the least of a group is in it too.
     grouped = groups_of.unionByName(groups_of.select(F.col("y").alias("x"), "y").distinct())
     joined = grouped.join(reps.select(F.col("rep").alias("x"), "copies", "n"), "x")
     sizes = joined.groupBy("y").agg(
-        F.greatest(F.lit(1), F.ceil(F.sum(F.col("n") * 8) / F.lit(block_bytes)))
-        .cast("int").alias("blocks"))
+        F.greatest(F.ceil(F.sum(F.col("n") * 8) / F.lit(block_bytes)),
+                   F.ceil(F.count("*") / F.lit(block_sets))).cast("int").alias("blocks"))
     placed = stage(joined.join(sizes, "y").select(
         F.col("x").alias("rep"), F.col("y").alias("grp"), "copies", "blocks",
         F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int").alias("block")), "groups")
