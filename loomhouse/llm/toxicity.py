@@ -52,7 +52,7 @@ _FOREIGN = re.compile("[Ͱ-ϿЀ-ԯ]")
 _FULL_WIDTH = re.compile("[！-～]")
 _WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
 _DISGUISE = re.compile(r"(?<=[^\W\d_])[01345789@$!|]+(?=[^\W\d_])"
-                       r"|(?<![^\W_])[01345789@$]+(?=[^\W\d_]{2})")
+                       r"|(?<![^\W_])[01345789@$]+(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
