@@ -2,26 +2,17 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import day
 from ..sources.staging import stage
 from .keys import assign_sk
 from .normalize import resolve_fk
 from .scd2 import Dimension
 
-# A business key with more versions than this is matched per time bucket.
-DEEP_KEY_VERSIONS = 64
-BUCKET_DAYS = 32
-# Fixed value: start of a first version that is stretched back over all earlier events.
-BEGINNING = dt.date(1, 1, 1)
-
-
 @dataclass(frozen=True)
 class Link:
     """Event column `on` holds the business key of `dim`."""
@@ -31,60 +22,50 @@ class Link:
     on: str
 
 
-def _periods(link: Link, extend_first: bool) -> DataFrame:
+def _periods(link: Link) -> tuple[DataFrame, DataFrame]:
+    """The buckets of each business key, and its versions in every bucket they touch.
+
+    A key's days from its first to its last version are cut into buckets as wide as a version
+    lasts on average. So a key has at most three rows for each of its versions, however
+    long those last, and a bucket of w days meets at most w + 1 versions.
+    """
     spec = link.spec
     rows = link.dim.select(F.col(spec.bk).alias(link.on), spec.sk,
                            F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"))
-    if not extend_first:
-        return rows
-    first = rows.groupBy(link.on).agg(F.min("_from").alias("_first"))
-    start = F.when(F.col("_from") == F.col("_first"), day(BEGINNING)).otherwise(F.col("_from"))
-    stretched = rows.join(first, link.on).withColumn("_from", start).drop("_first")
-    # Written, so that its size is known where the events are joined to it.
-    return stage(stretched, "periods")
+    first, last = F.min("_from"), F.max("_from")
+    # Written, as are the versions, so that their sizes are known where events are joined.
+    keys = stage(rows.groupBy(link.on).agg(
+        first.alias("_first"), last.alias("_last"),
+        F.ceil((F.datediff(last, first) + F.lit(1)) / F.count("*")).alias("_width")), "keys")
+    spread = F.explode(F.sequence(_bucket("_from"), _bucket("_to")))
+    return keys, stage(rows.join(keys, link.on).withColumn("_bucket", spread)
+                       .select(link.on, "_bucket", spec.sk, "_from", "_to",
+                               (F.col("_from") == F.col("_first")).alias("_is_first")), "periods")
 
 
-def _bucket(when):
-    return F.floor(F.unix_date(when) / F.lit(BUCKET_DAYS))
-
-
-def _match_deep(events: DataFrame, periods: DataFrame, on: str, date_col: str) -> DataFrame:
-    """As-of match on (key, time bucket).
-
-    Versions of one key last a day at least and do not overlap, so a bucket meets no
-    more than BUCKET_DAYS of them: an event is compared with few versions even where a
-    key has very many. Versions are clipped to the days on which events occur.
-    """
-    span = events.agg(F.min(date_col), F.max(date_col)).first()
-    low, high = day(span[0]), day(span[1])
-    spread = (periods.filter((F.col("_from") <= high) & (F.col("_to") >= low))
-              .withColumn("_bucket", F.explode(F.sequence(
-                  _bucket(F.greatest("_from", low)), _bucket(F.least("_to", high))))))
-    return events.withColumn("_bucket", _bucket(F.col(date_col))).join(spread, [on, "_bucket"])
+def _bucket(date: str):
+    """Bucket of a day; days outside a key's span fall into its first or last one."""
+    inside = F.greatest(F.least(F.col(date), F.col("_last")), F.col("_first"))
+    return F.floor(F.datediff(inside, F.col("_first")) / F.col("_width")).cast("long")
 
 
-def match_as_of(events: DataFrame, link: Link, date_col: str, extend_first: bool = True,
-                deep_key_versions: int = DEEP_KEY_VERSIONS) -> DataFrame:
+def match_as_of(events: DataFrame, link: Link, date_col: str,
+                extend_first: bool = True) -> DataFrame:
     """Add the surrogate key of the version valid on the event's day (inner).
 
-    Usually an equi-join on the business key with the period as residual condition. Keys
-    with very many versions, if any exist, go through time buckets instead, so no key
-    pairs all its events with all its versions.
+    One equi-join on (business key, time bucket), with the period as residual condition:
+    no key pairs all its events with all its versions. With `extend_first` a first version
+    also covers all days before it.
     """
-    on = link.on
-    within = F.col(date_col).between(F.col("_from"), F.col("_to"))
-    periods = _periods(link, extend_first)
-    deep = (periods.groupBy(on).count()
-            .filter(F.col("count") > deep_key_versions).select(on))
-    if deep.isEmpty():
-        matched = events.join(periods, on)
-    else:
-        shallow = events.join(deep, on, "left_anti").join(
-            periods.join(deep, on, "left_anti"), on)
-        buckets = _match_deep(events.join(deep, on, "left_semi"),
-                              periods.join(deep, on, "left_semi"), on, date_col)
-        matched = shallow.unionByName(buckets.drop("_bucket"))
-    return matched.filter(within).select(*events.columns, link.spec.sk)
+    on, when = link.on, F.col(date_col)
+    keys, periods = _periods(link)
+    placed = (events.filter(when.isNotNull()).join(keys, on)
+              .withColumn("_bucket", _bucket(date_col)).select(*events.columns, "_bucket"))
+    started = when >= F.col("_from")
+    if extend_first:
+        started = started | F.col("_is_first")
+    return (placed.join(periods, [on, "_bucket"]).filter(started & (when <= F.col("_to")))
+            .select(*events.columns, link.spec.sk))
 
 
 def match_current(events: DataFrame, link: Link) -> DataFrame:

@@ -107,6 +107,22 @@ def satellite_rejects(stg: DataFrame, bks: Sequence[str], attrs: dict[str, str])
                                       ).distinct()
 
 
+def satellite_conflicts(stg: DataFrame, bks: Sequence[str], attrs: dict[str, str]) -> DataFrame:
+    """Distinct attribute sets that a load leaves out because a greater set came for their key.
+
+    Sets without NULLs only, like the load itself.
+    """
+    columns = [*bks, *attrs.values()]
+    sets = stg.select(*bks, F.struct(*[F.col(c).alias(n) for n, c in attrs.items()]).alias("_set"),
+                      *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)])
+    for i in range(len(columns)):
+        sets = sets.filter(F.col(f"_c{i}").isNotNull())
+    sets = sets.select(*bks, "_set").distinct()
+    best = sets.groupBy(*bks).agg(F.max("_set").alias("_best"))
+    return (sets.join(best, list(bks)).filter(F.col("_set") != F.col("_best"))
+            .select(*bks, "_set.*"))
+
+
 def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str, str],
                    load_ts: LoadTime, existing: DataFrame | None = None,
                    parent: DataFrame | None = None, parent_hk: str | None = None,

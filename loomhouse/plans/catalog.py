@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import checks
 from ..operators.explode import explode_by_index, explode_zip, list_length_report
+from ..operators.fact import Link, match_as_of
 from ..operators.keys import assign_sk
 from ..operators.normalize import decompose, extract_dictionary
 from ..operators.scd2 import (
+    Dimension,
     dim_as_of,
     opened_versions,
     scd2_apply,
@@ -25,7 +27,7 @@ from ..operators.scd2 import (
     version_history,
     with_parent_sk,
 )
-from ..operators.vault import latest_satellite, satellite_rejects
+from ..operators.vault import latest_satellite, satellite_conflicts, satellite_rejects
 from ..sources.contracts import HISTORY
 from ..sources.dimension_store import DimensionStore
 from ..sources.files import read_raw_csv
@@ -117,7 +119,7 @@ def csv_load(spark, folder):
     (documents.write.option("header", True).option("quote", '"').option("escape", '"')
      .option("quoteAll", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
-    return read_raw_csv(spark, path, documents.schema)
+    return read_raw_csv(spark, path, documents.schema, multi_line=True)
 
 
 def explode_zip_lists(spark, folder):
@@ -239,11 +241,11 @@ def students_as_of(spark, folder):
     return dim_as_of(_both(spark, folder, [CITIES, STUDENTS])[STUDENTS], A_DAY_BETWEEN)
 
 
-def _fact(spark, folder, mode) -> tuple[DataFrame, Dims, Dims]:
+def _fact(spark, folder, mode, ordered=True) -> tuple[DataFrame, Dims, Dims]:
     dims = _both(spark, folder, [CITIES, STUDENTS, TEACHERS, COURSES])
     orders = stage(views.orders_2nf(spark, folder), "orders_2nf")
     refs = relational.stage_all(relational.references(orders))
-    return relational.orders_fact(orders, dims, mode, refs=refs), dims, refs
+    return relational.orders_fact(orders, dims, mode, refs=refs, ordered=ordered), dims, refs
 
 
 def fact_current(spark, folder):
@@ -254,13 +256,40 @@ def fact_as_of(spark, folder):
     return _fact(spark, folder, "as_of")[0]
 
 
+def fact_as_of_deep(spark, folder):
+    """Order lines by the version, on their shipping day, of a dimension whose few keys have a
+    version for every day with orders: the largest order of a priority."""
+    orders = views.table(spark, folder, "orders")
+    days = orders.groupBy("o_orderpriority", F.col("o_orderdate").cast("date").alias("valid_from")
+                          ).agg(F.max(F.col("o_totalprice").cast("decimal(12,2)")).alias("largest"))
+    later = F.lead("valid_from").over(Window.partitionBy("o_orderpriority").orderBy("valid_from"))
+    dim = days.select(
+        F.concat_ws("|", "o_orderpriority", "valid_from").alias("priority_sk"), "o_orderpriority",
+        "largest", "valid_from",
+        F.coalesce(F.date_sub(later, 1), F.lit("9999-12-31").cast("date")).alias("valid_to"),
+        later.isNull().alias("is_current"))
+    lines = views.table(spark, folder, "lineitem").select(
+        "l_orderkey", F.col("l_shipdate").cast("date").alias("order_date"))
+    events = lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"),
+                        "l_orderkey")
+    link = Link(dim, Dimension("priority_sk", "o_orderpriority", ("largest",)), "o_orderpriority")
+    return (match_as_of(events, link, "order_date").groupBy("priority_sk")
+            .agg(F.count("*").alias("n_lines"), F.min("order_date").cast("string").alias("first_day")))
+
+
+def sat_conflicts(spark, folder):
+    """Attribute sets of order lines that lose against a greater one of their pair."""
+    return satellite_conflicts(views.staged_orders(spark, folder), ["order_id", "product_id"],
+                               vault.LINK_SATELLITES["sat_order_product"][2])
+
+
 def star(spark, folder):
     fact, dims, refs = _fact(spark, folder, "as_of")
     return relational.orders_star(fact, dims, refs)
 
 
 def revenue_at_time(spark, folder):
-    fact, dims, _ = _fact(spark, folder, "as_of")
+    fact, dims, _ = _fact(spark, folder, "as_of", ordered=False)
     return marts.revenue_at_time(fact, dims[COURSES])
 
 
@@ -373,7 +402,7 @@ def dq_fk(spark, folder):
 
 
 def dq_not_null(spark, folder):
-    return checks.missing_values(views.student_snapshot(spark, folder, False),
+    return checks.missing_values(views.student_snapshot(spark, folder, False, everyone=True),
                                  ["student_email", "student_phone"])
 
 
@@ -397,7 +426,8 @@ def dq_fd(spark, folder):
 def dq_transitive(spark, folder):
     pairs = [("student_city", "student_region"), ("student_region", "student_city"),
              ("student_phone", "student_city"), ("student_name", "student_phone")]
-    return checks.dependency_report(views.student_snapshot(spark, folder, False), pairs)
+    return checks.dependency_report(
+        views.student_snapshot(spark, folder, False, everyone=True), pairs)
 
 
 def dq_chain(spark, folder):
@@ -499,6 +529,8 @@ CATALOG: dict[str, Query] = {
     "dim_as_of": students_as_of,
     "fact_current": fact_current,
     "fact_as_of": fact_as_of,
+    "fact_as_of_deep": fact_as_of_deep,
+    "sat_conflicts": sat_conflicts,
     "star_view": star,
     "relational_layers": relational_layers,
     "hub_customer": _hub("hub_customer"),

@@ -10,9 +10,6 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..sources.files import stored_bytes
 
 # Dates of the two loads of every dimension.
 FIRST_LOAD = "1995-01-01"
@@ -23,34 +20,12 @@ SECOND_BATCH = "2026-06-02 10:00:00"
 THIRD_BATCH = "2026-06-03 10:00:00"
 
 
-# Below this many bytes per core a table is spread over all cores before row work.
-SPREAD_BELOW = 16 * 1024 * 1024
-
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A stored table; its footer is read for the schema only once."""
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
-
-
-def spread(df: DataFrame, path_bytes: int) -> DataFrame:
-    """Share out a table that is too small to be read by all cores.
-
-    One row group is read by one task however many cores there are. Tables with enough
-    splits to keep the cluster busy are left as they are: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    small = path_bytes < cores * SPREAD_BELOW
-    return df.repartition(cores) if small and path_bytes > SPREAD_BELOW // 4 else df
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def lineitem(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    path = f"{folder.rstrip('/')}/lineitem.parquet"
-    return spread(table(spark, folder, "lineitem").select(*columns), stored_bytes(spark, path))
+    return table(spark, folder, "lineitem").select(*columns)
 
 
 def _joined(*parts: Column | str) -> Column:
@@ -120,11 +95,13 @@ def parallel_lists(spark: SparkSession, folder: str) -> DataFrame:
         label.alias("label"))
 
 
-def student_snapshot(spark: SparkSession, folder: str, second: bool) -> DataFrame:
+def student_snapshot(spark: SparkSession, folder: str, second: bool, everyone: bool = False
+                     ) -> DataFrame:
     """2NF students as delivered at the first or second load.
 
     First: customers who had ordered before the second load, machinery customers still
-    without a segment. Second: all customers; a segment renamed and two regions merged.
+    without a segment (`everyone`: those who had not ordered too). Second: all customers; a
+    segment renamed and two regions merged.
     """
     people = customers(spark, folder)
     segment, region = F.col("c_mktsegment"), F.col("r_name")
@@ -134,9 +111,10 @@ def student_snapshot(spark: SparkSession, folder: str, second: bool) -> DataFram
                         F.lit("AFRICA AND MIDDLE EAST")).otherwise(region)
     else:
         segment = F.when(segment != "MACHINERY", segment)
-        early = table(spark, folder, "orders").filter(
-            F.col("o_orderdate") < F.lit(SECOND_LOAD).cast("timestamp_ntz"))
-        people = people.join(early, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
+        if not everyone:
+            early = table(spark, folder, "orders").filter(
+                F.col("o_orderdate") < F.lit(SECOND_LOAD).cast("timestamp_ntz"))
+            people = people.join(early, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
     return people.select(
         F.col("c_custkey").alias("student_email"), F.col("c_name").alias("student_name"),
         segment.alias("student_phone"), F.col("n_name").alias("student_city"),

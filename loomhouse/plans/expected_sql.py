@@ -116,6 +116,11 @@ CTES: dict[str, str] = {
                n_name AS student_city, r_name AS student_region
         FROM customers WHERE c_custkey IN
             (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '{SECOND_LOAD}')""",
+    "stu_all1": """
+        SELECT c_custkey AS student_email, c_name AS student_name,
+               CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END AS student_phone,
+               n_name AS student_city, r_name AS student_region
+        FROM customers""",
     "stu2": """
         SELECT c_custkey AS student_email, c_name AS student_name,
                CASE WHEN c_mktsegment = 'BUILDING' THEN 'CONSTRUCTION'
@@ -444,6 +449,23 @@ BODIES: dict[str, str] = {
         SELECT b.* REPLACE ('{THIRD_BATCH}' AS load_dts) FROM sat_b1 b
         WHERE NOT EXISTS (SELECT 1 FROM sat_newest n
                           WHERE n.hk_order = b.hk_order AND n.hash_diff = b.hash_diff)""",
+    "sat_conflicts": """
+        SELECT DISTINCT order_id, product_id, qty, CAST(price AS DOUBLE) AS price
+        FROM (SELECT *, dense_rank() OVER (PARTITION BY order_id, product_id
+                                           ORDER BY qty DESC, price DESC) AS rn FROM stg)
+        WHERE rn > 1""",
+    "fact_as_of_deep": """
+        SELECT d.o_orderpriority || '|' || CAST(coalesce(d.valid_from, f.first) AS VARCHAR)
+                   AS priority_sk,
+               count(*) AS n_lines, CAST(min(e.day) AS VARCHAR) AS first_day
+        FROM (SELECT o_orderpriority, CAST(l_shipdate AS DATE) AS day
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) e
+        JOIN (SELECT o_orderpriority, min(CAST(o_orderdate AS DATE)) AS first
+              FROM orders GROUP BY o_orderpriority) f USING (o_orderpriority)
+        ASOF JOIN (SELECT DISTINCT o_orderpriority, CAST(o_orderdate AS DATE) AS valid_from
+                   FROM orders) d
+        ON e.o_orderpriority = d.o_orderpriority AND greatest(e.day, f.first) >= d.valid_from
+        GROUP BY 1""",
     "sat_rejects": """
         SELECT DISTINCT order_id, CAST(order_amount AS DOUBLE) AS amount,
                CAST(NULL AS VARCHAR) AS status
@@ -476,7 +498,7 @@ BODIES: dict[str, str] = {
         SELECT *, concat_ws(',', CASE WHEN student_email IS NULL THEN 'student_email' END,
                             CASE WHEN student_phone IS NULL THEN 'student_phone' END)
                AS missing
-        FROM stu1 WHERE student_email IS NULL OR student_phone IS NULL""",
+        FROM stu_all1 WHERE student_email IS NULL OR student_phone IS NULL""",
     "dq_length": """
         SELECT doc_id, concat_ws(',', CASE WHEN length(text) > 2000 THEN 'text' END,
                                  CASE WHEN length(lang) > 50 THEN 'lang' END) AS oversize
@@ -490,7 +512,7 @@ BODIES: dict[str, str] = {
         SELECT p_name, count(*) AS n_variants FROM (SELECT DISTINCT p_name, p_type FROM part)
         GROUP BY p_name HAVING count(*) > 1""",
     "dq_transitive": " UNION ALL ".join(
-        _dependency("stu1", x, y) for x, y in (
+        _dependency("stu_all1", x, y) for x, y in (
             ("student_city", "student_region"), ("student_region", "student_city"),
             ("student_phone", "student_city"), ("student_name", "student_phone"))),
     "dq_chain": f"""

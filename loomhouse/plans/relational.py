@@ -157,14 +157,14 @@ def references(orders: DataFrame) -> Tables:
 
 
 def orders_fact(orders: DataFrame, dims: Mapping[str, DataFrame], mode: str = "current",
-                extend_first: bool = True, refs: Mapping[str, DataFrame] | None = None
-                ) -> DataFrame:
+                extend_first: bool = True, refs: Mapping[str, DataFrame] | None = None,
+                ordered: bool = True) -> DataFrame:
     links = [Link(dims["student_3nf_scd2"], STUDENT, "student_email"),
              Link(dims["courses_3nf_scd2"], COURSE, "course_name")]
     refs = refs or references(orders)
     values = [(refs["payment_methods_3nf_ref"], "payment_method"),
               (refs["payment_statuses_3nf_ref"], "payment_status")]
-    return build_fact(orders, links, values, mode, extend_first=extend_first)
+    return build_fact(orders, links, values, mode, extend_first=extend_first, ordered=ordered)
 
 
 def orders_star(fact: DataFrame, dims: Mapping[str, DataFrame],
@@ -179,7 +179,7 @@ def orders_star(fact: DataFrame, dims: Mapping[str, DataFrame],
 
 def run_relational(raw: DataFrame, as_of: dt.date | str,
                    dims: Mapping[str, DataFrame] | None = None,
-                   fact_mode: str = "current") -> Tables:
+                   fact_mode: str = "current", ordered_fact: bool = True) -> Tables:
     """Raw lines to every layer. Layers with several readers are written once."""
     nf1 = stage(to_1nf(raw), "courses_1nf")
     nf2 = stage_all(to_2nf(nf1))
@@ -188,5 +188,6 @@ def run_relational(raw: DataFrame, as_of: dt.date | str,
     history = refresh_dimensions(nf2, dims or {}, as_of)
     result.update(refs)
     result.update(history)
-    result["orders_3nf_fact"] = orders_fact(nf2["orders_2nf"], history, fact_mode, refs=refs)
+    result["orders_3nf_fact"] = orders_fact(nf2["orders_2nf"], history, fact_mode, refs=refs,
+                                            ordered=ordered_fact)
     return result

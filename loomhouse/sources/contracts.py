@@ -279,7 +279,14 @@ TABLES = {**RAW, **NORMAL_FORMS, **HISTORY, **STAGING, **VAULT}
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
-    """Columns by name, in declared order and type; absent ones take their default."""
+    """Columns by name, in declared order and type; absent ones take their default.
+
+    An absent column that is required and has no default is an error.
+    """
+    lacking = [c for c in contract.required() if c not in df.columns
+               and next(d.default for d in contract.columns if d.name == c) is None]
+    if lacking:
+        raise ValueError(f"required columns are absent: {', '.join(lacking)}")
     columns = []
     for c in contract.columns:
         value = F.col(c.name) if c.name in df.columns else F.lit(c.default)

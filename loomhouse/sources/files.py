@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Stands for a missing value while reading: it cannot occur in text.
@@ -12,13 +13,12 @@ _MISSING = "\u0000"
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType,
-                 sep: str = ",", multi_line: bool = True) -> DataFrame:
-    """Header CSV, UTF-8, quotes doubled inside quotes, line breaks allowed in quotes.
+                 sep: str = ",", multi_line: bool = False) -> DataFrame:
+    """Header CSV, UTF-8, quotes doubled inside quotes.
 
     Nothing between separators is NULL, "" is an empty string. A row that does not fit
-    the schema fails the read. With `multi_line` a file is one
-    task, so deliver large loads as many files; without, files are split, and a line
-    break inside quotes is an error.
+    the schema fails the read. Files are split between tasks, and a line break inside
+    quotes is an error; `multi_line` allows it, and then a file is one task.
     """
     return (spark.read.schema(schema)
             .option("header", True).option("sep", sep)
@@ -69,12 +69,12 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def append_absent(df: DataFrame, path: str, key: Sequence[str]) -> None:
-    """Append the rows whose key is not stored; the same key twice in `df` goes in once.
-
-    Of several rows for one key an arbitrary one is kept: make them equal, or settle the
-    choice before, where that matters.
-    """
-    rows = df.dropDuplicates(list(key))
+    """Append the rows whose key is not stored; the same key twice in `df` goes in once, with
+    the greatest of its rows (compared column by column)."""
+    others = [c for c in df.columns if c not in key]
+    best = F.max(F.struct(*others)).alias("_best") if others else F.count("*").alias("_n")
+    rows = df.groupBy(*key).agg(best).select(
+        *key, *(["_best.*"] if others else [])).select(*df.columns)
     spark = df.sparkSession
     if path_exists(spark, path):
         stored = spark.read.schema(df.schema).parquet(path).select(*key)

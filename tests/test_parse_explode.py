@@ -60,7 +60,8 @@ def test_csv_quotes_and_line_breaks(spark, tmp_path):
     (tmp_path / "in.csv").write_text(
         'order_date,student_info,course_info,teacher_info,payment_info\n'
         '2024-01-10,"a;""Quoted"" Name;1;C|R","x, y|Data|1","T\nU<t>",p|q\n', encoding="utf-8")
-    got = read_raw_csv(spark, str(tmp_path / "in.csv"), RAW["courses_0nf"].schema())
+    got = read_raw_csv(spark, str(tmp_path / "in.csv"), RAW["courses_0nf"].schema(),
+                       multi_line=True)
     assert rows(got) == [(dt.date(2024, 1, 10), 'a;"Quoted" Name;1;C|R', "x, y|Data|1",
                           "T\nU<t>", "p|q")]
     (tmp_path / "bad.csv").write_text("order_date,a,b,c,d\nnot a date,1,2,3,4\n")
@@ -86,7 +87,7 @@ def test_staged_tables_can_be_dropped(spark):
 
 def test_append_absent_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "t")
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    df = spark.createDataFrame([(1, "a"), (1, None), (1, "A"), (2, "b")], "k int, v string")
     append_absent(df, path, ["k"])
     append_absent(df.unionByName(spark.createDataFrame([(3, "c")], df.schema)), path, ["k"])
     assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "b"), (3, "c")]
