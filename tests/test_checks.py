@@ -1,7 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
-from conftest import by_key, rows
+from frames import by_key, rows
 
 from loomhouse.operators import checks
 

@@ -1,7 +1,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from loomhouse.operators.keys import SLICE, assign_sk, highest_sk, next_row, ordered_slices
 
 

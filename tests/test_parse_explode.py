@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from frames import rows
 from fixed_rows import ORDER_LINES, PARALLEL_LISTS
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

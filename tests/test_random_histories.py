@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from loomhouse.operators import checks
 from loomhouse.operators import vault as vault_operators

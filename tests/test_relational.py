@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import by_key, rows
+from frames import by_key, rows
 from fixed_rows import LAYER_ROWS, ORDER_LINES
 from pyspark.sql import functions as F
 

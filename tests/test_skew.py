@@ -1,7 +1,7 @@
 """One key that holds a third of all rows, with thresholds low enough to act on it."""
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from loomhouse.operators.checks import duplicate_keys, orphans
