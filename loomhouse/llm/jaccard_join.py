@@ -225,14 +225,25 @@ def _sketch_edges(similarity):
     return edges
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every x has one y, and no y is an x."""
+    ends = edges.select(F.col("x").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.unionByName(edges.select(F.col("y").alias("node"), F.lit(0).alias("out"),
+                                         F.lit(1).alias("into")))
+    ends = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return ends.filter(F.col("out") + F.col("into") > 1).isEmpty()
+
+
 def _components(edges: DataFrame) -> DataFrame:
-    """(x, y): every end of an edge with the least one connected to it.
+    """(x, y): every end of an edge with the least one connected to it, which is in no row as x.
 
     Each round links all neighbours of a node to the least of them, first the larger ones
-    and then the smaller ones, so paths shrink to about half; written after each round.
+    and then the smaller ones, so paths shrink to about half; written after each round. Edges
+    lead to the smaller end and no round cuts a connection: they are done when they are stars.
     """
-    edges = stage(edges.filter("x <> y").distinct(), "edges")
-    while True:
+    edges = stage(edges.filter("x <> y").select(F.greatest("x", "y").alias("x"),
+                                                F.least("x", "y").alias("y")).distinct(), "edges")
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("m"))
         larger = (both.filter("y > x").join(least, "x")
@@ -242,10 +253,8 @@ def _components(edges: DataFrame) -> DataFrame:
         smaller = (larger.join(down, "x").select(F.col("y").alias("x"), F.col("m").alias("y"))
                    .unionByName(down.select("x", F.col("m").alias("y")))
                    .filter("x <> y").distinct())
-        after = stage(smaller, "edges")
-        if after.exceptAll(edges).isEmpty() and edges.exceptAll(after).isEmpty():
-            return after
-        edges = after
+        edges = stage(smaller, "edges")
+    return edges
 
 
 def _sets(size):

@@ -1,6 +1,7 @@
 """Exact, line, passage and string deduplication against plain versions."""
 
 import hashlib
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -9,6 +10,7 @@ from helpers import NO_ID, by_id, ordered
 
 from loomhouse.llm.exact_dedup import exact_groups
 from loomhouse.llm.heavy import Summary
+from loomhouse.llm.jaccard_join import _components
 from loomhouse.llm.line_dedup import drop_boilerplate
 from loomhouse.llm.substring_dedup import drop_repeated_passages
 from loomhouse.llm.suffix_array import common_prefixes, suffix_order
@@ -123,3 +125,16 @@ def test_suffix_arrays():
             while max(a, b) + same < len(letters) and letters[a + same] == letters[b + same]:
                 same += 1
             assert shared[b] == same
+
+
+def test_components_of_paths_trees_and_nothing(spark):
+    draw = random.Random(3)
+    for edges in ([(i, i + 1) for i in range(30)], [], [(4, 4)],
+                  [(draw.randrange(60), draw.randrange(60)) for _ in range(40)]):
+        least = {n: n for edge in edges for n in edge}
+        for _ in least:
+            for a, b in edges:
+                least[a] = least[b] = min(least[a], least[b])
+        found = _components(spark.createDataFrame(edges, "x long, y long"))
+        assert sorted(map(tuple, found.collect())) == sorted(
+            (n, m) for n, m in least.items() if n != m)
