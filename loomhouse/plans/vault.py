@@ -13,7 +13,7 @@ from ..operators.vault import (
     load_link_satellite,
     load_satellite,
 )
-from ..sources.staging import at_once, stage
+from ..sources.staging import at_once, stage, staging_scope
 from ..sources.vault_store import VaultStore
 
 HUBS = {
@@ -96,8 +96,9 @@ def run_vault(stg: DataFrame, load_ts: LoadTime, existing: Existing | None = Non
 def load_vault(stg: DataFrame, store: VaultStore, load_ts: LoadTime,
                compare: str = "any") -> None:
     """Append one batch to a store, hubs first. Repeating it, or finishing it after a
-    failure, adds nothing twice."""
-    stored = stage(stg, "stg_orders", store.spark)
-    added = run_vault(stored, load_ts, {t: store.read(t) for t in TABLES}, compare)
-    for layer in (HUBS, LINKS, [*SATELLITES, *LINK_SATELLITES]):
-        at_once(lambda t: store.append(t, added[t]), layer)
+    failure, adds nothing twice. What the load staged is deleted with its end."""
+    with staging_scope(store.spark):
+        stored = stage(stg, "stg_orders", store.spark)
+        added = run_vault(stored, load_ts, {t: store.read(t) for t in TABLES}, compare)
+        for layer in (HUBS, LINKS, [*SATELLITES, *LINK_SATELLITES]):
+            at_once(lambda t: store.append(t, added[t]), layer)

@@ -30,7 +30,7 @@ from ..operators.scd2 import (
     with_parent_sk,
 )
 from .files import child_names, path_exists
-from .staging import at_once
+from .staging import at_once, staging_scope
 
 
 class DimensionStore:
@@ -73,20 +73,22 @@ class DimensionStore:
         """First load or refresh, committed as one step.
 
         Versions are only ever closed for a successor, so every key, and the highest
-        surrogate key, is found among the current versions: history is not read.
+        surrogate key, is found among the current versions: history is not read. What
+        the refresh staged is deleted with its end.
         """
         version = self.committed()
         src = src.select(*[F.col(c).cast(self.schema[c].dataType).alias(c)
                            for c in (self.spec.bk, *self.spec.attrs)])
-        if version == 0:
-            self._write(scd2_init(src, self.spec, as_of), self._current_path(1))
-            return
-        current = self.current()
-        delta = scd2_delta(src, current, self.spec, as_of, closed_only=False)
-        self._write(closed_versions(delta, self.spec, as_of), self._closed_path(version + 1))
-        following = kept_versions(current, delta, self.spec).unionByName(
-            opened_versions(delta, self.spec, as_of))
-        self._write(following, self._current_path(version + 1))
+        with staging_scope(self.spark):
+            if version == 0:
+                self._write(scd2_init(src, self.spec, as_of), self._current_path(1))
+                return
+            current = self.current()
+            delta = scd2_delta(src, current, self.spec, as_of, closed_only=False)
+            self._write(closed_versions(delta, self.spec, as_of), self._closed_path(version + 1))
+            following = kept_versions(current, delta, self.spec).unionByName(
+                opened_versions(delta, self.spec, as_of))
+            self._write(following, self._current_path(version + 1))
 
     def _write(self, df: DataFrame, path: str) -> None:
         df.select(*self.spec.columns).write.mode("overwrite").parquet(path)

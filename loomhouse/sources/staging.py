@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -15,6 +17,9 @@ from .files import delete_folder, stored_bytes
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# Paths staged by the load that is running, if it has a scope.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
+
 
 def staging_root(spark: SparkSession) -> str:
     """The folder named by the session; a temporary one only for local runs without it."""
@@ -37,8 +42,29 @@ def drop_staged(spark: SparkSession) -> None:
     delete_folder(spark, staged_folder(spark))
 
 
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside when the scope ends, and no others.
+
+    For a load whose result is stored by then: a frame that still reads a staged table is
+    of no use afterwards. Work started through `at_once` belongs to the scope; loads that
+    run beside it, and scopes inside it, have their own tables.
+    """
+    staged: list[str] = []
+    token = _SCOPE.set(staged)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in staged:
+            delete_folder(spark, path)
+
+
 def staged_path(spark: SparkSession, name: str) -> str:
-    return f"{staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "table", session: SparkSession | None = None) -> DataFrame:
@@ -72,5 +98,6 @@ def at_once(work: Callable[[Item], Result], items: Iterable[Item]) -> list[Resul
     session = SparkSession.active()
     with ThreadPoolExecutor(len(todo)) as pool:
         # Wrapped one by one: each thread needs its own copy of the job properties.
-        running = [pool.submit(inheritable_thread_target(session)(work), i) for i in todo]
+        running = [pool.submit(copy_context().run, inheritable_thread_target(session)(work), i)
+                   for i in todo]
         return [r.result() for r in running]

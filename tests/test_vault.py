@@ -10,7 +10,8 @@ from loomhouse.functions import hash_key
 from loomhouse.operators.vault import latest_satellite, satellite_rejects
 from loomhouse.plans import vault
 from loomhouse.sources.contracts import STAGING, VAULT, violations
-from loomhouse.sources.files import literal_rows
+from loomhouse.sources.files import child_names, literal_rows
+from loomhouse.sources.staging import stage, staged_folder
 from loomhouse.sources.vault_store import VaultStore
 from loomhouse.streaming.vault_stream import vault_stream
 
@@ -128,8 +129,12 @@ def test_nulls_are_rejected_or_encoded(spark):
 def test_store_survives_a_partial_batch(spark, tmp_path):
     store = VaultStore(spark, str(tmp_path / "vault"))
     store.append("hub_customer", vault.hub(staged(spark), "hub_customer", T1))
+    other = stage(staged(spark), "another_load")
+    before = child_names(spark, staged_folder(spark))
     for _ in range(2):
         vault.load_vault(staged(spark), store, T1)
+    assert child_names(spark, staged_folder(spark)) == before
+    assert other.count() == len(STAGED_ORDERS)
     assert {t: store.read(t).count() for t in VAULT_ROWS} == VAULT_ROWS
 
 
