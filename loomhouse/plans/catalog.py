@@ -305,6 +305,21 @@ def relational_layers(spark, folder):
 
 # --- vault ---------------------------------------------------------------------------
 
+def _contents(tables: Dims) -> DataFrame:
+    """Rows of each vault table, and sums over the first digits of its digests: its own key and,
+    for a satellite, the attributes."""
+    def digits(column: str):
+        return F.sum(F.conv(F.substring(column, 1, 5), 16, 10).cast("long"))
+
+    found = []
+    for name, df in tables.items():
+        attributes = digits("hash_diff") if "hash_diff" in df.columns else F.lit(0).cast("long")
+        found.append(df.agg(F.count(F.lit(1)).alias("n_rows"), digits(df.columns[0]).alias("keys"),
+                            attributes.alias("attributes"))
+                     .select(F.lit(name).alias("table_name"), "n_rows", "keys", "attributes"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _hub(name: str) -> Query:
     return lambda spark, folder: vault.hub(views.staged_orders(spark, folder), name, FIRST_BATCH)
 
@@ -330,6 +345,14 @@ def sat_order_product(spark, folder):
     return vault.link_satellite(stg, "sat_order_product", FIRST_BATCH, parent=links)
 
 
+def sat_link_second_batch(spark, folder):
+    """Lines of the first orders, then all lines against them."""
+    stg = stage(views.staged_orders(spark, folder), "stg_orders")
+    first = stage(vault.link_satellite(views.before_second_load(stg), "sat_order_product",
+                                       FIRST_BATCH), "sat")
+    return first.unionByName(vault.link_satellite(stg, "sat_order_product", SECOND_BATCH, first))
+
+
 def _early_batch(spark, folder):
     """Orders before the second load, as they first arrived: all of them new."""
     fresh = views.staged_orders(spark, folder, status=lambda c: F.lit("NEW"))
@@ -367,11 +390,11 @@ def sat_rejects(spark, folder):
 
 def vault_layers(spark, folder):
     stg = stage(views.staged_orders(spark, folder), "stg_orders")
-    return _row_counts(vault.run_vault(stg, FIRST_BATCH))
+    return _contents(vault.run_vault(stg, FIRST_BATCH))
 
 
-def streamed_vault(spark, folder):
-    """Staged orders as a stream of files; what the order satellite then holds."""
+def _streamed(spark, folder) -> VaultStore:
+    """Staged orders as a stream of files, loaded into a store."""
     root = staged_path(spark, "vault")
     staged = views.staged_orders(spark, folder)
     staged.repartition(2, "order_id").write.parquet(f"{root}/incoming")
@@ -379,7 +402,18 @@ def streamed_vault(spark, folder):
               .parquet(f"{root}/incoming"))
     store = VaultStore(spark, f"{root}/vault")
     vault_stream(stream, store, f"{root}/progress", lambda _: FIRST_BATCH).awaitTermination()
-    return store.read("sat_order")
+    return store
+
+
+def streamed_vault(spark, folder):
+    """What the order satellite holds after a stream."""
+    return _streamed(spark, folder).read("sat_order")
+
+
+def streamed_layers(spark, folder):
+    """What all tables hold after a stream."""
+    store = _streamed(spark, folder)
+    return _contents({name: store.read(name) for name in vault.TABLES})
 
 
 # --- checks --------------------------------------------------------------------------
@@ -544,11 +578,13 @@ CATALOG: dict[str, Query] = {
     "sat_product": _satellite("sat_product"),
     "sat_order_product": sat_order_product,
     "sat_second_batch": _two_batches,
+    "sat_link_second_batch": sat_link_second_batch,
     "sat_latest": sat_latest,
     "sat_returning": sat_returning,
     "sat_rejects": sat_rejects,
     "vault_layers": vault_layers,
     "vault_stream": streamed_vault,
+    "vault_stream_layers": streamed_layers,
     "dq_pk": dq_pk,
     "dq_one_current": dq_one_current,
     "dq_fk": dq_fk,

@@ -444,6 +444,16 @@ BODIES: dict[str, str] = {
                                            ORDER BY qty DESC, price DESC) AS rn FROM stg)
         WHERE rn = 1""",
     "sat_second_batch": "SELECT * FROM sat_two",
+    "sat_link_second_batch": f"""
+        SELECT md5(CAST(order_id AS VARCHAR) || '|' || CAST(product_id AS VARCHAR))
+                   AS hk_order_product_link,
+               md5(CAST(qty AS VARCHAR) || '|' || CAST(price AS VARCHAR)) AS hash_diff,
+               qty, CAST(price AS DOUBLE) AS price,
+               CASE WHEN load_dts < TIMESTAMP '{SECOND_LOAD}' THEN '{FIRST_BATCH}'
+                    ELSE '{SECOND_BATCH}' END AS load_dts
+        FROM (SELECT *, row_number() OVER (PARTITION BY order_id, product_id
+                                           ORDER BY qty DESC, price DESC) AS rn FROM stg)
+        WHERE rn = 1""",
     "sat_latest": "SELECT * FROM sat_newest",
     "sat_returning": f"""
         SELECT b.* REPLACE ('{THIRD_BATCH}' AS load_dts) FROM sat_b1 b
@@ -470,16 +480,6 @@ BODIES: dict[str, str] = {
         SELECT DISTINCT order_id, CAST(order_amount AS DOUBLE) AS amount,
                CAST(NULL AS VARCHAR) AS status
         FROM stg WHERE order_status = 'P'""",
-    "vault_layers": _counts({
-        "hub_customer": "(SELECT DISTINCT customer_id FROM stg)",
-        "hub_order": "(SELECT DISTINCT order_id FROM stg)",
-        "hub_product": "(SELECT DISTINCT product_id FROM stg)",
-        "link_customer_order": "(SELECT DISTINCT customer_id, order_id FROM stg)",
-        "link_order_product": "(SELECT DISTINCT order_id, product_id FROM stg)",
-        "sat_customer": "(SELECT DISTINCT customer_id FROM stg)",
-        "sat_order": "(SELECT DISTINCT order_id FROM stg)",
-        "sat_product": "(SELECT DISTINCT product_id FROM stg)",
-        "sat_order_product": "(SELECT DISTINCT order_id, product_id FROM stg)"}),
     "vault_stream": _sat_sql("hk_order", "order_id", "order_amount", "amount",
                              "order_status", "status", "DOUBLE"),
     "dq_pk": """
@@ -569,5 +569,24 @@ BODIES: dict[str, str] = {
 }
 
 
+def _digits(column: str) -> str:
+    return f"CAST(sum(CAST('0x' || substr({column}, 1, 5) AS BIGINT)) AS BIGINT)"
+
+
+def _contents(keys: dict[str, str]) -> str:
+    """Rows and digests of vault tables, given by name with their own hash keys."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, {_digits(hk)} AS keys, "
+        + (_digits("hash_diff") if name.startswith("sat_") else "CAST(0 AS BIGINT)")
+        + f" AS attributes FROM ({BODIES[name]})" for name, hk in keys.items())
+
+
+BODIES["vault_layers"] = BODIES["vault_stream_layers"] = _contents({
+    "hub_customer": "hk_customer", "hub_order": "hk_order", "hub_product": "hk_product",
+    "link_customer_order": "hk_customer_order", "link_order_product": "hk_order_product",
+    "sat_customer": "hk_customer", "sat_order": "hk_order", "sat_product": "hk_product",
+    "sat_order_product": "hk_order_product_link"})
+
+
 def expected_sql() -> dict[str, str]:
     return {name: _statement(body) for name, body in BODIES.items()}
