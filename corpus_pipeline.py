@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomhouse.llm.common import table
-from loomhouse.llm.jaccard_join import similar_classes
+from loomhouse.llm.common import doc_key, table, whole_text
+from loomhouse.llm.jaccard_join import similar_rows
 from loomhouse.llm.line_dedup import drop_boilerplate
 from loomhouse.llm.packing import pack, token_pieces
 from loomhouse.llm.substring_dedup import drop_repeated_passages
@@ -39,10 +39,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each class stays."""
-    stays = (similar_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-             .select(F.col("doc_id").alias("_stays")).distinct())
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
+    """The document with the least doc_id of each class stays; where doc_ids are missing or
+    repeat, the one of them with the least text hash, and one of several equal ones."""
+    stays = (similar_rows(docs).filter("doc = class_doc AND text_id = class_text")
+             .select(F.col("doc").alias("_doc"), F.col("text_id").alias("_text")).distinct())
+    named = docs.withColumn("_doc", doc_key()).withColumn("_text", F.xxhash64(whole_text()))
+    return (named.join(stays, ["_doc", "_text"], "left_semi").dropDuplicates(["_doc", "_text"])
+            .select(*docs.columns))
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,8 +16,9 @@ pairs send on one edge for each text.
 Texts with one sequence of words are compared once. A text of one to four words has one
 shingle, all its words; texts without words are only like each other, and have no links.
 
-Rows: a missing text has no words; a missing doc_id counts as smaller than every other; rows
-with one doc_id are one document, with their words in the order of their text hashes. An
+Rows: a missing text has no words; every row is a document of its own, also where its doc_id
+is missing or repeats, and is known by the number that it gets when it is described. A missing
+doc_id counts as smaller than every other: it is the `class_id` of a class that holds one. An
 empty table gives an empty result. Only `doc_id` and `text` are read.
 """
 
@@ -103,7 +104,7 @@ def _describe(runs, picks, size):
 
     def describe(batches):
         for batch in batches:
-            doc = numbers(batch, "doc")
+            doc, text_id = numbers(batch, "doc"), numbers(batch, "text_id")
             data, offsets = byte_rows(column(batch, "text"))
             for low, high in groups(offsets):
                 value, edge, a, b = shingles(data[offsets[low]:offsets[high]],
@@ -127,7 +128,8 @@ def _describe(runs, picks, size):
                 sketch = [high_bits[s:min(s + SKETCH, e)].tobytes()
                           for s, e in zip(edge[:-1].tolist(), edge[1:].tolist())]
                 yield pa.RecordBatch.from_pydict(
-                    {"doc": doc[low:high], "a": a.view(np.int64), "b": b.view(np.int64),
+                    {"doc": doc[low:high], "text_id": text_id[low:high],
+                     "a": a.view(np.int64), "b": b.view(np.int64),
                      "n": np.diff(edge).astype(np.int64), "paths": paths,
                      "sketch": pa.array(sketch, pa.binary())})
     return describe
@@ -257,6 +259,11 @@ def _components(edges: DataFrame) -> DataFrame:
     return edges
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """The result of `_components`, with a row for the least one of each as well."""
+    return edges.unionByName(edges.select(F.col("y").alias("x"), "y").distinct())
+
+
 def _sets(size):
     """The shingles of each text, as bytes."""
     def make(batches):
@@ -322,7 +329,12 @@ def _block_links(similarity):
     return links
 
 
-def _candidates(docs, reps, similarity, runs, picks, bucket, depth, size):
+def _texts_of(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """`chosen` (by doc and text_id) with the text of each; equal rows give one."""
+    return texts.join(chosen, ["doc", "text_id"]).dropDuplicates(["doc", "text_id"])
+
+
+def _candidates(texts, reps, similarity, runs, picks, bucket, depth, size):
     """Edges between representatives whose sketches are alike in some bucket."""
     rows = reps.select(F.explode("paths").alias("path"), "rep")
     found = []
@@ -339,8 +351,9 @@ def _candidates(docs, reps, similarity, runs, picks, bucket, depth, size):
         wanted = large.groupBy("rep").agg(F.collect_set("path").alias("paths"))
         if wanted.isEmpty():
             break
-        texts = docs.join(wanted, F.col("doc") == F.col("rep")).select("rep", "paths", "text")
-        rows = stage(texts.mapInArrow(_again(picks, size), "rep long, path long"),
+        named = wanted.join(reps.select("rep", "doc", "text_id"), "rep")
+        held = _texts_of(texts, named).select("rep", "paths", "text")
+        rows = stage(held.mapInArrow(_again(picks, size), "rep long, path long"),
                      "paths")
     members = found[0]
     for more in found[1:]:
@@ -351,7 +364,8 @@ def _candidates(docs, reps, similarity, runs, picks, bucket, depth, size):
 def _bucket_edges(members: DataFrame, reps: DataFrame, similarity: float, bucket: int
                   ) -> DataFrame:
     """Edges of all buckets. Buckets of the same sets are compared once; one of more than
-    `bucket` sets is cut into blocks, and each pair of its blocks compared."""
+    `bucket` sets is cut into blocks, and each two of its blocks compared, with the pairs inside
+    of both."""
     alike = (members.filter(F.col("sets") <= bucket).groupBy("path")
              .agg(F.sort_array(F.collect_set("rep")).alias("held")).select("held").distinct())
     small = alike.select(F.xxhash64("held").alias("bucket"), F.explode("held").alias("rep"))
@@ -360,6 +374,7 @@ def _bucket_edges(members: DataFrame, reps: DataFrame, similarity: float, bucket
     large = (members.filter(F.col("sets") > bucket).distinct()
              .withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .filter("own <> other")
              .select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))
                      .alias("bucket"), "rep"))
     described = reps.select("rep", "n", "sketch")
@@ -370,37 +385,43 @@ def _bucket_edges(members: DataFrame, reps: DataFrame, similarity: float, bucket
             .applyInArrow(_sketch_edges(similarity), "x long, y long"))
 
 
-def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
-                    picks: float = PICKS, bucket: int = BUCKET, depth: int = DEPTH,
-                    size: int = SHINGLE, block_bytes: int = BLOCK_BYTES,
-                    block_sets: int = BLOCK_SETS) -> DataFrame:
-    """One row per document: `class_id` (least doc_id of its class) and `n_links`, the number
-    of other documents with a similarity of at least `similarity` (copies included)."""
+def similar_rows(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
+                 picks: float = PICKS, bucket: int = BUCKET, depth: int = DEPTH,
+                 size: int = SHINGLE, block_bytes: int = BLOCK_BYTES,
+                 block_sets: int = BLOCK_SETS) -> DataFrame:
+    """One row per row of `docs`: `doc` and `text_id` (its doc_id and hash of its text, as in
+    `keyed`), those of the least row of its class as `class_doc` and `class_text`, and `n_links`."""
     ship(docs)
     runs = runs_for(similarity, recall, picks, depth)
-    texts = docs.select(doc_key().alias("doc"), whole_text().alias("text"))
+    texts = docs.select(doc_key().alias("doc"), F.xxhash64(whole_text()).alias("text_id"),
+                        whole_text().alias("text"))
     described = stage(texts.mapInArrow(
         _describe(runs, picks, size),
-        "doc long, a long, b long, n long, paths array<long>, sketch binary"), "described")
-    # Texts of the same words: the least document stands for them.
+        "doc long, text_id long, a long, b long, n long, paths array<long>, sketch binary")
+        .withColumn("row", F.monotonically_increasing_id()), "described")
+    # Texts of the same words: the number of the least row stands for them.
     same = stage(described.groupBy("a", "b").agg(
-        F.min("doc").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n")), "texts")
-    reps = stage(described.join(same.filter("n > 0").select("a", "b", "rep", "copies"), ["a", "b"])
-                 .filter(F.col("doc") == F.col("rep"))
-                 .select("rep", "copies", "n", "paths", "sketch"), "representatives")
+        F.min(F.struct("doc", "text_id", "row")).alias("least"), F.count("*").alias("copies"),
+        F.max("n").alias("n"))
+        .select("a", "b", "least.doc", "least.text_id", F.col("least.row").alias("rep"), "copies",
+                "n"), "texts")
+    reps = stage(described.join(same.filter("n > 0").select(F.col("rep").alias("row"), "copies"),
+                                "row")
+                 .select(F.col("row").alias("rep"), "doc", "text_id", "copies", "n", "paths",
+                         "sketch"), "representatives")
     members = _candidates(texts, reps, similarity, runs, picks, bucket, depth, size)
     groups_of = _components(_bucket_edges(members, reps, similarity, bucket))
     # Every candidate with its group; the least of a group is in it too.
-    grouped = groups_of.unionByName(groups_of.select(F.col("y").alias("x"), "y").distinct())
-    joined = grouped.join(reps.select(F.col("rep").alias("x"), "copies", "n"), "x")
+    grouped = _with_least(groups_of)
+    joined = grouped.join(
+        reps.select(F.col("rep").alias("x"), "doc", "text_id", "copies", "n"), "x")
     sizes = joined.groupBy("y").agg(
         F.greatest(F.ceil(F.sum(F.col("n") * 8) / F.lit(block_bytes)),
                    F.ceil(F.count("*") / F.lit(block_sets))).cast("int").alias("blocks"))
     placed = stage(joined.join(sizes, "y").select(
-        F.col("x").alias("rep"), F.col("y").alias("grp"), "copies", "blocks",
+        F.col("x").alias("rep"), "doc", "text_id", F.col("y").alias("grp"), "copies", "blocks",
         F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int").alias("block")), "groups")
-    held = (texts.join(placed, F.col("doc") == F.col("rep"))
-            .dropDuplicates(["rep"])
+    held = (_texts_of(texts, placed)
             .select("rep", "grp", "copies", "blocks", "block", "text")
             .mapInArrow(_sets(size), "rep long, grp long, copies long, blocks int, block int, "
                                      "shingles binary"))
@@ -411,11 +432,24 @@ def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
         _block_links(similarity), "x long, y long, links long"), "links")
     counts = linked.filter("x = y").groupBy(F.col("x").alias("rep")).agg(
         F.sum("links").alias("links"))
-    classes = _components(linked.filter("x <> y").select("x", "y"))
-    settled = stage(same.join(classes.select(F.col("x").alias("rep"), F.col("y").alias("class_id")),
-                              "rep", "left").join(counts, "rep", "left")
-                    .select("a", "b", F.coalesce("class_id", "rep").alias("class_id"),
-                            F.when(F.col("n") > 0, F.coalesce("links", F.lit(0))
-                                   + F.col("copies") - 1).otherwise(0).alias("n_links")), "classes")
-    return (described.select("doc", "a", "b").join(settled, ["a", "b"])
-            .select(own_id("doc").alias("doc_id"), own_id("class_id").alias("class_id"), "n_links"))
+    classes = _with_least(_components(linked.filter("x <> y").select("x", "y")))
+    least = (classes.join(same.select(F.col("rep").alias("x"), "doc", "text_id"), "x")
+             .groupBy("y").agg(F.min(F.struct("doc", "text_id")).alias("least")))
+    least = classes.join(least, "y").select(
+        F.col("x").alias("rep"), F.col("least.doc").alias("class_doc"),
+        F.col("least.text_id").alias("class_text"))
+    settled = stage(same.join(least, "rep", "left").join(counts, "rep", "left").select(
+        "a", "b", F.coalesce("class_doc", "doc").alias("class_doc"),
+        F.coalesce("class_text", "text_id").alias("class_text"),
+        F.when(F.col("n") > 0, F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
+        .otherwise(0).alias("n_links")), "classes")
+    return (described.select("doc", "text_id", "a", "b").join(settled, ["a", "b"])
+            .drop("a", "b"))
+
+
+def similar_classes(docs: DataFrame, **settings) -> DataFrame:
+    """One row per row of `docs`: `class_id` (least doc_id of its class) and `n_links`, the number
+    of other documents with a similarity of at least `similarity` (copies included). The settings
+    are those of `similar_rows`."""
+    return similar_rows(docs, **settings).select(
+        own_id("doc").alias("doc_id"), own_id("class_doc").alias("class_id"), "n_links")

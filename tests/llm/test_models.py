@@ -137,6 +137,30 @@ def test_similar_classes(frame, near_copies, settings):
     assert rows == plain_classes(near_copies)
 
 
+@pytest.mark.parametrize("settings", [{}, {"bucket": 4, "depth": 3, "block_sets": 3}])
+def test_similar_classes_of_missing_and_repeated_ids(frame, settings):
+    draw = random.Random(11)
+    bases = [[f"{k}x{i}" for i in range(120)] for k in range(8)]
+
+    def near(k):
+        copy = list(bases[k])
+        copy[draw.randrange(120)] = "other"
+        return " ".join(copy)
+
+    # Near copies among rows without an id only; beside a real one; one id with two texts.
+    docs = [(None, near(0)), (None, near(0)), (None, near(1)), (None, near(2)), (None, near(2)),
+            (None, near(2)), (None, "alone"), (None, None), (None, near(7)), (None, near(7))]
+    docs += [(None, docs[0][1])] * 2
+    docs += [(3, near(3)), (3, near(4)), (4, near(3)), (5, near(4)), (6, near(1)), (7, near(5)),
+             (7, near(6)), (8, near(6)), (9, "  "), (10, near(5)), (10, near(5))]
+    # Each row gets an id of its own, in the order of the ids.
+    docs.sort(key=lambda d: NO_ID if d[0] is None else d[0])
+    want = plain_classes([(k, t) for k, (_, t) in enumerate(docs)])
+    found = similar_classes(frame(docs), **settings).collect()
+    assert sorted(((r["doc_id"] or -1, r["class_id"] or -1, r["n_links"]) for r in found)) == sorted(
+        (docs[k][0] or -1, docs[least][0] or -1, links) for k, (least, links) in want.items())
+
+
 def test_no_documents(frame):
     assert similar_classes(frame([(1, "a")]).limit(0)).count() == 0
     assert similar_classes(frame([(1, None), (2, " ")])).count() == 2

@@ -33,6 +33,19 @@ def test_stages_on_planted_documents(spark, tmp_path):
         "toxicity", "line_dedup", "ngram_jaccard_join", "substring_dedup", "best_fit_packing"]
 
 
+def test_one_of_each_class_stays_without_ids(spark):
+    def text(k, last):
+        return " ".join(f"{k}x{i}" for i in range(100)) + f" {last}"
+
+    docs = [(None, text(0, "a")), (None, text(0, "b")), (None, text(0, "b")), (None, text(1, "a")),
+            (5, text(1, "b")), (6, text(2, "a")), (6, text(3, "a")), (7, text(3, "b"))]
+    kept = corpus_pipeline.drop_near_copies(
+        spark, spark.createDataFrame(docs, "doc_id long, text string"), "")
+    assert kept.columns == ["doc_id", "text"]
+    found = sorted((r["doc_id"] or -1, r["text"].split()[0]) for r in kept.collect())
+    assert found == [(-1, "0x0"), (-1, "1x0"), (6, "2x0"), (6, "3x0")]
+
+
 def test_one_query_for_each_operator():
     assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
     assert set(SQL) <= set(QUERIES)
