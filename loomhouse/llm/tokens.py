@@ -2,7 +2,8 @@
 
 A vocabulary rarely joins letters across a space, so a text can be cut into parts that are
 encoded one by one. Equal parts are found by a 64-bit hash and their length, and each worker
-encodes a part once as long as it remembers it.
+encodes a part once as long as it remembers it. Where a text names an added token of a byte-level
+vocabulary (`<|endoftext|>`), it gets that token's id, as from the library by itself.
 """
 
 from __future__ import annotations
@@ -142,7 +143,8 @@ class ByteEncoder(Encoder):
     """A byte-level vocabulary of the tokenizers library.
 
     It splits text before it merges bytes, and a single space between two other characters
-    always begins a new part.
+    always begins a new part, but for those in an added token or next to one: it is found before
+    the text is split, and may take the spaces beside it.
     """
 
     def __init__(self, path: str, **settings):
@@ -150,8 +152,11 @@ class ByteEncoder(Encoder):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        # The names of special tokens are ordinary text in a document.
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in added]
+        self.names_added = re.compile("|".join(re.escape(t.content) for t in added) or "(?!)")
+        # Where they are looked for in normalised text, the text itself does not show them.
+        self.whole = self.tokenizer.normalizer is not None and any(t.normalized for t in added)
         tokens = self.tokenizer.get_vocab()
         self.begins_word = np.zeros(max(tokens.values()) + 1, bool)
         self.begins_word[[i for t, i in tokens.items() if t.startswith("Ġ")]] = True
@@ -160,6 +165,8 @@ class ByteEncoder(Encoder):
         return len(self.begins_word)
 
     def cuts(self, data):
+        if self.whole:
+            return np.zeros(0, np.int64)
         space = (data == 32) | ((data >= 9) & (data <= 13))
         single = data[1:-1] == 32
         single &= ~space[:-2]
@@ -168,16 +175,27 @@ class ByteEncoder(Encoder):
         odd = np.flatnonzero((data[at - 1] >= 0x80) | (data[at + 1] >= 0x80))
         keep = np.ones(len(at), bool)
         keep[odd] = ~_near_wide_space(data, at[odd])
+        raw = data.tobytes()
+        for name in self.added:
+            found = raw.find(name)
+            while found >= 0:
+                low, high = np.searchsorted(at, [found - 1, found + len(name) + 1])
+                keep[low:high] = False
+                found = raw.find(name, found + 1)
         return at[keep]
 
     def encode_parts(self, parts):
         texts = [p.decode() for p in parts]
         # Words after a single space are joined: each begins at a token that begins with it.
-        words = [i for i, t in enumerate(texts) if _WORD.fullmatch(t)]
+        words = [] if self.whole else [i for i, t in enumerate(texts) if _WORD.fullmatch(t)
+                                       and not self.names_added.search(t)]
         lists = [words[k:k + TOGETHER] for k in range(0, len(words), TOGETHER)]
-        encoded = self._encoded(["".join([texts[i] for i in chosen]) for chosen in lists])
+        joined = [("".join([texts[i] for i in chosen]), chosen) for chosen in lists]
+        # Words that only name an added token together stay apart.
+        joined = [(text, chosen) for text, chosen in joined if not self.names_added.search(text)]
+        encoded = self._encoded([text for text, _ in joined])
         ids, counts, order = [], [], []
-        for chosen, found in zip(lists, encoded):
+        for (_, chosen), found in zip(joined, encoded):
             begins = np.flatnonzero(self.begins_word[found])
             if len(begins) == len(chosen):
                 ids.append(found)

@@ -44,6 +44,49 @@ def test_byte_ids_are_those_of_whole_texts(bytes_encoder, texts):
     assert list(rows_of(bytes_encoder.encode, texts)) == [e.ids for e in want]
 
 
+def fresh_ids(path, texts):
+    from tokenizers import Tokenizer
+    return [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_named_tokens_get_their_ids(bytes_encoder, texts):
+    path = vocabulary("byte_bpe_50k.json")
+    named = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", " <|endoftext|>",
+             "<|endof text|>", "<|endoftext|", "|> <|endoftext|>  z", "one two three"]
+    want = fresh_ids(path, named + texts)
+    assert want[0] == [64, 220, 50256, 275]
+    assert list(rows_of(bytes_encoder.encode, named + texts)) == want
+
+
+def test_added_tokens_with_spaces(tmp_path, texts):
+    from tokenizers import AddedToken, Tokenizer
+    changed = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    changed.add_tokens([AddedToken("b c"), AddedToken("a b"), AddedToken(" x "), AddedToken("dog s"),
+                        AddedToken("the", single_word=True)])
+    changed.add_special_tokens([AddedToken("<m>", lstrip=True, rstrip=True)])
+    path = f"{tmp_path}/changed.json"
+    changed.save(path)
+    draw = random.Random(9)
+    words = ["a", "b", "c", "x", "the", "then", "<m>", "dog", "s", "cat", "<|endoftext|>"]
+    mixed = ["".join(draw.choice(words) + draw.choice([" ", " ", " ", "  ", "", "\n"])
+                     for _ in range(draw.randint(0, 12))) for _ in range(3000)]
+    encoder = ByteEncoder(path, remembered=3000, young=500)
+    assert list(rows_of(encoder.encode, mixed + texts)) == fresh_ids(path, mixed + texts)
+
+
+def test_stored_and_packed_tokens_with_names(spark, frame):
+    docs = [(1, "a <|endoftext|> b"), (2, "x"), (3, "c <|endoftext|>")]
+    want = fresh_ids(vocabulary("byte_bpe_50k.json"), [t for _, t in docs])
+    crc = [[zlib.crc32(np.array([*ids, end], "<u4").tobytes()) for ids in want] for end in (0, 2)]
+    starts = [0, len(want[0]) + 1, len(want[0]) + len(want[1]) + 2]
+    folder = store_folder(spark)
+    write_store(frame(docs), folder)
+    assert by_id(stored_documents(spark, folder), "start", "n_tokens", "ids_crc32") == {
+        i: (starts[i - 1], len(want[i - 1]) + 1, crc[0][i - 1]) for i, _ in docs}
+    assert by_id(pack(token_pieces(frame(docs))), "length", "ids_crc32") == {
+        i: (len(want[i - 1]) + 1, crc[1][i - 1]) for i, _ in docs}
+
+
 def test_pieces_are_those_of_the_library(texts):
     import sentencepiece
     path = vocabulary("piece_bpe_32k.model")
