@@ -3,7 +3,8 @@
 Sizes are whole numbers up to the capacity, so documents and gaps, sorted by size, are runs
 of equal sizes; a piece is known by its size and its rank among pieces of that size. The
 ranks are counted where the pieces are (partition by partition), and only the counts of the
-sizes, at most one a token of capacity, meet. Each superstep takes the largest size left:
+sizes, at most one a token of capacity, meet: on the driver, where one loop stands in for
+distributed rounds. Each of its supersteps takes the largest size left:
 its pieces are matched in order of rank with the gaps that succeed it, smallest first (best
 fit), so no two pieces claim one gap; the gaps they shrink are sorted in again, and the rest
 of them open new sequences. The result of a superstep is a few runs of ranks with the first
