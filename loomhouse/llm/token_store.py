@@ -29,6 +29,8 @@ VOCABULARY = "byte_bpe_50k.json"
 SHARD_IDS = 1 << 20
 #: Stored bytes of text for each file.
 FILE_BYTES = 16 << 20
+#: Positions of an id in a batch of results.
+FOUND = 4096
 _SHARD = ("part int, shard int, before long, n_ids long, docs binary, lengths binary, "
           "matrix binary")
 
@@ -98,17 +100,95 @@ def _read(batches):
                                         zip(starts.tolist(), lengths.tolist())], np.int64)})
 
 
+def _offsets(store: DataFrame) -> DataFrame:
+    """Ids before each part; the totals of the parts, one row each, are summed up in order."""
+    totals = store.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return stage(totals.select("part", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))
+                               .alias("offset")), "offsets")
+
+
+def _matrices(spark: SparkSession, folder: str) -> DataFrame:
+    """Shards with the place of their first id in the store."""
+    store = spark.read.parquet(folder)
+    ship(store)
+    return store.join(_offsets(store), "part").select(
+        "part", "shard", "n_ids", (F.col("offset") + F.col("before")).alias("first"), "matrix")
+
+
+def _access(batches):
+    for batch in batches:
+        for shard in batch.to_pylist():
+            matrix, places = WaveletMatrix.frombytes(shard["matrix"]), shard["places"]
+            yield pa.RecordBatch.from_pydict(
+                {"position": pa.array(places, pa.int64()),
+                 "token": pa.array([matrix.access(at - shard["first"]) for at in places],
+                                   pa.int64())})
+
+
+def tokens_at(spark: SparkSession, folder: str, positions: DataFrame) -> DataFrame:
+    """`token` at each distinct `position` of the store; missing where the store has none."""
+    asked = positions.select(F.col("position").cast("long").alias("position")).distinct()
+    shards = _matrices(spark, folder)
+    # Shards and positions meet by ranges of places, so that no two whole tables are compared.
+    ranges = shards.select("part", "shard", "first", "n_ids", F.explode(F.sequence(
+        F.expr(f"first div {SHARD_IDS}"), F.expr(f"(first + n_ids - 1) div {SHARD_IDS}")))
+        .alias("range"))
+    held = (asked.withColumn("range", F.expr(f"position div {SHARD_IDS}")).join(ranges, "range")
+            .filter("position >= first AND position < first + n_ids")
+            .groupBy("part", "shard").agg(F.collect_list("position").alias("places")))
+    found = (shards.join(held, ["part", "shard"]).select("first", "places", "matrix")
+             .mapInArrow(_access, "position long, token long"))
+    return asked.join(found, "position", "left")
+
+
+def token_counts(spark: SparkSession, folder: str, tokens: list[int]) -> DataFrame:
+    """How often each of `tokens` is in the store, as `n`, summed over the shards."""
+    wanted = sorted(set(tokens))
+
+    def count(batches):
+        for batch in batches:
+            for raw in column(batch, "matrix"):
+                matrix = WaveletMatrix.frombytes(raw.as_py())
+                yield pa.RecordBatch.from_pydict(
+                    {"token": pa.array(wanted, pa.int64()),
+                     "n": pa.array([matrix.count(t) for t in wanted], pa.int64())})
+
+    store = spark.read.parquet(folder)
+    ship(store)
+    none = spark.createDataFrame([(t, 0) for t in wanted], "token long, n long")
+    return (store.select("matrix").mapInArrow(count, "token long, n long").unionByName(none)
+            .groupBy("token").agg(F.sum("n").alias("n")))
+
+
+def token_positions(spark: SparkSession, folder: str, tokens: list[int]) -> DataFrame:
+    """Every `position` in the store of each of `tokens`."""
+    wanted = sorted(set(tokens))
+
+    def occurrences(batches):
+        for batch in batches:
+            for shard in batch.to_pylist():
+                matrix = WaveletMatrix.frombytes(shard["matrix"])
+                for token in wanted:
+                    number = matrix.count(token)
+                    for low in range(0, number, FOUND):
+                        places = [shard["first"] + matrix.select(token, k)
+                                  for k in range(low, min(low + FOUND, number))]
+                        yield pa.RecordBatch.from_pydict(
+                            {"token": pa.array([token] * len(places), pa.int64()),
+                             "position": pa.array(places, pa.int64())})
+
+    return (_matrices(spark, folder).select("first", "matrix")
+            .mapInArrow(occurrences, "token long, position long"))
+
+
 def stored_documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, read back from the files.
 
-    Starts within a part are in the files; the totals of the parts, one row each, are summed
-    up in order of the parts.
+    Starts within a part are in the files.
     """
     store = spark.read.parquet(folder)
-    totals = store.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stage(totals.select("part", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))
-                                  .alias("offset")), "offsets")
+    offsets = _offsets(store)
     read = store.mapInArrow(_read, "part int, doc long, before long, n_tokens long, "
                                    "ids_crc32 long")
     return (read.join(offsets, "part")

@@ -11,7 +11,8 @@ from helpers import NO_ID, by_id
 from loomhouse.llm.common import byte_rows, groups
 from loomhouse.llm.packing import best_fit_runs, pack, token_pieces
 from loomhouse.llm.sentencepiece_codec import PieceEncoder, encode_decode
-from loomhouse.llm.token_store import store_folder, stored_documents, write_store
+from loomhouse.llm.token_store import (store_folder, stored_documents, token_counts,
+                                       token_positions, tokens_at, write_store)
 from loomhouse.llm.tokens import ByteEncoder, vocabulary
 from loomhouse.llm.wavelet import WaveletMatrix
 
@@ -142,6 +143,24 @@ def test_token_store(spark, frame, bytes_encoder):
     assert stored_documents(spark, empty).count() == 0
 
 
+def test_lookups_in_the_stored_tokens(spark, frame):
+    folder = store_folder(spark)
+    write_store(frame(DOCS), folder, shard_ids=50)
+    in_order = [t or "" for _, t in sorted(((NO_ID if i is None else i), t) for i, t in DOCS)]
+    path = vocabulary("byte_bpe_50k.json")
+    flat = [i for ids in fresh_ids(path, in_order) for i in [*ids, 0]]
+    asked = [0, 1, 5, 60, 3000, len(flat) - 1, len(flat), -1, 5]
+    at = tokens_at(spark, folder, spark.createDataFrame([(p,) for p in asked], "position long"))
+    assert {(r["position"], r["token"]) for r in at.collect()} == {
+        (p, flat[p] if 0 <= p < len(flat) else None) for p in asked}
+    tokens = [0, flat[0], flat[60], 49_999, 1 << 40]
+    counts = token_counts(spark, folder, tokens).collect()
+    assert {r["token"]: r["n"] for r in counts} == {t: flat.count(t) for t in tokens}
+    places = token_positions(spark, folder, tokens).collect()
+    assert sorted((r["token"], r["position"]) for r in places) == sorted(
+        (t, p) for p, t in enumerate(flat) if t in tokens)
+
+
 def check_packing(rows, capacity):
     places = {}
     for r in rows:
