@@ -1,10 +1,10 @@
-"""Ordered slices and dense surrogate keys without a single-task sort."""
+"""Ordered slices, sums over slices, and dense surrogate keys without a single-task sort."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
@@ -13,6 +13,10 @@ SLICE = "_slice"
 POSITION = "_position"
 # monotonically_increasing_id keeps the row index of a partition in its low 33 bits.
 _ROW_INDEX_MASK = (1 << 33) - 1
+#: A node of the tree over slices has 2 ** FAN_BITS children; no window holds more rows.
+FAN_BITS = 10
+#: Up to this many slices, one short row each, a table of slices is broadcast.
+BROADCAST_SLICES = 1 << 19
 
 
 def ordered_slices(df: DataFrame, order_by: Sequence[str], slices: int | None = None,
@@ -38,23 +42,73 @@ def ordered_slices(df: DataFrame, order_by: Sequence[str], slices: int | None =
     return stage(placed, "slices")
 
 
+def _ancestor(depth: int, column: str = SLICE) -> Column:
+    return F.shiftright(F.col(column), FAN_BITS * depth)
+
+
+def _levels(per_slice: DataFrame) -> int:
+    """Depth of the tree over the slices of a written table."""
+    highest = per_slice.agg(F.max(SLICE)).first()[0] or 0
+    return max(1, -(-int(highest).bit_length() // FAN_BITS))
+
+
+def by_slice(rows: DataFrame, per_slice: DataFrame, how: str = "left") -> DataFrame:
+    """Join rows with a table of at most one short row a slice; it is broadcast while the
+    number of slices allows."""
+    few = _levels(per_slice) * FAN_BITS <= BROADCAST_SLICES.bit_length()
+    return rows.join(F.broadcast(per_slice) if few else per_slice, SLICE, how)
+
+
+def slice_offsets(totals: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """For each slice the sums of `columns` over all slices before it, as a written table.
+
+    `totals` has one row per slice. Sums run through a tree: slices within their run of
+    2 ** FAN_BITS, those runs within theirs, and so on, so that no task orders all slices
+    and none of them reach the driver.
+    """
+    totals = stage(totals.select(SLICE, *columns), "totals")
+    offsets = totals.select(SLICE, *[F.lit(0).cast("long").alias(c) for c in columns])
+    for depth in range(_levels(totals)):
+        nodes = totals if depth == 0 else totals.groupBy(_ancestor(depth).alias(SLICE)).agg(
+            *[F.sum(c).alias(c) for c in columns])
+        earlier = (Window.partitionBy(_ancestor(1)).orderBy(SLICE)
+                   .rowsBetween(Window.unboundedPreceding, -1))
+        before = nodes.select(F.col(SLICE).alias("_node"), *[
+            F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in columns])
+        offsets = offsets.join(before, _ancestor(depth) == F.col("_node")).select(
+            SLICE, *[(F.col(c) + F.col(f"_before_{c}")).alias(c) for c in columns])
+    return stage(offsets, "offsets")
+
+
+def following_heads(heads: DataFrame, head: str) -> DataFrame:
+    """For each slice the value of `head` in the next slice that has rows, as a written table.
+
+    Looked up in the slice's own run of 2 ** FAN_BITS slices first, for the last one of a run
+    at the first slice of the next run, and so on up the tree.
+    """
+    heads = stage(heads.select(SLICE, head), "heads")
+    found = heads.select(SLICE, F.lit(None).cast(heads.schema[head].dataType).alias(head))
+    for depth in range(_levels(heads)):
+        nodes = heads.groupBy(_ancestor(depth).alias("_node")).agg(
+            F.min_by(head, SLICE).alias("_first"))
+        ahead = F.lead("_first").over(Window.partitionBy(_ancestor(1, "_node")).orderBy("_node"))
+        found = found.join(nodes.select("_node", ahead.alias("_ahead")),
+                           _ancestor(depth) == F.col("_node")).select(
+            SLICE, F.coalesce(head, "_ahead").alias(head))
+    return stage(found, "heads")
+
+
 def assign_sk(df: DataFrame, order_by: Sequence[str], sk: str = "sk", start: int = 0,
               slices: int | None = None, unique: bool = False) -> DataFrame:
     """Number rows start+1, start+2, ... in `order_by` order.
 
-    Equals row_number() over the whole table. Only the row count of each slice reaches
-    the driver: one number per shuffle partition, whatever the size of the table. The
-    offsets come back as a literal, so the result is one scan of known size.
+    Equals row_number() over the whole table. Offsets of the slices are summed up in a tree
+    and joined by slice: no row count reaches the driver.
     """
     placed = ordered_slices(df, order_by, slices, unique)
-    sizes = dict(placed.groupBy(SLICE).count().collect())
-    offsets, total = [], start
-    for n in range(max(sizes, default=-1) + 1):
-        offsets.append(total)
-        total += sizes.get(n, 0)
-    known = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
-    number = F.get(known, F.col(SLICE)) + F.col(POSITION) + F.lit(1)
-    return placed.select(number.cast("long").alias(sk), *df.columns)
+    offsets = slice_offsets(placed.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows")), ["_rows"])
+    number = F.col("_rows") + F.col(POSITION) + F.lit(start + 1)
+    return by_slice(placed, offsets).select(number.cast("long").alias(sk), *df.columns)
 
 
 def highest_sk(df: DataFrame, sk: str) -> int:
@@ -70,17 +124,11 @@ def next_row(df: DataFrame, group: Sequence[str], order_by: Sequence[str],
     between tasks; the last row of a slice looks up the first row of the following slice.
     """
     placed = ordered_slices(df, [*group, *order_by], slices)
-    peeked = [*group, *take]
-
-    def ahead(window):
-        return F.lead(F.struct(*peeked)).over(window)
-
-    inside = ahead(Window.partitionBy(SLICE).orderBy(POSITION))
-    heads = (placed.filter(F.col(POSITION) == 0)
-             .select(SLICE, ahead(Window.orderBy(SLICE)).alias("_head")))
-    looked = (placed.withColumn("_ahead", inside)
-              .join(F.broadcast(heads), SLICE, "left")
-              .withColumn("_ahead", F.coalesce("_ahead", "_head")))
+    peeked = F.struct(*group, *take)
+    inside = F.lead(peeked).over(Window.partitionBy(SLICE).orderBy(POSITION))
+    heads = placed.filter(F.col(POSITION) == 0).select(SLICE, peeked.alias("_head"))
+    looked = by_slice(placed.withColumn("_ahead", inside), following_heads(heads, "_head")
+                      ).withColumn("_ahead", F.coalesce("_ahead", "_head"))
     same = F.lit(True)
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_ahead.{g}"))

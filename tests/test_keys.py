@@ -47,3 +47,25 @@ def test_next_row_matches_lead_for_a_huge_group(spark):
         (F.col("id") * 31 % 3001).alias("t"))
     expected = df.withColumn("next_t", F.lead("t").over(Window.partitionBy("g").orderBy("t")))
     assert rows(next_row(df, ["g"], ["t"], ["t"], slices=6)) == rows(expected)
+
+
+def test_sums_and_heads_climb_the_tree(spark, monkeypatch):
+    from loomhouse.operators import keys
+
+    monkeypatch.setattr(keys, "FAN_BITS", 2)  # runs of four slices: four levels for 200 slices
+    per_slice = spark.range(0, 200).filter("id % 7 <> 3 AND NOT id BETWEEN 20 AND 90").select(
+        F.col("id").cast("int").alias(SLICE), (F.col("id") * 13 % 31).alias("n"),
+        F.struct("id").alias("head"))
+    known = sorted((r[SLICE], r["n"]) for r in per_slice.collect())
+    sums = {r[SLICE]: r["n"] for r in keys.slice_offsets(per_slice, ["n"]).collect()}
+    assert sums == {s: sum(n for t, n in known if t < s) for s, _ in known}
+    heads = {r[SLICE]: r["head"] and r["head"]["id"]
+             for r in keys.following_heads(per_slice, "head").collect()}
+    assert heads == {s: min((t for t, _ in known if t > s), default=None) for s, _ in known}
+
+
+def test_neither_driver_nor_one_task_orders_all_slices(spark):
+    df = spark.range(3000).select((F.col("id") % 10).alias("g"), "id")
+    for found in (assign_sk(df, ["id"]), next_row(df, ["g"], ["id"], ["id"])):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "Literal" not in plan
