@@ -9,6 +9,7 @@ from .common import table, whole_text
 from .exact_dedup import exact_groups
 from .jaccard_join import similar_classes
 from .labelled import held_out
+from .lexical_search import ranked_documents
 from .line_dedup import MIN_PAGES, RATIO, drop_boilerplate
 from .packing import pack, token_pieces
 from .quality import judge_quality, learn_classifier
@@ -78,9 +79,14 @@ def op10_quality(spark, folder):
     return judge_quality(docs, learn_classifier(docs, table(spark, folder, "labels"))).drop("text")
 
 
+def op11_lexical_search(spark, folder):
+    return ranked_documents(_texts(spark, folder), table(spark, folder, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_exact_dedup, op3_substring_dedup, op4_token_store, op5_suffix_dedup,
-    op6_best_fit_packing, op7_toxicity, op8_sentencepiece, op9_jaccard_join, op10_quality)}
+    op6_best_fit_packing, op7_toxicity, op8_sentencepiece, op9_jaccard_join, op10_quality,
+    op11_lexical_search)}
 
 SQL = {
     "op1_line_dedup": f"""
@@ -135,4 +141,38 @@ SQL = {
         SELECT d.doc_id, len(d.words) AS n_words, len(d.words) - coalesce(l.n, 0) AS n_removed,
                sha256(coalesce(l.text, '')) AS kept_sha256
         FROM docs d LEFT JOIN left_over l USING (doc_id)""",
+    "op11_lexical_search": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents),
+        totals AS (SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS n_words
+                   FROM docs WHERE len(words) > 0),
+        asked AS (
+            SELECT item, item_id, term, count(*) AS repeats
+            FROM (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY item, item_id, term),
+        counts AS (
+            SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM docs)
+            WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)
+                               )::BIGINT AS w
+            FROM counts, totals GROUP BY term, n_docs),
+        lengths AS (
+            SELECT r, doc_id, 25 + (75 * len(words) * n_docs) // n_words AS m FROM docs, totals),
+        scores AS (
+            SELECT item, item_id, r, l.doc_id, sum(
+                repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM counts JOIN asked USING (term) JOIN weights USING (term) JOIN lengths l USING (r)
+            GROUP BY item, item_id, r, l.doc_id)
+        SELECT item_id, rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INT
+                  AS rank FROM scores WHERE score > 0)
+        WHERE rank <= 10""",
 }
