@@ -14,6 +14,7 @@ from .line_dedup import MIN_PAGES, RATIO, drop_boilerplate
 from .packing import pack, token_pieces
 from .quality import judge_quality, learn_classifier
 from .sentencepiece_codec import encode_decode
+from .spelling_variants import variant_groups
 from .substring_dedup import drop_repeated_passages
 from .suffix_dedup import drop_repeated_strings
 from .token_store import store_folder, stored_documents, write_store
@@ -83,10 +84,14 @@ def op11_lexical_search(spark, folder):
     return ranked_documents(_texts(spark, folder), table(spark, folder, "benchmark"))
 
 
+def op13_spelling_variants(spark, folder):
+    return variant_groups(_texts(spark, folder))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_exact_dedup, op3_substring_dedup, op4_token_store, op5_suffix_dedup,
     op6_best_fit_packing, op7_toxicity, op8_sentencepiece, op9_jaccard_join, op10_quality,
-    op11_lexical_search)}
+    op11_lexical_search, op13_spelling_variants)}
 
 SQL = {
     "op1_line_dedup": f"""
