@@ -47,5 +47,5 @@ def test_one_of_each_class_stays_without_ids(spark):
 
 
 def test_one_query_for_each_operator():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(SQL) <= set(QUERIES)
