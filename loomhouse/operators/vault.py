@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +19,34 @@ from ..sources.staging import stage_sized
 
 LoadTime = dt.datetime | str
 
-# Up to this many written bytes the keys of a batch are broadcast to the stored table.
+#: Up to this many written bytes the keys of a batch are broadcast to the stored table.
 SMALL_BATCH_BYTES = 8 * 1024 * 1024
+#: Up to so many keys, a batch looks them up by value: row groups without them are not read.
+FEW_KEYS = 10
+#: Partition column of stored tables that are laid out in zones.
+ZONE = "_zone"
+
+
+@dataclass(frozen=True)
+class Zones:
+    """Partitions of a stored table by one of its business keys.
+
+    Whole numbers lie with `width` neighbours: keys that are handed out in order also arrive in
+    order, so a batch falls into few zones, and only those are read. Other keys are dealt by
+    `digits` hex digits of their hash; then a batch is confined to few zones only if it has
+    few keys. The zone follows from the key's text alone, whatever its type in a batch.
+    """
+
+    bk: str
+    width: int
+    digits: int = 2
+
+    def column(self) -> Column:
+        text = F.col(self.bk).cast("string")
+        near = F.floor(text.try_cast("decimal(38,0)") / F.lit(self.width)).cast("long")
+        whole = text.rlike("^-?[0-9]{1,18}$")
+        dealt = F.conv(F.substring(F.md5(text), 1, self.digits), 16, 10).cast("long")
+        return F.when(whole, near).otherwise(-1 - dealt - F.lit(1 << 60)).alias(ZONE)
 
 
 def _key(columns: Sequence[str]) -> Column:
@@ -30,21 +57,34 @@ def _absent(rows: DataFrame, existing: DataFrame | None, on: Sequence[str],
             latest: bool = False) -> DataFrame:
     """Rows whose `on` columns, the hash key first, are not stored.
 
-    The batch is written to know its size. A small one thins out the stored rows where
-    they are read, so that a large table is scanned for two columns but never shuffled;
-    beyond that both sides meet in a shuffled join.
+    The batch is written to know its size. Of a table in zones only the batch's zones are read:
+    their list, one number each, is broadcast and prunes partitions when the scan starts. A
+    small batch further thins out the stored rows where they are read, so that they are never
+    shuffled; beyond that both sides meet in a shuffled join.
     """
     if existing is None:
         return rows
     hk, columns = on[0], rows.columns
     incoming, size = stage_sized(rows, "incoming")
+    if ZONE in columns:
+        # The comparison makes the list a filter in the eyes of partition pruning.
+        zones = incoming.select(ZONE).distinct().filter(F.col(ZONE) > -(1 << 62))
+        existing = existing.join(F.broadcast(zones), ZONE, "left_semi")
     if size <= SMALL_BATCH_BYTES:
-        existing = existing.join(F.broadcast(incoming.select(hk)), hk, "left_semi")
+        few = [r[0] for r in incoming.select(hk).distinct().limit(FEW_KEYS + 1).collect()]
+        if len(few) <= FEW_KEYS:
+            existing = existing.filter(F.col(hk).isin(few))
+        else:
+            existing = existing.join(F.broadcast(incoming.select(hk)), hk, "left_semi")
     if latest:
         existing = latest_satellite(existing.select(*on, "load_dts"), hk)
     return incoming.join(existing.select(*on), list(on), "left_anti").select(*columns)
 
 
+def _zoned(zones: Zones | None) -> list[Column]:
+    return [zones.column()] if zones else []
+
+
 def _in_hub(rows: DataFrame, hub: DataFrame | None, bk: str) -> DataFrame:
     """Rows whose business key the hub holds, compared as text like the hub stores it."""
     if hub is None:
@@ -54,23 +94,25 @@ def _in_hub(rows: DataFrame, hub: DataFrame | None, bk: str) -> DataFrame:
 
 
 def load_hub(stg: DataFrame, hk: str, bk: str, load_ts: LoadTime,
-             existing: DataFrame | None = None, source: str = "source_system") -> DataFrame:
+             existing: DataFrame | None = None, source: str = "source_system",
+             zones: Zones | None = None) -> DataFrame:
     """Business keys not yet in the hub.
 
     A key that several source systems deliver in one batch takes the least of their
     names; a key already present is never touched. Grouping is on the raw business key:
-    the digest is computed once per key, not once per staged row.
+    the digest is computed once per key, not once per staged row. Rows without a key are
+    left to `key_rejects`. With `zones` the result and `existing` have their column.
     """
     keys = (stg.filter(F.col(bk).isNotNull()).groupBy(bk)
             .agg(F.min(source).alias("record_source")))
     rows = keys.select(_key([bk]).alias(hk), F.col(bk).cast("string").alias(bk),
-                       as_timestamp(load_ts).alias("load_dts"), "record_source")
+                       as_timestamp(load_ts).alias("load_dts"), "record_source", *_zoned(zones))
     return _absent(rows, existing, [hk])
 
 
 def load_link(stg: DataFrame, hk: str, ends: Sequence[tuple[str, str]], load_ts: LoadTime,
               existing: DataFrame | None = None, hubs: Sequence[DataFrame | None] = (),
-              source: str = "source_system") -> DataFrame:
+              source: str = "source_system", zones: Zones | None = None) -> DataFrame:
     """Pairs of business keys not yet linked; `ends` lists (hub key, business key).
 
     Staged rows shrink to distinct pairs before anything is joined, and digests are made
@@ -85,9 +127,16 @@ def load_link(stg: DataFrame, hk: str, ends: Sequence[tuple[str, str]], load_ts:
     for bk, hub in zip(bks, hubs):
         pairs = _in_hub(pairs, hub, bk)
     rows = pairs.select(_key(bks).alias(hk), *[_key([bk]).alias(end) for end, bk in ends],
-                        as_timestamp(load_ts).alias("load_dts"), "record_source")
-    return _absent(rows, existing, [hk]).select(
-        hk, *[end for end, _ in ends], "load_dts", "record_source")
+                        as_timestamp(load_ts).alias("load_dts"), "record_source", *_zoned(zones))
+    return _absent(rows, existing, [hk])
+
+
+def key_rejects(stg: DataFrame, bks: Sequence[str], source: str = "source_system") -> DataFrame:
+    """Staged rows that no hub, link or satellite takes because a business key is NULL: how many
+    there are by the keys they do have, the names of those they lack, and their source."""
+    lacking = F.concat_ws(",", *[F.when(F.col(bk).isNull(), F.lit(bk)) for bk in bks])
+    return (stg.select(*bks, source, lacking.alias("missing")).filter(F.col("missing") != "")
+            .groupBy(*bks, source, "missing").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def latest_satellite(sat: DataFrame, hk: str) -> DataFrame:
@@ -127,7 +176,7 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
                    load_ts: LoadTime, existing: DataFrame | None = None,
                    parent: DataFrame | None = None, parent_hk: str | None = None,
                    compare: str = "any", end_dated: bool = True,
-                   null_safe: bool = False) -> DataFrame:
+                   null_safe: bool = False, zones: Zones | None = None) -> DataFrame:
     """Attribute rows whose hash diff is not stored for their key.
 
     `attrs` maps the satellite's attribute names to staged columns.
@@ -156,9 +205,9 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
     rows = rows.select(_key(bks).alias(hk),
                        hash_key(*values, null_safe=null_safe).alias("hash_diff"),
                        *[v.alias(n) for v, n in zip(values, names)],
-                       as_timestamp(load_ts).alias("load_dts"))
-    if end_dated:
-        rows = rows.withColumn("end_date", as_timestamp(OPEN_TIMESTAMP))
+                       as_timestamp(load_ts).alias("load_dts"),
+                       *([as_timestamp(OPEN_TIMESTAMP).alias("end_date")] if end_dated else []),
+                       *_zoned(zones))
     if parent is not None and len(bks) > 1:
         owner = parent.select(F.col(parent_hk or hk).alias(hk))
         rows = rows.join(owner, hk, "left_semi")
@@ -170,7 +219,8 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
 def load_link_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str, str],
                         load_ts: LoadTime, existing: DataFrame | None = None,
                         link: DataFrame | None = None, link_hk: str | None = None,
-                        compare: str = "any", null_safe: bool = False) -> DataFrame:
+                        compare: str = "any", null_safe: bool = False,
+                        zones: Zones | None = None) -> DataFrame:
     """A satellite of a link: keyed by both business keys, without `end_date`."""
     return load_satellite(stg, hk, bks, attrs, load_ts, existing, link, link_hk,
-                          compare, end_dated=False, null_safe=null_safe)
+                          compare, end_dated=False, null_safe=null_safe, zones=zones)

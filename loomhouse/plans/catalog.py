@@ -27,7 +27,12 @@ from ..operators.scd2 import (
     version_history,
     with_parent_sk,
 )
-from ..operators.vault import latest_satellite, satellite_conflicts, satellite_rejects
+from ..operators.vault import (
+    key_rejects,
+    latest_satellite,
+    satellite_conflicts,
+    satellite_rejects,
+)
 from ..sources.contracts import HISTORY
 from ..sources.dimension_store import DimensionStore
 from ..sources.files import read_raw_csv
@@ -51,6 +56,8 @@ CITIES, STUDENTS = "cities_3nf_scd2", "student_3nf_scd2"
 TEACHERS, COURSES = "teachers_3nf_scd2", "courses_3nf_scd2"
 FED_BY = {"student_2nf": (CITIES, STUDENTS), "course_2nf": (TEACHERS, COURSES)}
 LISTS = ["lines", "sentences", "label"]
+# Orders of a zone in stores filled by queries.
+ZONE_WIDTH = 1 << 13
 LINE_BREAK = "\n"
 A_DAY_BETWEEN = "1997-06-30"
 A_LATER_LOAD = "2000-01-01"
@@ -339,6 +346,33 @@ def _satellite(name: str) -> Query:
         views.staged_orders(spark, folder), name, FIRST_BATCH)
 
 
+def sat_known_orders(spark, folder):
+    """Attributes of all orders, of which a hub filled earlier holds only the early ones."""
+    hub = stage(vault.hub(_early_batch(spark, folder), "hub_order", FIRST_BATCH), "hub")
+    return vault.satellite(views.staged_orders(spark, folder), "sat_order", SECOND_BATCH,
+                           parent=hub)
+
+
+def vault_key_rejects(spark, folder):
+    """Rows that lack a key: pending orders have no customer yet, promotions no product."""
+    stg = views.staged_orders(spark, folder)
+    lacking = stg.withColumns({
+        "customer_id": F.when(F.col("order_status") != "P", F.col("customer_id")),
+        "product_id": F.when(F.col("product_category") != "PROMO", F.col("product_id"))})
+    return key_rejects(lacking, ["customer_id", "order_id", "product_id"])
+
+
+def vault_increment(spark, folder):
+    """A store that holds all orders but the last hundredth, after a batch of the last two
+    hundredths: half of it is stored already, and only its zones are read."""
+    stg = stage(views.staged_orders(spark, folder), "stg_orders")
+    last = stg.agg(F.max("order_id")).first()[0]
+    store = VaultStore(spark, staged_path(spark, "vault"), ZONE_WIDTH)
+    vault.load_vault(stg.filter(F.col("order_id") <= last - last // 100), store, FIRST_BATCH)
+    vault.load_vault(stg.filter(F.col("order_id") > last - last // 50), store, SECOND_BATCH)
+    return _contents({name: store.read(name) for name in vault.TABLES})
+
+
 def sat_order_product(spark, folder):
     stg = stage(views.staged_orders(spark, folder), "stg_orders")
     links = stage(vault.link(stg, "link_order_product", FIRST_BATCH), "links")
@@ -582,6 +616,9 @@ CATALOG: dict[str, Query] = {
     "sat_latest": sat_latest,
     "sat_returning": sat_returning,
     "sat_rejects": sat_rejects,
+    "sat_known_orders": sat_known_orders,
+    "vault_key_rejects": vault_key_rejects,
+    "vault_increment": vault_increment,
     "vault_layers": vault_layers,
     "vault_stream": streamed_vault,
     "vault_stream_layers": streamed_layers,

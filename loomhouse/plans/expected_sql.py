@@ -480,6 +480,21 @@ BODIES: dict[str, str] = {
         SELECT DISTINCT order_id, CAST(order_amount AS DOUBLE) AS amount,
                CAST(NULL AS VARCHAR) AS status
         FROM stg WHERE order_status = 'P'""",
+    "sat_known_orders": f"""
+        SELECT * REPLACE ('{SECOND_BATCH}' AS load_dts) FROM ({_sat_sql(
+            "hk_order", "order_id", "order_amount", "amount", "order_status", "status", "DOUBLE")}
+        WHERE load_dts < TIMESTAMP '{SECOND_LOAD}')""",
+    "vault_key_rejects": """
+        SELECT customer_id, order_id, product_id, source_system,
+               concat_ws(',', CASE WHEN customer_id IS NULL THEN 'customer_id' END,
+                         CASE WHEN product_id IS NULL THEN 'product_id' END) AS missing,
+               count(*) AS n_rows
+        FROM (SELECT order_id, source_system,
+                     CASE WHEN order_status <> 'P' THEN customer_id END AS customer_id,
+                     CASE WHEN product_category <> 'PROMO' THEN product_id END AS product_id
+              FROM stg)
+        WHERE customer_id IS NULL OR product_id IS NULL
+        GROUP BY ALL""",
     "vault_stream": _sat_sql("hk_order", "order_id", "order_amount", "amount",
                              "order_status", "status", "DOUBLE"),
     "dq_pk": """
@@ -581,7 +596,7 @@ def _contents(keys: dict[str, str]) -> str:
         + f" AS attributes FROM ({BODIES[name]})" for name, hk in keys.items())
 
 
-BODIES["vault_layers"] = BODIES["vault_stream_layers"] = _contents({
+BODIES["vault_layers"] = BODIES["vault_stream_layers"] = BODIES["vault_increment"] = _contents({
     "hub_customer": "hk_customer", "hub_order": "hk_order", "hub_product": "hk_product",
     "link_customer_order": "hk_customer_order", "link_order_product": "hk_order_product",
     "sat_customer": "hk_customer", "sat_order": "hk_order", "sat_product": "hk_product",

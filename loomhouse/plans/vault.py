@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..operators.vault import (
     LoadTime,
+    Zones,
     load_hub,
     load_link,
     load_link_satellite,
@@ -37,58 +38,75 @@ LINK_SATELLITES = {
 
 TABLES = [*HUBS, *LINKS, *SATELLITES, *LINK_SATELLITES]
 
+#: The business key by which a stored table is laid out. Links and their satellites follow the
+#: order, whose keys come in sequence.
+ZONE_KEYS = {
+    "hub_customer": "customer_id", "sat_customer": "customer_id",
+    "hub_order": "order_id", "sat_order": "order_id",
+    "hub_product": "product_id", "sat_product": "product_id",
+    "link_customer_order": "order_id", "link_order_product": "order_id",
+    "sat_order_product": "order_id",
+}
+
 Existing = Mapping[str, DataFrame | None]
 
 
-def hub(stg: DataFrame, table: str, load_ts: LoadTime,
-        existing: DataFrame | None = None) -> DataFrame:
+def zones_of(table: str, width: int | None) -> Zones | None:
+    return Zones(ZONE_KEYS[table], width) if width else None
+
+
+def hub(stg: DataFrame, table: str, load_ts: LoadTime, existing: DataFrame | None = None,
+        zone_width: int | None = None) -> DataFrame:
     hk, bk = HUBS[table]
-    return load_hub(stg, hk, bk, load_ts, existing)
+    return load_hub(stg, hk, bk, load_ts, existing, zones=zones_of(table, zone_width))
 
 
 def link(stg: DataFrame, table: str, load_ts: LoadTime, existing: DataFrame | None = None,
-         hubs: Existing | None = None) -> DataFrame:
+         hubs: Existing | None = None, zone_width: int | None = None) -> DataFrame:
     hk, ends = LINKS[table]
     return load_link(stg, hk, [HUBS[h] for h in ends], load_ts, existing,
-                     [(hubs or {}).get(h) for h in ends])
+                     [(hubs or {}).get(h) for h in ends], zones=zones_of(table, zone_width))
 
 
 def satellite(stg: DataFrame, table: str, load_ts: LoadTime, existing: DataFrame | None = None,
               parent: DataFrame | None = None, compare: str = "any",
-              null_safe: bool = False) -> DataFrame:
+              null_safe: bool = False, zone_width: int | None = None) -> DataFrame:
     hub_table, attrs = SATELLITES[table]
     hk, bk = HUBS[hub_table]
-    return load_satellite(stg, hk, [bk], attrs, load_ts, existing, parent,
-                          compare=compare, null_safe=null_safe)
+    return load_satellite(stg, hk, [bk], attrs, load_ts, existing, parent, compare=compare,
+                          null_safe=null_safe, zones=zones_of(table, zone_width))
 
 
 def link_satellite(stg: DataFrame, table: str, load_ts: LoadTime,
                    existing: DataFrame | None = None, parent: DataFrame | None = None,
-                   compare: str = "any", null_safe: bool = False) -> DataFrame:
+                   compare: str = "any", null_safe: bool = False,
+                   zone_width: int | None = None) -> DataFrame:
     link_table, hk, attrs = LINK_SATELLITES[table]
     link_hk, ends = LINKS[link_table]
     return load_link_satellite(stg, hk, [HUBS[h][1] for h in ends], attrs, load_ts, existing,
-                               parent, link_hk, compare, null_safe)
+                               parent, link_hk, compare, null_safe, zones_of(table, zone_width))
 
 
 def run_vault(stg: DataFrame, load_ts: LoadTime, existing: Existing | None = None,
-              compare: str = "any") -> dict[str, DataFrame]:
+              compare: str = "any", zone_width: int | None = None) -> dict[str, DataFrame]:
     """The rows one batch adds to each table.
 
     Hubs and links of the same batch hold every key staged with it, so nothing checks
     parents here. `stg` is read once per table and only for its columns: give a stored
-    table.
+    table. With `zone_width` the rows, and the `existing` ones, carry their zones.
     """
-    old = existing or {}
+    old, width = existing or {}, zone_width
 
     def added(table: str) -> DataFrame:
         if table in HUBS:
-            return hub(stg, table, load_ts, old.get(table))
+            return hub(stg, table, load_ts, old.get(table), width)
         if table in LINKS:
-            return link(stg, table, load_ts, old.get(table))
+            return link(stg, table, load_ts, old.get(table), zone_width=width)
         if table in SATELLITES:
-            return satellite(stg, table, load_ts, old.get(table), compare=compare)
-        return link_satellite(stg, table, load_ts, old.get(table), compare=compare)
+            return satellite(stg, table, load_ts, old.get(table), compare=compare,
+                             zone_width=width)
+        return link_satellite(stg, table, load_ts, old.get(table), compare=compare,
+                              zone_width=width)
 
     return dict(zip(TABLES, at_once(added, TABLES)))
 
@@ -99,6 +117,7 @@ def load_vault(stg: DataFrame, store: VaultStore, load_ts: LoadTime,
     failure, adds nothing twice. What the load staged is deleted with its end."""
     with staging_scope(store.spark):
         stored = stage(stg, "stg_orders", store.spark)
-        added = run_vault(stored, load_ts, {t: store.read(t) for t in TABLES}, compare)
+        added = run_vault(stored, load_ts, {t: store.stored(t) for t in TABLES}, compare,
+                          store.zone_width)
         for layer in (HUBS, LINKS, [*SATELLITES, *LINK_SATELLITES]):
             at_once(lambda t: store.append(t, added[t]), layer)

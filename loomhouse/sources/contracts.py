@@ -6,7 +6,7 @@ Spark does not enforce these on DataFrames. `conform` shapes a table to its cont
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -278,10 +278,11 @@ VAULT = {
 TABLES = {**RAW, **NORMAL_FORMS, **HISTORY, **STAGING, **VAULT}
 
 
-def conform(df: DataFrame, contract: Contract) -> DataFrame:
+def conform(df: DataFrame, contract: Contract, beside: Sequence[str] = ()) -> DataFrame:
     """Columns by name, in declared order and type; absent ones take their default.
 
-    An absent column that is required and has no default is an error.
+    An absent column that is required and has no default is an error. Columns `beside` the
+    contract follow unchanged.
     """
     lacking = [c for c in contract.required() if c not in df.columns
                and next(d.default for d in contract.columns if d.name == c) is None]
@@ -291,7 +292,7 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     for c in contract.columns:
         value = F.col(c.name) if c.name in df.columns else F.lit(c.default)
         columns.append(value.cast(c.type).alias(c.name))
-    return df.select(*columns)
+    return df.select(*columns, *beside)
 
 
 def violations(tables: Mapping[str, DataFrame], name: str) -> dict[str, DataFrame]:

@@ -54,6 +54,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of any file system Spark can reach; empty if there is none."""
     if not path_exists(spark, path):

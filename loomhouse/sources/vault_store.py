@@ -1,26 +1,55 @@
-"""Vault tables as append-only Parquet folders."""
+"""Vault tables as append-only Parquet folders, one partition a zone of business keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+from ..operators.vault import ZONE
 from .contracts import VAULT, conform
-from .files import append, path_exists
+from .files import child_names, make_folder, path_exists
+
+#: Whole-number keys that lie in one zone: some ten million bytes of a hub.
+ZONE_WIDTH = 1 << 20
+_WIDTH_MARK = "_zone-width-"
 
 
 class VaultStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """Tables under one folder. The width of zones is settled when a folder is first opened and
+    kept with it: a key must lie in the same zone at every load."""
+
+    def __init__(self, spark: SparkSession, root: str, zone_width: int = ZONE_WIDTH):
         self.spark = spark
         self.root = root.rstrip("/")
+        marks = [n for n in child_names(spark, self.root) if n.startswith(_WIDTH_MARK)]
+        self.zone_width = int(marks[0].removeprefix(_WIDTH_MARK)) if marks else zone_width
+        if not marks:
+            make_folder(spark, f"{self.root}/{_WIDTH_MARK}{zone_width}")
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame | None:
-        """The stored table, None before its first load."""
+    def stored(self, table: str) -> DataFrame | None:
+        """The stored table with its zones, None before its first load."""
         if not path_exists(self.spark, self.path(table)):
             return None
-        return self.spark.read.schema(VAULT[table].schema()).parquet(self.path(table))
+        schema = T.StructType([*VAULT[table].schema().fields, T.StructField(ZONE, T.LongType())])
+        return self.spark.read.schema(schema).parquet(self.path(table))
+
+    def read(self, table: str) -> DataFrame | None:
+        found = self.stored(table)
+        return None if found is None else found.drop(ZONE)
 
     def append(self, table: str, rows: DataFrame) -> None:
-        append(conform(rows, VAULT[table]), self.path(table))
+        """Append zoned rows. Zones are gathered before they are written, large ones in several
+        files; within a file rows are ordered by hash key, and a bloom filter of the hash keys
+        tells which row groups a few keys cannot be in."""
+        if ZONE not in rows.columns:
+            raise ValueError(f"rows of {table} have no zone")
+        hk = VAULT[table].columns[0].name
+        (conform(rows, VAULT[table], [ZONE]).hint("rebalance", ZONE)
+         .sortWithinPartitions(ZONE, hk)
+         .write.mode("append").partitionBy(ZONE)
+         .option(f"parquet.bloom.filter.enabled#{hk}", "true")
+         .option("parquet.bloom.filter.adaptive.enabled", "true")
+         .parquet(self.path(table)))

@@ -3,11 +3,12 @@ from decimal import Decimal
 
 import pytest
 from frames import by_key, rows
+from scans import rows_read
 from fixed_rows import DIGESTS, STAGED_ORDERS, VAULT_ROWS
 from pyspark.sql import functions as F
 
 from loomhouse.functions import hash_key
-from loomhouse.operators.vault import latest_satellite, satellite_rejects
+from loomhouse.operators.vault import Zones, key_rejects, latest_satellite, satellite_rejects
 from loomhouse.plans import vault
 from loomhouse.sources.contracts import STAGING, VAULT, violations
 from loomhouse.sources.files import child_names, literal_rows
@@ -128,7 +129,8 @@ def test_nulls_are_rejected_or_encoded(spark):
 
 def test_store_survives_a_partial_batch(spark, tmp_path):
     store = VaultStore(spark, str(tmp_path / "vault"))
-    store.append("hub_customer", vault.hub(staged(spark), "hub_customer", T1))
+    store.append("hub_customer", vault.hub(staged(spark), "hub_customer", T1,
+                                           zone_width=store.zone_width))
     other = stage(staged(spark), "another_load")
     before = child_names(spark, staged_folder(spark))
     for _ in range(2):
@@ -157,3 +159,78 @@ def test_stream_loads_new_files_only(spark, tmp_path):
     assert {t: store.read(t).count() for t in VAULT_ROWS} == VAULT_ROWS
     assert {str(r.load_dts) for r in store.read("hub_order").select("load_dts").collect()} == {
         "2026-06-01 10:00:00", "2026-06-02 10:00:00"}
+
+
+def keyed_orders(spark, low, high, step=1):
+    """One line an order, each order of its own customer among a thousand."""
+    one = staged(spark, STAGED_ORDERS[:1]).drop("order_id", "customer_id")
+    ids = spark.range(low, high, step).select(
+        F.col("id").cast("int").alias("order_id"), (F.col("id") % 1000).cast("int").alias("customer_id"))
+    return ids.crossJoin(F.broadcast(one)).select(*STAGING["stg_orders"].names())
+
+
+ORDER_TABLES = ["hub_order", "link_customer_order", "link_order_product", "sat_order",
+                "sat_order_product"]
+
+
+def read_for(batch, store, tables=ORDER_TABLES):
+    """Stored rows that each table's load reads for a batch, and the rows it adds."""
+    old = {t: store.stored(t) for t in vault.TABLES}
+    added = vault.run_vault(batch, T2, old, zone_width=store.zone_width)
+    new = {t: len(added[t].collect()) for t in tables}
+    return {t: rows_read(added[t], store.path(t))[0] for t in tables}, new
+
+
+def test_a_batch_reads_its_zones_only(spark, tmp_path):
+    store = VaultStore(spark, str(tmp_path / "vault"), 500)
+    vault.load_vault(keyed_orders(spark, 0, 20_000), store, T1)
+    late = stage(keyed_orders(spark, 19_900, 20_100))           # 1 % of the orders
+    read, new = read_for(late, store)
+    assert read == dict.fromkeys(ORDER_TABLES, 500) and new == dict.fromkeys(ORDER_TABLES, 100)
+    few = stage(keyed_orders(spark, 77, 30_000, 10_000))        # by value, in three zones
+    read, new = read_for(few, store)
+    assert max(read.values()) <= 1000 and new == dict.fromkeys(ORDER_TABLES, 1)
+    spread = stage(keyed_orders(spark, 0, 40_000, 200))         # keys of every zone
+    assert read_for(spread, store)[1] == dict.fromkeys(ORDER_TABLES, 100)
+
+
+def test_later_batches_read_no_more(spark, tmp_path):
+    store = VaultStore(spark, str(tmp_path / "vault"), 100)
+    read = []
+    for n in range(4):
+        batch = stage(keyed_orders(spark, 100 * n - (50 if n else 0), 100 * n + 100))
+        read.append(read_for(batch, store)[0] if n else None)
+        vault.load_vault(batch, store, T1)
+    assert read[1] == read[2] == read[3] == dict.fromkeys(ORDER_TABLES, 100)
+
+
+def test_zones_follow_the_text_of_a_key(spark):
+    keys = ["0", "7", "99", "100", "-1", "-100", "-101", "7.5", "A", "", "9" * 18, "9" * 30]
+    texts = spark.createDataFrame([(k,) for k in keys], "k string")
+    found = by_key(texts.select("k", Zones("k", 100).column()), "k", "_zone")
+    assert [found[k] for k in keys[:7]] == [0, 0, 0, 1, -1, -1, -2]
+    assert all(-(1 << 62) < found[k] < -(1 << 59) for k in ("7.5", "A", "", "9" * 30))
+    numbers = spark.createDataFrame([(int(k),) for k in keys[:7]], "k int")
+    assert [r[0] for r in numbers.select(Zones("k", 100).column()).collect()] == [
+        found[k] for k in keys[:7]]
+
+
+def test_a_store_keeps_its_zone_width(spark, tmp_path):
+    root = str(tmp_path / "vault")
+    store = VaultStore(spark, root, 300)
+    vault.load_vault(keyed_orders(spark, 0, 1000), store, T1)
+    again = VaultStore(spark, root)
+    assert again.zone_width == 300
+    vault.load_vault(keyed_orders(spark, 0, 1000), again, T2)
+    assert again.read("hub_order").count() == 1000
+    with pytest.raises(ValueError, match="zone"):
+        again.append("hub_order", again.read("hub_order"))
+
+
+def test_rows_without_keys_are_listed(spark):
+    batch = staged(spark).withColumn(
+        "customer_id", F.when(F.col("order_id") > 101, F.col("customer_id")))
+    lost = rows(key_rejects(batch, ["customer_id", "order_id"]))
+    ids = [r[3] for r in STAGED_ORDERS if r[3] <= 101]
+    assert sum(r[-1] for r in lost) == len(ids)
+    assert {(r[0], r[1], r[3]) for r in lost} == {(None, i, "customer_id") for i in ids}
