@@ -11,6 +11,12 @@ from ..functions import is_open
 from .keys import next_row
 
 
+#: Standard error of the sketches that count distinct values, and by how much an estimate may
+#: exceed another one of equal true size.
+SKETCH_ERROR = 0.02
+SKETCH_SLACK = 6 * 2 ** 0.5 * SKETCH_ERROR
+
+
 def _any(conditions: Sequence[Column]) -> Column:
     found = F.lit(False)
     for c in conditions:
@@ -91,6 +97,38 @@ def dependency_report(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
         (broken == 0).alias("holds"))
 
 
+def possible_dependencies(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str]]:
+    """Ordered pairs (X, Y) of columns for which X -> Y is not ruled out by sketches.
+
+    One pass over the table counts the distinct values of every column and of every pair by
+    mergeable sketches, combined in the map; NULL counts as a value. X -> Y means as many pairs
+    as values of X, so a pair is ruled out if its estimate exceeds that of X by more than
+    `SKETCH_SLACK`, six standard errors of both.
+    """
+    counts = {}
+    for i, x in enumerate(columns):
+        for y in columns[i:]:
+            counts[x, y] = F.approx_count_distinct(
+                F.xxhash64(x) if x == y else F.xxhash64(x, y), SKETCH_ERROR)
+    found = df.agg(*[n.alias(f"n{i}") for i, n in enumerate(counts.values())]).first()
+    size = dict(zip(counts, found))
+    return [(x, y) for x in columns for y in columns if x != y
+            and size[(x, y) if (x, y) in size else (y, x)] <= size[x, x] * (1 + SKETCH_SLACK)]
+
+
+def dependencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The dependencies X -> Y among `columns`, each with the number of values of X.
+
+    Sketches rule out most pairs in one pass; only the others are tested exactly, in a second.
+    A dependency between columns outside of the key is a transitive one to move out.
+    """
+    pairs = possible_dependencies(df, columns)
+    if not pairs:
+        return df.sparkSession.createDataFrame(
+            [], "determinant string, dependent string, n_values long")
+    return dependency_report(df, pairs).filter("holds").drop("holds", "n_broken")
+
+
 def chain_breaks(dim: DataFrame, bk: str, sk: str) -> DataFrame:
     """Versions that break the chain of their key.
 

@@ -22,7 +22,7 @@ VERSION_COLUMNS = ("valid_from", "valid_to", "is_current")
 
 # What a refresh does with a key of the source. Kinds that take a new surrogate key come
 # first, so that numbering the change set in (kind, key) order leaves no holes.
-CHANGED, NEW, OVERWRITE = 0, 1, 2
+CHANGED, NEW, OVERWRITE, KEPT = 0, 1, 2, 3
 
 
 @dataclass(frozen=True)
@@ -66,10 +66,13 @@ def _current(dim: DataFrame) -> DataFrame:
 
 
 def _paired(src: DataFrame, dim: DataFrame, spec: Dimension, how: str) -> DataFrame:
+    """Keys of the source with their current version; with "full" also keys only the
+    dimension has (`_given` is NULL there)."""
     now = _current(dim).select(
-        spec.bk, F.col(spec.sk).alias("_old_sk"),
-        F.col("valid_from").alias("_since"), _attrs(spec).alias("_was"))
-    return one_row_per_key(src, spec).join(now, spec.bk, how)
+        spec.bk, F.col(spec.sk).alias("_old_sk"), F.col("valid_from").alias("_since"),
+        F.col("valid_to").alias("_until"), _attrs(spec).alias("_was"))
+    given = one_row_per_key(src, spec).withColumn("_given", F.lit(True))
+    return given.join(now, spec.bk, how)
 
 
 def _differs(spec: Dimension) -> Column:
@@ -127,39 +130,50 @@ def scd2_init(src: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFram
     return scd2_open(keyed, spec, as_of)
 
 
-def scd2_delta(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date | str,
-               closed_only: bool = True) -> DataFrame:
-    """The change set of a refresh, computed and written once.
-
-    Columns: surrogate key of the resulting version, business key, new attributes,
-    `_kind` and, except for new keys, key, start and attributes of the version it meets
-    (`_old_sk`, `_since`, `_was`). Closing and opening both read this one table, so they
-    cannot disagree. Only the current versions take part in the wide join; of the
-    history just the keys are read, against the keys not found current. With
-    `closed_only=False` the caller vouches that every key with a closed version also has
-    a current one, and `dim` may be the current versions alone: a refresh then costs the
-    same however long the history is.
+def scd2_classify(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date | str,
+                  closed_only: bool = True, how: str = "full") -> DataFrame:
+    """Every key of source and dimension with what a refresh does to it, by one join.
+
+    Columns: business key, new attributes, `_kind`, and key, period and attributes of the
+    current version (`_old_sk`, `_since`, `_until`, `_was`). Keys of the source that have
+    closed versions only are left out: of the history just the keys are read, against the
+    keys not found current. With `closed_only=False` the caller vouches that there are none,
+    and `dim` may be the current versions alone: a refresh then costs the same however long
+    the history is. `how="left"` leaves out keys that the source does not have.
     """
     today = day(as_of)
-    candidates = _paired(src, dim, spec, "left").filter(
-        F.col("_old_sk").isNull() | (_differs(spec) & (F.col("_since") <= today)))
-    if closed_only:
-        closed = (dim.filter(~F.col("is_current")).select(spec.bk).distinct()
-                  .withColumn("_closed", F.lit(True)))
-        candidates = candidates.join(closed, spec.bk, "left").filter(
-            F.col("_old_sk").isNotNull() | F.col("_closed").isNull())
+    paired = _paired(src, dim, spec, how)
+    changed = F.col("_given").isNotNull() & _differs(spec) & (F.col("_since") <= today)
     kind = (F.when(F.col("_old_sk").isNull(), NEW)
+            .when(~changed, KEPT)
             .when(F.col("_since") == today, OVERWRITE)
             .otherwise(CHANGED))
-    delta = candidates.select(kind.alias("_kind"), spec.bk, *spec.attrs,
-                              "_old_sk", "_since", "_was")
-    numbered = assign_sk(delta, ["_kind", spec.bk], "_new_sk", highest_sk(dim, spec.sk),
-                         unique=True)
+    found = paired.withColumn("_kind", kind)
+    if closed_only:
+        closed = (dim.filter(~F.col("is_current")).select(spec.bk).distinct()
+                  .withColumn("_closed", F.lit(True)))
+        found = found.join(closed, spec.bk, "left").filter(
+            (F.col("_kind") != NEW) | F.col("_closed").isNull())
+    return found.select("_kind", spec.bk, *spec.attrs, "_old_sk", "_since", "_until", "_was")
+
+
+def _numbered(classified: DataFrame, spec: Dimension, highest: int) -> DataFrame:
+    changes = classified.filter(F.col("_kind") != KEPT)
+    numbered = assign_sk(changes, ["_kind", spec.bk], "_new_sk", highest, unique=True)
     resulting = F.when(F.col("_kind") == OVERWRITE, F.col("_old_sk")).otherwise(F.col("_new_sk"))
     return numbered.select(resulting.alias(spec.sk), spec.bk, *spec.attrs,
                            "_kind", "_old_sk", "_since", "_was")
 
 
+def scd2_delta(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date | str,
+               closed_only: bool = True) -> DataFrame:
+    """The change set of a refresh, computed and written once: the keys that change, with the
+    surrogate key of the resulting version. Closing and opening both read this one table, so
+    they cannot disagree."""
+    found = scd2_classify(src, dim, spec, as_of, closed_only, "left")
+    return _numbered(found, spec, highest_sk(dim, spec.sk))
+
+
 def opened_versions(delta: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFrame:
     return scd2_open(delta.filter(F.col("_kind") != OVERWRITE), spec, as_of)
 
@@ -176,7 +190,8 @@ def closed_versions(delta: DataFrame, spec: Dimension, as_of: dt.date | str) ->
 
 
 def kept_versions(current: DataFrame, delta: DataFrame, spec: Dimension) -> DataFrame:
-    """Versions that stay current, with same-day corrections written over them."""
+    """Versions of `current`, or of a part of it, that stay current, with same-day corrections
+    written over them."""
     touched = delta.filter(F.col("_kind") != NEW).select(
         F.col("_old_sk").alias(spec.sk), F.col("_kind"),
         *[F.col(a).alias(f"_new_{a}") for a in spec.attrs])
@@ -194,14 +209,23 @@ def scd2_apply(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date |
 
     Changed keys get their current version closed and a new one opened, new keys get a
     first version, a second change on the same day corrects that day's version in place,
-    and keys missing from the source stay current.
+    and keys missing from the source stay current. One full outer join tells them apart;
+    what it finds is written once and gives every part of the next state, so the current
+    versions are not joined again.
     """
     dim = dim.select(*spec.columns)
-    delta = scd2_delta(src, dim, spec, as_of)
-    current = _current(dim)
+    found = stage(scd2_classify(src, dim, spec, as_of), "classified")
+    delta = _numbered(found, spec, highest_sk(dim, spec.sk))
+    corrected = F.col("_kind") == OVERWRITE
+    stays = found.filter(F.col("_kind").isin(KEPT, OVERWRITE)).select(
+        F.col("_old_sk").alias(spec.sk), spec.bk,
+        *[F.when(corrected, F.col(a)).otherwise(F.col(f"_was.{a}")).alias(a)
+          for a in spec.attrs],
+        F.col("_since").alias("valid_from"), F.col("_until").alias("valid_to"),
+        F.lit(True).alias("is_current"))
     return (dim.filter(~F.col("is_current"))
             .unionByName(closed_versions(delta, spec, as_of))
-            .unionByName(kept_versions(current, delta, spec))
+            .unionByName(stays)
             .unionByName(opened_versions(delta, spec, as_of)))
 
 

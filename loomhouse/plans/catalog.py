@@ -14,7 +14,9 @@ from ..operators.explode import explode_by_index, explode_zip, list_length_repor
 from ..operators.fact import Link, match_as_of
 from ..operators.keys import assign_sk
 from ..operators.normalize import decompose, extract_dictionary
+from ..operators.parse import parse_rejects
 from ..operators.scd2 import (
+    VERSION_COLUMNS,
     Dimension,
     dim_as_of,
     opened_versions,
@@ -23,6 +25,7 @@ from ..operators.scd2 import (
     scd2_changes,
     scd2_close,
     scd2_delta,
+    scd2_late,
     scd2_new,
     version_history,
     with_parent_sk,
@@ -33,9 +36,9 @@ from ..operators.vault import (
     satellite_conflicts,
     satellite_rejects,
 )
-from ..sources.contracts import HISTORY
-from ..sources.dimension_store import DimensionStore
-from ..sources.files import read_raw_csv
+from ..sources.contracts import HISTORY, violations
+from ..sources.dimension_store import DimensionStore, refresh_stores
+from ..sources.raw_csv import read_raw_csv
 from ..sources.staging import stage, staged_path
 from ..sources.vault_store import VaultStore
 from ..streaming.vault_stream import vault_stream
@@ -58,6 +61,8 @@ FED_BY = {"student_2nf": (CITIES, STUDENTS), "course_2nf": (TEACHERS, COURSES)}
 LISTS = ["lines", "sentences", "label"]
 # Orders of a zone in stores filled by queries.
 ZONE_WIDTH = 1 << 13
+# Parts of the dimensions that queries store.
+STORE_PARTS = 4
 LINE_BREAK = "\n"
 A_DAY_BETWEEN = "1997-06-30"
 A_LATER_LOAD = "2000-01-01"
@@ -120,10 +125,11 @@ def nf3_orders(spark, folder):
 
 
 def csv_load(spark, folder):
-    """Documents written as CSV and read again: quotes and line breaks included."""
+    """Documents written as one CSV file and read again by several tasks: quotes and line breaks
+    included."""
     documents = views.table(spark, folder, "documents").select("doc_id", "lang", "text")
     path = staged_path(spark, "csv")
-    (documents.write.option("header", True).option("quote", '"').option("escape", '"')
+    (documents.coalesce(1).write.option("header", True).option("quote", '"').option("escape", '"')
      .option("quoteAll", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
     return read_raw_csv(spark, path, documents.schema, multi_line=True)
@@ -240,6 +246,54 @@ def dimension_store(spark, folder):
     return store.read()
 
 
+def store_cascade(spark, folder):
+    """Students refreshed in their store after the cities they point to, with the region that
+    each version points to."""
+    stores = {n: DimensionStore(spark, staged_path(spark, n), relational.DIMENSIONS[n],
+                                HISTORY[n].schema(), STORE_PARTS)
+              for n in (CITIES, STUDENTS)}
+    for second, day in ((False, FIRST_LOAD), (True, SECOND_LOAD)):
+        nf2 = views.snapshot(spark, folder, second, ["student_2nf"])
+        refresh_stores(stores, relational.dimension_sources(nf2), relational.PARENTS, day)
+    cities = stores[CITIES].read().select("city_sk", "city_name", "region_name")
+    return stores[STUDENTS].read().join(cities, "city_sk").drop("city_sk", "student_sk")
+
+
+def late_changes(spark, folder):
+    """The first delivery once more, dated before the versions the second one opened."""
+    dims = _both(spark, folder, [CITIES, STUDENTS])
+    students = with_parent_sk(views.student_snapshot(spark, folder, False), dims[CITIES],
+                              relational.CITY, "student_city")
+    return scd2_late(students, dims[STUDENTS], relational.STUDENT, A_DAY_BETWEEN)
+
+
+def broken_contracts(spark, folder):
+    """Rows against each rule of two tables: students after half a refresh, with cities missing,
+    and courses whose promotion prices are too large for their type."""
+    dim, opened = _opened(spark, folder)
+    cities = _both(spark, folder, [CITIES])[CITIES].filter("region_name <> 'AMERICA'")
+    price = F.col("course_price").cast("decimal(18,2)")
+    courses = views.course_snapshot(spark, folder, False).withColumn(
+        "course_price", F.when(F.col("course_category") == "PROMO", price + F.lit(10**9))
+        .otherwise(price).cast("decimal(18,2)"))
+    tables = {STUDENTS: stage(dim.unionByName(opened), "students"), CITIES: cities,
+              "course_3nf": courses}
+    counts = [rows.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), "n_rows")
+        for name in (STUDENTS, "course_3nf") for rule, rows in violations(tables, name).items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def unreadable_lines(spark, folder):
+    """Courses whose price cannot be read, and how many raw lines have them."""
+    course = F.col("course_info")
+    lost = F.concat(F.split_part(course, F.lit("|"), F.lit(1)), F.lit("|PROMO|n/a"))
+    raw = views.raw_orders(spark, folder).withColumn(
+        "course_info", F.when(course.contains("|PROMO|"), lost).otherwise(course))
+    return (parse_rejects(raw, relational.ORDER_LINE).groupBy("course_info", "unreadable")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def student_history(spark, folder):
     return version_history(_both(spark, folder, [CITIES, STUDENTS])[STUDENTS], "student_email")
 
@@ -300,14 +354,21 @@ def revenue_at_time(spark, folder):
     return marts.revenue_at_time(fact, dims[COURSES])
 
 
-def _row_counts(tables: Dims) -> DataFrame:
-    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(n).alias("table_name"), "n_rows") for n, df in tables.items()]
-    return reduce(DataFrame.unionByName, counts)
+def _digits(column):
+    return F.sum(F.conv(F.substring(column, 1, 5), 16, 10).cast("long"))
 
 
 def relational_layers(spark, folder):
-    return _row_counts(relational.run_relational(views.raw_orders(spark, folder), SECOND_LOAD))
+    """Rows of every layer, and sums over digests of their business columns."""
+    tables = relational.run_relational(views.raw_orders(spark, folder), SECOND_LOAD)
+    found = []
+    for name, df in tables.items():
+        columns = [c for c in df.columns if not c.endswith("_sk") and c not in VERSION_COLUMNS]
+        row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-"))
+                                       for c in sorted(columns)]))
+        found.append(df.agg(F.count(F.lit(1)).alias("n_rows"), _digits(row).alias("contents"))
+                     .select(F.lit(name).alias("table_name"), "n_rows", "contents"))
+    return reduce(DataFrame.unionByName, found)
 
 
 # --- vault ---------------------------------------------------------------------------
@@ -315,13 +376,10 @@ def relational_layers(spark, folder):
 def _contents(tables: Dims) -> DataFrame:
     """Rows of each vault table, and sums over the first digits of its digests: its own key and,
     for a satellite, the attributes."""
-    def digits(column: str):
-        return F.sum(F.conv(F.substring(column, 1, 5), 16, 10).cast("long"))
-
     found = []
     for name, df in tables.items():
-        attributes = digits("hash_diff") if "hash_diff" in df.columns else F.lit(0).cast("long")
-        found.append(df.agg(F.count(F.lit(1)).alias("n_rows"), digits(df.columns[0]).alias("keys"),
+        attributes = _digits("hash_diff") if "hash_diff" in df.columns else F.lit(0).cast("long")
+        found.append(df.agg(F.count(F.lit(1)).alias("n_rows"), _digits(df.columns[0]).alias("keys"),
                             attributes.alias("attributes"))
                      .select(F.lit(name).alias("table_name"), "n_rows", "keys", "attributes"))
     return reduce(DataFrame.unionByName, found)
@@ -498,6 +556,15 @@ def dq_transitive(spark, folder):
         views.student_snapshot(spark, folder, False, everyone=True), pairs)
 
 
+def dq_dependencies(spark, folder):
+    """All dependencies among the columns of parts, each part with its supplier, and a column
+    that is empty for half of them."""
+    parts = views.courses(spark, folder).select(
+        "p_partkey", "p_name", "p_type", "p_size", "p_retailprice", "s_suppkey", "s_name",
+        "s_nationkey", F.when(F.col("p_size") > 25, F.col("p_type")).alias("large_type"))
+    return checks.dependencies(parts, parts.columns)
+
+
 def dq_chain(spark, folder):
     """Ends of closed versions moved: some a month early, the others one day late."""
     dim = _both(spark, folder, [CITIES, STUDENTS])[STUDENTS]
@@ -592,7 +659,11 @@ CATALOG: dict[str, Query] = {
     "scd2_part": _dimension(TEACHERS, COURSES),
     "scd2_idempotent": scd2_idempotent,
     "scd2_same_day": scd2_same_day,
+    "scd2_late": late_changes,
     "dimension_store": dimension_store,
+    "store_cascade": store_cascade,
+    "contract_violations": broken_contracts,
+    "parse_rejects": unreadable_lines,
     "dim_history": student_history,
     "dim_as_of": students_as_of,
     "fact_current": fact_current,
@@ -630,6 +701,7 @@ CATALOG: dict[str, Query] = {
     "dq_decimal": dq_decimal,
     "dq_fd": dq_fd,
     "dq_transitive": dq_transitive,
+    "dq_dependencies": dq_dependencies,
     "dq_chain": dq_chain,
     "dq_atomic": dq_atomic,
     "dq_spelling": dq_spelling,

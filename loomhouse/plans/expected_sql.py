@@ -49,6 +49,9 @@ def _history(name: str, sk: str, bk: str, attrs: list[str], first: str, second:
     }
 
 
+_PART_COLUMNS = ("p_partkey", "p_name", "p_type", "p_size", "p_retailprice", "s_suppkey",
+                 "s_name", "s_nationkey", "large_type")
+
 CTES: dict[str, str] = {
     "customers": """
         SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey
@@ -56,6 +59,8 @@ CTES: dict[str, str] = {
     "courses": """
         SELECT * FROM part JOIN supplier
         ON s_suppkey = p_partkey % (SELECT count(*) FROM supplier)""",
+    "part_columns": """
+        SELECT *, CASE WHEN p_size > 25 THEN p_type END AS large_type FROM courses""",
     "lines": """
         SELECT DISTINCT o_custkey, l_partkey, CAST(o_orderdate AS DATE) AS order_date,
                o_orderpriority, o_orderstatus
@@ -317,12 +322,6 @@ def _sat_sql(hk: str, bk: str, one: str, one_as: str, two: str, two_as: str,
         FROM stg"""
 
 
-def _counts(tables: dict[str, str]) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {source}"
-        for name, source in tables.items())
-
-
 def _dependency(source: str, x: str, y: str) -> str:
     return f"""
         SELECT '{x}' AS determinant, '{y}' AS dependent, count(*) AS n_values,
@@ -394,7 +393,44 @@ BODIES: dict[str, str] = {
     "scd2_part": f"SELECT {_COURSE} FROM course_dim",
     "scd2_idempotent": f"SELECT {_STUDENT} FROM student_dim",
     "scd2_same_day": f"SELECT *, {_FIRST_PERIOD} FROM student_same",
+    "scd2_late": """
+        SELECT d.student_sk, s.student_email, s.student_name, s.student_phone, c.city_sk,
+               CAST(d.valid_from AS VARCHAR) AS valid_from
+        FROM stu1 s JOIN city_dim c ON s.student_city = c.city_name AND c.is_current
+        JOIN student_dim d ON d.student_email = s.student_email AND d.is_current
+        WHERE d.valid_from > DATE '1997-06-30'
+          AND (s.student_name IS DISTINCT FROM d.student_name
+               OR s.student_phone IS DISTINCT FROM d.student_phone
+               OR c.city_sk IS DISTINCT FROM d.city_sk)""",
     "dimension_store": f"SELECT {_CITY} FROM city_dim",
+    "store_cascade": """
+        SELECT CAST(student_email AS VARCHAR) AS student_email, student_name, student_phone,
+               city_name, region_name, CAST(s.valid_from AS VARCHAR) AS valid_from,
+               CAST(s.valid_to AS VARCHAR) AS valid_to, s.is_current
+        FROM student_dim s JOIN city_dim USING (city_sk)""",
+    "contract_violations": """
+        SELECT 'student_3nf_scd2' AS table_name, rule, n_rows FROM (
+            SELECT 'key' AS rule, 0 AS n_rows
+            UNION ALL SELECT 'unique student_email,valid_from', 0
+            UNION ALL SELECT 'length', 0
+            UNION ALL SELECT 'one current', count(*) FROM (
+                SELECT student_email FROM (SELECT student_email FROM student_v1
+                                           UNION ALL SELECT student_email FROM student_opened)
+                GROUP BY student_email HAVING count(*) > 1)
+            UNION ALL SELECT 'required', count(*) FROM (
+                SELECT student_phone FROM student_v1
+                UNION ALL SELECT student_phone FROM student_opened) WHERE student_phone IS NULL
+            UNION ALL SELECT 'reference city_sk', count(DISTINCT city_sk) FROM (
+                SELECT city_sk FROM student_v1 UNION ALL SELECT city_sk FROM student_opened)
+                WHERE city_sk NOT IN (SELECT city_sk FROM city_dim WHERE region_name <> 'AMERICA'))
+        UNION ALL SELECT 'course_3nf', 'key', 0
+        UNION ALL SELECT 'course_3nf', 'length', 0
+        UNION ALL SELECT 'course_3nf', 'fits course_price', count(*) FROM cou1
+            WHERE course_category = 'PROMO'""",
+    "parse_rejects": """
+        SELECT course_name || '|PROMO|n/a' AS course_info, 'course_price' AS unreadable,
+               count(*) AS n_rows
+        FROM nf1 WHERE course_category = 'PROMO' GROUP BY course_name""",
     "dim_history": f"SELECT {_STUDENT} FROM student_dim ORDER BY student_email, valid_from",
     "dim_as_of": f"""
         SELECT {_STUDENT} FROM student_dim
@@ -406,15 +442,6 @@ BODIES: dict[str, str] = {
                payment_status, student_email, course_name
         FROM fact_then f JOIN student_dim s ON f.student_sk = s.student_sk
         JOIN course_dim c ON f.course_sk = c.course_sk""",
-    "relational_layers": _counts({
-        "courses_1nf": "nf1", "student_2nf": "student2", "course_2nf": "course2",
-        "orders_2nf": "orders2", "cities_3nf": "city3", "student_3nf": "student3",
-        "teachers_3nf": "teacher3", "course_3nf": "course3",
-        "payment_methods_3nf": "method3", "payment_statuses_3nf": "status3",
-        "orders_3nf": "orders3", "payment_methods_3nf_ref": "method3",
-        "payment_statuses_3nf_ref": "status3", "cities_3nf_scd2": "city3",
-        "student_3nf_scd2": "student3", "teachers_3nf_scd2": "teacher3",
-        "courses_3nf_scd2": "course3", "orders_3nf_fact": "orders3"}),
     "hub_customer": _hub_sql("hk_customer", "customer_id"),
     "hub_order": _hub_sql("hk_order", "order_id"),
     "hub_product": _hub_sql("hk_product", "product_id"),
@@ -530,6 +557,11 @@ BODIES: dict[str, str] = {
         _dependency("stu_all1", x, y) for x, y in (
             ("student_city", "student_region"), ("student_region", "student_city"),
             ("student_phone", "student_city"), ("student_name", "student_phone"))),
+    "dq_dependencies": " UNION ALL ".join(f"""
+        SELECT '{x}' AS determinant, '{y}' AS dependent, count(*) AS n_values
+        FROM (SELECT x, count(*) AS n FROM (SELECT DISTINCT {x} AS x, {y} AS y FROM part_columns)
+              GROUP BY x) HAVING max(n) = 1"""
+        for x in _PART_COLUMNS for y in _PART_COLUMNS if x != y),
     "dq_chain": f"""
         SELECT student_email, student_sk, {_days("valid_from", "valid_to")},
                CAST(nxt AS VARCHAR) AS next_valid_from, problem
@@ -603,5 +635,38 @@ BODIES["vault_layers"] = BODIES["vault_stream_layers"] = BODIES["vault_increment
     "sat_order_product": "hk_order_product_link"})
 
 
+def _layer(name: str, source: str, *columns: str) -> str:
+    """Rows of a table, and a sum over digests of its business columns in order of their names."""
+    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+    return (f"SELECT '{name}' AS table_name, count(*) AS n_rows, "
+            f"{_digits(f'md5(concat_ws({chr(39)}|{chr(39)}, {texts}))')} AS contents FROM {source}")
+
+
+_COURSE_2 = ("course_category", "course_name", "course_price")
+_STUDENT_2 = ("student_email", "student_name", "student_phone")
+_ORDER_2 = ("course_name", "order_date", "payment_method", "payment_status", "student_email")
+_TEACHER = ("teacher_email", "teacher_name")
+BODIES["relational_layers"] = " UNION ALL ".join([
+    _layer("courses_1nf", "nf1", *_COURSE_2, "order_date", "payment_method", "payment_status",
+           "student_city", *_STUDENT_2, "student_region", *_TEACHER),
+    _layer("student_2nf", "student2", "student_city", *_STUDENT_2, "student_region"),
+    _layer("course_2nf", "course2", *_COURSE_2, *_TEACHER),
+    _layer("orders_2nf", "orders2", *_ORDER_2),
+    _layer("cities_3nf", "city3", "student_city", "student_region"),
+    _layer("student_3nf", "student3", "student_city", *_STUDENT_2),
+    _layer("teachers_3nf", "teacher3", *_TEACHER),
+    _layer("course_3nf", "course3", *_COURSE_2, "teacher_email"),
+    _layer("payment_methods_3nf", "method3", "payment_method"),
+    _layer("payment_statuses_3nf", "status3", "payment_status"),
+    _layer("orders_3nf", "orders3", *_ORDER_2),
+    _layer("payment_methods_3nf_ref", "method3", "payment_method"),
+    _layer("payment_statuses_3nf_ref", "status3", "payment_status"),
+    _layer("cities_3nf_scd2", "city3", "student_city", "student_region"),
+    _layer("student_3nf_scd2", "student3", *_STUDENT_2),
+    _layer("teachers_3nf_scd2", "teacher3", *_TEACHER),
+    _layer("courses_3nf_scd2", "course3", *_COURSE_2),
+    _layer("orders_3nf_fact", "orders3", "order_date", "payment_method", "payment_status")])
+
+
 def expected_sql() -> dict[str, str]:
     return {name: _statement(body) for name, body in BODIES.items()}

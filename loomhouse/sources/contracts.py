@@ -50,6 +50,9 @@ class Contract:
     def lengths(self) -> dict[str, int]:
         return {c.name: c.length for c in self.columns if c.length}
 
+    def numbers(self) -> dict[str, T.DecimalType]:
+        return {c.name: c.type for c in self.columns if isinstance(c.type, T.DecimalType)}
+
     def required(self) -> list[str]:
         return [c.name for c in self.columns if c.required]
 
@@ -295,6 +298,11 @@ def conform(df: DataFrame, contract: Contract, beside: Sequence[str] = ()) -> Da
     return df.select(*columns, *beside)
 
 
+def _always_fits(kind: T.DataType, declared: T.DecimalType) -> bool:
+    return (isinstance(kind, T.DecimalType) and kind.scale <= declared.scale
+            and kind.precision - kind.scale <= declared.precision - declared.scale)
+
+
 def violations(tables: Mapping[str, DataFrame], name: str) -> dict[str, DataFrame]:
     """One DataFrame of offending rows per declared rule of a table."""
     contract, df = TABLES[name], tables[name]
@@ -309,6 +317,11 @@ def violations(tables: Mapping[str, DataFrame], name: str) -> dict[str, DataFram
         found["required"] = checks.missing_values(df, contract.required())
     if contract.lengths():
         found["length"] = checks.oversize_values(df, contract.lengths())
+    for column, kind in contract.numbers().items():
+        # A number of a narrower type need not be tried row by row.
+        if column in df.columns and not _always_fits(df.schema[column].dataType, kind):
+            found[f"fits {column}"] = checks.overflowing_numbers(
+                df, column, kind.precision, kind.scale)
     for column, (parent, parent_column) in contract.references.items():
         if parent in tables:
             found[f"reference {column}"] = checks.orphans(

@@ -1,12 +1,16 @@
 """A versioned dimension on plain Parquet folders.
 
-    <root>/current/version=N/   all current versions after refresh N
-    <root>/closed/version=N/    the versions that refresh N ended
-
-A refresh reads the current versions, appends what it closed as a new folder and writes
-the next current folder last. That folder's success marker commits the refresh: readers
-take the newest marked N and history up to it. A refresh that died leaves no marker and
-its folders are simply written again. History is never rewritten.
+    <root>/current/version=N/part=K/   current versions that refresh N wrote, by key
+    <root>/closed/version=N/           the versions that refresh N ended
+    <root>/commits/version=N/          which version holds each part after refresh N
+
+Keys are dealt into a fixed number of parts by their hash. A refresh joins the source once
+with the current versions, appends what it closed as a new folder, rewrites only the parts in
+which a key changed or is new, and writes the list of parts last. That folder's success marker
+commits the refresh: readers take the newest marked list, the files it names, and history up to
+it. Parts that no key touched keep their files. A refresh that died leaves no marker and its
+folders are simply written again. History is never rewritten; of the current folders the last
+`RETAINED` states stay, for readers that still use them.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.scd2 import (
+    CHANGED,
     Dimension,
     Parent,
     closed_versions,
@@ -29,39 +34,68 @@ from ..operators.scd2 import (
     scd2_init,
     with_parent_sk,
 )
-from .files import child_names, path_exists
-from .staging import at_once, staging_scope
+from .files import child_names, delete_folder, path_exists
+from .staging import at_once, stage, stage_sized, staging_scope
+
+#: Stored bytes of a part at the first load, and at most so many parts.
+PART_BYTES = 32 << 20
+MOST_PARTS = 4096
+#: Committed states whose files are kept.
+RETAINED = 2
+
+_PART = "_part"
+_COMMIT = "part int, held_by int, parts int"
 
 
 class DimensionStore:
-    def __init__(self, spark: SparkSession, root: str, spec: Dimension, schema: T.StructType):
+    """`parts` settles the number of parts at the first load; without, the bytes loaded do."""
+
+    def __init__(self, spark: SparkSession, root: str, spec: Dimension, schema: T.StructType,
+                 parts: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
         self.schema = T.StructType([schema[c] for c in spec.columns])
+        self.parts = parts
 
-    def _current_path(self, version: int) -> str:
-        return f"{self.root}/current/version={version}"
+    def _current_path(self, version: int, part: int | None = None) -> str:
+        path = f"{self.root}/current/version={version}"
+        return path if part is None else f"{path}/{_PART}={part}"
 
     def _closed_path(self, version: int) -> str:
         return f"{self.root}/closed/version={version}"
 
+    def _commit_path(self, version: int) -> str:
+        return f"{self.root}/commits/version={version}"
+
+    def _versions(self, kind: str) -> list[int]:
+        """Numbers of the folders of a kind, newest first."""
+        return sorted((int(n.split("=")[1]) for n in child_names(self.spark, f"{self.root}/{kind}")
+                       if n.startswith("version=")), reverse=True)
+
     def committed(self) -> int:
         """Number of the newest complete refresh, 0 before the first load."""
-        names = child_names(self.spark, f"{self.root}/current")
-        numbers = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
-        marked = [n for n in numbers
-                  if path_exists(self.spark, f"{self._current_path(n)}/_SUCCESS")]
-        return max(marked, default=0)
+        return next((n for n in self._versions("commits")
+                     if path_exists(self.spark, f"{self._commit_path(n)}/_SUCCESS")), 0)
+
+    def _held(self, version: int) -> tuple[dict[int, int], int]:
+        """The version that holds each part after a refresh, and the number of parts."""
+        rows = self.spark.read.schema(_COMMIT).parquet(self._commit_path(version)).collect()
+        return {r["part"]: r["held_by"] for r in rows if r["part"] >= 0}, rows[0]["parts"]
+
+    def _read_parts(self, held: Mapping[int, int]) -> DataFrame:
+        paths = [self._current_path(v, k) for k, v in sorted(held.items())]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def current(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(
-            self._current_path(self.committed()))
+        return self._read_parts(self._held(self.committed())[0])
 
     def read(self) -> DataFrame:
         """Every version, current and closed."""
         version = self.committed()
-        current = self.spark.read.schema(self.schema).parquet(self._current_path(version))
+        current = self._read_parts(self._held(version)[0])
         if not path_exists(self.spark, f"{self.root}/closed"):
             return current
         numbered = T.StructType([*self.schema.fields, T.StructField("version", T.IntegerType())])
@@ -81,17 +115,69 @@ class DimensionStore:
                            for c in (self.spec.bk, *self.spec.attrs)])
         with staging_scope(self.spark):
             if version == 0:
-                self._write(scd2_init(src, self.spec, as_of), self._current_path(1))
-                return
-            current = self.current()
-            delta = scd2_delta(src, current, self.spec, as_of, closed_only=False)
-            self._write(closed_versions(delta, self.spec, as_of), self._closed_path(version + 1))
+                self._first(src, as_of)
+            else:
+                self._next(src, as_of, version)
+        self._drop_unused()
+
+    def _first(self, src: DataFrame, as_of: dt.date | str) -> None:
+        loaded, size = stage_sized(scd2_init(src, self.spec, as_of), "first")
+        parts = min(self.parts or -(-size // PART_BYTES) or 1, MOST_PARTS)
+        held = dict.fromkeys(self._write_current(loaded, 1, parts), 1)
+        self._commit(1, held, parts)
+
+    def _next(self, src: DataFrame, as_of: dt.date | str, version: int) -> None:
+        held, parts = self._held(version)
+        delta = stage(scd2_delta(src, self._read_parts(held), self.spec, as_of,
+                                 closed_only=False).withColumn(_PART, self._part(parts)), "delta")
+        # One row for each part and kind at most.
+        touched = delta.groupBy(_PART, "_kind").count().collect()
+        delete_folder(self.spark, self._closed_path(version + 1))  # of a refresh that died
+        if any(r["_kind"] == CHANGED for r in touched):
+            closed = closed_versions(delta, self.spec, as_of).select(*self.spec.columns)
+            closed.write.mode("overwrite").parquet(self._closed_path(version + 1))
+        keys = {r[_PART] for r in touched}
+        if keys:
+            current = self._read_parts({k: v for k, v in held.items() if k in keys})
             following = kept_versions(current, delta, self.spec).unionByName(
                 opened_versions(delta, self.spec, as_of))
-            self._write(following, self._current_path(version + 1))
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        df.select(*self.spec.columns).write.mode("overwrite").parquet(path)
+            held |= dict.fromkeys(self._write_current(following, version + 1, parts), version + 1)
+        self._commit(version + 1, held, parts)
+
+    def _part(self, parts: int):
+        return F.pmod(F.xxhash64(F.col(self.spec.bk).cast("string")), F.lit(parts)).cast("int")
+
+    def _write_current(self, df: DataFrame, version: int, parts: int) -> list[int]:
+        """Write by parts; which of them have rows."""
+        (df.select(*self.spec.columns, self._part(parts).alias(_PART)).hint("rebalance", _PART)
+         .write.mode("overwrite").partitionBy(_PART).parquet(self._current_path(version)))
+        return [int(n.split("=")[1]) for n in child_names(self.spark, self._current_path(version))
+                if n.startswith(f"{_PART}=")]
+
+    def _commit(self, version: int, held: Mapping[int, int], parts: int) -> None:
+        # A row without a part tells the number of parts of an empty dimension, too.
+        rows = [(-1, 0, parts), *((k, v, parts) for k, v in held.items())]
+        (self.spark.createDataFrame(rows, _COMMIT).coalesce(1)
+         .write.mode("overwrite").parquet(self._commit_path(version)))
+
+    def _drop_unused(self) -> None:
+        """Delete lists of parts but the newest ones, and current files that these do not name."""
+        newest = self.committed()
+        listed = [n for n in self._versions("commits") if n <= newest]
+        for n in listed[RETAINED:]:
+            delete_folder(self.spark, self._commit_path(n))
+        used = {(v, k) for n in listed[:RETAINED] for k, v in self._held(n)[0].items()}
+        for version in self._versions("current"):
+            if version > newest:
+                continue
+            parts = [n for n in child_names(self.spark, self._current_path(version))
+                     if n.startswith(f"{_PART}=")]
+            unused = [n for n in parts if (version, int(n.split("=")[1])) not in used]
+            if len(unused) == len(parts):
+                delete_folder(self.spark, self._current_path(version))
+                continue
+            for n in unused:
+                delete_folder(self.spark, f"{self._current_path(version)}/{n}")
 
 
 def refresh_stores(stores: Mapping[str, DimensionStore], sources: Mapping[str, DataFrame],

@@ -1,4 +1,4 @@
-"""File sources and append sinks."""
+"""Files, folders and append sinks."""
 
 from __future__ import annotations
 
@@ -8,27 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Stands for a missing value while reading: it cannot occur in text.
-_MISSING = "\u0000"
-
-
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType,
-                 sep: str = ",", multi_line: bool = False) -> DataFrame:
-    """Header CSV, UTF-8, quotes doubled inside quotes.
-
-    Nothing between separators is NULL, "" is an empty string. A row that does not fit
-    the schema fails the read. Files are split between tasks, and a line break inside
-    quotes is an error; `multi_line` allows it, and then a file is one task.
-    """
-    return (spark.read.schema(schema)
-            .option("header", True).option("sep", sep)
-            .option("quote", '"').option("escape", '"')
-            .option("multiLine", multi_line).option("mode", "FAILFAST")
-            .option("nullValue", _MISSING).option("emptyValue", "")
-            .option("encoding", "UTF-8").option("dateFormat", "yyyy-MM-dd")
-            .csv(path))
-
-
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """A table written out in code, for fixtures and small references."""
     return spark.createDataFrame(list(rows), schema)

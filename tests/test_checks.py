@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 from frames import by_key, rows
+from pyspark.sql import functions as F
 
 from loomhouse.operators import checks
 
@@ -65,3 +66,25 @@ def test_chain_problems(spark):
     assert by_key(checks.chain_breaks(dim, "k", "sk"), "sk", "problem") == {
         3: "gap", 5: "overlap", 7: "unended", 8: "inverted", 10: "overlap"}
     assert rows(checks.several_current(dim, "k")) == [("two", 2)]
+
+
+def test_dependencies_are_ruled_out_by_sketches_and_confirmed_exactly(spark):
+    df = spark.range(20_000).select(
+        "id", (F.col("id") % 500).alias("g"), F.floor(F.col("id") % 500 / 10).alias("h"),
+        F.when(F.col("id") % 500 < 250, F.lit("a")).alias("half"),
+        # Broken by a single row, which no sketch can see.
+        F.when(F.col("id") == 77, F.lit(-1)).otherwise(F.col("id") % 500).alias("almost"))
+    columns = df.columns
+    rows_ = df.collect()
+    want = {}
+    for x in columns:
+        for y in columns:
+            if x != y and len({(r[x], r[y]) for r in rows_}) == len({r[x] for r in rows_}):
+                want[x, y] = len({r[x] for r in rows_})
+    found = checks.dependencies(df, columns)
+    assert {(r["determinant"], r["dependent"]): r["n_values"] for r in found.collect()} == want
+    assert ("g", "h") in want and ("g", "half") in want and ("g", "almost") not in want
+    tried = checks.possible_dependencies(df, columns)
+    assert ("g", "almost") in tried and ("h", "g") not in tried and ("g", "id") not in tried
+    empty = checks.dependencies(df.limit(0), ["g", "h"])
+    assert empty.columns == found.columns and empty.count() == 0

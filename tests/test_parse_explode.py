@@ -11,7 +11,8 @@ from loomhouse.operators.explode import explode_by_index, explode_zip, list_leng
 from loomhouse.operators.parse import Piece, parse_composite, parse_rejects
 from loomhouse.plans.relational import ORDER_LINE, to_1nf
 from loomhouse.sources.contracts import RAW
-from loomhouse.sources.files import append_absent, literal_rows, path_exists, read_raw_csv
+from loomhouse.sources.files import append_absent, literal_rows, path_exists
+from loomhouse.sources.raw_csv import read_raw_csv
 from loomhouse.sources.staging import drop_staged, stage, staged_folder
 
 LISTS = ["courses", "professors", "grades"]

@@ -14,6 +14,7 @@ from loomhouse.operators.scd2 import (
     dim_as_of,
     scd2_apply,
     scd2_changes,
+    scd2_classify,
     scd2_init,
     scd2_late,
     scd2_new,
@@ -22,7 +23,8 @@ from loomhouse.operators.scd2 import (
 from loomhouse.plans import marts, relational
 from loomhouse.sources.contracts import HISTORY, RAW, TABLES, conform, violations
 from loomhouse.sources.dimension_store import DimensionStore, refresh_stores
-from loomhouse.sources.files import literal_rows
+from loomhouse.sources.files import child_names, literal_rows
+from loomhouse.sources.staging import stage
 
 LOAD = "2024-02-01"
 NEXT = "2024-03-01"
@@ -335,3 +337,53 @@ def test_store_commits_a_refresh_as_one_step(spark, tmp_path):
     assert rows(store.read(), "city_sk", "region_name", "is_current") == [
         (1, "1", False), (2, "1", True), (3, "3", True), (4, "1", True)]
     assert store.read().schema.fieldNames() == HISTORY["cities_3nf_scd2"].names()
+
+
+def many_cities(spark, n, region):
+    return spark.range(n).select(F.concat(F.lit("c"), F.col("id")).alias("city_name"),
+                                 region(F.col("id")).alias("region_name"))
+
+
+def held_files(store):
+    held, parts = store._held(store.committed())
+    return {k: (v, sorted(n for n in child_names(store.spark, store._current_path(v, k))
+                          if n.endswith(".parquet"))) for k, v in held.items()}, parts
+
+
+def test_parts_without_changes_keep_their_files(spark, tmp_path):
+    store = DimensionStore(spark, str(tmp_path / "city"), CITY,
+                           HISTORY["cities_3nf_scd2"].schema(), parts=16)
+    store.refresh(many_cities(spark, 500, lambda i: F.lit("old")), LOAD)
+    before, parts = held_files(store)
+    assert parts == 16 == len(before)
+    changed = many_cities(spark, 502, lambda i: F.when((i == 7) | (i == 8), "new").otherwise("old"))
+    store.refresh(changed, NEXT)
+    after, _ = held_files(store)
+    touched = {k for k in before if after[k] != before[k]}
+    assert 1 <= len(touched) <= 4 and {after[k][0] for k in touched} == {2}
+    again = DimensionStore(spark, store.root, CITY, store.schema)      # parts as first settled
+    plain = scd2_apply(changed, scd2_init(many_cities(spark, 500, lambda i: F.lit("old")),
+                                          CITY, LOAD), CITY, NEXT)
+    assert rows(again.read()) == rows(plain)
+    again.refresh(changed, "2024-09-01")                               # nothing to do
+    assert again.committed() == 3 and held_files(again)[0] == after
+
+
+def test_states_nobody_reads_any_more_are_deleted(spark, tmp_path):
+    store = DimensionStore(spark, str(tmp_path / "city"), CITY,
+                           HISTORY["cities_3nf_scd2"].schema(), parts=2)
+    for n in range(5):
+        store.refresh(many_cities(spark, 20, lambda i: F.lit(f"r{n}")), f"2024-0{n + 1}-01")
+        slow_reader = store.current() if n == 3 else None if n < 3 else slow_reader
+    assert sorted(child_names(spark, f"{store.root}/current")) == ["version=4", "version=5"]
+    assert sorted(child_names(spark, f"{store.root}/commits")) == ["version=4", "version=5"]
+    assert {r["region_name"] for r in slow_reader.collect()} == {"r3"}
+    assert store.read().count() == 100
+
+
+def test_a_refresh_joins_current_versions_once(spark):
+    old = stage(scd2_init(many_cities(spark, 300, lambda i: F.lit("old")), CITY, LOAD))
+    new = many_cities(spark, 300, lambda i: F.when(i % 3 == 0, "new").otherwise("old"))
+    plan = scd2_classify(new, old, CITY, NEXT, closed_only=False)._jdf.queryExecution(
+        ).optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Join FullOuter" in plan
