@@ -13,6 +13,10 @@ import numpy as np
 
 from .common import FIRST
 
+#: Letters hashed at a time.
+SLICE = 1 << 18
+
+
 def _classes(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether each suffix is S, and the leftmost S places (first place excluded)."""
     n = len(text)
@@ -114,6 +118,39 @@ def _order_of_names(names: np.ndarray, enough: int) -> np.ndarray:
     return np.argsort(names, kind="stable")
 
 
+def _substring_values(text: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and size of the substrings from each leftmost S place to the next one, inclusive."""
+    stop = np.append(left[1:] + 1, len(text))
+    values, low = np.empty(len(left), np.uint64), 0
+    while low < len(left):
+        high = max(low + 1, int(np.searchsorted(stop, left[low] + SLICE, "right")))
+        begin, end = left[low], stop[high - 1]
+        letters = text[begin:end].astype(np.uint64)
+        letters = FIRST.letters[letters & np.uint64(255)] + (letters << np.uint64(20))
+        values[low:high] = FIRST.spans(letters, left[low:high] - begin, stop[low:high] - begin)
+        low = high
+    return values, stop - left
+
+
+def _named(text: np.ndarray, small: np.ndarray, left: np.ndarray, starts: np.ndarray,
+           ends: np.ndarray) -> np.ndarray:
+    """Names of the substrings that begin at the leftmost S places, in order of the text."""
+    # Letters first: induction from any order of the leftmost S places puts their substrings
+    # in order.
+    rough = _induce(text, small, left[np.argsort(text[left], kind="stable")], starts, ends)
+    is_left = np.zeros(len(text), bool)
+    is_left[left] = True
+    found = np.searchsorted(left, rough[is_left[rough]])
+    del rough, is_left
+    value, size = _substring_values(text, left)
+    value, size = value[found], size[found]
+    fresh = np.zeros(len(found), bool)
+    fresh[1:] = (value[1:] != value[:-1]) | (size[1:] != size[:-1])
+    names = np.empty(len(left), np.int64)
+    names[found] = np.cumsum(fresh)
+    return names
+
+
 def suffix_order(text: np.ndarray, enough: int) -> np.ndarray:
     """Order of all suffixes of `text` (small integers).
 
@@ -130,28 +167,10 @@ def suffix_order(text: np.ndarray, enough: int) -> np.ndarray:
     starts = ends - counts
     small, left = _classes(text)
     if not len(left):
-        return _induce(text, small, np.zeros(0, np.int64), starts, ends)[1:]
-    # Letters first: induction from any order of the leftmost S places puts their substrings
-    # in order.
-    by_letter = left[np.argsort(text[left], kind="stable")]
-    rough = _induce(text, small, by_letter, starts, ends)
-    is_left = np.zeros(n, bool)
-    is_left[left] = True
-    found = rough[is_left[rough]]
-    stops = np.full(n, n, np.int64)
-    stops[left] = np.append(left[1:] + 1, n)
-    stop = stops[found]
-    value = FIRST.spans(FIRST.letters[text & 255] + (text.astype(np.uint64) << np.uint64(20)),
-                        found, stop)
-    size = stop - found
-    fresh = np.ones(len(found), bool)
-    fresh[1:] = (value[1:] != value[:-1]) | (size[1:] != size[:-1])
-    name = np.empty(n, np.int64)
-    name[found] = np.cumsum(fresh) - 1
-    names = name[left]
+        return _induce(text, small, np.zeros(0, np.int32), starts, ends)[1:]
     # Each name stands for two letters at least (an S place, then an L place).
-    ordered = left[_order_of_names(names, enough)]
-    return _induce(text, small, ordered, starts, ends)[1:]
+    ordered = left[_order_of_names(_named(text, small, left, starts, ends), enough)]
+    return _induce(text, small, ordered.astype(np.int32), starts, ends)[1:]
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -163,33 +182,32 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     letters at a time.
     """
     n = len(text)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
-    counted = np.zeros(n, np.int64)
-    fixed = before < 0
-    inner = np.arange(n) > 0
-    both = inner & ~fixed & (before > 0)
-    follows = np.zeros(n, bool)
-    at = np.flatnonzero(both)
     # The neighbour of the previous place must be the place before this neighbour.
-    follows[at] = (text[at - 1] == text[before[at] - 1]) & (before[at - 1] == before[at] - 1)
-    todo = np.flatnonzero(~follows & ~fixed)
-    padded = np.concatenate([text.astype(np.uint64), np.zeros(8, np.uint64)])
-    eight = np.zeros(n, np.uint64)
-    for k in range(8):
-        eight = (eight << np.uint64(8)) | padded[k:k + n]
-    live, shift = todo, 0
+    follows = np.zeros(n, bool)
+    follows[1:] = (before[1:] > 0) & (before[:-1] == before[1:] - 1)
+    at = np.flatnonzero(follows)
+    follows[at] = text[at - 1] == text[before[at] - 1]
+    live = np.flatnonzero(~follows & (before >= 0))
+    del at
+    # The eight letters from every place, read where they lie.
+    padded = np.concatenate([text.astype(np.uint8), np.zeros(8, np.uint8)])
+    eight = np.ndarray((n + 1,), ">u8", padded, strides=(1,))
+    counted, shift = np.zeros(n, np.int32), 0
     while len(live):
-        a, b = live + shift, before[live] + shift
-        live = live[(a < n) & (b < n)]
-        a, b = live + shift, before[live] + shift
-        differs = eight[a] ^ eight[b]
-        same = np.zeros(len(live), np.int64)
+        other = before[live] + shift
+        inside = (live + shift < n) & (other < n)
+        live, other = live[inside], other[inside]
+        differs = eight[live + shift].astype(np.uint64) ^ eight[other].astype(np.uint64)
+        same = np.zeros(len(live), np.int32)
         for k in range(8):
             same += differs < np.uint64(1 << (8 * k))
         # Nothing is shared beyond the end of the text.
-        same = np.minimum(same, n - np.maximum(a, b))
+        same = np.minimum(same, n - np.maximum(live + shift, other)).astype(np.int32)
         counted[live] += same
         live, shift = live[same == 8], shift + 8
-    base = np.maximum.accumulate(np.where(follows, 0, np.arange(n)))
-    return counted[base] - (np.arange(n) - base)
+    places = np.arange(n, dtype=np.int32)
+    base = np.maximum.accumulate(np.where(follows, np.int32(0), places))
+    places -= base
+    return counted[base] - places

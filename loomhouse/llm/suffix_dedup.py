@@ -36,11 +36,12 @@ from .suffix_array import common_prefixes, suffix_order
 
 LENGTH = 100
 GRAM = 32
-#: An anchor with so many runs gets no bucket of its own.
-OFTEN = 200_000
-#: Stored bytes of text for each bucket of step 1, and bytes of strings for each shard.
+#: Stored bytes of text for each bucket of step 1, and bytes of strings for each shard, whose
+#: suffix array takes about 30 times as many.
 BUCKET_BYTES = 16 << 20
 SHARD_BYTES = 6 << 20
+#: An anchor with so many runs, as many as fill a shard, gets no bucket of its own.
+OFTEN = SHARD_BYTES // (LENGTH + GRAM)
 #: Ends a string in a shard: no byte of UTF-8.
 END = 255
 
@@ -226,19 +227,20 @@ def _shard_sorter(length):
             [np.frombuffer(b["place"], np.int64).reshape(3, -1) for b in blocks], 1)
         del blocks
         order = suffix_order(text, length)
-        shared = common_prefixes(text, order)
-        # Longer equal stretches than a string may run on into the next one.
+        group = np.cumsum((common_prefixes(text, order) < length)[order], dtype=np.int32)
+        # Longer equal stretches than a string may run on into the next one: a string fits
+        # where its own text has `length` letters left.
         string_end = np.flatnonzero(text == END)
-        string = np.repeat(np.arange(len(string_end)),
-                           np.diff(np.concatenate([[-1], string_end])))
-        fits = np.arange(len(text)) + length <= string_end[string]
-        group = np.cumsum(shared[order] < length)
-        keep = fits[order]
-        at, group = order[keep].astype(np.int64), group[keep]
-        several = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
-        at, group = at[several], group[several]
         begin = np.concatenate([[0], string_end[:-1] + 1])
-        owner = string[at]
+        edges = np.zeros(len(text) + 1, np.int8)
+        edges[np.maximum(begin, string_end - length + 1)] = 1
+        edges[string_end + 1] -= 1
+        keep = (np.cumsum(edges[:-1], dtype=np.int8) == 0)[order]
+        at, group = order[keep], group[keep]
+        del order, keep, edges
+        several = (np.bincount(group) > 1)[group] if len(group) else np.zeros(0, bool)
+        at, group = at[several].astype(np.int64), group[several]
+        owner = np.searchsorted(string_end, at)
         place = first[owner] + at - begin[owner]
         by = np.lexsort((place, doc[owner], group))
         group, owner, place = group[by], owner[by], place[by]
