@@ -166,12 +166,12 @@ def _numbered(classified: DataFrame, spec: Dimension, highest: int) -> DataFrame
 
 
 def scd2_delta(src: DataFrame, dim: DataFrame, spec: Dimension, as_of: dt.date | str,
-               closed_only: bool = True) -> DataFrame:
+               closed_only: bool = True, highest: int | None = None) -> DataFrame:
     """The change set of a refresh, computed and written once: the keys that change, with the
     surrogate key of the resulting version. Closing and opening both read this one table, so
-    they cannot disagree."""
+    they cannot disagree. New surrogate keys follow `highest`, by default the largest of `dim`."""
     found = scd2_classify(src, dim, spec, as_of, closed_only, "left")
-    return _numbered(found, spec, highest_sk(dim, spec.sk))
+    return _numbered(found, spec, highest_sk(dim, spec.sk) if highest is None else highest)
 
 
 def opened_versions(delta: DataFrame, spec: Dimension, as_of: dt.date | str) -> DataFrame:
@@ -237,6 +237,16 @@ def with_parent_sk(src: DataFrame, parent: DataFrame, parent_spec: Dimension,
                       {parent_spec.sk: parent_spec.sk})
 
 
+def rekeyed(children: DataFrame, spec: Dimension, parent_sk: str, changes: DataFrame
+            ) -> DataFrame:
+    """Of current children those that point to a changed parent version, as a source with the
+    new one. `changes` has `old_sk` and `new_sk` of parents; while it is small it is broadcast,
+    and the children are only scanned."""
+    moved = children.join(changes, F.col(parent_sk) == F.col("old_sk"))
+    return moved.select(spec.bk, *[F.col("new_sk").alias(a) if a == parent_sk else F.col(a)
+                                   for a in spec.attrs])
+
+
 def parents_first(names: Iterable[str], parents: Mapping[str, Sequence[Parent]]
                   ) -> list[list[str]]:
     """Groups of dimensions such that the parents of each are in an earlier group."""

@@ -249,12 +249,24 @@ def dimension_store(spark, folder):
 def store_cascade(spark, folder):
     """Students refreshed in their store after the cities they point to, with the region that
     each version points to."""
+    return _stored_students(spark, folder, [CITIES, STUDENTS])
+
+
+def store_follow(spark, folder):
+    """The same where the second delivery has cities only: the students of those that changed
+    follow."""
+    return _stored_students(spark, folder, [CITIES])
+
+
+def _stored_students(spark, folder, second_delivery):
     stores = {n: DimensionStore(spark, staged_path(spark, n), relational.DIMENSIONS[n],
                                 HISTORY[n].schema(), STORE_PARTS)
               for n in (CITIES, STUDENTS)}
     for second, day in ((False, FIRST_LOAD), (True, SECOND_LOAD)):
-        nf2 = views.snapshot(spark, folder, second, ["student_2nf"])
-        refresh_stores(stores, relational.dimension_sources(nf2), relational.PARENTS, day)
+        sources = relational.dimension_sources(views.snapshot(spark, folder, second,
+                                                              ["student_2nf"]))
+        given = second_delivery if second else [CITIES, STUDENTS]
+        refresh_stores(stores, {n: sources[n] for n in given}, relational.PARENTS, day)
     cities = stores[CITIES].read().select("city_sk", "city_name", "region_name")
     return stores[STUDENTS].read().join(cities, "city_sk").drop("city_sk", "student_sk")
 
@@ -662,6 +674,7 @@ CATALOG: dict[str, Query] = {
     "scd2_late": late_changes,
     "dimension_store": dimension_store,
     "store_cascade": store_cascade,
+    "store_follow": store_follow,
     "contract_violations": broken_contracts,
     "parse_rejects": unreadable_lines,
     "dim_history": student_history,

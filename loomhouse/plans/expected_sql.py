@@ -408,6 +408,17 @@ BODIES: dict[str, str] = {
                city_name, region_name, CAST(s.valid_from AS VARCHAR) AS valid_from,
                CAST(s.valid_to AS VARCHAR) AS valid_to, s.is_current
         FROM student_dim s JOIN city_dim USING (city_sk)""",
+    "store_follow": f"""
+        SELECT CAST(student_email AS VARCHAR) AS student_email, student_name, student_phone,
+               city_name, region_name, '{FIRST_LOAD}' AS valid_from,
+               CAST(c.valid_to AS VARCHAR) AS valid_to, c.is_current
+        FROM student_v1 s JOIN city_closed c USING (city_sk)
+        UNION ALL
+        SELECT CAST(student_email AS VARCHAR), student_name, student_phone, n.city_name,
+               n.region_name, '{SECOND_LOAD}', CAST(n.valid_to AS VARCHAR), true
+        FROM student_v1 s JOIN city_closed c USING (city_sk)
+        JOIN city_opened n ON n.city_name = c.city_name
+        WHERE NOT c.is_current""",
     "contract_violations": """
         SELECT 'student_3nf_scd2' AS table_name, rule, n_rows FROM (
             SELECT 'key' AS rule, 0 AS n_rows
