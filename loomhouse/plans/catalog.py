@@ -401,11 +401,19 @@ def _hub(name: str) -> Query:
     return lambda spark, folder: vault.hub(views.staged_orders(spark, folder), name, FIRST_BATCH)
 
 
+def _staged(spark, folder, *columns: str) -> DataFrame:
+    """Staging rows with the columns a query needs, written once for its several readers."""
+    return stage(views.staged_orders(spark, folder).select(*columns), "stg_orders")
+
+
+LINE_COLUMNS = ("order_id", "product_id", "qty", "price", "source_system")
+
+
 def _link(name: str) -> Query:
     """With the existence check against hubs that an earlier load filled."""
     def run(spark, folder):
-        stg = stage(views.staged_orders(spark, folder), "stg_orders")
         ends = vault.LINKS[name][1]
+        stg = _staged(spark, folder, *[vault.HUBS[h][1] for h in ends], "source_system")
         hubs = {h: stage(vault.hub(stg, h, FIRST_BATCH), h) for h in ends}
         return vault.link(stg, name, FIRST_BATCH, hubs=hubs)
     return run
@@ -444,14 +452,14 @@ def vault_increment(spark, folder):
 
 
 def sat_order_product(spark, folder):
-    stg = stage(views.staged_orders(spark, folder), "stg_orders")
+    stg = _staged(spark, folder, *LINE_COLUMNS)
     links = stage(vault.link(stg, "link_order_product", FIRST_BATCH), "links")
     return vault.link_satellite(stg, "sat_order_product", FIRST_BATCH, parent=links)
 
 
 def sat_link_second_batch(spark, folder):
     """Lines of the first orders, then all lines against them."""
-    stg = stage(views.staged_orders(spark, folder), "stg_orders")
+    stg = _staged(spark, folder, *LINE_COLUMNS, "load_dts")
     first = stage(vault.link_satellite(views.before_second_load(stg), "sat_order_product",
                                        FIRST_BATCH), "sat")
     return first.unionByName(vault.link_satellite(stg, "sat_order_product", SECOND_BATCH, first))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -88,8 +88,9 @@ def link_satellite(stg: DataFrame, table: str, load_ts: LoadTime,
 
 
 def run_vault(stg: DataFrame, load_ts: LoadTime, existing: Existing | None = None,
-              compare: str = "any", zone_width: int | None = None) -> dict[str, DataFrame]:
-    """The rows one batch adds to each table.
+              compare: str = "any", zone_width: int | None = None,
+              tables: Sequence[str] = TABLES) -> dict[str, DataFrame]:
+    """The rows one batch adds to each of `tables`.
 
     Hubs and links of the same batch hold every key staged with it, so nothing checks
     parents here. `stg` is read once per table and only for its columns: give a stored
@@ -108,7 +109,7 @@ def run_vault(stg: DataFrame, load_ts: LoadTime, existing: Existing | None = Non
         return link_satellite(stg, table, load_ts, old.get(table), compare=compare,
                               zone_width=width)
 
-    return dict(zip(TABLES, at_once(added, TABLES)))
+    return dict(zip(tables, at_once(added, tables)))
 
 
 def load_vault(stg: DataFrame, store: VaultStore, load_ts: LoadTime,

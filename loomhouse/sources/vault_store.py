@@ -1,17 +1,27 @@
-"""Vault tables as append-only Parquet folders, one partition a zone of business keys."""
+"""Vault tables as append-only Parquet folders, by load and zone of business keys.
+
+    <root>/<table>/_load=NAME/_zone=K/
+
+A load is written to a folder of its own, so a load that is repeated under its name replaces
+what a failed attempt left.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.vault import ZONE
 from .contracts import VAULT, conform
-from .files import child_names, make_folder, path_exists
+from .files import child_names, make_folder
 
 #: Whole-number keys that lie in one zone: some ten million bytes of a hub.
 ZONE_WIDTH = 1 << 20
 _WIDTH_MARK = "_zone-width-"
+_LOAD = "_load"
 
 
 class VaultStore:
@@ -29,27 +39,37 @@ class VaultStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def stored(self, table: str) -> DataFrame | None:
-        """The stored table with its zones, None before its first load."""
-        if not path_exists(self.spark, self.path(table)):
+    def loads(self, table: str) -> list[str]:
+        return [n.removeprefix(f"{_LOAD}=") for n in child_names(self.spark, self.path(table))
+                if n.startswith(f"{_LOAD}=")]
+
+    def stored(self, table: str, without: str | None = None) -> DataFrame | None:
+        """The stored table with its zones, None before its first load. Loads whose names begin
+        with `without` are left out and not read."""
+        if not any(without is None or not n.startswith(without) for n in self.loads(table)):
             return None
-        schema = T.StructType([*VAULT[table].schema().fields, T.StructField(ZONE, T.LongType())])
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        schema = T.StructType([*VAULT[table].schema().fields, T.StructField(_LOAD, T.StringType()),
+                               T.StructField(ZONE, T.LongType())])
+        found = self.spark.read.schema(schema).parquet(self.path(table))
+        if without is not None:
+            found = found.filter(~F.col(_LOAD).startswith(without))
+        return found.drop(_LOAD)
 
     def read(self, table: str) -> DataFrame | None:
         found = self.stored(table)
         return None if found is None else found.drop(ZONE)
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        """Append zoned rows. Zones are gathered before they are written, large ones in several
-        files; within a file rows are ordered by hash key, and a bloom filter of the hash keys
-        tells which row groups a few keys cannot be in."""
+    def append(self, table: str, rows: DataFrame, load: str | None = None) -> None:
+        """Add zoned rows as a load, which replaces an earlier one of its name. Zones are gathered
+        before they are written, large ones in several files; within a file rows are ordered
+        by hash key, and a bloom filter of the hash keys tells which row groups a few keys
+        cannot be in."""
         if ZONE not in rows.columns:
             raise ValueError(f"rows of {table} have no zone")
         hk = VAULT[table].columns[0].name
         (conform(rows, VAULT[table], [ZONE]).hint("rebalance", ZONE)
          .sortWithinPartitions(ZONE, hk)
-         .write.mode("append").partitionBy(ZONE)
+         .write.mode("overwrite").partitionBy(ZONE)
          .option(f"parquet.bloom.filter.enabled#{hk}", "true")
          .option("parquet.bloom.filter.adaptive.enabled", "true")
-         .parquet(self.path(table)))
+         .parquet(f"{self.path(table)}/{_LOAD}={load or uuid.uuid4().hex}"))

@@ -1,31 +1,114 @@
-"""Continuous vault loads: the batch load, run on every micro-batch."""
+"""Continuous vault loads.
+
+Two streaming queries over the same source. The first keeps the business keys of all hubs and
+links it has seen in Spark's streaming state and passes on a key once, in the batch that brings
+it: stored hubs and links are not read, however long the stream. The second compares the
+attributes of each batch with the stored satellites, in the zones of its keys. Every batch is
+written as a load of its own name, so a batch that is run again after a failure replaces what
+the first attempt wrote.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.vault import load_vault
+from ..plans import vault
+from ..sources.staging import at_once, stage, staging_scope
 from ..sources.vault_store import VaultStore
 
+ATTRIBUTES = [*vault.SATELLITES, *vault.LINK_SATELLITES]
+
+
+class VaultStream:
+    """The queries of a vault stream, handled as one."""
+
+    def __init__(self, queries: Sequence[StreamingQuery]):
+        self.queries = list(queries)
+
+    def awaitTermination(self) -> None:
+        for query in self.queries:
+            query.awaitTermination()
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()
+
+
+def _key_columns(table: str) -> list[str]:
+    if table in vault.HUBS:
+        return [vault.HUBS[table][1]]
+    return [vault.HUBS[h][1] for h in vault.LINKS[table][1]]
+
+
+def first_seen(staged: DataFrame, source: str = "source_system") -> DataFrame:
+    """(table, one, other, source): the keys of hubs and links in the batch that brings them
+    first, with the least of the source systems that deliver them in it.
+
+    The state holds for each key the time of its first batch: it is new as long as that is the
+    time of its last one, too.
+    """
+    kinds = []
+    for table in [*vault.HUBS, *vault.LINKS]:
+        one, *other = [F.col(c).cast("string") for c in _key_columns(table)]
+        whole = one.isNotNull() & (other[0].isNotNull() if other else F.lit(True))
+        key = F.struct(F.lit(table).alias("table"), one.alias("one"),
+                       (other[0] if other else F.lit(None).cast("string")).alias("other"))
+        kinds.append(F.when(whole, key))
+    keys = staged.select(F.explode(F.array(*kinds)).alias("key"), F.col(source).alias("source"),
+                         F.current_timestamp().alias("seen")).filter("key IS NOT NULL")
+    known = keys.groupBy("key").agg(F.min(F.struct("seen", "source")).alias("first"),
+                                    F.max("seen").alias("seen"))
+    return known.filter(F.col("first.seen") == F.col("seen")).select(
+        "key.*", F.col("first.source").alias("source"))
+
 
 def vault_stream(staged: DataFrame, store: VaultStore, checkpoint: str,
                  load_ts: Callable[[int], dt.datetime | str], compare: str = "any",
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True) -> VaultStream:
     """Load a stream of staged orders; `load_ts` gives the load time of a batch number.
 
-    Loads are insert-only and skip what is stored, so a micro-batch that is run again
-    after a failure completes the first attempt without repeating it.
+    What other loads stored before, or store meanwhile, is respected: batches are compared
+    with it, but not with what this stream, known by its checkpoint, has written of keys.
     """
-    def load(batch: DataFrame, number: int) -> None:
-        if not batch.isEmpty():
-            load_vault(batch, store, load_ts(number), compare)
-
-    writer = (staged.writeStream.foreachBatch(load)
-              .option("checkpointLocation", checkpoint))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    name = "stream-" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def load_keys(batch: DataFrame, number: int) -> None:
+        with staging_scope(store.spark):
+            new = stage(batch, "new_keys", store.spark)
+
+            def load(table: str) -> None:
+                one, *other = _key_columns(table)
+                rows = new.filter(F.col("table") == table).select(
+                    F.col("one").alias(one), *[F.col("other").alias(c) for c in other],
+                    F.col("source").alias("source_system"))
+                make = vault.hub if table in vault.HUBS else vault.link
+                added = make(rows, table, load_ts(number), store.stored(table, name),
+                             zone_width=store.zone_width)
+                store.append(table, added, f"{name}-{number}.")
+
+            for layer in (vault.HUBS, vault.LINKS):
+                at_once(load, layer)
+
+    def load_attributes(batch: DataFrame, number: int) -> None:
+        load = f"{name}-{number}."
+        with staging_scope(store.spark):
+            stored = stage(batch, "stg_orders", store.spark)
+            added = vault.run_vault(stored, load_ts(number),
+                                    {t: store.stored(t, load) for t in ATTRIBUTES}, compare,
+                                    store.zone_width, ATTRIBUTES)
+            at_once(lambda t: store.append(t, added[t], load), ATTRIBUTES)
+
+    def started(rows: DataFrame, load: Callable, part: str) -> StreamingQuery:
+        writer = (rows.writeStream.foreachBatch(
+                      lambda batch, number: None if batch.isEmpty() else load(batch, number))
+                  .outputMode("update").option("checkpointLocation", f"{checkpoint}/{part}"))
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+    return VaultStream([started(first_seen(staged), load_keys, "keys"),
+                        started(staged, load_attributes, "attributes")])

@@ -234,3 +234,40 @@ def test_rows_without_keys_are_listed(spark):
     ids = [r[3] for r in STAGED_ORDERS if r[3] <= 101]
     assert sum(r[-1] for r in lost) == len(ids)
     assert {(r[0], r[1], r[3]) for r in lost} == {(None, i, "customer_id") for i in ids}
+
+
+def test_a_stream_does_not_read_the_keys_it_has_stored(spark, tmp_path, monkeypatch):
+    incoming, store = str(tmp_path / "in"), VaultStore(spark, str(tmp_path / "vault"), 1000)
+    schema = STAGING["stg_orders"].schema()
+    vault.load_vault(keyed_orders(spark, 0, 50), store, T1)          # by another load, before
+    read, whole = [], VaultStore.stored
+
+    def stored(self, table, without=None):
+        found = whole(self, table, without)
+        if table in ("hub_order", "hub_customer", "link_customer_order"):
+            read.append((table, 0 if found is None else found.count()))
+        return found
+
+    for n in range(4):
+        keyed_orders(spark, 40 * n, 40 * n + 60).coalesce(1).write.mode("append").parquet(incoming)
+        with monkeypatch.context() as patched:
+            patched.setattr(VaultStore, "stored", stored)
+            stream = spark.readStream.schema(schema).parquet(incoming)
+            vault_stream(stream, store, str(tmp_path / "progress"), lambda n: T2
+                         ).awaitTermination()
+    assert len(read) == 12 and {n for _, n in read} == {50}
+    plain = vault.run_vault(keyed_orders(spark, 0, 180), T1)
+    for table, df in plain.items():
+        assert rows(store.read(table).drop("load_dts")) == rows(df.drop("load_dts")), table
+
+
+def test_a_repeated_load_replaces_its_first_attempt(spark, tmp_path):
+    store = VaultStore(spark, str(tmp_path / "vault"), 1000)
+    for high in (10, 20):
+        store.append("hub_order", vault.hub(keyed_orders(spark, 0, high), "hub_order", T1,
+                                            zone_width=1000), "a-1.")
+    store.append("hub_order", vault.hub(keyed_orders(spark, 20, 25), "hub_order", T1,
+                                        zone_width=1000), "a-10.")
+    assert store.read("hub_order").count() == 25
+    assert store.stored("hub_order", "a-1.").count() == 5
+    assert store.stored("hub_order", "a-") is None
