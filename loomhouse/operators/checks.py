@@ -11,10 +11,10 @@ from ..functions import is_open
 from .keys import next_row
 
 
-#: Standard error of the sketches that count distinct values, and by how much an estimate may
-#: exceed another one of equal true size.
-SKETCH_ERROR = 0.02
-SKETCH_SLACK = 6 * 2 ** 0.5 * SKETCH_ERROR
+#: Size of the sketches that count distinct values, and by how much an estimate may exceed
+#: another one of equal true size: six standard errors of both.
+SKETCH_BITS = 12
+SKETCH_SLACK = 6 * 2 ** 0.5 * 1.04 / 2 ** (SKETCH_BITS / 2)
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -108,8 +108,8 @@ def possible_dependencies(df: DataFrame, columns: Sequence[str]) -> list[tuple[s
     counts = {}
     for i, x in enumerate(columns):
         for y in columns[i:]:
-            counts[x, y] = F.approx_count_distinct(
-                F.xxhash64(x) if x == y else F.xxhash64(x, y), SKETCH_ERROR)
+            value = F.xxhash64(x) if x == y else F.xxhash64(x, y)
+            counts[x, y] = F.hll_sketch_estimate(F.hll_sketch_agg(value, F.lit(SKETCH_BITS)))
     found = df.agg(*[n.alias(f"n{i}") for i, n in enumerate(counts.values())]).first()
     size = dict(zip(counts, found))
     return [(x, y) for x in columns for y in columns if x != y

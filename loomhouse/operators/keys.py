@@ -46,46 +46,66 @@ def _ancestor(depth: int, column: str = SLICE) -> Column:
     return F.shiftright(F.col(column), FAN_BITS * depth)
 
 
+def _earlier():
+    """The slices before one in its run."""
+    return (Window.partitionBy(_ancestor(1)).orderBy(SLICE)
+            .rowsBetween(Window.unboundedPreceding, -1))
+
+
 def _levels(per_slice: DataFrame) -> int:
     """Depth of the tree over the slices of a written table."""
     highest = per_slice.agg(F.max(SLICE)).first()[0] or 0
     return max(1, -(-int(highest).bit_length() // FAN_BITS))
 
 
-def by_slice(rows: DataFrame, per_slice: DataFrame, how: str = "left") -> DataFrame:
+def _one_run(df: DataFrame, order_by: Sequence[str], slices: int | None) -> bool:
+    """Whether ordered slices are sure to be so few that they are one run of the tree."""
+    conf = df.sparkSession.conf
+    most = slices or max(int(conf.get("spark.sql.shuffle.partitions")), int(conf.get(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "1")))
+    return bool(order_by) and most <= 1 << FAN_BITS
+
+
+def by_slice(rows: DataFrame, per_slice: DataFrame, how: str = "left", one_run: bool = False
+             ) -> DataFrame:
     """Join rows with a table of at most one short row a slice; it is broadcast while the
     number of slices allows."""
-    few = _levels(per_slice) * FAN_BITS <= BROADCAST_SLICES.bit_length()
+    few = one_run or _levels(per_slice) * FAN_BITS <= BROADCAST_SLICES.bit_length()
     return rows.join(F.broadcast(per_slice) if few else per_slice, SLICE, how)
 
 
-def slice_offsets(totals: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """For each slice the sums of `columns` over all slices before it, as a written table.
+def slice_offsets(totals: DataFrame, columns: Sequence[str], one_run: bool = False) -> DataFrame:
+    """For each slice the sums of `columns` over all slices before it.
 
     `totals` has one row per slice. Sums run through a tree: slices within their run of
     2 ** FAN_BITS, those runs within theirs, and so on, so that no task orders all slices
-    and none of them reach the driver.
+    and none of them reach the driver. Beyond one run the tables of the tree are written.
     """
+    if one_run:
+        return totals.select(SLICE, *[F.coalesce(F.sum(c).over(_earlier()), F.lit(0)).alias(c)
+                                      for c in columns])
     totals = stage(totals.select(SLICE, *columns), "totals")
     offsets = totals.select(SLICE, *[F.lit(0).cast("long").alias(c) for c in columns])
     for depth in range(_levels(totals)):
         nodes = totals if depth == 0 else totals.groupBy(_ancestor(depth).alias(SLICE)).agg(
             *[F.sum(c).alias(c) for c in columns])
-        earlier = (Window.partitionBy(_ancestor(1)).orderBy(SLICE)
-                   .rowsBetween(Window.unboundedPreceding, -1))
         before = nodes.select(F.col(SLICE).alias("_node"), *[
-            F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in columns])
+            F.coalesce(F.sum(c).over(_earlier()), F.lit(0)).alias(f"_before_{c}")
+            for c in columns])
         offsets = offsets.join(before, _ancestor(depth) == F.col("_node")).select(
             SLICE, *[(F.col(c) + F.col(f"_before_{c}")).alias(c) for c in columns])
     return stage(offsets, "offsets")
 
 
-def following_heads(heads: DataFrame, head: str) -> DataFrame:
-    """For each slice the value of `head` in the next slice that has rows, as a written table.
+def following_heads(heads: DataFrame, head: str, one_run: bool = False) -> DataFrame:
+    """For each slice the value of `head` in the next slice that has rows.
 
     Looked up in the slice's own run of 2 ** FAN_BITS slices first, for the last one of a run
-    at the first slice of the next run, and so on up the tree.
+    at the first slice of the next run, and so on up the tree, whose tables are written.
     """
+    if one_run:
+        within = Window.partitionBy(_ancestor(1)).orderBy(SLICE)
+        return heads.select(SLICE, F.lead(head).over(within).alias(head))
     heads = stage(heads.select(SLICE, head), "heads")
     found = heads.select(SLICE, F.lit(None).cast(heads.schema[head].dataType).alias(head))
     for depth in range(_levels(heads)):
@@ -105,10 +125,11 @@ def assign_sk(df: DataFrame, order_by: Sequence[str], sk: str = "sk", start: int
     Equals row_number() over the whole table. Offsets of the slices are summed up in a tree
     and joined by slice: no row count reaches the driver.
     """
-    placed = ordered_slices(df, order_by, slices, unique)
-    offsets = slice_offsets(placed.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows")), ["_rows"])
+    placed, one_run = ordered_slices(df, order_by, slices, unique), _one_run(df, order_by, slices)
+    offsets = slice_offsets(placed.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows")),
+                            ["_rows"], one_run)
     number = F.col("_rows") + F.col(POSITION) + F.lit(start + 1)
-    return by_slice(placed, offsets).select(number.cast("long").alias(sk), *df.columns)
+    return by_slice(placed, offsets, one_run=one_run).select(number.cast("long").alias(sk), *df.columns)
 
 
 def highest_sk(df: DataFrame, sk: str) -> int:
@@ -127,7 +148,9 @@ def next_row(df: DataFrame, group: Sequence[str], order_by: Sequence[str],
     peeked = F.struct(*group, *take)
     inside = F.lead(peeked).over(Window.partitionBy(SLICE).orderBy(POSITION))
     heads = placed.filter(F.col(POSITION) == 0).select(SLICE, peeked.alias("_head"))
-    looked = by_slice(placed.withColumn("_ahead", inside), following_heads(heads, "_head")
+    one_run = _one_run(df, order_by, slices)
+    looked = by_slice(placed.withColumn("_ahead", inside),
+                      following_heads(heads, "_head", one_run), one_run=one_run
                       ).withColumn("_ahead", F.coalesce("_ahead", "_head"))
     same = F.lit(True)
     for g in group:

@@ -23,6 +23,8 @@ LoadTime = dt.datetime | str
 SMALL_BATCH_BYTES = 8 * 1024 * 1024
 #: Up to so many keys, a batch looks them up by value: row groups without them are not read.
 FEW_KEYS = 10
+#: Written bytes above which a batch is sure to have more.
+FEW_BYTES = 1 << 17
 #: Partition column of stored tables that are laid out in zones.
 ZONE = "_zone"
 
@@ -71,8 +73,9 @@ def _absent(rows: DataFrame, existing: DataFrame | None, on: Sequence[str],
         zones = incoming.select(ZONE).distinct().filter(F.col(ZONE) > -(1 << 62))
         existing = existing.join(F.broadcast(zones), ZONE, "left_semi")
     if size <= SMALL_BATCH_BYTES:
-        few = [r[0] for r in incoming.select(hk).distinct().limit(FEW_KEYS + 1).collect()]
-        if len(few) <= FEW_KEYS:
+        few = None if size > FEW_BYTES else [
+            r[0] for r in incoming.select(hk).distinct().limit(FEW_KEYS + 1).collect()]
+        if few is not None and len(few) <= FEW_KEYS:
             existing = existing.filter(F.col(hk).isin(few))
         else:
             existing = existing.join(F.broadcast(incoming.select(hk)), hk, "left_semi")

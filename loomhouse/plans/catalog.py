@@ -38,6 +38,7 @@ from ..operators.vault import (
 )
 from ..sources.contracts import HISTORY, violations
 from ..sources.dimension_store import DimensionStore, refresh_stores
+from ..sources.files import append_absent
 from ..sources.raw_csv import read_raw_csv
 from ..sources.staging import stage, staged_path
 from ..sources.vault_store import VaultStore
@@ -135,6 +136,18 @@ def csv_load(spark, folder):
     return read_raw_csv(spark, path, documents.schema, multi_line=True)
 
 
+def absent_append(spark, folder):
+    """Customers appended in two overlapping deliveries, the second with another segment: rows
+    already stored stay."""
+    people = views.table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    path = staged_path(spark, "customers")
+    append_absent(people.filter("c_custkey % 3 <> 0"), path, ["c_custkey"])
+    renamed = people.filter("c_custkey % 2 = 0 OR c_custkey % 3 = 0").withColumn(
+        "c_mktsegment", F.lower("c_mktsegment"))
+    append_absent(renamed.unionByName(renamed), path, ["c_custkey"])
+    return spark.read.schema(people.schema).parquet(path)
+
+
 def explode_zip_lists(spark, folder):
     return explode_zip(views.parallel_lists(spark, folder), LISTS, LINE_BREAK)
 
@@ -649,6 +662,7 @@ def dup_persons(spark, folder):
 
 CATALOG: dict[str, Query] = {
     "csv_load": csv_load,
+    "absent_append": absent_append,
     "parse_1nf": _nf1,
     "explode_zip": explode_zip_lists,
     "explode_by_index": explode_index_lists,

@@ -333,6 +333,10 @@ def _dependency(source: str, x: str, y: str) -> str:
 
 BODIES: dict[str, str] = {
     "csv_load": "SELECT doc_id, lang, text FROM documents",
+    "absent_append": """
+        SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment
+                                       ELSE lower(c_mktsegment) END AS c_mktsegment
+        FROM customer""",
     "parse_1nf": """
         SELECT CAST(order_date AS VARCHAR) AS order_date, student_email, student_name,
                student_phone, student_city, student_region, course_name, course_category,
