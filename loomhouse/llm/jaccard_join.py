@@ -4,11 +4,16 @@ Chosen-path join. In each run every set picks some of its shingles by a hash of
 each with a chance of `PICKS` over its size; a picked shingle leads to a bucket. Similar
 sets share most shingles and so, with a known chance, a bucket; a number of runs brings the
 chance to miss a link in all of them below 1 - `RECALL`. A bucket of too many sets is split
-again: its sets pick shingles by a hash of the path so far. Buckets that stay large
-(`DEPTH` splits leave only sets that share most shingles) are compared block by block.
-
-In a bucket all pairs are compared by small sketches (the least shingle hashes), well
-below the threshold. What they connect makes candidate groups. Within a candidate group all
+again: its sets pick shingles of their sketches (the least shingle hashes) by a hash of the
+path so far; no text is read for it. Buckets that stay large after `DEPTH` splits are heaps of
+sets that mostly share their shingles. In a heap sets are compared with a few leaders, not with
+each other: a heap in which all are near one leader is connected by that, a set close to a
+leader goes, since whatever is similar to it is near that leader too, and the others go on to
+the next leaders until they fit in a bucket. What is left after `ROUNDS` is compared block by
+block.
+
+In a bucket all pairs are compared by their sketches, below the threshold. What they connect
+makes candidate groups. Within a candidate group all
 pairs of sets are compared exactly, in pairs of blocks, which gives every text its number of
 links, and the edges that make the classes. Pairs never leave a task: buckets and block
 pairs send on one edge for each text.
@@ -25,15 +30,16 @@ empty table gives an empty result. Only `doc_id` and `text` are read.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage
+from ..sources.staging import stage, stage_sized
 from .common import (FIRST, SECOND, U64, byte_rows, column, doc_key, groups, mix, numbers, own_id,
-                     ship, stored_size, whole_text, words)
+                     sent_if_small, ship, stored_size, whole_text, words)
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -44,10 +50,13 @@ PICKS = 2.0
 #: Sets of a bucket that are compared directly, and how often larger ones are split.
 BUCKET = 1024
 DEPTH = 2
-#: Least hashes in a sketch; its similarity must be this share of the one asked for. The least
-#: favourable pair at the threshold is a set and a part of it: it shares 51 of 64 hashes on
-#: average, and fewer than the 37 asked for with a chance of 1 in 70,000.
-SKETCH, SLACK = 64, 0.5
+#: Least hashes in a sketch; the similarity that it tells must be this share of the one asked
+#: for. Two sets at the threshold share 51 of the 64 least hashes of both on average, and fewer
+#: than the 36 asked for with a chance of less than 1 in 100,000.
+SKETCH, SLACK = 64, 0.7
+#: Rounds of leaders for a heap, leaders of a round, and the similarities to a leader, told by
+#: sketches, from which a set is near it or so close that all its similar sets are near, too.
+ROUNDS, LEADERS, NEAR, CLOSE = 6, 4, 0.3, 0.75
 #: Bytes of shingles and number of sets in a block of a candidate group, at most.
 BLOCK_BYTES, BLOCK_SETS = 12 << 20, 2048
 
@@ -135,20 +144,17 @@ def _describe(runs, picks, size):
     return describe
 
 
-def _again(picks, size):
-    """Paths from a large bucket on, for the sets in it."""
+def _again(picks):
+    """Paths from a large bucket on, for the sets in it: picked from their sketches."""
     def split(batches):
         for batch in batches:
             out = {"rep": [], "path": []}
-            reps, paths = numbers(batch, "rep"), column(batch, "paths").to_pylist()
-            data, offsets = byte_rows(column(batch, "text"))
-            for row, rep in enumerate(reps.tolist()):
-                value = shingles(data[offsets[row]:offsets[row + 1]],
-                                 np.array([0, offsets[row + 1] - offsets[row]]), size)[0]
-                if len(value):
-                    _, found = _picked(value, np.array(paths[row], np.int64).view(U64), picks)
-                    out["rep"] += [rep] * len(found)
-                    out["path"] += found.view(np.int64).tolist()
+            for rep, paths, raw in zip(numbers(batch, "rep").tolist(), column(batch, "paths"),
+                                       column(batch, "sketch").to_pylist()):
+                value = np.frombuffer(raw, "<u4").astype(U64)
+                _, found = _picked(value, paths.values.to_numpy().view(U64), picks)
+                out["rep"] += [rep] * len(found)
+                out["path"] += found.view(np.int64).tolist()
             yield pa.RecordBatch.from_pydict(
                 out, pa.schema([("rep", pa.int64()), ("path", pa.int64())]))
     return split
@@ -196,6 +202,25 @@ def _shared(one: np.ndarray, one_row: np.ndarray, ones: int,
     return total
 
 
+def _rows_of(sets):
+    """All values of some sets, and the set of each."""
+    return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+
+
+def _told(ones, others):
+    """Similarity of each two sets as their sketches tell it: the share of common hashes among
+    all hashes up to the end of the sketch that ends first; exact where sketches are whole sets."""
+    one = _rows_of(ones)
+    other = one if ones is others else _rows_of(others)
+    shared = _shared(*one, len(ones), *other, len(others))
+    end, other_end = (np.array([s[-1] if len(s) == SKETCH else 2 ** 32 - 1 for s in side], "<u4")
+                      for side in (ones, others))
+    here = np.stack([np.searchsorted(s, other_end, "right") for s in ones])
+    there = (here if ones is others
+             else np.stack([np.searchsorted(s, end, "right") for s in others])).T
+    return shared / np.maximum(here + there - shared, 1)
+
+
 def _similarity(shared, sizes, other_sizes):
     union = sizes[:, None] + other_sizes[None, :] - shared
     return shared / np.maximum(union, 1)
@@ -212,10 +237,7 @@ def _sketch_edges(similarity):
         cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
         for low, high in zip(cut, [*cut[1:], len(bucket)]):
             held, size = sketches[low:high], n[low:high]
-            count = np.array([len(s) for s in held])
-            value, row = np.concatenate(held), np.repeat(np.arange(high - low), count)
-            shared = _shared(value, row, high - low, value, row, high - low)
-            near = _similarity(shared, count, count) >= similarity * SLACK
+            near = _told(held, held) >= similarity * SLACK
             # Sets of very different sizes are not alike, whatever their sketches share.
             near &= (np.minimum(size[:, None], size[None, :])
                      >= similarity * np.maximum(size[:, None], size[None, :]))
@@ -329,36 +351,84 @@ def _block_links(similarity):
     return links
 
 
-def _texts_of(texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """`chosen` (by doc and text_id) with the text of each; equal rows give one."""
-    return texts.join(chosen, ["doc", "text_id"]).dropDuplicates(["doc", "text_id"])
+def _all(frames):
+    return reduce(DataFrame.unionByName, frames)
 
 
-def _candidates(texts, reps, similarity, runs, picks, bucket, depth, size):
-    """Edges between representatives whose sketches are alike in some bucket."""
-    rows = reps.select(F.explode("paths").alias("path"), "rep")
-    found = []
+def _buckets(reps: DataFrame, picks: float, bucket: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """(path, rep, sets) of the buckets of at most `bucket` sets, and of the heaps that `depth`
+    splits leave."""
+    rows, small = reps.select(F.explode("paths").alias("path"), "rep").distinct(), []
     for level in range(1, depth + 1):
-        counts = rows.groupBy("path").agg(F.countDistinct("rep").alias("sets"))
-        sized = stage(counts.filter("sets > 1"), "buckets")
+        sized = stage(rows.groupBy("path").agg(F.count("*").alias("sets")).filter("sets > 1"),
+                      "buckets")
         rows = stage(rows.join(sized, "path"), "paths")
-        final = level == depth
-        small = rows if final else rows.filter(F.col("sets") <= bucket)
-        found.append(small)
-        if final:
-            break
+        small.append(rows.filter(F.col("sets") <= bucket))
         large = rows.filter(F.col("sets") > bucket)
+        if level == depth or large.isEmpty():
+            return _all(small), large
         wanted = large.groupBy("rep").agg(F.collect_set("path").alias("paths"))
-        if wanted.isEmpty():
+        rows = stage(wanted.join(reps.select("rep", "sketch"), "rep")
+                     .mapInArrow(_again(picks), "rep long, path long").distinct(), "paths")
+    raise ValueError("depth is at least 1")
+
+
+def _beside_leaders(batches):
+    """For each set of a heap: the leaders that it is near, as a mask and by name, and whether it
+    is close to one."""
+    for batch in batches:
+        paths = numbers(batch, "path")
+        held, leaders = column(batch, "sketch").to_pylist(), column(batch, "leaders")
+        near, mask, close = ([None] * len(paths) for _ in range(3))
+        order = np.argsort(paths, kind="stable")
+        cuts = np.flatnonzero(np.diff(paths[order])) + 1
+        for at in np.split(order, cuts) if len(order) else ():
+            led = leaders[int(at[0])].as_py()
+            told = _told([np.frombuffer(held[i], "<u4") for i in at],
+                         [np.frombuffer(one["sketch"], "<u4") for one in led])
+            names = np.array([one["rep"] for one in led])
+            bits = (told >= NEAR) @ (1 << np.arange(len(led)))
+            for i, row, all_bits in zip(at.tolist(), told, bits.tolist()):
+                near[i], mask[i] = names[row >= NEAR], all_bits
+                close[i] = bool((row >= CLOSE).any())
+        yield pa.RecordBatch.from_arrays(
+            [column(batch, "path"), column(batch, "rep"), column(batch, "sketch"),
+             pa.array(near, pa.list_(pa.int64())), pa.array(mask, pa.int64()),
+             pa.array(close, pa.bool_())],
+            ["path", "rep", "sketch", "near", "mask", "close"])
+
+
+def _led(heaps: DataFrame, reps: DataFrame, bucket: int, rounds: int
+         ) -> tuple[list[DataFrame], list[DataFrame], DataFrame]:
+    """Edges of sets to the leaders of their heaps; the buckets that are left where a heap has
+    become small; and the heaps that are still large.
+
+    A set close to a leader goes: what is similar to it is near that leader, and so connected to
+    it. A heap whose sets are all near one leader goes as a whole.
+    """
+    edges, small = [], []
+    left = heaps.select("path", "rep", "sets")
+    for turn in range(rounds):
+        if left.isEmpty():
             break
-        named = wanted.join(reps.select("rep", "doc", "text_id"), "rep")
-        held = _texts_of(texts, named).select("rep", "paths", "text")
-        rows = stage(held.mapInArrow(_again(picks, size), "rep long, path long"),
-                     "paths")
-    members = found[0]
-    for more in found[1:]:
-        members = members.unionByName(more)
-    return stage(members, "members")
+        if "sketch" not in left.columns:
+            left = stage(left.join(reps.select("rep", "sketch"), "rep"), "heaps")
+        drawn = [F.min(F.struct(F.xxhash64("path", "rep", F.lit(turn * LEADERS + k)).alias("draw"),
+                                "rep", "sketch")) for k in range(LEADERS)]
+        leaders = stage(left.groupBy("path").agg(F.array(*drawn).alias("leaders")), "leaders")
+        seen = stage(left.join(leaders, "path").select("path", "rep", "sketch", "leaders")
+                     .mapInArrow(_beside_leaders, "path long, rep long, sketch binary, "
+                                 "near array<long>, mask long, close boolean"), "led")
+        edges.append(seen.select(F.col("rep").alias("x"), F.explode("near").alias("y"))
+                     .filter("x <> y"))
+        going_on = (seen.groupBy("path").agg(F.bit_and("mask").alias("common"),
+                                             F.count_if(~F.col("close")).alias("sets"))
+                    .filter("common = 0 AND sets > 1").select("path", "sets"))
+        rest = stage(seen.filter("NOT close").select("path", "rep", "sketch")
+                     .join(going_on, "path"), "rest")
+        small.append(rest.filter(F.col("sets") <= bucket).select("path", "rep", "sets"))
+        left = rest.filter(F.col("sets") > bucket)
+    return edges, small, left.select("path", "rep", "sets")
 
 
 def _bucket_edges(members: DataFrame, reps: DataFrame, similarity: float, bucket: int
@@ -387,7 +457,7 @@ def _bucket_edges(members: DataFrame, reps: DataFrame, similarity: float, bucket
 
 def similar_rows(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
                  picks: float = PICKS, bucket: int = BUCKET, depth: int = DEPTH,
-                 size: int = SHINGLE, block_bytes: int = BLOCK_BYTES,
+                 rounds: int = ROUNDS, size: int = SHINGLE, block_bytes: int = BLOCK_BYTES,
                  block_sets: int = BLOCK_SETS) -> DataFrame:
     """One row per row of `docs`: `doc` and `text_id` (its doc_id and hash of its text, as in
     `keyed`), those of the least row of its class as `class_doc` and `class_text`, and `n_links`."""
@@ -409,8 +479,10 @@ def similar_rows(docs: DataFrame, similarity: float = SIMILARITY, recall: float
                                 "row")
                  .select(F.col("row").alias("rep"), "doc", "text_id", "copies", "n", "paths",
                          "sketch"), "representatives")
-    members = _candidates(texts, reps, similarity, runs, picks, bucket, depth, size)
-    groups_of = _components(_bucket_edges(members, reps, similarity, bucket))
+    small, heaps = _buckets(reps, picks, bucket, depth)
+    edges, shrunk, large = _led(heaps, reps, bucket, rounds)
+    members = stage(_all([small, *shrunk, large]), "members")
+    groups_of = _components(_all([_bucket_edges(members, reps, similarity, bucket), *edges]))
     # Every candidate with its group; the least of a group is in it too.
     grouped = _with_least(groups_of)
     joined = grouped.join(
@@ -418,10 +490,12 @@ def similar_rows(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     sizes = joined.groupBy("y").agg(
         F.greatest(F.ceil(F.sum(F.col("n") * 8) / F.lit(block_bytes)),
                    F.ceil(F.count("*") / F.lit(block_sets))).cast("int").alias("blocks"))
-    placed = stage(joined.join(sizes, "y").select(
+    placed, written = stage_sized(joined.join(sizes, "y").select(
         F.col("x").alias("rep"), "doc", "text_id", F.col("y").alias("grp"), "copies", "blocks",
         F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int").alias("block")), "groups")
-    held = (_texts_of(texts, placed)
+    # The texts of all candidates, by one join; equal rows give one.
+    held = (texts.join(sent_if_small(placed, written), ["doc", "text_id"])
+            .dropDuplicates(["doc", "text_id"])
             .select("rep", "grp", "copies", "blocks", "block", "text")
             .mapInArrow(_sets(size), "rep long, grp long, copies long, blocks int, block int, "
                                      "shingles binary"))
