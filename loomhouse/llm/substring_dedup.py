@@ -8,13 +8,17 @@ independent 64-bit hashes of their words.
 
 A minimiser found very often (a common phrase) would make one huge bucket. Misra-Gries
 summaries name those; their windows travel one by one to the bucket of the whole window.
+The summaries can miss a minimiser whose share of a very large corpus is small and whose bucket
+is too large all the same, so no bucket is held whole: a task reads its buckets as a stream, and
+of one that goes beyond `MOST_BYTES` it passes the windows on, one by one, to be grouped by
+what they hold.
 Equal strings of one group of rows travel once, for the smallest doc_id; the others are
 settled where they are read. So a passage with very many copies is small in its bucket.
 
 Rows: a missing text has no words; a missing doc_id counts as smaller than every other;
 rows with one doc_id are one document, and do not repeat each other. Texts shorter than a
 window stay whole. An empty table gives an empty result. Other columns are carried along;
-`n_words`, `n_removed` and `kept_text` must not be among them.
+any named `n_words`, `n_removed` or `kept_text`, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -24,20 +28,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (FIRST, GROUP_BYTES, SECOND, bucket_count, byte_rows, column, extended,
-                     groups, keyed, merged_spans, minimiser_runs, mix, numbers, row_texts, ship,
-                     with_columns, words)
+from ..sources.staging import stage, stage_sized
+from .common import (FIRST, GROUP_BYTES, SECOND, byte_rows, column, extended, groups, keyed,
+                     merged_spans, minimiser_runs, mix, numbers, row_texts, sent_if_small, ship,
+                     text_bytes, with_columns, words)
 from .heavy import COUNTERS, frequent
 
 WINDOW = 13
 GRAM = 4
-#: A minimiser with so many runs of windows gets no bucket of its own.
+#: The windows of a minimiser with so many runs travel one by one from the start.
 OFTEN = 200_000
-#: Stored bytes of text for each bucket; its strings take about six times that in memory.
-BUCKET_BYTES = 8 << 20
+#: Bytes of text for each bucket, and of strings that a task holds of one, at most.
+BUCKET_BYTES, MOST_BYTES = 8 << 20, 40 << 20
 
 _BLOCK = "bucket int, doc binary, place binary, size binary, data binary"
-_SPAN = "doc long, text_id long, first long, last long"
+#: Spans, and windows that are not settled yet, which carry their two hashes.
+_FOUND = "doc long, text_id long, first long, last long, a long, b long"
 
 
 class _Group:
@@ -153,56 +159,103 @@ def _packer(window, gram, often, buckets):
     return pack
 
 
-def _sorter(window, gram):
-    """Spans of the windows of a bucket that also start in an earlier document."""
-    def sort(key, table):
-        spans, parts = [], []
-        for block in table.to_pylist():
-            doc, text_id = np.frombuffer(block["doc"], np.int64).reshape(2, -1)
-            if block["data"] is None:
-                first, last = np.frombuffer(block["place"], np.int64).reshape(2, -1)
-                spans.append((doc, text_id, first, last))
-                continue
-            place = np.frombuffer(block["place"], np.int64)
-            size = np.frombuffer(block["size"], np.int64)
-            length = int(np.frombuffer(block["data"][:8], np.int64)[0])
-            packed = pa.decompress(block["data"][8:], length, codec="zstd", asbytes=True)
-            data = np.frombuffer(packed, np.uint8)
-            offsets = np.concatenate([[0], np.cumsum(size)])
-            for first, last in groups(offsets, 4 * GROUP_BYTES):
-                group = _Group(data[offsets[first]:offsets[last]],
-                               offsets[first:last + 1] - offsets[first], window, gram)
-                at = np.flatnonzero(group.whole)
-                row = group.words.row[at]
-                a, b = group.digests()
-                parts.append((a[at], b[at], doc[first:last][row], text_id[first:last][row],
-                              place[first:last][row] + at - group.words.first[row]))
-        if parts:
-            a, b, doc, text_id, place = (np.concatenate(x) for x in zip(*parts))
-            del parts
-            order = np.lexsort((doc, b, a))
-            a, b, doc = a[order], b[order], doc[order]
-            new = np.ones(len(order), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            leader = doc[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-            late = doc > leader
-            start = place[order[late]]
-            spans.append((doc[late], text_id[order[late]], start, start + window))
-        out = merged_spans(*(np.concatenate(x) for x in zip(*spans))) if spans else (
-            np.zeros(0, np.int64),) * 4
-        return pa.table(dict(zip(("doc", "text_id", "first", "last"), out)))
+def _windows(blocks, window, gram):
+    """Hashes, document and place of every window of some blocks of strings, sorted by the
+    hashes and then by document."""
+    parts = []
+    for block in blocks:
+        doc, text_id = np.frombuffer(block["doc"], np.int64).reshape(2, -1)
+        place = np.frombuffer(block["place"], np.int64)
+        size = np.frombuffer(block["size"], np.int64)
+        packed = pa.decompress(block["data"][8:], _length(block), codec="zstd", asbytes=True)
+        data = np.frombuffer(packed, np.uint8)
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        for first, last in groups(offsets, 4 * GROUP_BYTES):
+            group = _Group(data[offsets[first]:offsets[last]],
+                           offsets[first:last + 1] - offsets[first], window, gram)
+            at = np.flatnonzero(group.whole)
+            row = group.words.row[at]
+            a, b = group.digests()
+            parts.append((a[at], b[at], doc[first:last][row], text_id[first:last][row],
+                          place[first:last][row] + at - group.words.first[row]))
+    a, b, doc, text_id, place = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((doc, b, a))
+    return tuple(x[order] for x in (a, b, doc, text_id, place))
+
+
+def _length(block) -> int:
+    return int(np.frombuffer(block["data"][:8], np.int64)[0])
+
+
+def _spans(doc, text_id, first, last):
+    doc, text_id, first, last = merged_spans(doc, text_id, first, last)
+    none = pa.nulls(len(doc), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(doc), pa.array(text_id), pa.array(first), pa.array(last), none, none],
+        ["doc", "text_id", "first", "last", "a", "b"])
+
+
+def _sorter(window, gram, most):
+    """Spans of the windows of each bucket that also start in an earlier document.
+
+    Rows come sorted by bucket. Of a bucket with more than `most` bytes of strings each part is
+    looked at alone: its windows are passed on for the least document of the part that has them.
+    """
+    def settled(blocks, whole):
+        a, b, doc, text_id, place = _windows(blocks, window, gram)
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        late = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        yield _spans(doc[late], text_id[late], place[late], place[late] + window)
+        if not whole:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (doc[~late], text_id[~late], place[~late],
+                                       place[~late] + window, a[~late].view(np.int64),
+                                       b[~late].view(np.int64))],
+                ["doc", "text_id", "first", "last", "a", "b"])
+
+    def sort(batches):
+        bucket, held, size, whole = None, [], 0, True
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = {n: c[row].as_py() for n, c in zip(batch.schema.names, batch.columns)}
+                if block["data"] is None:
+                    yield _spans(*np.frombuffer(block["doc"], np.int64).reshape(2, -1),
+                                 *np.frombuffer(block["place"], np.int64).reshape(2, -1))
+                    continue
+                if block["bucket"] != bucket:
+                    if held:
+                        yield from settled(held, whole)
+                    bucket, held, size, whole = block["bucket"], [], 0, True
+                if held and size + _length(block) > most:
+                    whole = False
+                    yield from settled(held, whole)
+                    held, size = [], 0
+                held.append(block)
+                size += _length(block)
+        if held:
+            yield from settled(held, whole)
     return sort
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, often: int = OFTEN,
-                   bucket_bytes: int = BUCKET_BYTES, counters: int = COUNTERS) -> DataFrame:
+                   bucket_bytes: int = BUCKET_BYTES, counters: int = COUNTERS,
+                   most_bytes: int = MOST_BYTES) -> DataFrame:
     """(doc, text_id, first, last): word positions [first, last) of `docs` (doc, text_id, text)
     that lie in a window also found in a document with a smaller doc."""
-    buckets = bucket_count(docs, bucket_bytes)
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, -(-text_bytes(docs) // bucket_bytes))
     hot = [r[0] for r in frequent(docs.select("text"), _minimisers(window, gram), often,
                                   counters).select("value").collect()]
     packed = docs.mapInArrow(_packer(window, gram, hot, buckets), _BLOCK)
-    return packed.groupBy("bucket").applyInArrow(_sorter(window, gram), _SPAN)
+    found = stage(packed.repartition("bucket").sortWithinPartitions("bucket")
+                  .mapInArrow(_sorter(window, gram, most_bytes), _FOUND), "passages")
+    loose = found.filter(F.col("a").isNotNull())
+    held = (loose.groupBy("a", "b").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+            .filter("most > least").select("a", "b", "least"))
+    late = loose.join(held, ["a", "b"]).filter("doc > least")
+    spans = found.filter(F.col("a").isNull()).unionByName(late.drop("least"))
+    return spans.select("doc", "text_id", "first", "last")
 
 
 def _cutter(batches):
@@ -226,15 +279,18 @@ def _cutter(batches):
 
 def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
                            often: int = OFTEN, bucket_bytes: int = BUCKET_BYTES,
-                           counters: int = COUNTERS) -> DataFrame:
+                           counters: int = COUNTERS, most_bytes: int = MOST_BYTES) -> DataFrame:
     """`docs` with `n_words`, `n_removed` and `kept_text`: the words outside of passages that
     also start in an earlier document, joined by one space."""
-    schema = extended(docs, n_words="long", n_removed="long", kept_text="string")
+    docs, schema = extended(docs, n_words="long", n_removed="long", kept_text="string")
     ship(docs)
     rows = keyed(docs)
     texts = rows.select("doc", "text_id", F.col("row.text").alias("text"))
-    spans = (repeated_spans(texts, window, gram, often, bucket_bytes, counters)
-             .groupBy("doc", "text_id")
-             .agg(F.collect_list(F.struct("first", "last")).alias("spans")))
-    joined = rows.join(spans, ["doc", "text_id"], "left").select("row", "spans")
+    # Written first: their size tells whether whole texts must be shuffled to meet them.
+    spans, size = stage_sized(
+        repeated_spans(texts, window, gram, often, bucket_bytes, counters, most_bytes)
+        .groupBy("doc", "text_id")
+        .agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
+    joined = (rows.join(sent_if_small(spans, size), ["doc", "text_id"], "left")
+              .select("row", "spans"))
     return joined.mapInArrow(_cutter, schema)
