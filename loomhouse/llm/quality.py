@@ -1,13 +1,13 @@
 """Quality of texts: plain counts, and a classifier of hashed words and letter sequences.
 
-The classifier is a logistic regression on the mean weights of a text's words and of its
-runs of `RUNS` bytes, each hashed to a table of weights, trained on labelled documents and
-calibrated (Platt) on others. Counts and scores are taken from Arrow batches and held
+The classifier is a logistic regression on the mean weights of a text's runs of `WORD_RUNS`
+words and of its runs of `RUNS` code points, each hashed to a table of weights, trained on
+labelled documents and calibrated (Platt) on others. Counts and scores are taken from Arrow batches and held
 against fixed thresholds.
 
 Rows: a missing text has no words. A text without words has all counts 0 and fails. Without
 labels of both kinds only the counts decide. An empty table gives an empty result. Other
-columns are carried along; the columns of the result must not be among them.
+columns are carried along; any named like the result's, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ from .labelled import logistic, probability, training_sample
 
 #: Labelled documents trained on, at most.
 TRAINING_ROWS = 4_000
-#: Weights for each kind of feature.
-TABLE_BITS = 18
-RUNS = (3, 5)
+#: Lengths of the runs of words and of code points that are features; each length is a kind, with
+#: a table of weights.
+WORD_RUNS, RUNS = (1, 2, 3), (3, 5)
+KINDS, TABLE_BITS = len(WORD_RUNS) + len(RUNS), 18
 #: Passes of training, and the size of a step.
 PASSES, STEP = 80, 1.0
 #: Least calibrated probability of good quality.
@@ -92,24 +93,40 @@ def count_features(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarra
             "n_repeat_words": np.bincount(found.row[repeated], minlength=rows)}
 
 
+def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and hash of every code point."""
+    letters = FIRST.letters[data]
+    if not len(data) or data.max() < 0x80:
+        return np.arange(len(data)), letters
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    ends = np.append(starts[1:], len(data))
+    value = letters[starts]
+    wide = ends - starts > 1
+    value[wide] = mix(FIRST.spans(letters, starts[wide], ends[wide]))
+    return starts, value
+
+
 def hashed_features(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(row, place in its table) of every word, and of every run of bytes of each length."""
+    """(row, place in its table) of every run of words, and of every run of code points, of each
+    length."""
     shift = U64(64 - TABLE_BITS)
     found = words(data, offsets)
-    kinds = [(found.row, (mix(found.hashes(data, FIRST)) >> shift).astype(np.int64))]
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    letters = FIRST.letters[data]
-    for n in RUNS:
-        last = max(len(data) + 1 - n, 0)
-        whole = row[:last] == row[n - 1:] if last else np.zeros(0, bool)
-        place = (mix(FIRST.runs(letters, n)) >> shift).astype(np.int64)
-        kinds.append((row[:last][whole], place[whole]))
+    starts, letters = _code_points(data)
+    row = np.searchsorted(offsets, starts, "right") - 1
+    kinds = []
+    for rows, values, lengths in ((found.row, found.hashes(data, FIRST), WORD_RUNS),
+                                  (row, letters, RUNS)):
+        for n in lengths:
+            last = max(len(values) + 1 - n, 0)
+            whole = rows[:last] == rows[n - 1:n - 1 + last]
+            place = (mix(FIRST.runs(values, n))[whole] >> shift).astype(np.int64)
+            kinds.append((rows[:last][whole], place))
     return kinds
 
 
 @dataclass
 class Classifier:
-    """Tables of weights for words and each length of runs, the constant, and the calibration."""
+    """A table of weights for each kind of runs, the constant, and the calibration."""
 
     tables: list[np.ndarray]
     constant: float
@@ -128,32 +145,47 @@ class Classifier:
         return probability(a * self.margins(data, offsets) + b)
 
 
-def _sparse(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, feature and value: the share of a feature among those of its kind."""
-    docs, places, values = [], [], []
-    for first in range(0, len(texts), 200):
-        data, offsets = byte_rows(pa.array(texts[first:first + 200], pa.string()))
-        for kind, (row, place) in enumerate(hashed_features(data, offsets)):
-            number = np.maximum(np.bincount(row, minlength=len(offsets) - 1), 1)
-            pair, times = np.unique((row << TABLE_BITS) + place, return_counts=True)
-            at = pair >> TABLE_BITS
-            docs.append((at + first).astype(np.int32))
-            places.append(((pair & ((1 << TABLE_BITS) - 1)) + (kind << TABLE_BITS))
-                          .astype(np.int32))
-            values.append((times / number[at]).astype(np.float32))
-    return np.concatenate(docs), np.concatenate(places), np.concatenate(values)
-
-
-def fit_classifier(texts: list[str], labels: np.ndarray, passes: int = PASSES,
-                   step: float = STEP) -> Classifier:
-    """Logistic regression by Adam steps over all texts at once; both classes weigh the same."""
-    doc, place, value = _sparse(texts)
-    size = (len(RUNS) + 1) << TABLE_BITS
+def _sparse(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, feature and value: the share of a feature among those of its kind; by rows."""
+    rows, places, values = [], [], []
+    for kind, (row, place) in enumerate(hashed_features(data, offsets)):
+        number = np.maximum(np.bincount(row, minlength=len(offsets) - 1), 1)
+        pair, times = np.unique((row << TABLE_BITS) + place, return_counts=True)
+        at = pair >> TABLE_BITS
+        rows.append(at)
+        places.append(((pair & ((1 << TABLE_BITS) - 1)) + (kind << TABLE_BITS)).astype(np.int32))
+        values.append((times / number[at]).astype(np.float32))
+    row = np.concatenate(rows)
+    order = np.argsort(row, kind="stable")
+    return row[order], np.concatenate(places)[order], np.concatenate(values)[order]
+
+
+def _features(batches):
+    """The features of each text, made where the texts are: of a text of any length no more than
+    there are places in the tables."""
+    for batch in batches:
+        data, offsets = byte_rows(column(batch, "text"))
+        for low, high in groups(offsets):
+            row, place, value = _sparse(data[offsets[low]:offsets[high]],
+                                        offsets[low:high + 1] - offsets[low])
+            edge = np.searchsorted(row, np.arange(high - low + 1)).tolist()
+            part = batch.slice(low, high - low)
+            yield pa.RecordBatch.from_arrays(
+                [column(part, "label"), column(part, "fit"),
+                 *(pa.array([x[a:b].tobytes() for a, b in zip(edge, edge[1:])], pa.binary())
+                   for x in (place, value))], ["label", "fit", "places", "shares"])
+
+
+def fit_classifier(doc: np.ndarray, place: np.ndarray, value: np.ndarray, labels: np.ndarray,
+                   passes: int = PASSES, step: float = STEP) -> tuple[np.ndarray, float]:
+    """Weights of all features and the constant: logistic regression by Adam steps over all texts
+    at once; both classes weigh the same."""
+    size, texts = KINDS << TABLE_BITS, len(labels)
     weights, constant = np.zeros(size), 0.0
     first, second, both = np.zeros(size), np.zeros(size), np.zeros(2)
     share = np.where(labels == 1, 0.5 / max(labels.sum(), 1), 0.5 / max((1 - labels).sum(), 1))
     for t in range(1, passes + 1):
-        margin = np.bincount(doc, weights[place] * value, len(texts)) + constant
+        margin = np.bincount(doc, weights[place] * value, texts) + constant
         error = (probability(margin) - labels) * share
         slope = np.bincount(place, error[doc] * value, size) + 1e-7 * weights
         first = 0.9 * first + 0.1 * slope
@@ -161,38 +193,46 @@ def fit_classifier(texts: list[str], labels: np.ndarray, passes: int = PASSES,
         weights -= step * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.99 ** t)) + 1e-8)
         both = both * (0.9, 0.99) + (0.1 * error.sum(), 0.01 * error.sum() ** 2)
         constant -= 0.1 * both[0] / (1 - 0.9 ** t) / (np.sqrt(both[1] / (1 - 0.99 ** t)) + 1e-8)
-    return Classifier([w.astype(np.float32) for w in np.split(weights, len(RUNS) + 1)],
-                      float(constant))
+    return weights, float(constant)
+
+
+def _side(rows):
+    """Features and labels of some texts."""
+    place = [np.frombuffer(r["places"], np.int32) for r in rows]
+    value = [np.frombuffer(r["shares"], np.float32) for r in rows]
+    doc = np.repeat(np.arange(len(rows)), [len(p) for p in place])
+    return doc, np.concatenate(place), np.concatenate(value), np.array([r["label"] for r in rows],
+                                                                       float)
 
 
 def _train(batches):
     """One row of bytes: the weights of a classifier for the sample."""
-    rows = [(r["label"], r["fit"], r["text"]) for b in batches for r in b.to_pylist()]
-    rows.sort()
-    kinds = {(label, fit) for label, fit, _ in rows}
+    rows = sorted((r for b in batches for r in b.to_pylist()),
+                  key=lambda r: (r["label"], r["fit"], r["places"], r["shares"]))
+    kinds = {(r["label"], r["fit"]) for r in rows}
     if {(0, True), (1, True)} <= kinds:
-        fit = [r for r in rows if r[1]]
-        model = fit_classifier([r[2] for r in fit], np.array([r[0] for r in fit], float))
-        check = [r for r in rows if not r[1]] if {(0, False), (1, False)} <= kinds else fit
-        data, offsets = byte_rows(pa.array([r[2] for r in check], pa.string()))
-        margins = np.concatenate([
-            model.margins(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-            for a, b in groups(offsets)])
-        a, b = logistic(margins[:, None], np.array([r[0] for r in check], float), penalty=0.01)
-        raw = np.concatenate([[model.constant, a, b], *model.tables]).astype("<f4").tobytes()
+        fit = [r for r in rows if r["fit"]]
+        weights, constant = fit_classifier(*_side(fit))
+        check = [r for r in rows if not r["fit"]] if {(0, False), (1, False)} <= kinds else fit
+        doc, place, value, labels = _side(check)
+        margins = np.bincount(doc, weights[place] * value, len(check)) + constant
+        a, b = logistic(margins[:, None], labels, penalty=0.01)
+        raw = np.concatenate([[constant, a, b], weights]).astype("<f4").tobytes()
         yield pa.RecordBatch.from_pydict({"weights": [raw]})
 
 
 def learn_classifier(docs: DataFrame, labels: DataFrame, label: str = "quality",
                      rows: int = TRAINING_ROWS) -> Classifier | None:
-    """Classifier from at most `rows` labelled documents, trained in one task."""
+    """Classifier from at most `rows` labelled documents: their features are made where the texts
+    are, and one task fits the weights to them."""
     ship(docs)
     sample = training_sample(docs, labels, label, rows)
-    found = sample.repartition(1).mapInArrow(_train, "weights binary").collect()
+    made = sample.mapInArrow(_features, "label int, fit boolean, places binary, shares binary")
+    found = made.repartition(1).mapInArrow(_train, "weights binary").collect()
     if not found:
         return None
     raw = np.frombuffer(bytes(found[0]["weights"]), "<f4")
-    return Classifier(list(raw[3:].reshape(len(RUNS) + 1, -1)), float(raw[0]),
+    return Classifier(list(raw[3:].reshape(KINDS, -1)), float(raw[0]),
                       (float(raw[1]), float(raw[2])))
 
 
@@ -219,6 +259,6 @@ def judge_quality(docs: DataFrame, classifier: Classifier | None,
                     base_failed=pa.array(failed), quality_score=pa.array(score),
                     kept=pa.array(~failed & (score >= threshold)))
 
-    schema = extended(docs, **dict.fromkeys(COUNTS, "long"), base_failed="boolean",
-                      quality_score="double", kept="boolean")
+    docs, schema = extended(docs, **dict.fromkeys(COUNTS, "long"), base_failed="boolean",
+                            quality_score="double", kept="boolean")
     return keyed(docs).select("row").mapInArrow(judge, schema)
