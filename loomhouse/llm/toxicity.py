@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton.
 
-Texts are folded first: lower case, look-alike letters of other alphabets, and digits or
-signs that stand for letters inside a word. The lexicon holds beginnings of words and whole
+Texts are folded first: compatible forms of letters, no combining marks and no characters
+without width, lower case, look-alike letters of other alphabets, and digits or signs that stand
+for letters inside a word. The lexicon holds beginnings of words and whole
 words with their log odds, learned from labelled documents; a word counts with its heaviest
 match unless it lies in an exception phrase. The sum of a text is set against its length
 by a logistic model of both, fitted on labelled documents the lexicon has not seen.
@@ -9,13 +10,15 @@ by a logistic model of both, fitted on labelled documents the lexicon has not se
 Only texts and the labels of the training folds are read: the score of a text depends on
 nothing else. Rows: a missing text counts as empty. An empty text has no match and the score
 of the model's constant. Without labels of both kinds there is no lexicon and every score is
-0. An empty table gives an empty result. Other columns are carried along; `score` and
-`predicted` must not be among them.
+0. An empty table gives an empty result. Other columns are carried along; any named
+`score` or `predicted`, in any case, are replaced.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -32,9 +35,10 @@ from .labelled import logistic, probability, training_sample
 TRAINING_ROWS = 20_000
 #: Candidate terms whose documents are counted, and terms of the lexicon, at most.
 CANDIDATES, TERMS = 50_000, 5_000
-#: Toxic documents that must have a term (and their least share), so that a chance find or one
-#: group of copies makes none; least and greatest log odds.
-LEAST_DOCUMENTS, LEAST_SHARE, LEAST_ODDS, MOST_ODDS = 5, 0.01, 2.5, 6.0
+#: Least likelihood ratio (G squared) of a term against the same share in both classes, so that
+#: no chance find enters: 40 is exceeded by chance once in four thousand million terms. Least and
+#: greatest log odds.
+LEAST_RATIO, LEAST_ODDS, MOST_ODDS = 40.0, 2.5, 6.0
 #: Lengths of beginnings of words that may be terms.
 BEGINNINGS = range(4, 9)
 #: Harmless phrases around words that may be in the lexicon, folded.
@@ -43,14 +47,15 @@ THRESHOLD = 0.5
 
 # Letters of other alphabets that look like Latin ones.
 _LOOK_ALIKE = str.maketrans(
-    "аеорсухіјѕԁһӏвнкмтαεοριυκνχηω",
-    "aeopcyxijsdhlbhkmtaeopiuknxnw")
+    "аеорсухіјѕԁһӏвнкмтгпαεοριυκνχηωτβγσʟɡɑıɩʋłøđħœæðþ",
+    "aeopcyxijsdhlbhkmtrnaeopiuknxnwtbyolgaiivlodhoadp")
 # Digits and signs written for letters.
 _WRITTEN_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
                 "@": "a", "$": "s", "!": "i", "|": "l"}
-_FOREIGN = re.compile("[Ͱ-ϿЀ-ԯ]")
-_FULL_WIDTH = re.compile("[！-～]")
-_WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)}
+_FOREIGN = re.compile("[\u0080-\u052f]")
+#: Combining marks, soft hyphens, variation selectors and characters without width.
+_UNSEEN = re.compile("[\u0300-\u036f\u00ad\u034f\u061c\u180e\u200b-\u200f\u202a-\u202e"
+                     "\u2060-\u2064\ufe00-\ufe0f\ufeff]")
 _DISGUISE = re.compile(r"(?<=[^\W\d_])[01345789@$!|]+(?=[^\W\d_])"
                        r"|(?<![^\W_])[01345789@$]+(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -59,9 +64,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 def fold(text: str) -> str:
     """The text as the lexicon sees it."""
     if not text.isascii():
-        if _FULL_WIDTH.search(text):
-            text = text.translate(_WIDE)
-        text = text.lower()
+        text = _UNSEEN.sub("", unicodedata.normalize("NFKD", text)).lower()
         if _FOREIGN.search(text):
             text = text.translate(_LOOK_ALIKE)
     else:
@@ -130,14 +133,24 @@ class Lexicon:
             weight = max(begins, whole if closed else 0.0)
             if weight > best.get(start, 0.0):
                 best[start] = weight
-        return sum(w for at, w in best.items()
-                   if not any(a <= at <= b for a, b in harmless))
+        # One sweep over matches and phrases, both by their start.
+        harmless.sort()
+        total, nth, reach = 0.0, 0, -1
+        for at in sorted(best):
+            while nth < len(harmless) and harmless[nth][0] <= at:
+                reach = max(reach, harmless[nth][1])
+                nth += 1
+            if at > reach:
+                total += best[at]
+        return total
 
     def features(self, texts: Sequence[str]) -> np.ndarray:
         return np.log1p(np.array([(self.weigh(t), len(t.split())) for t in texts],
                                  float).reshape(-1, 2))
 
     def scores(self, texts: Sequence[str]) -> np.ndarray:
+        if not self.terms:
+            return np.zeros(len(texts))
         a, b, c = self.model
         x = self.features(texts)
         return probability(a * x[:, 0] + b * x[:, 1] + c)
@@ -161,6 +174,14 @@ def _document_counts(texts: DataFrame, candidates: set[str] | None = None) -> Da
             .groupBy("term").agg(F.sum("n").alias("n")))
 
 
+def likelihood_ratio(n: int, of: int, m: int, out_of: int) -> float:
+    """G squared of n of `of` against m of `out_of`."""
+    both = (n + m) / (of + out_of)
+    cells = ((n, of * both), (of - n, of * (1 - both)),
+             (m, out_of * both), (out_of - m, out_of * (1 - both)))
+    return 2 * sum(seen * math.log(seen / expected) for seen, expected in cells if seen)
+
+
 def _without_longer(weights: dict[str, float]) -> dict[str, float]:
     """A term goes if a shorter beginning of it weighs about as much."""
     kept: dict[str, float] = {}
@@ -186,15 +207,17 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     if not toxic or not clean:
         return Lexicon({}, tuple(exceptions))
     fit = sample.filter("fit")
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * toxic)
-    often = (_document_counts(fit.filter("label = 1")).filter(F.col("n") >= least)
+    # A term that no clean document has is significant from so many toxic ones on.
+    least = LEAST_RATIO / 2 / np.log((toxic + clean) / toxic)
+    often = (_document_counts(fit.filter("label = 1")).filter(F.col("n") >= float(least))
              .orderBy(F.desc("n"), "term").limit(CANDIDATES).collect())
     in_toxic = {r["term"]: r["n"] for r in often}
     in_clean = {r["term"]: r["n"] for r in
                 _document_counts(fit.filter("label = 0"), set(in_toxic)).collect()}
     odds = {t: np.log((n + 0.5) / (toxic + 1)) - np.log((in_clean.get(t, 0) + 0.5) / (clean + 1))
             for t, n in in_toxic.items()}
-    heavy = sorted((t for t, w in odds.items() if w >= LEAST_ODDS),
+    heavy = sorted((t for t, w in odds.items() if w >= LEAST_ODDS and likelihood_ratio(
+                        in_toxic[t], toxic, in_clean.get(t, 0), clean) >= LEAST_RATIO),
                    key=lambda t: (-in_toxic[t] * odds[t], t))[:TERMS]
     lexicon = Lexicon(_without_longer({t: float(min(odds[t], MOST_ODDS)) for t in heavy}),
                       tuple(exceptions))
@@ -225,5 +248,5 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHO
             yield with_columns(batch, score=pa.array(scores, pa.float64()),
                                predicted=pa.array((scores >= threshold).astype(np.int32)))
 
-    schema = extended(docs, score="double", predicted="int")
+    docs, schema = extended(docs, score="double", predicted="int")
     return keyed(docs).select("row").mapInArrow(score, schema)
