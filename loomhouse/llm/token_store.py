@@ -15,9 +15,10 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keys import SLICE, slice_offsets
 from ..sources.staging import stage, staged_path
 from .common import (bucket_count, byte_rows, column, doc_key, groups, numbers, own_id, ship,
                      whole_text)
@@ -30,7 +31,9 @@ SHARD_IDS = 1 << 20
 #: Stored bytes of text for each file.
 FILE_BYTES = 16 << 20
 #: Positions of an id in a batch of results.
-FOUND = 4096
+FOUND = 1 << 16
+#: Up to so many files are named to the scan when positions are looked up.
+NAMED_FILES = 1000
 _SHARD = ("part int, shard int, before long, n_ids long, docs binary, lengths binary, "
           "matrix binary")
 
@@ -101,11 +104,10 @@ def _read(batches):
 
 
 def _offsets(store: DataFrame) -> DataFrame:
-    """Ids before each part; the totals of the parts, one row each, are summed up in order."""
-    totals = store.groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return stage(totals.select("part", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))
-                               .alias("offset")), "offsets")
+    """Ids before each part: the totals of the parts, summed up a tree."""
+    totals = store.groupBy(F.col("part").alias(SLICE)).agg(F.sum("n_ids").alias("n_ids"))
+    return slice_offsets(totals, ["n_ids"]).select(F.col(SLICE).alias("part"),
+                                                   F.col("n_ids").alias("offset"))
 
 
 def _matrices(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,9 +136,14 @@ def tokens_at(spark: SparkSession, folder: str, positions: DataFrame) -> DataFra
     ranges = shards.select("part", "shard", "first", "n_ids", F.explode(F.sequence(
         F.expr(f"first div {SHARD_IDS}"), F.expr(f"(first + n_ids - 1) div {SHARD_IDS}")))
         .alias("range"))
-    held = (asked.withColumn("range", F.expr(f"position div {SHARD_IDS}")).join(ranges, "range")
-            .filter("position >= first AND position < first + n_ids")
-            .groupBy("part", "shard").agg(F.collect_list("position").alias("places")))
+    held = stage(asked.withColumn("range", F.expr(f"position div {SHARD_IDS}"))
+                 .join(ranges, "range").filter("position >= first AND position < first + n_ids")
+                 .groupBy("part", "shard").agg(F.collect_list("position").alias("places")),
+                 "places")
+    # Matrices are read from the files asked for only: a file holds one part.
+    files = [r[0] for r in held.select("part").distinct().limit(NAMED_FILES + 1).collect()]
+    if len(files) <= NAMED_FILES:
+        shards = shards.filter(F.col("part").isin(files))
     found = (shards.join(held, ["part", "shard"]).select("first", "places", "matrix")
              .mapInArrow(_access, "position long, token long"))
     return asked.join(found, "position", "left")
@@ -170,13 +177,12 @@ def token_positions(spark: SparkSession, folder: str, tokens: list[int]) -> Data
             for shard in batch.to_pylist():
                 matrix = WaveletMatrix.frombytes(shard["matrix"])
                 for token in wanted:
-                    number = matrix.count(token)
-                    for low in range(0, number, FOUND):
-                        places = [shard["first"] + matrix.select(token, k)
-                                  for k in range(low, min(low + FOUND, number))]
-                        yield pa.RecordBatch.from_pydict(
-                            {"token": pa.array([token] * len(places), pa.int64()),
-                             "position": pa.array(places, pa.int64())})
+                    places = shard["first"] + matrix.positions(token)
+                    for low in range(0, len(places), FOUND):
+                        found = places[low:low + FOUND]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(found), token)), pa.array(found)],
+                            ["token", "position"])
 
     return (_matrices(spark, folder).select("first", "matrix")
             .mapInArrow(occurrences, "token long, position long"))

@@ -66,14 +66,18 @@ class WaveletMatrix:
             total += (int(self.bits[plane][position // 8]) >> (8 - position % 8)).bit_count()
         return total
 
-    def _find(self, plane: int, bit: int, rank: int) -> int:
-        """Position of the rank-th (from 0) zero or one of a plane."""
+    def _places(self, plane: int, bit: int, ranks: np.ndarray) -> np.ndarray:
+        """Positions of the zeros or ones of a plane that have these ranks (from 0)."""
+        if len(ranks) > self.length // BLOCK:  # about every block is needed
+            return np.flatnonzero(np.unpackbits(self.bits[plane], count=self.length) == bit)[ranks]
         starts = self.ranks[plane].astype(np.int64)
         if not bit:
             starts = np.arange(len(starts)) * BLOCK - starts
-        block = int(np.searchsorted(starts, rank, "right")) - 1
-        part = np.unpackbits(self.bits[plane][block * BLOCK // 8:(block + 1) * BLOCK // 8])
-        return block * BLOCK + int(np.flatnonzero(part == bit)[rank - int(starts[block])])
+        block = np.searchsorted(starts, ranks, "right") - 1
+        at = block[:, None] * (BLOCK // 8) + np.arange(BLOCK // 8)
+        held = np.unpackbits(np.take(self.bits[plane], at, mode="clip"), axis=1) == bit
+        nth = np.cumsum(held, axis=1, dtype=np.int32) == (ranks - starts[block] + 1)[:, None]
+        return block * BLOCK + nth.argmax(axis=1)
 
     def access(self, position: int) -> int:
         """The id at a position."""
@@ -106,15 +110,23 @@ class WaveletMatrix:
     def count(self, value: int) -> int:
         return self.rank(value, self.length)
 
+    def positions(self, value: int, first: int = 0, last: int | None = None) -> np.ndarray:
+        """Positions of the occurrences [first, last) of an id: all of them go back up through
+        the planes together."""
+        if value >> len(self.bits):
+            return np.zeros(0, np.int64)
+        low, high = self._range(value, self.length)
+        at = np.arange(low + first, high if last is None else min(low + last, high))
+        for plane in range(len(self.bits) - 1, -1, -1):
+            bit = value >> (len(self.bits) - 1 - plane) & 1
+            at = self._places(plane, bit, at - int(self.zeros[plane]) if bit else at)
+        return at
+
     def select(self, value: int, nth: int) -> int:
         """Position of the nth occurrence (from 0) of an id."""
         if not 0 <= nth < self.count(value):
             raise IndexError(f"{value} occurs {self.count(value)} times")
-        at = self._range(value, self.length)[0] + nth
-        for plane in range(len(self.bits) - 1, -1, -1):
-            bit = value >> (len(self.bits) - 1 - plane) & 1
-            at = self._find(plane, bit, at - int(self.zeros[plane]) if bit else at)
-        return at
+        return int(self.positions(value, nth, nth + 1)[0])
 
     def all(self) -> np.ndarray:
         """The whole sequence, by undoing the planes from the last to the first."""
