@@ -24,6 +24,8 @@ GROUP_BYTES = 1 << 20
 U64 = np.uint64
 #: Stands for a missing doc_id: it sorts before every other one.
 NO_ID = -(1 << 63)
+#: Written bytes up to which a table is sent to every task; a larger one is shuffled.
+SENT_BYTES = 8 << 20
 _SENT: list[tempfile.TemporaryDirectory] = []
 
 
@@ -74,19 +76,42 @@ def bucket_count(df: DataFrame, bytes_each: int) -> int:
     return max(least, -(-stored_size(df) // bytes_each))
 
 
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of all texts, by one scan of their lengths."""
+    return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+
+
+def sent_if_small(df: DataFrame, written: int) -> DataFrame:
+    """`df`, marked for a broadcast if it was written in at most `SENT_BYTES`."""
+    return F.broadcast(df) if written <= SENT_BYTES else df
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """Whole rows as `row`, with `doc` and a hash of the text: a key to join by."""
     return docs.select(F.struct("*").alias("row"), doc_key().alias("doc"),
                        F.xxhash64(whole_text()).alias("text_id"))
 
 
-def extended(docs: DataFrame, **added: str) -> T.StructType:
-    """Schema of `docs` with further columns; they must be new."""
-    if clash := set(added) & set(docs.columns):
-        raise ValueError(f"{sorted(clash)} are columns of the result; rename yours")
-    return T.StructType([*docs.schema.fields,
-                         *(T.StructField(name, T._parse_datatype_string(kind))
-                           for name, kind in added.items())])
+def named(column: str):
+    """A column by its whole name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def without(docs: DataFrame, names) -> DataFrame:
+    """`docs` without the columns of these names, which are compared without their case."""
+    taken = {n.lower() for n in names}
+    kept = [c for c in docs.columns if c.lower() not in taken]
+    if len(kept) == len(docs.columns):
+        return docs
+    return docs.select(*[named(c) for c in kept])
+
+
+def extended(docs: DataFrame, **added: str) -> tuple[DataFrame, T.StructType]:
+    """`docs` without columns that the result replaces, and the schema of the result."""
+    docs = without(docs, added)
+    return docs, T.StructType([*docs.schema.fields,
+                               *(T.StructField(name, T._parse_datatype_string(kind))
+                                 for name, kind in added.items())])
 
 
 # --- Arrow ---------------------------------------------------------------------------------

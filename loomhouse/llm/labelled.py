@@ -33,10 +33,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -
     order = F.xxhash64("labelled")
     chosen = known.orderBy(order, "labelled").limit(rows)
     # At most `rows` ids: small enough to send to every task.
-    joined = docs.join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("labelled"))
-    return stage(joined.select("label", (F.pmod(order, F.lit(4)) != 0).alias("fit"),
-                               F.coalesce("text", F.lit("")).alias("text"))
-                 .repartition(8, "text"), "sample")
+    texts = docs.select(F.col("doc_id").cast("long").alias("labelled"),
+                        F.coalesce("text", F.lit("")).alias("text"))
+    joined = texts.join(F.broadcast(chosen), "labelled")
+    return stage(joined.select("label", (F.pmod(order, F.lit(4)) != 0).alias("fit"), "text",
+                               "labelled")
+                 .repartition(8, "labelled").drop("labelled"), "sample")
 
 
 def logistic(features: np.ndarray, labels: np.ndarray, penalty: float = 1.0) -> np.ndarray:

@@ -5,7 +5,8 @@ and stays missing; an empty text stays empty. Lines are what lies between line f
 compared unchanged; lines of nothing but spaces, tabs and carriage returns are never
 boilerplate. A line found
 several times on a page counts once. An empty table gives an empty result. Other columns
-are carried along under their own names.
+are carried along under their own names; any named `n_lines` or `n_dropped`, in any case,
+are replaced.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
+from .common import named, without
 
 #: A line is boilerplate if more than this share of the pages of a host has it ...
 RATIO = 0.05
-#: ... and at least so many pages, so that small hosts keep their lines.
-MIN_PAGES = 5
+#: ... and at least so many pages: a line of one page is no repeat.
+MIN_PAGES = 2
 
 
 def _lines(text: str):
@@ -67,9 +69,7 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     The lists are written first: Spark then knows their size, broadcasts them if they are
     small and otherwise splits the pages of a large host between tasks.
     """
-    for name in ("n_lines", "n_dropped"):
-        if name in pages.columns:
-            raise ValueError(f"{name} is a column of the result; rename yours")
+    pages = without(pages, ("n_lines", "n_dropped"))
     lists = stage(boilerplate_lines(pages, host, text, ratio, min_pages), "boilerplate")
     listed, lost, before, kept = (_fresh(pages, n) for n in ("_host", "_lost", "_before", "_kept"))
     lists = lists.select(F.col("host").alias(listed), F.col("lines").alias(lost))
@@ -81,6 +81,6 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     none = F.col(text).isNull()
     return split.select(
         *[F.when(dropped > 0, F.array_join(kept, "\n")).otherwise(F.col(text)).alias(text)
-          if c == text else F.col(c) for c in pages.columns],
+          if c == text else named(c) for c in pages.columns],
         F.when(none, 0).otherwise(F.size(before)).cast("long").alias("n_lines"),
         dropped.cast("long").alias("n_dropped"))

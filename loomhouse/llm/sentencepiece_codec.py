@@ -12,7 +12,7 @@ its bytes and joins with nothing. Runs of spaces share one score, so a part with
 joined step by step instead.
 
 Rows: a missing text counts as empty and has no ids. An empty table gives an empty result.
-Other columns are carried along; `ids` and `decoded` must not be among them.
+Other columns are carried along; any named `ids` or `decoded`, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -215,5 +215,5 @@ def _coder(name):
 def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """`docs` with the `ids` of each text, and the text `decoded` from them."""
     ship(docs)
-    schema = extended(docs, ids="array<int>", decoded="string")
+    docs, schema = extended(docs, ids="array<int>", decoded="string")
     return keyed(docs).select("row").mapInArrow(_coder(vocabulary), schema)

@@ -17,7 +17,7 @@ are settled in step 1.
 Order: by doc_id, then by place. Rows: a missing text is empty; a missing doc_id counts as
 smaller than every other; rows repeated under one doc_id are one document. Texts shorter
 than the length stay whole. An empty table gives an empty result. Other columns are carried
-along; `n_bytes`, `n_removed`, `n_spans` and `kept` must not be among them.
+along; any named `n_bytes`, `n_removed`, `n_spans` or `kept`, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -307,7 +307,7 @@ def drop_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRA
                           shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """`docs` with `n_bytes`, `n_removed`, `n_spans` (maximal removed runs) and `kept`, the
     bytes that remain."""
-    schema = extended(docs, n_bytes="long", n_removed="long", n_spans="long", kept="binary")
+    docs, schema = extended(docs, n_bytes="long", n_removed="long", n_spans="long", kept="binary")
     ship(docs)
     rows = keyed(docs)
     texts = rows.select("doc", "text_id", F.col("row.text").alias("text"))

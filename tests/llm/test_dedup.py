@@ -47,9 +47,10 @@ def plain_strings(docs, n=100):
     return out
 
 
-@pytest.mark.parametrize("often", [200_000, 3])
-def test_passages(frame, passages, often):
-    found = drop_repeated_passages(frame(passages), often=often, counters=1000)
+@pytest.mark.parametrize("settings", [{}, {"often": 3, "counters": 1000}, {"most_bytes": 300},
+                                      {"bucket_bytes": 100, "most_bytes": 1}])
+def test_passages(frame, passages, settings):
+    found = drop_repeated_passages(frame(passages), **settings)
     assert by_id(found, "n_words", "n_removed", "kept_text") == plain_passages(passages)
     assert found.columns[:5] == ["doc_id", "text", "doc", "row", "n"]
 
@@ -68,9 +69,10 @@ def test_empty_tables(frame):
     assert drop_boilerplate(empty, host="doc").drop("row").count() == 0
 
 
-def test_result_columns_must_be_new(frame):
-    with pytest.raises(ValueError, match="n_words"):
-        drop_repeated_passages(frame([(1, "a")]).withColumnRenamed("n", "n_words"))
+def test_result_columns_replace_those_of_their_name(frame):
+    found = drop_repeated_passages(frame([(1, "a b")]).withColumnRenamed("n", "N_Words"))
+    assert found.columns == ["doc_id", "text", "doc", "row", "n_words", "n_removed", "kept_text"]
+    assert found.first()["n_words"] == 2
 
 
 @pytest.mark.parametrize("counters", [3, 1000])

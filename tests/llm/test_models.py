@@ -20,6 +20,7 @@ SMALL = "/root/testdata/sf0.01"
 def test_folding():
     assert fold("1d10t Іdіоt pa$$word W0RTHLESS moron!! 12345 ｃlown") == (
         "idiot idiot password worthless moron!! 12345 clown")
+    assert fold("i\u0301d\u200bi\u00adot 𝐦𝐨𝐫𝐨𝐧 Ịđıøt") == "idiot moron idiot"
 
 
 def test_lexicon_matches():
@@ -27,6 +28,8 @@ def test_lexicon_matches():
     assert lexicon.weigh("loweän slowe") == 3.0
     assert lexicon.weigh("Idiots, 1d10t.") == 6.0
     assert lexicon.weigh("an idiot proof idiot") == 5.0
+    phrases = "idiot proof idiot " * 20_000
+    assert lexicon.weigh(phrases) == 5.0 * 20_000
     assert lexicon.weigh("") == 0.0 and Lexicon({}).weigh("idiot") == 0.0
 
 

@@ -121,6 +121,8 @@ def test_wavelet_matrix():
         assert matrix.rank(value, at) == (ids[:at] == value).sum()
         assert matrix.count(value) == len(places)
         assert [matrix.select(value, k) for k in range(len(places))] == places.tolist()
+        assert matrix.positions(value).tolist() == places.tolist()
+        assert matrix.positions(value, 2, 5).tolist() == places[2:5].tolist()
     assert matrix.count(1023) == 0 and matrix.rank(5000, 10) == 0
     assert (WaveletMatrix.frombytes(WaveletMatrix.build(ids[:0], 10).tobytes()).all() == []).all()
 
