@@ -3,7 +3,9 @@ class of near duplicates stays, repeated passages go, and what is left is packed
 
 Every stage works on all its predecessor kept and, but for the last, returns the columns of
 documents. Rows and cases: as the operators define them. A text that a stage changes has its
-`n_chars` counted anew; a document stays when nothing of its text is left.
+`n_chars` counted anew; a document stays when nothing of its text is left. Other columns travel
+as one, so that none of them meets a stage's own columns, whatever its name; they come out
+unchanged. An empty table gives an empty result; documents without labels are all clean.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomhouse.llm.common import doc_key, table, whole_text
+from loomhouse.llm.common import keyed, named, table
 from loomhouse.llm.jaccard_join import similar_rows
 from loomhouse.llm.line_dedup import drop_boilerplate
 from loomhouse.llm.packing import pack, token_pieces
@@ -20,39 +22,50 @@ from loomhouse.llm.toxicity import learn_lexicon, score_toxicity
 from loomhouse.sources.staging import stage
 
 
-def _recounted(docs: DataFrame, columns: list[str], changed) -> DataFrame:
+def _packed(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns that a stage reads, and all others as one."""
+    others = [named(c) for c in docs.columns if c not in used]
+    return docs.select(*used, *([F.struct(*others).alias("others")] if others else []))
+
+
+def _unpacked(done: DataFrame, docs: DataFrame, used: tuple[str, ...], changed=None) -> DataFrame:
     """The columns of documents, with the characters of changed texts counted."""
-    if "n_chars" not in columns:
-        return docs.select(*columns)
-    kind = docs.schema["n_chars"].dataType
-    count = F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-    return docs.select(*[count.alias(c) if c == "n_chars" else F.col(c) for c in columns])
+    columns = []
+    for field in docs.schema.fields:
+        value = F.col(field.name) if field.name in used else F.col("others").getField(field.name)
+        if field.name == "n_chars" and changed is not None:
+            value = F.when(changed, F.length("text").cast(field.dataType)).otherwise(value)
+        columns.append(value.alias(field.name))
+    return done.select(*columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    used = ("doc_id", "text")
     lexicon = learn_lexicon(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, lexicon).filter("predicted = 0").select(*docs.columns)
+    scored = score_toxicity(_packed(docs, *used), lexicon)
+    return _unpacked(scored.filter("predicted = 0"), docs, used)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _recounted(drop_boilerplate(docs), docs.columns, F.col("n_dropped") > 0)
+    used = ("doc_id", "source", "text")
+    return _unpacked(drop_boilerplate(_packed(docs, *used)), docs, used, F.col("n_dropped") > 0)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each class stays; where doc_ids are missing or
     repeat, the one of them with the least text hash, and one of several equal ones."""
     stays = (similar_rows(docs).filter("doc = class_doc AND text_id = class_text")
-             .select(F.col("doc").alias("_doc"), F.col("text_id").alias("_text")).distinct())
-    named = docs.withColumn("_doc", doc_key()).withColumn("_text", F.xxhash64(whole_text()))
-    return (named.join(stays, ["_doc", "_text"], "left_semi").dropDuplicates(["_doc", "_text"])
-            .select(*docs.columns))
+             .select("doc", "text_id").distinct())
+    return (keyed(docs).join(stays, ["doc", "text_id"], "left_semi")
+            .dropDuplicates(["doc", "text_id"]).select("row.*"))
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    used = ("doc_id", "text")
     changed = F.col("n_removed") > 0
-    cut = drop_repeated_passages(docs).withColumn(
+    cut = drop_repeated_passages(_packed(docs, *used)).withColumn(
         "text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
-    return _recounted(cut, docs.columns, changed)
+    return _unpacked(cut, docs, used, changed)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
