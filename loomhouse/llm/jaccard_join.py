@@ -355,22 +355,32 @@ def _all(frames):
     return reduce(DataFrame.unionByName, frames)
 
 
-def _buckets(reps: DataFrame, picks: float, bucket: int, depth: int) -> tuple[DataFrame, DataFrame]:
-    """(path, rep, sets) of the buckets of at most `bucket` sets, and of the heaps that `depth`
-    splits leave."""
-    rows, small = reps.select(F.explode("paths").alias("path"), "rep").distinct(), []
+def _buckets(reps: DataFrame, picks: float, bucket: int, depth: int, rounds: int
+             ) -> tuple[list[DataFrame], DataFrame]:
+    """Edges of sets to leaders; and (path, rep, sets) of the buckets of at most `bucket` sets,
+    with the heaps that are still larger after `depth` splits and all rounds of leaders.
+
+    A large bucket meets leaders before it is split, so one group of near copies is not split.
+    """
+    rows = reps.select(F.explode("paths").alias("path"), "rep").distinct()
+    edges, members = [], []
     for level in range(1, depth + 1):
         sized = stage(rows.groupBy("path").agg(F.count("*").alias("sets")).filter("sets > 1"),
                       "buckets")
         rows = stage(rows.join(sized, "path"), "paths")
-        small.append(rows.filter(F.col("sets") <= bucket))
+        members.append(rows.filter(F.col("sets") <= bucket))
         large = rows.filter(F.col("sets") > bucket)
-        if level == depth or large.isEmpty():
-            return _all(small), large
+        if large.isEmpty():
+            break
+        found, shrunk, large = _led(large, reps, bucket, rounds if level == depth else 1)
+        edges, members = [*edges, *found], [*members, *shrunk]
+        if level == depth:
+            members.append(large)
+            break
         wanted = large.groupBy("rep").agg(F.collect_set("path").alias("paths"))
         rows = stage(wanted.join(reps.select("rep", "sketch"), "rep")
                      .mapInArrow(_again(picks), "rep long, path long").distinct(), "paths")
-    raise ValueError("depth is at least 1")
+    return edges, stage(_all(members), "members")
 
 
 def _beside_leaders(batches):
@@ -479,9 +489,7 @@ def similar_rows(docs: DataFrame, similarity: float = SIMILARITY, recall: float
                                 "row")
                  .select(F.col("row").alias("rep"), "doc", "text_id", "copies", "n", "paths",
                          "sketch"), "representatives")
-    small, heaps = _buckets(reps, picks, bucket, depth)
-    edges, shrunk, large = _led(heaps, reps, bucket, rounds)
-    members = stage(_all([small, *shrunk, large]), "members")
+    edges, members = _buckets(reps, picks, bucket, depth, rounds)
     groups_of = _components(_all([_bucket_edges(members, reps, similarity, bucket), *edges]))
     # Every candidate with its group; the least of a group is in it too.
     grouped = _with_least(groups_of)
