@@ -164,6 +164,27 @@ def test_similar_classes_of_missing_and_repeated_ids(frame, settings):
         (docs[k][0] or -1, docs[least][0] or -1, links) for k, (least, links) in want.items())
 
 
+@pytest.mark.parametrize("turns", [0, 3])
+def test_leaders_stand_for_sets_of_one_large_group(frame, turns):
+    # Copies drift away from their base word by word, so links lead from those that a leader
+    # stands for to those beyond its reach, and between sets of different leaders.
+    draw, texts = random.Random(23), []
+    for base in range(2):
+        words = [f"{base}w{i}" for i in range(300)]
+        for k in range(150):
+            copy = list(words)
+            for at in draw.sample(range(300), draw.randint(0, 12)):
+                copy[at] = f"{base}c{k}x{at}"
+            texts.append(" ".join(copy))
+        chain = list(words)
+        for k in range(60):
+            chain[(k * 5) % 300] = f"{base}d{k}"
+            texts.append(" ".join(chain))
+    docs = list(enumerate(texts))
+    found = similar_classes(frame(docs), bucket=16, turns=turns, block_sets=64)
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found.collect()} == plain_classes(docs)
+
+
 def test_no_documents(frame):
     assert similar_classes(frame([(1, "a")]).limit(0)).count() == 0
     assert similar_classes(frame([(1, None), (2, " ")])).count() == 2
