@@ -6,15 +6,12 @@ sets share most shingles and so, with a known chance, a bucket; a number of runs
 chance to miss a link in all of them below 1 - `RECALL`. A bucket of too many sets is split
 again: its sets pick shingles of their sketches (the least shingle hashes) by a hash of the
 path so far; no text is read for it. Buckets that stay large after `DEPTH` splits are heaps of
-sets that mostly share their shingles. Most heaps are gone before the first run: every set goes
-to the bucket of its least shingle, and where that is large, sets that are all but equal to one
-of a few leaders are connected to it and take part in the runs under its name, so thousands
-of near copies are a few sets on each path. This is repeated `TURNS` times, each with another order of
-the shingles. In a heap sets are compared with a few leaders, not with
+sets that mostly share their shingles. In a heap sets are compared with a few leaders, not with
 each other: a heap in which all are near one leader is connected by that, a set close to a
 leader goes, since whatever is similar to it is near that leader too, and the others go on to
-the next leaders until they fit in a bucket. What is left after `ROUNDS` is compared block by
-block.
+the next leaders until they fit in a bucket. A heap that keeps more than `FIRM` of its sets holds
+sets that share a frequent passage and little else, for which leaders are of no use: it meets no
+more of them. It is compared block by block, as is what is left after `ROUNDS`.
 
 In a bucket all pairs are compared by their sketches, below the threshold. What they connect
 makes candidate groups. Within a candidate group all
@@ -61,10 +58,8 @@ SKETCH, SLACK = 64, 0.7
 #: Rounds of leaders for a heap, leaders of a round, and the similarities to a leader, told by
 #: sketches, from which a set is near it or so close that all its similar sets are near, too.
 ROUNDS, LEADERS, NEAR, CLOSE = 6, 4, 0.3, 0.75
-#: Turns before the runs, and the similarity to a leader, told by sketches, from which the leader
-#: stands for a set. Distances of sets add up: what is similar to such a set has at least 0.65
-#: in common with its leader, and leaders of two similar sets at least 0.5 with each other.
-TURNS, STANDS = 3, 0.85
+#: Share of its sets that a heap keeps in a round at most, to meet leaders again.
+FIRM = 0.9
 #: Bytes of shingles and number of sets in a block of a candidate group, at most.
 BLOCK_BYTES, BLOCK_SETS = 12 << 20, 2048
 
@@ -72,10 +67,8 @@ BLOCK_BYTES, BLOCK_SETS = 12 << 20, 2048
 def runs_for(similarity: float = SIMILARITY, recall: float = RECALL, picks: float = PICKS,
              depth: int = DEPTH) -> int:
     """Runs after which a link is missed with a chance of at most 1 - recall, even where both
-    sets must follow the same path through `depth` splits, the later ones by the sketch of a leader
-    that stands for one of them."""
-    shared = ((1 - math.exp(-picks * similarity))
-              * (1 - math.exp(-picks * (similarity + STANDS - 1))) ** (depth - 1))
+    sets must follow the same path through `depth` splits."""
+    shared = (1 - math.exp(-picks * similarity)) ** depth
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - shared)))
 
 
@@ -117,21 +110,8 @@ def _first_paths(runs):
     return mix(np.arange(1, runs + 1, dtype=U64) * U64(0x9E3779B97F4A7C15))
 
 
-def _least_shingles(value, edge, turns):
-    """The least shingle of each row in the order of each turn, 0 for a row without any."""
-    least = np.zeros((len(edge) - 1, turns), U64)
-    some = edge[1:] > edge[:-1]
-    if some.any():
-        for turn, root in enumerate(_first_paths(turns)):
-            least[some, turn] = np.minimum.reduceat(mix(mix(value) ^ root), edge[:-1][some])
-    return pa.ListArray.from_arrays(
-        pa.array(np.arange(len(least) + 1) * turns, pa.int32()),
-        pa.array(least.ravel().view(np.int64)))
-
-
-def _describe(runs, picks, size, turns):
-    """For each document: hashes of its words, size of its set, first paths, least shingles,
-    sketch."""
+def _describe(runs, picks, size):
+    """For each document: hashes of its words, size of its set, first paths, sketch."""
     roots = _first_paths(runs)
 
     def describe(batches):
@@ -163,7 +143,6 @@ def _describe(runs, picks, size, turns):
                     {"doc": doc[low:high], "text_id": text_id[low:high],
                      "a": a.view(np.int64), "b": b.view(np.int64),
                      "n": np.diff(edge).astype(np.int64), "paths": paths,
-                     "least_of": _least_shingles(value, edge, turns),
                      "sketch": pa.array(sketch, pa.binary())})
     return describe
 
@@ -255,20 +234,16 @@ def _sketch_edges(similarity):
     buckets."""
     def edges(key, table):
         table = table.sort_by([("bucket", "ascending"), ("rep", "ascending")])
-        bucket, reps, n, stands = (table[c].to_numpy()
-                                   for c in ("bucket", "rep", "n", "stands"))
+        bucket, reps, n = (table[c].to_numpy() for c in ("bucket", "rep", "n"))
         sketches = [np.frombuffer(s, "<u4") for s in table["sketch"].to_pylist()]
         xs, ys = [], []
         cut = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
         for low, high in zip(cut, [*cut[1:], len(bucket)]):
-            held, size, by_leader = sketches[low:high], n[low:high], stands[low:high]
-            by_leader = by_leader[:, None] | by_leader[None, :]
-            told = _told(held, held)
+            held, size = sketches[low:high], n[low:high]
+            near = _told(held, held) >= similarity * SLACK
             # Sets of very different sizes are not alike, whatever their sketches share.
-            near = (told >= similarity * SLACK) & (
-                np.minimum(size[:, None], size[None, :])
-                >= similarity * np.maximum(size[:, None], size[None, :]))
-            near |= by_leader & (told >= NEAR)
+            near &= (np.minimum(size[:, None], size[None, :])
+                     >= similarity * np.maximum(size[:, None], size[None, :]))
             least = _connected(near)
             moved = np.flatnonzero(least != np.arange(high - low))
             xs.append(reps[low:high][moved])
@@ -390,7 +365,7 @@ def _buckets(reps: DataFrame, picks: float, bucket: int, depth: int, rounds: int
 
     A large bucket meets leaders before it is split, so one group of near copies is not split.
     """
-    rows = reps.select(F.explode("paths").alias("path"), F.col("by").alias("rep")).distinct()
+    rows = reps.select(F.explode("paths").alias("path"), "rep").distinct()
     edges, members = [], []
     for level in range(1, depth + 1):
         sized = stage(rows.groupBy("path").agg(F.count("*").alias("sets")).filter("sets > 1"),
@@ -411,77 +386,29 @@ def _buckets(reps: DataFrame, picks: float, bucket: int, depth: int, rounds: int
     return edges, stage(_all(members), "members")
 
 
-def _drawn_leaders(heaps: DataFrame, turn: int) -> DataFrame:
-    """(path, leaders): some sets of each heap, drawn anew in each turn."""
-    drawn = [F.min(F.struct(F.xxhash64("path", "rep", F.lit(turn * LEADERS + k)).alias("draw"),
-                            "rep", "sketch")) for k in range(LEADERS)]
-    return stage(heaps.groupBy("path").agg(F.array(*drawn).alias("leaders")), "leaders")
-
-
-def _by_heap(paths, held, leaders):
-    """For each heap in a batch: its rows, names of its leaders, similarity of each row to each."""
-    order = np.argsort(paths, kind="stable")
-    cuts = np.flatnonzero(np.diff(paths[order])) + 1
-    for at in np.split(order, cuts) if len(order) else ():
-        led = leaders[int(at[0])].as_py()
-        yield at, np.array([one["rep"] for one in led]), _told(
-            [np.frombuffer(held[i], "<u4") for i in at],
-            [np.frombuffer(one["sketch"], "<u4") for one in led])
-
-
-def _under_leaders(batches):
-    """The sets for which a leader of their heap stands, leaders left out, with the first such."""
-    for batch in batches:
-        reps, out = numbers(batch, "rep"), {"rep": [], "leader": []}
-        for at, names, told in _by_heap(numbers(batch, "path"),
-                                        column(batch, "sketch").to_pylist(),
-                                        column(batch, "leaders")):
-            stood = (told >= STANDS).any(1) & ~np.isin(reps[at], names)
-            out["rep"] += reps[at][stood].tolist()
-            out["leader"] += names[(told[stood] >= STANDS).argmax(1)].tolist()
-        yield pa.RecordBatch.from_pydict(
-            out, pa.schema([("rep", pa.int64()), ("leader", pa.int64())]))
-
-
-def _stand_ins(reps: DataFrame, bucket: int, turns: int) -> DataFrame | None:
-    """(rep, leader): sets of large heaps and the sets that stand for them, and those by
-    themselves. A set that stands for others has none that stands for it."""
-    found = []
-    for turn in range(turns):
-        heaps = reps.select(F.col("least_of")[turn].alias("path"), "rep", "sketch")
-        if found:
-            heaps = heaps.join(_all(found), "rep", "left_anti")
-        large = stage(heaps.groupBy("path").agg(F.count("*").alias("sets"))
-                      .filter(F.col("sets") > bucket).select("path"), "heaps")
-        if large.isEmpty():
-            continue
-        heaps = stage(heaps.join(large, "path"), "heaps")
-        under = stage(heaps.join(_drawn_leaders(heaps, turn), "path")
-                      .mapInArrow(_under_leaders, "rep long, leader long"), "led")
-        found += [under, under.select(F.col("leader").alias("rep"), "leader").distinct()]
-    return stage(_all(found), "led") if found else None
-
-
 def _beside_leaders(batches):
     """For each set of a heap: the leaders that it is near, as a mask and by name, and whether it
     is close to one."""
     for batch in batches:
-        paths, stands = numbers(batch, "path"), column(batch, "stands").to_numpy(False)
+        paths = numbers(batch, "path")
+        held, leaders = column(batch, "sketch").to_pylist(), column(batch, "leaders")
         near, mask, close = ([None] * len(paths) for _ in range(3))
-        for at, names, told in _by_heap(paths, column(batch, "sketch").to_pylist(),
-                                        column(batch, "leaders")):
-            # A set that stands for others may be further from what is similar to them.
-            further = np.where(stands[at], 1 - STANDS, 0.0)[:, None]
-            is_near, is_close = told >= NEAR - further, (told >= CLOSE + further).any(1)
-            bits = is_near @ (1 << np.arange(len(names)))
-            for i, row, all_bits, goes in zip(at.tolist(), is_near, bits.tolist(),
-                                              is_close.tolist()):
-                near[i], mask[i], close[i] = names[row], all_bits, goes
+        order = np.argsort(paths, kind="stable")
+        cuts = np.flatnonzero(np.diff(paths[order])) + 1
+        for at in np.split(order, cuts) if len(order) else ():
+            led = leaders[int(at[0])].as_py()
+            told = _told([np.frombuffer(held[i], "<u4") for i in at],
+                         [np.frombuffer(one["sketch"], "<u4") for one in led])
+            names = np.array([one["rep"] for one in led])
+            bits = (told >= NEAR) @ (1 << np.arange(len(led)))
+            for i, row, all_bits in zip(at.tolist(), told, bits.tolist()):
+                near[i], mask[i] = names[row >= NEAR], all_bits
+                close[i] = bool((row >= CLOSE).any())
         yield pa.RecordBatch.from_arrays(
             [column(batch, "path"), column(batch, "rep"), column(batch, "sketch"),
-             column(batch, "stands"), pa.array(near, pa.list_(pa.int64())),
-             pa.array(mask, pa.int64()), pa.array(close, pa.bool_())],
-            ["path", "rep", "sketch", "stands", "near", "mask", "close"])
+             pa.array(near, pa.list_(pa.int64())), pa.array(mask, pa.int64()),
+             pa.array(close, pa.bool_())],
+            ["path", "rep", "sketch", "near", "mask", "close"])
 
 
 def _led(heaps: DataFrame, reps: DataFrame, bucket: int, rounds: int
@@ -492,27 +419,33 @@ def _led(heaps: DataFrame, reps: DataFrame, bucket: int, rounds: int
     A set close to a leader goes: what is similar to it is near that leader, and so connected to
     it. A heap whose sets are all near one leader goes as a whole.
     """
-    edges, small = [], []
+    edges, small, firm = [], [], []
     left = heaps.select("path", "rep", "sets")
     for turn in range(rounds):
         if left.isEmpty():
             break
         if "sketch" not in left.columns:
-            left = stage(left.join(reps.select("rep", "sketch", "stands"), "rep"), "heaps")
-        seen = stage(left.join(_drawn_leaders(left, turn), "path")
-                     .select("path", "rep", "sketch", "stands", "leaders")
+            left = stage(left.join(reps.select("rep", "sketch"), "rep"), "heaps")
+        drawn = [F.min(F.struct(F.xxhash64("path", "rep", F.lit(turn * LEADERS + k)).alias("draw"),
+                                "rep", "sketch")) for k in range(LEADERS)]
+        leaders = stage(left.groupBy("path").agg(F.array(*drawn).alias("leaders")), "leaders")
+        seen = stage(left.join(leaders, "path").select("path", "rep", "sketch", "leaders")
                      .mapInArrow(_beside_leaders, "path long, rep long, sketch binary, "
-                                 "stands boolean, near array<long>, mask long, close boolean"), "led")
+                                 "near array<long>, mask long, close boolean"), "led")
         edges.append(seen.select(F.col("rep").alias("x"), F.explode("near").alias("y"))
                      .filter("x <> y"))
         going_on = (seen.groupBy("path").agg(F.bit_and("mask").alias("common"),
-                                             F.count_if(~F.col("close")).alias("sets"))
-                    .filter("common = 0 AND sets > 1").select("path", "sets"))
-        rest = stage(seen.filter("NOT close").select("path", "rep", "sketch", "stands")
+                                             F.count_if(~F.col("close")).alias("sets"),
+                                             F.count("*").alias("met"))
+                    .filter("common = 0 AND sets > 1")
+                    .select("path", "sets", (F.col("sets") > FIRM * F.col("met")).alias("firm")))
+        rest = stage(seen.filter("NOT close").select("path", "rep", "sketch")
                      .join(going_on, "path"), "rest")
         small.append(rest.filter(F.col("sets") <= bucket).select("path", "rep", "sets"))
         left = rest.filter(F.col("sets") > bucket)
-    return edges, small, left.select("path", "rep", "sets")
+        firm.append(left.filter("firm").select("path", "rep", "sets"))
+        left = left.filter("NOT firm").drop("firm")
+    return edges, small, _all([*firm, left.select("path", "rep", "sets")])
 
 
 def _bucket_edges(members: DataFrame, reps: DataFrame, similarity: float, bucket: int
@@ -531,7 +464,7 @@ def _bucket_edges(members: DataFrame, reps: DataFrame, similarity: float, bucket
              .filter("own <> other")
              .select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"))
                      .alias("bucket"), "rep"))
-    described = reps.select("rep", "n", "sketch", "stands")
+    described = reps.select("rep", "n", "sketch")
     placed = stage(small.unionByName(large).distinct().join(described, "rep"), "placed")
     # A group is a handful of buckets: as many groups as there are megabytes of rows.
     most = F.lit(max(1, stored_size(placed) >> 20))
@@ -542,18 +475,16 @@ def _bucket_edges(members: DataFrame, reps: DataFrame, similarity: float, bucket
 def similar_rows(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL,
                  picks: float = PICKS, bucket: int = BUCKET, depth: int = DEPTH,
                  rounds: int = ROUNDS, size: int = SHINGLE, block_bytes: int = BLOCK_BYTES,
-                 block_sets: int = BLOCK_SETS, turns: int = TURNS) -> DataFrame:
+                 block_sets: int = BLOCK_SETS) -> DataFrame:
     """One row per row of `docs`: `doc` and `text_id` (its doc_id and hash of its text, as in
-    `keyed`), those of the least row of its class as `class_doc` and `class_text`, and `n_links`.
-    Leaders stand for sets where `similarity` is at least 0.8, the least for which their bounds hold."""
+    `keyed`), those of the least row of its class as `class_doc` and `class_text`, and `n_links`."""
     ship(docs)
     runs = runs_for(similarity, recall, picks, depth)
     texts = docs.select(doc_key().alias("doc"), F.xxhash64(whole_text()).alias("text_id"),
                         whole_text().alias("text"))
     described = stage(texts.mapInArrow(
-        _describe(runs, picks, size, turns),
-        "doc long, text_id long, a long, b long, n long, paths array<long>, "
-        "least_of array<long>, sketch binary")
+        _describe(runs, picks, size),
+        "doc long, text_id long, a long, b long, n long, paths array<long>, sketch binary")
         .withColumn("row", F.monotonically_increasing_id()), "described")
     # Texts of the same words: the number of the least row stands for them.
     same = stage(described.groupBy("a", "b").agg(
@@ -564,19 +495,9 @@ def similar_rows(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     reps = stage(described.join(same.filter("n > 0").select(F.col("rep").alias("row"), "copies"),
                                 "row")
                  .select(F.col("row").alias("rep"), "doc", "text_id", "copies", "n", "paths",
-                         "least_of", "sketch"), "representatives")
-    led = _stand_ins(reps, bucket, turns) if similarity >= SIMILARITY else None
-    named = reps.drop("least_of")
-    if led is None:
-        named = named.select("*", F.col("rep").alias("by"), F.lit(False).alias("stands"))
-    else:
-        named = stage(named.join(led, "rep", "left").select(
-            *named.columns, F.coalesce("leader", "rep").alias("by"),
-            F.coalesce(F.col("leader") == F.col("rep"), F.lit(False)).alias("stands")), "named")
-    edges, members = _buckets(named, picks, bucket, depth, rounds)
-    if led is not None:
-        edges.append(led.select(F.col("rep").alias("x"), F.col("leader").alias("y")))
-    groups_of = _components(_all([_bucket_edges(members, named, similarity, bucket), *edges]))
+                         "sketch"), "representatives")
+    edges, members = _buckets(reps, picks, bucket, depth, rounds)
+    groups_of = _components(_all([_bucket_edges(members, reps, similarity, bucket), *edges]))
     # Every candidate with its group; the least of a group is in it too.
     grouped = _with_least(groups_of)
     joined = grouped.join(

@@ -164,10 +164,10 @@ def test_similar_classes_of_missing_and_repeated_ids(frame, settings):
         (docs[k][0] or -1, docs[least][0] or -1, links) for k, (least, links) in want.items())
 
 
-@pytest.mark.parametrize("turns", [0, 3])
-def test_leaders_stand_for_sets_of_one_large_group(frame, turns):
-    # Copies drift away from their base word by word, so links lead from those that a leader
-    # stands for to those beyond its reach, and between sets of different leaders.
+def test_heaps_of_copies_that_drift_apart(frame):
+    # Copies drift away from their base word by word, so links lead from those close to a leader
+    # to those beyond its reach; half of the others only share a passage, so leaders do not shrink
+    # their heaps.
     draw, texts = random.Random(23), []
     for base in range(2):
         words = [f"{base}w{i}" for i in range(300)]
@@ -180,8 +180,11 @@ def test_leaders_stand_for_sets_of_one_large_group(frame, turns):
         for k in range(60):
             chain[(k * 5) % 300] = f"{base}d{k}"
             texts.append(" ".join(chain))
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts += [passage + " " + " ".join(f"{k % 100}q{i}" for i in range(30 + k % 7))
+              for k in range(150)]
     docs = list(enumerate(texts))
-    found = similar_classes(frame(docs), bucket=16, turns=turns, block_sets=64)
+    found = similar_classes(frame(docs), bucket=16, block_sets=64)
     assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found.collect()} == plain_classes(docs)
 
 
