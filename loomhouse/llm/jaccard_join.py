@@ -387,8 +387,9 @@ def _buckets(reps: DataFrame, picks: float, bucket: int, depth: int, rounds: int
 
 
 def _beside_leaders(batches):
-    """For each set of a heap: the leaders that it is near, as a mask and by name, and whether it
-    is close to one."""
+    """For each set of a heap: the leaders that it is near, as a mask, and whether it is close to
+    one; by name the leaders to connect it to. One set connects all leaders of a mask, the others
+    with that mask need the first of them only."""
     for batch in batches:
         paths = numbers(batch, "path")
         held, leaders = column(batch, "sketch").to_pylist(), column(batch, "leaders")
@@ -401,8 +402,12 @@ def _beside_leaders(batches):
                          [np.frombuffer(one["sketch"], "<u4") for one in led])
             names = np.array([one["rep"] for one in led])
             bits = (told >= NEAR) @ (1 << np.arange(len(led)))
+            known = set()
             for i, row, all_bits in zip(at.tolist(), told, bits.tolist()):
                 near[i], mask[i] = names[row >= NEAR], all_bits
+                if all_bits in known:
+                    near[i] = near[i][:1]
+                known.add(all_bits)
                 close[i] = bool((row >= CLOSE).any())
         yield pa.RecordBatch.from_arrays(
             [column(batch, "path"), column(batch, "rep"), column(batch, "sketch"),
