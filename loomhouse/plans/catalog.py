@@ -38,7 +38,7 @@ from ..operators.vault import (
 )
 from ..sources.contracts import HISTORY, violations
 from ..sources.dimension_store import DimensionStore, refresh_stores
-from ..sources.files import append_absent
+from ..sources.files import append_absent, stored_bytes
 from ..sources.raw_csv import read_raw_csv
 from ..sources.staging import stage, staged_path
 from ..sources.vault_store import VaultStore
@@ -130,11 +130,12 @@ def nf3_orders(spark, folder):
 
 
 def csv_load(spark, folder):
-    """Documents written as one CSV file and read again by several tasks: quotes and line breaks
-    included."""
+    """Documents written as CSV, a large table as several files, and read again by several tasks:
+    quotes and line breaks included."""
     documents = views.table(spark, folder, "documents").select("doc_id", "lang", "text")
     path = staged_path(spark, "csv")
-    (documents.coalesce(1).write.option("header", True).option("quote", '"').option("escape", '"')
+    files = 1 + stored_bytes(spark, f"{folder.rstrip('/')}/documents.parquet") // CSV_BYTES
+    (documents.coalesce(files).write.option("header", True).option("quote", '"').option("escape", '"')
      .option("quoteAll", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
     return read_raw_csv(spark, path, documents.schema, multi_line=True)

@@ -4,8 +4,10 @@ import csv
 import random
 
 import pytest
+from frames import rows
 from pyspark.sql import types as T
 
+from loomhouse.plans import catalog
 from loomhouse.sources import raw_csv
 from loomhouse.sources.raw_csv import quoted_rows, read_raw_csv
 
@@ -88,3 +90,14 @@ def test_a_row_that_does_not_fit_fails(spark, tmp_path):
             with pytest.raises(Exception):
                 read_raw_csv(spark, str(tmp_path / "t.csv"), SCHEMA, multi_line=multi_line
                              ).collect()
+
+
+def test_a_large_table_is_written_as_several_files(spark, tmp_path, monkeypatch):
+    documents = spark.range(30).selectExpr("id AS doc_id", "'en' AS lang",
+                                           "concat('a \"b\"', chr(10), id) AS text")
+    documents.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(catalog, "CSV_BYTES", 1)
+    monkeypatch.setattr(catalog, "staged_path", lambda s, name: str(tmp_path / name))
+    found = catalog.csv_load(spark, str(tmp_path))
+    assert rows(found) == rows(documents)
+    assert len(list((tmp_path / "csv").glob("part-*"))) > 1
