@@ -15,6 +15,8 @@ from .keys import next_row
 #: another one of equal true size: six standard errors of both.
 SKETCH_BITS = 12
 SKETCH_SLACK = 6 * 2 ** 0.5 * 1.04 / 2 ** (SKETCH_BITS / 2)
+#: Rows of a table, times the pairs tested, that one task takes to report on dependencies.
+REPORT_ROWS = 1 << 20
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -84,13 +86,22 @@ def dependency_report(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
     """For each (X, Y): how many X values there are, how many break X -> Y, does it hold.
 
     A pair of non-key columns that holds is a transitive dependency to move out. All
-    pairs are tested in one pass; rows shrink to distinct (pair, X, Y) before they move.
+    pairs are tested in one pass; rows shrink to distinct (pair, X, Y) before they move. Each row
+    becomes one for every pair, so a table, however few files it lies in, is dealt to as many
+    tasks as it takes for `REPORT_ROWS` of those each, before and after they shrink.
     """
+    columns = sorted({c for pair in pairs for c in pair})
+    df = df.select(*columns)
+    tasks = df.count() * len(pairs) // REPORT_ROWS + 1
+    if tasks > 1:
+        df = df.repartition(tasks)
     sides = F.array(*[F.struct(F.lit(x).alias("determinant"), F.lit(y).alias("dependent"),
                                F.col(x).cast("string").alias("_x"),
                                F.col(y).cast("string").alias("_y")) for x, y in pairs])
-    per_x = (df.select(F.explode(sides).alias("_p")).select("_p.*").distinct()
-             .groupBy("determinant", "dependent", "_x").agg(F.count(F.lit(1)).alias("_n")))
+    found = df.select(F.explode(sides).alias("_p")).select("_p.*").distinct()
+    if tasks > 1:
+        found = found.repartition(tasks, "determinant", "dependent", "_x")
+    per_x = found.groupBy("determinant", "dependent", "_x").agg(F.count(F.lit(1)).alias("_n"))
     broken = F.sum((F.col("_n") > 1).cast("long"))
     return per_x.groupBy("determinant", "dependent").agg(
         F.count(F.lit(1)).alias("n_values"), broken.alias("n_broken"),

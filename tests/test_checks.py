@@ -88,3 +88,13 @@ def test_dependencies_are_ruled_out_by_sketches_and_confirmed_exactly(spark):
     assert ("g", "almost") in tried and ("h", "g") not in tried and ("g", "id") not in tried
     empty = checks.dependencies(df.limit(0), ["g", "h"])
     assert empty.columns == found.columns and empty.count() == 0
+
+
+def test_one_file_of_rows_is_dealt_to_many_tasks(spark, monkeypatch):
+    df = spark.range(100).selectExpr("id", "id % 5 a", "IF(id = 7, NULL, id % 5) b").coalesce(1)
+    pairs = [("id", "a"), ("a", "b"), ("b", "a")]
+    whole = rows(checks.dependency_report(df, pairs))
+    monkeypatch.setattr(checks, "REPORT_ROWS", 20)
+    found = checks.dependency_report(df, pairs)
+    assert rows(found) == whole
+    assert "RoundRobinPartitioning(16)" in found._jdf.queryExecution().executedPlan().toString()
