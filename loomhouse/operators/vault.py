@@ -55,6 +55,11 @@ def _key(columns: Sequence[str]) -> Column:
     return hash_key(*[F.col(c) for c in columns])
 
 
+def _binary(digest: str) -> Column:
+    """A digest in half its length; none for text that no load makes, which equals no digest."""
+    return F.when(F.col(digest).rlike("^[0-9a-f]{32}$"), F.unhex(digest))
+
+
 def _absent(rows: DataFrame, existing: DataFrame | None, on: Sequence[str],
             latest: bool = False) -> DataFrame:
     """Rows whose `on` columns, the hash key first, are not stored.
@@ -62,32 +67,46 @@ def _absent(rows: DataFrame, existing: DataFrame | None, on: Sequence[str],
     The batch is written to know its size. Of a table in zones only the batch's zones are read:
     their list, one number each, is broadcast and prunes partitions when the scan starts. A
     small batch further thins out the stored rows where they are read, so that they are never
-    shuffled; beyond that both sides meet in a shuffled join.
+    shuffled; beyond that both sides meet in a shuffled join. Digests are written and moved as
+    bytes, half as long as their hex digits.
     """
     if existing is None:
         return rows
     hk, columns = on[0], rows.columns
-    incoming, size = stage_sized(rows, "incoming")
+    digests = [c for c in columns if c in on]
+    incoming, size = stage_sized(
+        rows.withColumns({c: F.unhex(c) for c in digests}), "incoming")
+    hex_key = F.lower(F.hex(hk)).alias(hk)
     if ZONE in columns:
         # The comparison makes the list a filter in the eyes of partition pruning.
         zones = incoming.select(ZONE).distinct().filter(F.col(ZONE) > -(1 << 62))
         existing = existing.join(F.broadcast(zones), ZONE, "left_semi")
     if size <= SMALL_BATCH_BYTES:
         few = None if size > FEW_BYTES else [
-            r[0] for r in incoming.select(hk).distinct().limit(FEW_KEYS + 1).collect()]
+            r[0] for r in incoming.select(hex_key).distinct().limit(FEW_KEYS + 1).collect()]
         if few is not None and len(few) <= FEW_KEYS:
             existing = existing.filter(F.col(hk).isin(few))
         else:
-            existing = existing.join(F.broadcast(incoming.select(hk)), hk, "left_semi")
+            existing = existing.join(F.broadcast(incoming.select(hex_key)), hk, "left_semi")
     if latest:
         existing = latest_satellite(existing.select(*on, "load_dts"), hk)
-    return incoming.join(existing.select(*on), list(on), "left_anti").select(*columns)
+    known = existing.select(*[_binary(c).alias(c) for c in on])
+    return incoming.join(known, list(on), "left_anti").select(
+        *[F.lower(F.hex(c)).alias(c) if c in digests else c for c in columns])
 
 
 def _zoned(zones: Zones | None) -> list[Column]:
     return [zones.column()] if zones else []
 
 
+def gathered(rows: DataFrame, zones: Zones | None, *others: DataFrame | None) -> DataFrame:
+    """Rows of a first load by zone, while they are short: digests made after that, several times
+    as long as the keys, are written where they are. Rows that meet `others` move anyway."""
+    if zones is None or any(o is not None for o in others):
+        return rows
+    return rows.withColumn(ZONE, zones.column()).hint("rebalance", ZONE).drop(ZONE)
+
+
 def _in_hub(rows: DataFrame, hub: DataFrame | None, bk: str) -> DataFrame:
     """Rows whose business key the hub holds, compared as text like the hub stores it."""
     if hub is None:
@@ -108,6 +127,7 @@ def load_hub(stg: DataFrame, hk: str, bk: str, load_ts: LoadTime,
     """
     keys = (stg.filter(F.col(bk).isNotNull()).groupBy(bk)
             .agg(F.min(source).alias("record_source")))
+    keys = gathered(keys, zones, existing)
     rows = keys.select(_key([bk]).alias(hk), F.col(bk).cast("string").alias(bk),
                        as_timestamp(load_ts).alias("load_dts"), "record_source", *_zoned(zones))
     return _absent(rows, existing, [hk])
@@ -129,6 +149,7 @@ def load_link(stg: DataFrame, hk: str, ends: Sequence[tuple[str, str]], load_ts:
     pairs = stg.filter(known).groupBy(*bks).agg(F.min(source).alias("record_source"))
     for bk, hub in zip(bks, hubs):
         pairs = _in_hub(pairs, hub, bk)
+    pairs = gathered(pairs, zones, existing)
     rows = pairs.select(_key(bks).alias(hk), *[_key([bk]).alias(end) for end, bk in ends],
                         as_timestamp(load_ts).alias("load_dts"), "record_source", *_zoned(zones))
     return _absent(rows, existing, [hk])
@@ -204,6 +225,12 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
     rows = rows.groupBy(*bks).agg(best)
     if len(bks) == 1:
         rows = _in_hub(rows, parent, bks[0])
+    elif parent is not None:
+        # Before the digests are made: the rows that meet the link are short.
+        owner = parent.select(_binary(parent_hk or hk).alias("_owner"))
+        rows = rows.withColumn("_owner", F.unhex(_key(bks))).join(
+            owner, "_owner", "left_semi").drop("_owner")
+    rows = gathered(rows, zones, existing, parent)
     values = [F.col(f"_best.a_{n}") for n in names]
     rows = rows.select(_key(bks).alias(hk),
                        hash_key(*values, null_safe=null_safe).alias("hash_diff"),
@@ -211,9 +238,6 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
                        as_timestamp(load_ts).alias("load_dts"),
                        *([as_timestamp(OPEN_TIMESTAMP).alias("end_date")] if end_dated else []),
                        *_zoned(zones))
-    if parent is not None and len(bks) > 1:
-        owner = parent.select(F.col(parent_hk or hk).alias(hk))
-        rows = rows.join(owner, hk, "left_semi")
     if existing is not None and compare == "any" and end_dated:
         existing = existing.filter(F.col("end_date") == as_timestamp(OPEN_TIMESTAMP))
     return _absent(rows, existing, [hk, "hash_diff"], compare == "latest")

@@ -421,7 +421,8 @@ def _hub(name: str) -> Query:
 
 def _staged(spark, folder, *columns: str) -> DataFrame:
     """Staging rows with the columns a query needs, written once for its several readers."""
-    return stage(views.staged_orders(spark, folder).select(*columns), "stg_orders")
+    return stage(views.staged_orders(spark, folder).select(*columns), "stg_orders",
+                 codec="zstd")
 
 
 LINE_COLUMNS = ("order_id", "product_id", "qty", "price", "source_system")
@@ -461,17 +462,21 @@ def vault_key_rejects(spark, folder):
 def vault_increment(spark, folder):
     """A store that holds all orders but the last hundredth, after a batch of the last two
     hundredths: half of it is stored already, and only its zones are read."""
-    stg = stage(views.staged_orders(spark, folder), "stg_orders")
+    stg = stage(views.staged_orders(spark, folder), "stg_orders", codec="zstd")
     last = stg.agg(F.max("order_id")).first()[0]
     store = VaultStore(spark, staged_path(spark, "vault"), ZONE_WIDTH)
-    vault.load_vault(stg.filter(F.col("order_id") <= last - last // 100), store, FIRST_BATCH)
-    vault.load_vault(stg.filter(F.col("order_id") > last - last // 50), store, SECOND_BATCH)
+    vault.load_vault(stg.filter(F.col("order_id") <= last - last // 100), store, FIRST_BATCH,
+                     written=True)
+    vault.load_vault(stg.filter(F.col("order_id") > last - last // 50), store, SECOND_BATCH,
+                     written=True)
     return _contents({name: store.read(name) for name in vault.TABLES})
 
 
 def sat_order_product(spark, folder):
     stg = _staged(spark, folder, *LINE_COLUMNS)
-    links = stage(vault.link(stg, "link_order_product", FIRST_BATCH), "links")
+    # The satellite looks up the link's own key only.
+    links = stage(vault.link(stg, "link_order_product", FIRST_BATCH).select(
+        vault.LINKS["link_order_product"][0]), "links")
     return vault.link_satellite(stg, "sat_order_product", FIRST_BATCH, parent=links)
 
 
@@ -479,7 +484,7 @@ def sat_link_second_batch(spark, folder):
     """Lines of the first orders, then all lines against them."""
     stg = _staged(spark, folder, *LINE_COLUMNS, "load_dts")
     first = stage(vault.link_satellite(views.before_second_load(stg), "sat_order_product",
-                                       FIRST_BATCH), "sat")
+                                       FIRST_BATCH), "sat", codec="zstd")
     return first.unionByName(vault.link_satellite(stg, "sat_order_product", SECOND_BATCH, first))
 
 

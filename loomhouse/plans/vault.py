@@ -113,12 +113,13 @@ def run_vault(stg: DataFrame, load_ts: LoadTime, existing: Existing | None = Non
 
 
 def load_vault(stg: DataFrame, store: VaultStore, load_ts: LoadTime,
-               compare: str = "any") -> None:
+               compare: str = "any", written: bool = False) -> None:
     """Append one batch to a store, hubs first. Repeating it, or finishing it after a
-    failure, adds nothing twice. What the load staged is deleted with its end."""
+    failure, adds nothing twice. What the load staged is deleted with its end. Rows that are
+    `written` already, as a stored table or some rows of one, are not written again."""
     with staging_scope(store.spark):
-        stored = stage(stg, "stg_orders", store.spark)
-        added = run_vault(stored, load_ts, {t: store.stored(t) for t in TABLES}, compare,
-                          store.zone_width)
+        stored = stg if written else stage(stg, "stg_orders", store.spark)
+        existing = {t: store.stored(t) for t in TABLES}
+        added = run_vault(stored, load_ts, existing, compare, store.zone_width)
         for layer in (HUBS, LINKS, [*SATELLITES, *LINK_SATELLITES]):
-            at_once(lambda t: store.append(t, added[t]), layer)
+            at_once(lambda t: store.append(t, added[t], gathered=existing[t] is None), layer)

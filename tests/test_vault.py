@@ -8,13 +8,14 @@ from fixed_rows import DIGESTS, STAGED_ORDERS, VAULT_ROWS
 from pyspark.sql import functions as F
 
 from loomhouse.functions import hash_key
+from loomhouse.operators import vault as operators
 from loomhouse.operators.vault import Zones, key_rejects, latest_satellite, satellite_rejects
-from loomhouse.plans import vault
+from loomhouse.plans import catalog, vault
 from loomhouse.sources.contracts import STAGING, VAULT, violations
 from loomhouse.sources.files import child_names, literal_rows
 from loomhouse.sources.staging import stage, staged_folder
 from loomhouse.sources.vault_store import VaultStore
-from loomhouse.streaming.vault_stream import vault_stream
+from loomhouse.streaming.vault_stream import STATE_SETTINGS, vault_stream
 
 T1, T2, T3 = "2026-06-01 10:00:00", "2026-06-02 10:00:00", "2026-06-03 10:00:00"
 
@@ -271,3 +272,50 @@ def test_a_repeated_load_replaces_its_first_attempt(spark, tmp_path):
     assert store.read("hub_order").count() == 25
     assert store.stored("hub_order", "a-1.").count() == 5
     assert store.stored("hub_order", "a-") is None
+
+
+def test_a_stream_keeps_its_state_on_disk(spark, tmp_path):
+    incoming, store = str(tmp_path / "in"), VaultStore(spark, str(tmp_path / "vault"), 1000)
+    keyed_orders(spark, 0, 20).coalesce(1).write.parquet(incoming)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    stream = spark.readStream.schema(STAGING["stg_orders"].schema()).parquet(incoming)
+    found = vault_stream(stream, store, str(tmp_path / "progress"), lambda n: T1)
+    found.awaitTermination()
+    kept = [s for p in found.queries[0].recentProgress for s in p["stateOperators"]]
+    assert kept and all(any(m.startswith("rocksdb") for m in s["customMetrics"]) for s in kept)
+    assert {key: spark.conf.get(key, None) for key in STATE_SETTINGS} == before
+    assert store.read("hub_order").count() == 20
+
+
+def test_written_rows_are_not_written_again(spark, tmp_path, monkeypatch):
+    store = VaultStore(spark, str(tmp_path / "vault"), 1000)
+    stg = stage(staged(spark), "orders")
+    monkeypatch.setattr(vault, "stage", None)
+    vault.load_vault(stg, store, T1, written=True)
+    assert {t: store.read(t).count() for t in VAULT_ROWS} == VAULT_ROWS
+
+
+def test_digests_meet_as_bytes(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(operators, "stage_sized", lambda rows, name: (
+        written.append(dict(rows.dtypes)) or (rows, 1 << 30)))
+    old = vault.link_satellite(staged(spark, STAGED_ORDERS[:3]), "sat_order_product", T1)
+    new = vault.link_satellite(staged(spark), "sat_order_product", T1, old)
+    whole = vault.link_satellite(staged(spark), "sat_order_product", T1)
+    assert rows(new) == rows(whole.subtract(old))
+    assert [d["hash_diff"] for d in written] == ["binary"]
+
+
+def test_a_link_satellite_stages_the_key_of_its_link_only(spark, tmp_path, monkeypatch):
+    staged_columns = {}
+
+    def noted(df, name="table", session=None):
+        staged_columns[name] = df.columns
+        return df
+
+    monkeypatch.setattr(catalog, "stage", noted)
+    monkeypatch.setattr(catalog, "_staged", lambda s, folder, *c: staged(s).select(*c))
+    found = catalog.sat_order_product(spark, str(tmp_path))
+    assert staged_columns == {"links": ["hk_order_product"]}
+    assert rows(found, "hash_diff") == rows(vault.link_satellite(
+        staged(spark), "sat_order_product", T1), "hash_diff")
