@@ -5,11 +5,13 @@ A turn is written as `<|im_start|>role`, a line feed, the text, `<|im_end|>` and
 texts and roles a backslash becomes `\\b` and the bar of `<|` becomes `\\p`, so no control string
 is left in them; in roles a line feed becomes `\\n`. Three replacements undo that.
 
-The examples of a conversation share their context: example k is the conversation's formatted
-text up to the end of reply k. So that text is stored once, a row for each turn with its place in
-code points, and an example is its end and the span of its loss mask: output and work grow with
-the turns, although the examples' texts together grow with their square. `whole_examples`
-writes those texts out. Turns after the last reply are stored as context of no example.
+Example k is the conversation's formatted text up to the end of reply k, and is written out in
+full with the span of its loss mask. The examples of a conversation together grow with the
+square of its turns, so an example longer than `PART_CHARS` is written as several rows, its
+parts: a row holds the turns that begin within one such stretch of the conversation and is made
+with others like it by a join on conversation and stretch, however long the conversation. The
+turns themselves are stored too, a row each with its place in code points; those after the last
+reply are context of no example.
 
 Turns are range-sorted and numbered within slices of balanced size; what a slice must add for
 the conversation that it continues comes from sums over slices. So one conversation with a third
@@ -39,6 +41,8 @@ from .common import column, doc_key, numbers, own_id, ship
 START, END, TRAINED = "<|im_start|>", "<|im_end|>", "assistant"
 _ESCAPES = (("\\", "\\b"), ("<|", "<\\p"))
 _COUNTED = ("turns", "chars", "replies")
+#: Turns that begin within so many code points of a conversation share a row of an example.
+PART_CHARS = 1 << 16
 
 
 def _replaced(value: Column, pairs) -> Column:
@@ -112,9 +116,11 @@ def _carried(placed: DataFrame) -> DataFrame:
         ).filter("carried_turns > 0")
 
 
-def write_examples(conversations: DataFrame, folder: str) -> None:
-    """Format `conversations` (conv_id, turn, role, text) into a store at `folder`."""
+def write_examples(conversations: DataFrame, folder: str, part_chars: int = PART_CHARS) -> None:
+    """Format `conversations` (conv_id, turn, role, text) into a store at `folder`: the turns, and
+    every example in full."""
     ship(conversations)
+    spark = conversations.sparkSession
     order = ["conv", "turn", "role", "tie"]
     turns = (formatted_turns(conversations).repartitionByRange(*order)
              .sortWithinPartitions(*order).drop("turn", "role", "tie"))
@@ -122,7 +128,10 @@ def write_examples(conversations: DataFrame, folder: str) -> None:
     (turns.mapInArrow(_number, "conv long, formatted string, head long, trained boolean, "
                                f"chars long, {SLICE} int, {counts}")
      .write.parquet(f"{folder}/turns"))
-    _carried(_placed(conversations.sparkSession, folder)).write.parquet(f"{folder}/carried")
+    _carried(_placed(spark, folder)).write.parquet(f"{folder}/carried")
+    # The texts of one conversation repeat each other: zstd finds that.
+    (_example_parts(stored_turns(spark, folder), part_chars)
+     .write.option("compression", "zstd").parquet(f"{folder}/examples"))
 
 
 def _placed(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,6 +172,42 @@ def example_spans(turns: DataFrame) -> DataFrame:
         loss.alias("loss_start"), loss_end.alias("loss_end"), end.alias("end"))
 
 
+def _example_parts(turns: DataFrame, part_chars: int) -> DataFrame:
+    """The examples in full, in rows of about `part_chars`: see `stored_examples`."""
+    placed = turns.select(doc_key("conv_id").alias("conv"), "position", "example", "start",
+                          "trained", "formatted", *[span.alias(name) for span, name in zip(
+                              _spans(), ("loss_start", "loss_end", "end"))],
+                          F.floor(F.col("start") / part_chars).alias("part"))
+    reply = F.struct("position", "example", "loss_start", "loss_end", "end")
+    pieces = F.sort_array(F.collect_list(F.struct("position", "formatted")))
+    texts = placed.groupBy("conv", "part").agg(
+        F.min("start").alias("start"), pieces.alias("pieces"),
+        F.collect_list(F.when(F.col("trained"), reply)).alias("replies")).select(
+        "conv", "part", "start", F.array_join("pieces.formatted", "").alias("text"), "replies")
+    own = texts.select("conv", "part", "start", "text", F.explode("replies").alias("r")).select(
+        "conv", "r.example", "r.position", "part", "start",
+        F.col("text").substr(F.lit(1), (F.col("r.end") - F.col("start")).cast("int"))
+        .alias("text"), "r.loss_start", "r.loss_end", F.lit(True).alias("last"))
+    context = placed.filter("trained AND part > 0").select(
+        "conv", "example", "position", "loss_start", "loss_end",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("part") - 1)).alias("part"))
+    before = context.join(texts.drop("replies"), ["conv", "part"]).withColumn(
+        "last", F.lit(False))
+    return own.unionByName(before)
+
+
+def stored_examples(spark: SparkSession, folder: str) -> DataFrame:
+    """(conv_id, example, position, part, start, text, loss_start, loss_end, last): the examples of
+    a store.
+
+    An example's whole text is the texts of its rows in the order of `start`, which is where the
+    row begins in it; most have one. Loss is taken from `loss_start` up to `loss_end` of the whole
+    text, a span of the row marked `last`: that of the reply, the turn at `position`.
+    """
+    examples = spark.read.parquet(f"{folder}/examples")
+    return examples.select(own_id("conv").alias("conv_id"), *examples.columns[1:])
+
+
 def whole_examples(turns: DataFrame) -> DataFrame:
     """(conv_id, example, text, loss_start, loss_end): the examples written out in full. Their
     texts together are as long as replies times context: for conversations of bounded length."""
@@ -193,8 +238,23 @@ def read_back(turns: DataFrame) -> DataFrame:
                         under_mask.alias("trained_text"), "chars", end.alias("example_chars"))
 
 
+def _read_examples(examples: DataFrame) -> DataFrame:
+    """Per example the text under its loss mask, unescaped, and the code points of its last
+    row; per conversation those of all other rows."""
+    size = F.char_length("text").cast("long")
+    under_mask = F.col("text").substr((F.col("loss_start") - F.col("start") + 1).cast("int"),
+                                      (F.col("loss_end") - F.col("loss_start")).cast("int"))
+    replies = examples.filter("last").select(
+        "conv_id", "position", unescaped(under_mask).alias("trained_text"),
+        size.alias("example_chars"))
+    others = examples.filter("NOT last").groupBy("conv_id").agg(
+        F.sum(size).alias("example_chars"))
+    return replies.unionByName(others, allowMissingColumns=True)
+
+
 def _digest(batches):
-    """One row for each conversation, whose turns come in order."""
+    """One row for each conversation. Its turns and its replies under the mask come in order, in
+    rows of their own or in one."""
     key, out = None, []
     state: list = []
 
@@ -219,14 +279,15 @@ def _digest(batches):
                 if state:
                     closed()
                 key, state = conv, [hashlib.sha256(), hashlib.sha256(), 0, 0, 0, 0, 0]
-            state[0].update(f"{role}\n{text}\n".encode())
-            state[2] += 1
-            state[4] += chars
+            if role is not None:
+                state[0].update(f"{role}\n{text}\n".encode())
+                state[2] += 1
+                state[4] += chars
             if trained is not None:
                 state[1].update(trained.encode())
                 state[3] += len(trained)
                 state[5] += 1
-                state[6] += example
+            state[6] += example or 0
         if len(out) >= 10_000:
             yield table()
             out.clear()
@@ -235,10 +296,15 @@ def _digest(batches):
     yield table()
 
 
-def conversation_digests(turns: DataFrame) -> DataFrame:
-    """Per conversation what is read back: turns, text under the loss mask, and lengths."""
+def conversation_digests(turns: DataFrame, examples: DataFrame | None = None) -> DataFrame:
+    """Per conversation what is read back: turns, text under the loss mask, and lengths. What the
+    mask covers comes from `examples`, if given, and else from the turns."""
     ship(turns)
-    rows = read_back(turns).withColumn("conv", doc_key("conv_id")).drop("conv_id")
+    rows = read_back(turns)
+    if examples is not None:
+        rows = rows.drop("trained_text", "example_chars").unionByName(
+            _read_examples(examples), allowMissingColumns=True)
+    rows = rows.withColumn("conv", doc_key("conv_id")).drop("conv_id")
     found = (rows.repartition("conv").sortWithinPartitions("conv", "position").mapInArrow(
         _digest, "conv long, n_turns long, turns_sha256 string, loss_chars long, "
                  "loss_sha256 string, formatted_chars long, n_examples long, example_chars long"))
@@ -249,4 +315,4 @@ def formatted_conversations(conversations: DataFrame) -> DataFrame:
     """Write `conversations` as examples and give the digests of what is read back."""
     spark, folder = conversations.sparkSession, staged_path(conversations.sparkSession, "chat")
     write_examples(conversations, folder)
-    return conversation_digests(stored_turns(spark, folder))
+    return conversation_digests(stored_turns(spark, folder), stored_examples(spark, folder))

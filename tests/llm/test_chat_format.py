@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomhouse.llm.chat_format import (conversation_digests, escaped, example_spans,
-                                       formatted_conversations, read_back, stored_turns,
-                                       unescaped, whole_examples, write_examples)
+                                       formatted_conversations, read_back, stored_examples,
+                                       stored_turns, unescaped, whole_examples, write_examples)
 
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
@@ -129,3 +129,45 @@ def test_escapes_are_undone(spark):
 
 def test_empty_table(table):
     assert formatted_conversations(table.limit(0)).count() == 0
+
+
+def plain_examples():
+    want = {}
+    for conv, listed in plain_order(conversations()).items():
+        text, replies = "", 0
+        for role, said in listed:
+            text += plain_turn(role, said)
+            if role == "assistant":
+                want[conv, replies] = (text, plain_escape(said))
+                replies += 1
+    return want
+
+
+@pytest.mark.parametrize("part_chars", [1 << 16, 2000, 1])
+def test_examples_are_written_in_full(spark, table, tmp_path, part_chars):
+    rows = table if part_chars > 1 else table.filter("conv_id IS NULL OR conv_id <> 100")
+    write_examples(rows, f"{tmp_path}/chat", part_chars)
+    found = {}
+    stored = stored_examples(spark, f"{tmp_path}/chat")
+    for r in sorted(stored.collect(), key=lambda r: r["start"]):
+        found.setdefault((r["conv_id"], r["example"]), []).append(r)
+    want = {k: v for k, v in plain_examples().items() if part_chars > 1 or k[0] != 100}
+    if part_chars == 1 << 16:
+        assert all(len(parts) == 1 for parts in found.values())
+    for key, parts in found.items():
+        text = "".join(r["text"] for r in parts)
+        assert all(len(r["text"]) < part_chars + 3100 for r in parts)
+        assert [r["last"] for r in parts] == [False] * (len(parts) - 1) + [True]
+        first, last = parts[-1]["loss_start"], parts[-1]["loss_end"]
+        assert (text, text[first:last]) == want.pop(key)
+    assert not want
+
+
+def test_digests_come_from_the_written_examples(spark, table, tmp_path):
+    folder = f"{tmp_path}/chat"
+    write_examples(table, folder, 2000)
+    turns, examples = stored_turns(spark, folder), stored_examples(spark, folder)
+    want = {r["conv_id"]: r for r in conversation_digests(turns).collect()}
+    assert {r["conv_id"]: r for r in conversation_digests(turns, examples).collect()} == want
+    none = conversation_digests(turns, examples.limit(0))
+    assert none.agg(F.sum("loss_chars"), F.sum("n_turns")).first() == (0, len(conversations()))
