@@ -11,10 +11,14 @@ summaries name those; their windows travel one by one to the bucket of the whole
 The summaries can miss a minimiser whose share of a very large corpus is small and whose bucket
 is too large all the same, so no bucket is held whole: a task reads its buckets as a stream, and
 of one that goes beyond `MOST_BYTES` it passes the windows on, one by one, to be grouped by
-what they hold.
-Equal strings of one group of rows travel once, for the smallest doc_id; the others are
+what they hold. Each bucket is a task of its own.
+Strings of `HELD_BYTES` of text are packed together, so that those for one bucket compress well.
+Equal strings among them travel once, for the smallest doc_id; the others are
 settled where they are read. So a passage with very many copies is small in its bucket.
 
+The texts with spans are shuffled to meet them; a bitmap of hashes of their keys, of at most
+8 MiB, tells the others apart where they are read.
+
 Rows: a missing text has no words; a missing doc_id counts as smaller than every other;
 rows with one doc_id are one document, and do not repeat each other. Texts shorter than a
 window stay whole. An empty table gives an empty result. Other columns are carried along;
@@ -28,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import stage, stage_sized
+from ..sources.staging import stage
 from .common import (FIRST, GROUP_BYTES, SECOND, byte_rows, column, extended, groups, keyed,
-                     merged_spans, minimiser_runs, mix, numbers, row_texts, sent_if_small, ship,
-                     text_bytes, with_columns, words)
+                     merged_spans, minimiser_runs, mix, numbers, row_texts, ship, text_bytes,
+                     with_columns, words)
 from .heavy import COUNTERS, frequent
 
 WINDOW = 13
@@ -40,8 +44,13 @@ GRAM = 4
 OFTEN = 200_000
 #: Bytes of text for each bucket, and of strings that a task holds of one, at most.
 BUCKET_BYTES, MOST_BYTES = 8 << 20, 40 << 20
+#: Bytes of text whose strings are packed together.
+HELD_BYTES = 16 << 20
+#: Bits of one row of a bitmap, as Spark makes them, and rows of the bitmap at most.
+_ROW_BITS, _MOST_ROWS = 1 << 15, 1 << 11
 
-_BLOCK = "bucket int, doc binary, place binary, size binary, data binary"
+#: Strings packed for a bucket, `size` bytes when unpacked; settled spans have no strings.
+_BLOCK = "bucket int, place binary, size long, data binary"
 #: Spans, and windows that are not settled yet, which carry their two hashes.
 _FOUND = "doc long, text_id long, first long, last long, a long, b long"
 
@@ -81,81 +90,128 @@ def _minimisers(window, gram):
     return values
 
 
-def _blocks(docs_of_run, ids_of_run, place, first_byte, last_byte, data, bucket, settled, buckets):
+_ZSTD = pa.Codec("zstd", compression_level=3)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers compressed, each byte of theirs apart: small ones take little."""
+    planes = np.ascontiguousarray(values, np.int64).view(np.uint8).reshape(-1, 8).T
+    return _ZSTD.compress(planes.tobytes(), asbytes=True)
+
+
+def _numbers(packed: bytes, n: int) -> np.ndarray:
+    """The opposite of `_planes`."""
+    planes = np.frombuffer(_ZSTD.decompress(packed, 8 * n, asbytes=True), np.uint8)
+    return planes.reshape(8, n).T.copy().view(np.int64).ravel()
+
+
+def _places(doc, text_id, place, size) -> bytes:
+    """Document, text and place of the strings of a block, and their sizes. A text's strings
+    follow each other, so it is named once."""
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (text_id[1:] != text_id[:-1])
+    first = np.flatnonzero(new)
+    parts = [text_id[first].tobytes(), *map(_planes, (
+        np.diff(doc[first], prepend=0), np.diff(first, append=len(doc)), place, size))]
+    return np.array([len(first), len(doc), *map(len, parts)], np.int64).tobytes() + b"".join(parts)
+
+
+def _unpacked_places(packed: bytes):
+    """The opposite of `_places`."""
+    texts, n, *lengths = np.frombuffer(packed, np.int64, 7).tolist()
+    ends = np.cumsum([56, *lengths]).tolist()
+    text_id, doc, counts, place, size = (packed[a:b] for a, b in zip(ends, ends[1:]))
+    counts = _numbers(counts, texts)
+    return (np.repeat(np.cumsum(_numbers(doc, texts)), counts),
+            np.repeat(np.frombuffer(text_id, np.int64), counts),
+            _numbers(place, n), _numbers(size, n))
+
+
+def _blocks(doc, text_id, place, first_byte, last_byte, raw, bucket, settled, buckets):
     """One row for each bucket that gets strings, and one with the settled spans."""
-    raw = data.tobytes()
     order = np.argsort(bucket, kind="stable")
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     ends = np.append(edges[1:], len(order))
-    out = {name: [] for name in ("bucket", "doc", "place", "size", "data")}
+    out = {name: [] for name in ("bucket", "place", "size", "data")}
     for begin, end in zip(edges.tolist(), ends.tolist()):
         take = order[begin:end]
-        packed = b"".join([raw[a:b] for a, b in
-                           zip(first_byte[take].tolist(), last_byte[take].tolist())])
+        first, last = first_byte[take], last_byte[take]
+        packed = b"".join([raw[a:b] for a, b in zip(first.tolist(), last.tolist())])
         out["bucket"].append(int(bucket[take[0]]))
-        out["doc"].append(np.stack([docs_of_run[take], ids_of_run[take]]).tobytes())
-        out["place"].append(place[take].astype(np.int64).tobytes())
-        out["size"].append((last_byte[take] - first_byte[take]).astype(np.int64).tobytes())
-        out["data"].append(np.int64(len(packed)).tobytes()
-                           + pa.compress(packed, codec="zstd", asbytes=True))
+        out["place"].append(_places(doc[take], text_id[take], place[take], last - first))
+        out["size"].append(len(packed))
+        out["data"].append(_ZSTD.compress(packed, asbytes=True))
     if len(settled[0]):
-        doc, text_id, first, last = settled
         # Any bucket passes these on; the document spreads them.
-        where = int(doc[0] % buckets)
-        out["bucket"].append(where)
-        out["doc"].append(np.stack([doc, text_id]).tobytes())
-        out["place"].append(np.stack([first, last]).tobytes())
-        out["size"].append(None)
+        out["bucket"].append(int(settled[0][0] % buckets))
+        out["place"].append(np.stack(settled).tobytes())
+        out["size"].append(0)
         out["data"].append(None)
     return pa.RecordBatch.from_pydict(
-        out, pa.schema([("bucket", pa.int32()), ("doc", pa.binary()), ("place", pa.binary()),
-                        ("size", pa.binary()), ("data", pa.binary())]))
+        out, pa.schema([("bucket", pa.int32()), ("place", pa.binary()), ("size", pa.int64()),
+                        ("data", pa.binary())]))
 
 
-def _packer(window, gram, often, buckets):
+def _packer(window, gram, often, buckets, held_bytes=HELD_BYTES):
     often = np.sort(np.array(often, np.int64).view(np.uint64))
 
+    def strings(ids, text_ids, group):
+        """Document, text, place, words, both hashes, first and last byte and key of the strings of
+        a group."""
+        begin, close, least = group.runs()
+        w, key = group.words, least
+        hot = np.isin(least, often)
+        if hot.any():
+            # Windows of a common minimiser travel alone, by what they hold.
+            count = (close - begin + 1)[hot]
+            single = np.repeat(begin[hot] - np.cumsum(count) + count, count)
+            single = single + np.arange(len(single))
+            own = mix(FIRST.runs(group.hash, window))[single]
+            begin = np.concatenate([begin[~hot], single])
+            close = np.concatenate([close[~hot], single])
+            key = np.concatenate([least[~hot], own])
+        row = w.row[begin]
+        a, b = (base.spans(x, begin, close + window) for base, x in
+                ((FIRST, group.hash), (SECOND, w.hashes(group.data, SECOND))))
+        return (ids[row], text_ids[row], begin - w.first[row], close - begin + window, a, b,
+                w.starts[begin], w.ends[close + window - 1],
+                (mix(key) % np.uint64(buckets)).astype(np.int64))
+
+    def packed(held):
+        """The blocks of the strings of some groups."""
+        parts, texts = zip(*held)
+        doc, text_id, place, span, a, b, first_byte, last_byte, bucket = (
+            np.concatenate(x) for x in zip(*parts))
+        # Bytes are counted on over all groups.
+        before = np.repeat(np.cumsum([0, *map(len, texts[:-1])]), [len(x[0]) for x in parts])
+        order = np.lexsort((doc, b, a))
+        a, b = a[order], b[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        leader = doc[order][np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+        # Same string in a document with a larger id than another one here: settled.
+        done = order[doc[order] > leader]
+        go = np.ones(len(order), bool)
+        go[done] = False
+        settled = merged_spans(doc[done], text_id[done], place[done], (place + span)[done])
+        return _blocks(doc[go], text_id[go], place[go], (first_byte + before)[go],
+                       (last_byte + before)[go], b"".join(texts), bucket[go], settled, buckets)
+
     def pack(batches):
+        held, size = [], 0
         for batch in batches:
             ids, text_ids = numbers(batch, "doc"), numbers(batch, "text_id")
             for low, high, group in _groups_of(column(batch, "text"), window, gram):
-                begin, close, least = group.runs()
-                if not len(begin):
+                found = strings(ids[low:high], text_ids[low:high], group)
+                if not len(found[0]):
                     continue
-                w = group.words
-                row, key = w.row[begin], least
-                hot = np.isin(least, often)
-                if hot.any():
-                    # Windows of a common minimiser travel alone, by what they hold.
-                    count = (close - begin + 1)[hot]
-                    single = np.repeat(begin[hot] - np.cumsum(count) + count, count)
-                    single = single + np.arange(len(single))
-                    own = mix(FIRST.runs(group.hash, window))[single]
-                    begin = np.concatenate([begin[~hot], single])
-                    close = np.concatenate([close[~hot], single])
-                    key = np.concatenate([least[~hot], own])
-                    row = w.row[begin]
-                doc, text_id = ids[low:high][row], text_ids[low:high][row]
-                a, b = (base.spans(x, begin, close + window) for base, x in
-                        ((FIRST, group.hash),
-                         (SECOND, w.hashes(group.data, SECOND))))
-                order = np.lexsort((doc, b, a))
-                a, b = a[order], b[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-                leader = doc[order][np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-                # Same string in a document with a larger id than another one here: settled.
-                done = order[doc[order] > leader]
-                travels = np.ones(len(order), bool)
-                travels[done] = False
-                place = begin - w.first[row]
-                span = close - begin + window
-                settled = merged_spans(doc[done], text_id[done], place[done], (place + span)[done])
-                go = np.flatnonzero(travels)
-                bucket = (mix(key[go]) % np.uint64(buckets)).astype(np.int64)
-                yield _blocks(doc[go], text_id[go], place[go], w.starts[begin[go]],
-                              w.ends[close[go] + window - 1], group.data, bucket, settled,
-                              buckets)
+                held.append((found, group.data.tobytes()))
+                size += len(group.data)
+                if size >= held_bytes:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
     return pack
 
 
@@ -164,13 +220,11 @@ def _windows(blocks, window, gram):
     hashes and then by document."""
     parts = []
     for block in blocks:
-        doc, text_id = np.frombuffer(block["doc"], np.int64).reshape(2, -1)
-        place = np.frombuffer(block["place"], np.int64)
-        size = np.frombuffer(block["size"], np.int64)
-        packed = pa.decompress(block["data"][8:], _length(block), codec="zstd", asbytes=True)
+        doc, text_id, place, size = _unpacked_places(block["place"])
+        packed = _ZSTD.decompress(block["data"], block["size"], asbytes=True)
         data = np.frombuffer(packed, np.uint8)
         offsets = np.concatenate([[0], np.cumsum(size)])
-        for first, last in groups(offsets, 4 * GROUP_BYTES):
+        for first, last in groups(offsets):
             group = _Group(data[offsets[first]:offsets[last]],
                            offsets[first:last + 1] - offsets[first], window, gram)
             at = np.flatnonzero(group.whole)
@@ -178,13 +232,14 @@ def _windows(blocks, window, gram):
             a, b = group.digests()
             parts.append((a[at], b[at], doc[first:last][row], text_id[first:last][row],
                           place[first:last][row] + at - group.words.first[row]))
-    a, b, doc, text_id, place = (np.concatenate(x) for x in zip(*parts))
+    columns = [np.concatenate(x) for x in zip(*parts)]
+    del parts
+    a, b, doc = columns[:3]
     order = np.lexsort((doc, b, a))
-    return tuple(x[order] for x in (a, b, doc, text_id, place))
-
-
-def _length(block) -> int:
-    return int(np.frombuffer(block["data"][:8], np.int64)[0])
+    del a, b, doc
+    for i in range(len(columns)):  # one by one, as a bucket's windows take some memory
+        columns[i] = columns[i][order]
+    return columns
 
 
 def _spans(doc, text_id, first, last):
@@ -220,19 +275,18 @@ def _sorter(window, gram, most):
             for row in range(batch.num_rows):
                 block = {n: c[row].as_py() for n, c in zip(batch.schema.names, batch.columns)}
                 if block["data"] is None:
-                    yield _spans(*np.frombuffer(block["doc"], np.int64).reshape(2, -1),
-                                 *np.frombuffer(block["place"], np.int64).reshape(2, -1))
+                    yield _spans(*np.frombuffer(block["place"], np.int64).reshape(4, -1))
                     continue
                 if block["bucket"] != bucket:
                     if held:
                         yield from settled(held, whole)
                     bucket, held, size, whole = block["bucket"], [], 0, True
-                if held and size + _length(block) > most:
+                if held and size + block["size"] > most:
                     whole = False
                     yield from settled(held, whole)
                     held, size = [], 0
                 held.append(block)
-                size += _length(block)
+                size += block["size"]
         if held:
             yield from settled(held, whole)
     return sort
@@ -240,15 +294,15 @@ def _sorter(window, gram, most):
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, often: int = OFTEN,
                    bucket_bytes: int = BUCKET_BYTES, counters: int = COUNTERS,
-                   most_bytes: int = MOST_BYTES) -> DataFrame:
+                   most_bytes: int = MOST_BYTES, held_bytes: int = HELD_BYTES) -> DataFrame:
     """(doc, text_id, first, last): word positions [first, last) of `docs` (doc, text_id, text)
     that lie in a window also found in a document with a smaller doc."""
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, -(-text_bytes(docs) // bucket_bytes))
     hot = [r[0] for r in frequent(docs.select("text"), _minimisers(window, gram), often,
                                   counters).select("value").collect()]
-    packed = docs.mapInArrow(_packer(window, gram, hot, buckets), _BLOCK)
-    found = stage(packed.repartition("bucket").sortWithinPartitions("bucket")
+    packed = docs.mapInArrow(_packer(window, gram, hot, buckets, held_bytes), _BLOCK)
+    found = stage(packed.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
                   .mapInArrow(_sorter(window, gram, most_bytes), _FOUND), "passages")
     loose = found.filter(F.col("a").isNotNull())
     held = (loose.groupBy("a", "b").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
@@ -258,6 +312,25 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ofte
     return spans.select("doc", "text_id", "first", "last")
 
 
+def _marked(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """`rows` with `held`: true for every row whose key has spans, and for few others.
+
+    The keys of `spans` are set in a bitmap by their hashes, 16 bits for each key or, where that
+    would be too many, as many as go into 8 MiB.
+    """
+    map_rows = min(_MOST_ROWS, 1 + 16 * spans.count() // _ROW_BITS)
+    bit = F.pmod(F.xxhash64("doc", "text_id"), F.lit(map_rows * _ROW_BITS)) + 1
+    bitmap = spans.groupBy(F.bitmap_bucket_number(bit).alias("map_row")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    place = F.bitmap_bit_position(bit).cast("int")
+    byte = F.conv(F.hex(F.col("bits").substr(F.floor(place / 8).cast("int") + 1, F.lit(1))),
+                  16, 10).cast("int")
+    held = F.getbit(byte, place % 8) == 1
+    return (rows.withColumn("map_row", F.bitmap_bucket_number(bit))
+            .join(F.broadcast(bitmap), "map_row", "left")
+            .select(*rows.columns, F.coalesce(held, F.lit(False)).alias("held")))
+
+
 def _cutter(batches):
     for batch in batches:
         n_words, n_removed, kept = [], [], []
@@ -279,18 +352,21 @@ def _cutter(batches):
 
 def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
                            often: int = OFTEN, bucket_bytes: int = BUCKET_BYTES,
-                           counters: int = COUNTERS, most_bytes: int = MOST_BYTES) -> DataFrame:
+                           counters: int = COUNTERS, most_bytes: int = MOST_BYTES,
+                           held_bytes: int = HELD_BYTES) -> DataFrame:
     """`docs` with `n_words`, `n_removed` and `kept_text`: the words outside of passages that
     also start in an earlier document, joined by one space."""
     docs, schema = extended(docs, n_words="long", n_removed="long", kept_text="string")
     ship(docs)
     rows = keyed(docs)
     texts = rows.select("doc", "text_id", F.col("row.text").alias("text"))
-    # Written first: their size tells whether whole texts must be shuffled to meet them.
-    spans, size = stage_sized(
-        repeated_spans(texts, window, gram, often, bucket_bytes, counters, most_bytes)
+    spans = stage(
+        repeated_spans(texts, window, gram, often, bucket_bytes, counters, most_bytes, held_bytes)
         .groupBy("doc", "text_id")
         .agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
-    joined = (rows.join(sent_if_small(spans, size), ["doc", "text_id"], "left")
-              .select("row", "spans"))
+    marked = _marked(rows, spans)
+    joined = marked.filter("held").join(spans, ["doc", "text_id"], "left").select("row", "spans")
+    others = marked.filter("NOT held").select(
+        "row", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    joined = joined.unionByName(others)
     return joined.mapInArrow(_cutter, schema)

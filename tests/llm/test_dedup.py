@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import NO_ID, by_id, ordered
 
@@ -12,7 +13,8 @@ from loomhouse.llm.exact_dedup import exact_groups
 from loomhouse.llm.heavy import Summary
 from loomhouse.llm.jaccard_join import _components
 from loomhouse.llm.line_dedup import drop_boilerplate
-from loomhouse.llm.substring_dedup import drop_repeated_passages
+from loomhouse.llm.substring_dedup import (_marked, _packer, _places, _unpacked_places,
+                                           drop_repeated_passages)
 from loomhouse.llm.suffix_array import common_prefixes, suffix_order
 from loomhouse.llm.suffix_dedup import drop_repeated_strings
 
@@ -55,6 +57,45 @@ def test_passages(frame, passages, settings):
     assert found.columns[:5] == ["doc_id", "text", "doc", "row", "n"]
 
 
+def test_packed_strings_take_less_than_twice_their_texts():
+    draw = random.Random(4)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 9)))
+             for _ in range(3000)]
+    texts = [" ".join(draw.choice(words) for _ in range(400)) for _ in range(1500)]
+    batch = pa.RecordBatch.from_pydict({
+        "doc": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts),
+        "text_id": pa.array([draw.randrange(-1 << 62, 1 << 62) for _ in texts], pa.int64())})
+    blocks = list(_packer(13, 4, [], 64)([batch]))
+    assert sum(b.num_rows for b in blocks) <= 65
+    assert sum(b.nbytes for b in blocks) < 2.1 * sum(map(len, texts))
+
+
+def test_places_of_strings_are_read_back():
+    draw = np.random.default_rng(3)
+    doc = np.repeat(np.array([NO_ID, 7, 7, -3, (1 << 63) - 1]), [1, 3, 2, 5, 1])
+    text_id = np.repeat(draw.integers(-1 << 62, 1 << 62, 5), [1, 3, 2, 5, 1])
+    place, size = draw.integers(0, 1 << 40, (2, 12))
+    found = _unpacked_places(_places(doc, text_id, place, size))
+    for one, other in zip(found, (doc, text_id, place, size)):
+        assert one.tolist() == other.tolist()
+
+
+def test_texts_with_spans_are_marked(spark):
+    rows = spark.range(20_000).selectExpr("id doc", "id * 7 text_id")
+    marked = _marked(rows, rows.filter("doc % 100 = 3"))
+    assert marked.filter("doc % 100 = 3 AND NOT held").count() == 0
+    assert marked.filter("doc % 100 = 3 AND held").count() == 200
+    assert marked.filter("held").count() < 1500
+    assert marked.count() == 20_000 and marked.columns == [*rows.columns, "held"]
+    assert _marked(rows, rows.limit(0)).filter("held").count() == 0
+
+
+@pytest.mark.parametrize("held_bytes", [1, 2000])
+def test_passages_packed_in_small_groups(frame, passages, held_bytes):
+    found = drop_repeated_passages(frame(passages), held_bytes=held_bytes)
+    assert by_id(found, "n_words", "n_removed", "kept_text") == plain_passages(passages)
+
+
 @pytest.mark.parametrize("often", [200_000, 3])
 def test_strings(frame, passages, often):
     found = drop_repeated_strings(frame(passages), often=often, counters=1000, shard_bytes=5000)
