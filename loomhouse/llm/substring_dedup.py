@@ -44,8 +44,8 @@ GRAM = 4
 OFTEN = 200_000
 #: Bytes of text for each bucket, and of strings that a task holds of one, at most.
 BUCKET_BYTES, MOST_BYTES = 8 << 20, 40 << 20
-#: Bytes of text whose strings are packed together.
-HELD_BYTES = 16 << 20
+#: Bytes of text whose strings are packed together, and of text or strings hashed at once.
+HELD_BYTES, HASHED_BYTES = 4 << 20, GROUP_BYTES // 2
 #: Bits of one row of a bitmap, as Spark makes them, and rows of the bitmap at most.
 _ROW_BITS, _MOST_ROWS = 1 << 15, 1 << 11
 
@@ -76,7 +76,7 @@ class _Group:
                 mix(SECOND.runs(second, self.window)))
 
 
-def _groups_of(texts, window, gram, limit=GROUP_BYTES):
+def _groups_of(texts, window, gram, limit=HASHED_BYTES):
     data, offsets = byte_rows(texts)
     for first, last in groups(offsets, limit):
         part = data[offsets[first]:offsets[last]]
@@ -224,7 +224,7 @@ def _windows(blocks, window, gram):
         packed = _ZSTD.decompress(block["data"], block["size"], asbytes=True)
         data = np.frombuffer(packed, np.uint8)
         offsets = np.concatenate([[0], np.cumsum(size)])
-        for first, last in groups(offsets):
+        for first, last in groups(offsets, HASHED_BYTES):
             group = _Group(data[offsets[first]:offsets[last]],
                            offsets[first:last + 1] - offsets[first], window, gram)
             at = np.flatnonzero(group.whole)
