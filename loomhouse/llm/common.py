@@ -7,9 +7,11 @@ text forms a group of its own.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -155,6 +157,31 @@ def with_columns(batch: pa.RecordBatch, **added: pa.Array) -> pa.RecordBatch:
                                       [*(f.name for f in row.type), *added])
 
 
+def row_slices(batches: Iterable[pa.RecordBatch], limit: int = GROUP_BYTES
+               ) -> Iterator[pa.RecordBatch]:
+    """Rows of about `limit` bytes of text together, so that what a task makes of them, and sends
+    at once, does not follow the number of rows that Spark puts into a batch."""
+    for batch in batches:
+        if not batch.num_rows:
+            yield batch
+        sizes = pc.fill_null(pc.binary_length(row_texts(batch)), 0).to_numpy(zero_copy_only=False)
+        for first, last in groups(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), limit):
+            yield batch.slice(first, last - first)
+
+
+def released(work: Callable) -> Callable:
+    """`work` on the batches of a task, after which the worker gives back the memory it has
+    freed: it stays for other tasks, and beside others."""
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # only glibc has it
+                ctypes.CDLL(None).malloc_trim(0)
+    return run
+
+
 def row_texts(batch: pa.RecordBatch) -> pa.Array:
     row = column(batch, "row")
     return pc.fill_null(row.flatten()[row.type.get_field_index("text")], "")

@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import stage
 from .common import (FIRST, GROUP_BYTES, SECOND, byte_rows, column, extended, groups, keyed,
-                     merged_spans, minimiser_runs, mix, numbers, row_texts, ship, text_bytes,
-                     with_columns, words)
+                     merged_spans, minimiser_runs, mix, numbers, released, row_slices, row_texts,
+                     ship, text_bytes, with_columns, words)
 from .heavy import COUNTERS, frequent
 
 WINDOW = 13
@@ -45,7 +45,7 @@ OFTEN = 200_000
 #: Bytes of text for each bucket, and of strings that a task holds of one, at most.
 BUCKET_BYTES, MOST_BYTES = 8 << 20, 40 << 20
 #: Bytes of text whose strings are packed together, and of text or strings hashed at once.
-HELD_BYTES, HASHED_BYTES = 4 << 20, GROUP_BYTES // 2
+HELD_BYTES, HASHED_BYTES = 4 << 20, GROUP_BYTES // 4
 #: Bits of one row of a bitmap, as Spark makes them, and rows of the bitmap at most.
 _ROW_BITS, _MOST_ROWS = 1 << 15, 1 << 11
 
@@ -215,13 +215,22 @@ def _packer(window, gram, often, buckets, held_bytes=HELD_BYTES):
     return pack
 
 
+def _joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Each column of the parts in one array, made one by one, as a bucket's windows take some
+    memory. The parts are used up."""
+    columns = []
+    while parts[0]:
+        columns.append(np.concatenate([part.pop() for part in parts]))
+    return columns[::-1]
+
+
 def _windows(blocks, window, gram):
-    """Hashes, document and place of every window of some blocks of strings, sorted by the
-    hashes and then by document."""
-    parts = []
+    """Document, text and place of every string of some blocks, and of every window its hashes,
+    its string and its place there."""
+    strings, windows, before = [], [], 0
     for block in blocks:
-        doc, text_id, place, size = _unpacked_places(block["place"])
-        packed = _ZSTD.decompress(block["data"], block["size"], asbytes=True)
+        *about, size = _unpacked_places(block["place"].as_py())
+        packed = _ZSTD.decompress(block["data"].as_buffer(), block["size"], asbytes=True)
         data = np.frombuffer(packed, np.uint8)
         offsets = np.concatenate([[0], np.cumsum(size)])
         for first, last in groups(offsets, HASHED_BYTES):
@@ -230,16 +239,27 @@ def _windows(blocks, window, gram):
             at = np.flatnonzero(group.whole)
             row = group.words.row[at]
             a, b = group.digests()
-            parts.append((a[at], b[at], doc[first:last][row], text_id[first:last][row],
-                          place[first:last][row] + at - group.words.first[row]))
-    columns = [np.concatenate(x) for x in zip(*parts)]
-    del parts
-    a, b, doc = columns[:3]
-    order = np.lexsort((doc, b, a))
-    del a, b, doc
-    for i in range(len(columns)):  # one by one, as a bucket's windows take some memory
-        columns[i] = columns[i][order]
-    return columns
+            windows.append([a[at], b[at], (row + (before + first)).astype(np.int32),
+                            (at - group.words.first[row]).astype(np.int32)])
+        strings.append(about)
+        before += len(size)
+    return _joined(strings), _joined(windows)
+
+
+def _later(doc, a, b, string):
+    """The windows in order of their hashes and then of their documents, and of each one in that
+    order whether it also starts in an earlier document."""
+    # Documents by their rank take half the memory.
+    rank = np.unique(doc, return_inverse=True)[1].astype(np.int32)[string]
+    order = np.lexsort((rank, b, a))
+    new = np.ones(len(order), bool)
+    for hashes in (a, b):
+        hashes = hashes[order]
+        new[1:] &= hashes[1:] == hashes[:-1]
+    new[1:] = ~new[1:]
+    rank = rank[order]
+    least = np.repeat(rank[new], np.diff(np.append(np.flatnonzero(new), len(new))))
+    return order, rank > least
 
 
 def _spans(doc, text_id, first, last):
@@ -257,25 +277,31 @@ def _sorter(window, gram, most):
     looked at alone: its windows are passed on for the least document of the part that has them.
     """
     def settled(blocks, whole):
-        a, b, doc, text_id, place = _windows(blocks, window, gram)
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        late = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-        yield _spans(doc[late], text_id[late], place[late], place[late] + window)
+        (doc, text_id, place), (a, b, string, within) = _windows(blocks, window, gram)
+        order, late = _later(doc, a, b, string)
+
+        def where(at):
+            """Document, text and first and last word of some windows."""
+            row = string[at]
+            first = place[row] + within[at]
+            return doc[row], text_id[row], first, first + window
+
+        yield _spans(*where(order[late]))
         if not whole:
+            rest = order[~late]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (doc[~late], text_id[~late], place[~late],
-                                       place[~late] + window, a[~late].view(np.int64),
-                                       b[~late].view(np.int64))],
+                [pa.array(x) for x in (*where(rest), a[rest].view(np.int64),
+                                       b[rest].view(np.int64))],
                 ["doc", "text_id", "first", "last", "a", "b"])
 
     def sort(batches):
         bucket, held, size, whole = None, [], 0, True
         for batch in batches:
             for row in range(batch.num_rows):
-                block = {n: c[row].as_py() for n, c in zip(batch.schema.names, batch.columns)}
-                if block["data"] is None:
-                    yield _spans(*np.frombuffer(block["place"], np.int64).reshape(4, -1))
+                block = {n: c[row] for n, c in zip(batch.schema.names, batch.columns)}
+                block |= {n: block[n].as_py() for n in ("bucket", "size")}
+                if not block["data"].is_valid:
+                    yield _spans(*np.frombuffer(block["place"].as_py(), np.int64).reshape(4, -1))
                     continue
                 if block["bucket"] != bucket:
                     if held:
@@ -301,9 +327,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, ofte
     buckets = max(least, -(-text_bytes(docs) // bucket_bytes))
     hot = [r[0] for r in frequent(docs.select("text"), _minimisers(window, gram), often,
                                   counters).select("value").collect()]
-    packed = docs.mapInArrow(_packer(window, gram, hot, buckets, held_bytes), _BLOCK)
+    packed = docs.mapInArrow(released(_packer(window, gram, hot, buckets, held_bytes)), _BLOCK)
     found = stage(packed.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
-                  .mapInArrow(_sorter(window, gram, most_bytes), _FOUND), "passages")
+                  .mapInArrow(released(_sorter(window, gram, most_bytes)), _FOUND), "passages")
     loose = found.filter(F.col("a").isNotNull())
     held = (loose.groupBy("a", "b").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
             .filter("most > least").select("a", "b", "least"))
@@ -332,7 +358,7 @@ def _marked(rows: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def _cutter(batches):
-    for batch in batches:
+    for batch in row_slices(batches):
         n_words, n_removed, kept = [], [], []
         for text, found in zip(row_texts(batch).to_pylist(), column(batch, "spans").to_pylist()):
             parts = text.encode().split()
@@ -369,4 +395,4 @@ def drop_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GR
     others = marked.filter("NOT held").select(
         "row", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
     joined = joined.unionByName(others)
-    return joined.mapInArrow(_cutter, schema)
+    return joined.mapInArrow(released(_cutter), schema)
