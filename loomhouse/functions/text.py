@@ -33,10 +33,23 @@ def piece_of(text: Column, path: Sequence[tuple[str, int]]) -> Column:
     A missing part is '', a NULL text stays NULL.
     """
     for delim, n in path:
-        text = F.split_part(text, F.lit(delim), F.lit(n))
+        text = _part(text, delim, n)
     return text
 
 
+def _part(text: Column, delim: str, n: int) -> Column:
+    """Like split_part, which makes an array of all parts by a pattern; one character is looked
+    for in the bytes instead."""
+    if len(delim) != 1 or n < 1:
+        return F.split_part(text, F.lit(delim), F.lit(n))
+    until = F.substring_index(text, delim, n)
+    if n == 1:
+        return until
+    # Where there are fewer parts, nothing of `until` is left behind the parts before.
+    before = F.length(F.substring_index(text, delim, n - 1))
+    return F.substr(until, before + F.lit(2))
+
+
 def strip_trailing(text: Column, chars: str) -> Column:
     return F.rtrim(text, F.lit(chars))
 

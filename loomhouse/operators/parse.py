@@ -40,8 +40,9 @@ def parse_composite(df: DataFrame, pieces: Mapping[str, Piece], keep: Sequence[s
         value = piece.value()
         if strict and piece.type != "string":
             problem = F.concat(F.lit(f"{name} is not {piece.type}: "), piece.text())
-            value = F.when(piece.unreadable(), F.raise_error(problem).cast(piece.type)
-                           ).otherwise(value)
+            # In this order the text is looked up again only where it has no value.
+            value = F.coalesce(value, F.when(piece.unreadable(),
+                                             F.raise_error(problem).cast(piece.type)))
         columns.append(value.alias(name))
     return df.select(*columns)
 
