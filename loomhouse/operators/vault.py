@@ -19,12 +19,17 @@ from ..sources.staging import stage_sized
 
 LoadTime = dt.datetime | str
 
-#: Up to this many written bytes the keys of a batch are broadcast to the stored table.
+#: Up to this many bytes, written ones and digests, the keys of a batch are broadcast to the stored
+#: table.
 SMALL_BATCH_BYTES = 8 * 1024 * 1024
+#: What a key adds to them as a digest.
+KEY_BYTES = 16
 #: Up to so many keys, a batch looks them up by value: row groups without them are not read.
 FEW_KEYS = 10
 #: Written bytes above which a batch is sure to have more.
 FEW_BYTES = 1 << 17
+#: Rows of a zone that a task may gather before they are combined.
+ROWS_TOGETHER = 1 << 20
 #: Partition column of stored tables that are laid out in zones.
 ZONE = "_zone"
 
@@ -60,28 +65,40 @@ def _binary(digest: str) -> Column:
     return F.when(F.col(digest).rlike("^[0-9a-f]{32}$"), F.unhex(digest))
 
 
-def _absent(rows: DataFrame, existing: DataFrame | None, on: Sequence[str],
-            latest: bool = False) -> DataFrame:
-    """Rows whose `on` columns, the hash key first, are not stored.
+def _joint(digests: Sequence[Column]) -> Column:
+    """One digest as it is, several by a digest of them, as bytes."""
+    return F.unhex(digests[0] if len(digests) == 1 else F.md5(F.concat(*digests)))
+
 
-    The batch is written to know its size. Of a table in zones only the batch's zones are read:
-    their list, one number each, is broadcast and prunes partitions when the scan starts. A
-    small batch further thins out the stored rows where they are read, so that they are never
-    shuffled; beyond that both sides meet in a shuffled join. Digests are written and moved as
-    bytes, half as long as their hex digits.
+def _absent(rows: DataFrame, existing: DataFrame | None, made: dict[str, Column],
+            zones: Zones | None, batch: DataFrame, bks: Sequence[str],
+            latest: bool = False) -> DataFrame:
+    """Rows whose digests, `made` of their columns with the hash key first, are not stored.
+
+    The rows are written to know their size, unless the `batch` they come from, a stored table
+    if there are zones, has too many keys to be small. Of a table in zones only the batch's zones
+    are read: their list, one number each, is broadcast and prunes partitions when the scan
+    starts. A small batch further thins out the stored rows where they are read, so that they
+    are never shuffled; beyond that both sides meet in a shuffled join. There rows stay as short
+    as they are, digests being made of them where they are compared, and a stored row is the
+    bytes of one digest.
     """
     if existing is None:
         return rows
-    hk, columns = on[0], rows.columns
-    digests = [c for c in columns if c in on]
-    incoming, size = stage_sized(
-        rows.withColumns({c: F.unhex(c) for c in digests}), "incoming")
-    hex_key = F.lower(F.hex(hk)).alias(hk)
-    if ZONE in columns:
+    hk, columns = next(iter(made)), rows.columns
+    if zones and _keys_of(batch, bks) * KEY_BYTES > 2 * SMALL_BATCH_BYTES:
+        incoming, size = rows, None
+    else:
+        digests = [F.unhex(d).alias(c) for c, d in made.items() if c != hk]
+        batch, size = stage_sized(rows.select(*columns, *digests), "incoming")
+        incoming = batch
+    hex_key = made[hk].alias(hk)
+    if zones:
         # The comparison makes the list a filter in the eyes of partition pruning.
-        zones = incoming.select(ZONE).distinct().filter(F.col(ZONE) > -(1 << 62))
-        existing = existing.join(F.broadcast(zones), ZONE, "left_semi")
-    if size <= SMALL_BATCH_BYTES:
+        near = batch.select(zones.column()).distinct().filter(F.col(ZONE) > -(1 << 62))
+        existing = existing.join(F.broadcast(near), ZONE, "left_semi")
+    if size is not None and size <= SMALL_BATCH_BYTES and (
+            size + incoming.count() * KEY_BYTES <= SMALL_BATCH_BYTES):
         few = None if size > FEW_BYTES else [
             r[0] for r in incoming.select(hex_key).distinct().limit(FEW_KEYS + 1).collect()]
         if few is not None and len(few) <= FEW_KEYS:
@@ -89,20 +106,26 @@ def _absent(rows: DataFrame, existing: DataFrame | None, on: Sequence[str],
         else:
             existing = existing.join(F.broadcast(incoming.select(hex_key)), hk, "left_semi")
     if latest:
-        existing = latest_satellite(existing.select(*on, "load_dts"), hk)
-    known = existing.select(*[_binary(c).alias(c) for c in on])
-    return incoming.join(known, list(on), "left_anti").select(
-        *[F.lower(F.hex(c)).alias(c) if c in digests else c for c in columns])
+        existing = latest_satellite(existing.select(*made, "load_dts"), hk)
+    whole = [F.when(_binary(c).isNotNull(), F.col(c)) for c in made]
+    known = existing.select(_joint(whole).alias("_known"))
+    return incoming.join(known, _joint(list(made.values())) == F.col("_known"),
+                         "left_anti").select(*columns)
+
+
+def _keys_of(batch: DataFrame, bks: Sequence[str]) -> int:
+    """About how many keys a batch has."""
+    return batch.agg(F.approx_count_distinct(F.xxhash64(*bks))).first()[0]
 
 
 def _zoned(zones: Zones | None) -> list[Column]:
     return [zones.column()] if zones else []
 
 
-def gathered(rows: DataFrame, zones: Zones | None, *others: DataFrame | None) -> DataFrame:
-    """Rows of a first load by zone, while they are short: digests made after that, several times
-    as long as the keys, are written where they are. Rows that meet `others` move anyway."""
-    if zones is None or any(o is not None for o in others):
+def gathered(rows: DataFrame, zones: Zones | None) -> DataFrame:
+    """Rows to add by zone, while they are short: digests made after that, several times as long
+    as the keys, are written where they are."""
+    if zones is None:
         return rows
     return rows.withColumn(ZONE, zones.column()).hint("rebalance", ZONE).drop(ZONE)
 
@@ -115,44 +138,75 @@ def _in_hub(rows: DataFrame, hub: DataFrame | None, bk: str) -> DataFrame:
     return rows.join(known, F.col(bk).cast("string") == F.col("_known"), "left_semi")
 
 
+def _grouped(rows: DataFrame, bks: Sequence[str], best: Column, zones: Zones | None) -> DataFrame:
+    """The `best` of the rows of a key, gathered by `zones` if given.
+
+    Rows are combined on the map side and gathered after that. Keys of several parts seldom
+    repeat; then that would move every row twice, so rows are gathered as they are, unless some
+    zone has too many for one task.
+    """
+    if zones and len(bks) > 1:
+        near = rows.withColumn(ZONE, zones.column())
+        most = near.groupBy(ZONE).count().agg(F.max("count")).first()[0]
+        if (most or 0) <= ROWS_TOGETHER:
+            return near.repartition(ZONE).groupBy(ZONE, *bks).agg(best).drop(ZONE)
+    return gathered(rows.groupBy(*bks).agg(best), zones)
+
+
+def _least_source(rows: DataFrame, bks: Sequence[str], source: str, zones: Zones | None,
+                  once: bool) -> DataFrame:
+    if once:
+        return gathered(rows.select(*bks, F.col(source).alias("record_source")), zones)
+    return _grouped(rows, bks, F.min(source).alias("record_source"), zones)
+
+
+def _now_and_later(zones: Zones | None, *others: DataFrame | None) -> list[Zones | None]:
+    """Zones to gather rows by when they are grouped, and after they met `others`, if any."""
+    return [None, zones] if any(o is not None for o in others) else [zones, None]
+
+
 def load_hub(stg: DataFrame, hk: str, bk: str, load_ts: LoadTime,
              existing: DataFrame | None = None, source: str = "source_system",
-             zones: Zones | None = None) -> DataFrame:
+             zones: Zones | None = None, once: bool = False) -> DataFrame:
     """Business keys not yet in the hub.
 
     A key that several source systems deliver in one batch takes the least of their
     names; a key already present is never touched. Grouping is on the raw business key:
     the digest is computed once per key, not once per staged row. Rows without a key are
-    left to `key_rejects`. With `zones` the result and `existing` have their column.
+    left to `key_rejects`. With `zones` the result and `existing` have their column, and the
+    result is gathered by them. Keys that the caller passes `once` are not grouped again.
     """
-    keys = (stg.filter(F.col(bk).isNotNull()).groupBy(bk)
-            .agg(F.min(source).alias("record_source")))
-    keys = gathered(keys, zones, existing)
-    rows = keys.select(_key([bk]).alias(hk), F.col(bk).cast("string").alias(bk),
-                       as_timestamp(load_ts).alias("load_dts"), "record_source", *_zoned(zones))
-    return _absent(rows, existing, [hk])
+    now, later = _now_and_later(zones, existing)
+    batch, digest = stg.filter(F.col(bk).isNotNull()), _key([bk])
+    keys = _least_source(batch, [bk], source, now, once)
+    new = gathered(_absent(keys, existing, {hk: digest}, zones, batch, [bk]), later)
+    return new.select(digest.alias(hk), F.col(bk).cast("string").alias(bk),
+                      as_timestamp(load_ts).alias("load_dts"), "record_source", *_zoned(zones))
 
 
 def load_link(stg: DataFrame, hk: str, ends: Sequence[tuple[str, str]], load_ts: LoadTime,
               existing: DataFrame | None = None, hubs: Sequence[DataFrame | None] = (),
-              source: str = "source_system", zones: Zones | None = None) -> DataFrame:
+              source: str = "source_system", zones: Zones | None = None,
+              once: bool = False) -> DataFrame:
     """Pairs of business keys not yet linked; `ends` lists (hub key, business key).
 
     Staged rows shrink to distinct pairs before anything is joined, and digests are made
     last, so that joins move short business keys only. Give `hubs` to keep only pairs
-    whose keys exist there; without, the caller vouches for them.
+    whose keys exist there; without, the caller vouches for them. Pairs that the caller passes
+    `once` are not grouped again.
     """
     bks = [bk for _, bk in ends]
     known = F.lit(True)
     for bk in bks:
         known = known & F.col(bk).isNotNull()
-    pairs = stg.filter(known).groupBy(*bks).agg(F.min(source).alias("record_source"))
+    now, later = _now_and_later(zones, existing, *hubs)
+    batch, digest = stg.filter(known), _key(bks)
+    pairs = _least_source(batch, bks, source, now, once)
     for bk, hub in zip(bks, hubs):
         pairs = _in_hub(pairs, hub, bk)
-    pairs = gathered(pairs, zones, existing)
-    rows = pairs.select(_key(bks).alias(hk), *[_key([bk]).alias(end) for end, bk in ends],
-                        as_timestamp(load_ts).alias("load_dts"), "record_source", *_zoned(zones))
-    return _absent(rows, existing, [hk])
+    new = gathered(_absent(pairs, existing, {hk: digest}, zones, batch, bks), later)
+    return new.select(digest.alias(hk), *[_key([bk]).alias(end) for end, bk in ends],
+                      as_timestamp(load_ts).alias("load_dts"), "record_source", *_zoned(zones))
 
 
 def key_rejects(stg: DataFrame, bks: Sequence[str], source: str = "source_system") -> DataFrame:
@@ -221,8 +275,10 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
         keyed += [F.col(f"a_{n}").isNotNull() for n in names]
     for condition in keyed:
         rows = rows.filter(condition)
+    batch = rows
     best = F.max(F.struct(*[f"a_{n}" for n in names])).alias("_best")
-    rows = rows.groupBy(*bks).agg(best)
+    now, later = _now_and_later(zones, existing, parent)
+    rows = _grouped(rows, bks, best, now).select(*bks, "_best.*")
     if len(bks) == 1:
         rows = _in_hub(rows, parent, bks[0])
     elif parent is not None:
@@ -230,17 +286,16 @@ def load_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str,
         owner = parent.select(_binary(parent_hk or hk).alias("_owner"))
         rows = rows.withColumn("_owner", F.unhex(_key(bks))).join(
             owner, "_owner", "left_semi").drop("_owner")
-    rows = gathered(rows, zones, existing, parent)
-    values = [F.col(f"_best.a_{n}") for n in names]
-    rows = rows.select(_key(bks).alias(hk),
-                       hash_key(*values, null_safe=null_safe).alias("hash_diff"),
-                       *[v.alias(n) for v, n in zip(values, names)],
-                       as_timestamp(load_ts).alias("load_dts"),
-                       *([as_timestamp(OPEN_TIMESTAMP).alias("end_date")] if end_dated else []),
-                       *_zoned(zones))
+    values = [F.col(f"a_{n}") for n in names]
+    made = {hk: _key(bks), "hash_diff": hash_key(*values, null_safe=null_safe)}
     if existing is not None and compare == "any" and end_dated:
         existing = existing.filter(F.col("end_date") == as_timestamp(OPEN_TIMESTAMP))
-    return _absent(rows, existing, [hk, "hash_diff"], compare == "latest")
+    new = gathered(_absent(rows, existing, made, zones, batch, bks, compare == "latest"), later)
+    return new.select(*[d.alias(c) for c, d in made.items()],
+                      *[v.alias(n) for v, n in zip(values, names)],
+                      as_timestamp(load_ts).alias("load_dts"),
+                      *([as_timestamp(OPEN_TIMESTAMP).alias("end_date")] if end_dated else []),
+                      *_zoned(zones))
 
 
 def load_link_satellite(stg: DataFrame, hk: str, bks: Sequence[str], attrs: dict[str, str],

@@ -159,32 +159,43 @@ def orders_2nf(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def staged_orders(spark: SparkSession, folder: str,
-                  status: Callable[[Column], Column] = lambda c: c) -> DataFrame:
-    """Vault staging rows; `status` alters the order status of a batch."""
-    line = lineitem(spark, folder, "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
-    order = table(spark, folder, "orders")
-    part = table(spark, folder, "part")
-    nation = table(spark, folder, "nation")
+                  status: Callable[[Column], Column] = lambda c: c,
+                  partitions: int | None = None) -> DataFrame:
+    """Vault staging rows; `status` alters the order status of a batch.
+
+    Orders meet their customers and lines their parts before lines meet orders: customers are
+    moved once an order, not once a line, and the rows end up together by order, in as many
+    `partitions` if given.
+    """
+    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_type")
+    line = lineitem(spark, folder, "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
+                    ).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
     customer = table(spark, folder, "customer").join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", "c_name", "n_name")
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    return (line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                F.col("c_custkey").alias("customer_id"),
-                F.col("c_name").alias("customer_name"),
-                F.col("n_name").alias("customer_city"),
-                F.col("o_orderkey").alias("order_id"),
-                F.col("o_totalprice").cast("decimal(12,2)").alias("order_amount"),
-                status(F.col("o_orderstatus")).alias("order_status"),
-                F.col("p_partkey").alias("product_id"),
-                F.col("p_name").alias("product_name"),
-                F.col("p_type").alias("product_category"),
-                F.col("l_quantity").cast("int").alias("qty"),
-                F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
-                F.when(urgent, F.lit("CRM")).otherwise(F.lit("WEB")).alias("source_system"),
-                F.col("o_orderdate").alias("load_dts")))
+    order = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate",
+        F.when(urgent, F.lit("CRM")).otherwise(F.lit("WEB")).alias("source_system")).join(
+        customer, F.col("o_custkey") == F.col("c_custkey"))
+    if partitions:
+        line = line.repartition(partitions, "l_orderkey")
+        order = order.repartition(partitions, "o_orderkey")
+    return line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_name").alias("customer_name"),
+        F.col("n_name").alias("customer_city"),
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("order_amount"),
+        status(F.col("o_orderstatus")).alias("order_status"),
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("product_category"),
+        F.col("l_quantity").cast("int").alias("qty"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+        "source_system",
+        F.col("o_orderdate").alias("load_dts"))
 
 
 def before_second_load(staged: DataFrame) -> DataFrame:

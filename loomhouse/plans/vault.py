@@ -14,8 +14,8 @@ from ..operators.vault import (
     load_link_satellite,
     load_satellite,
 )
-from ..sources.staging import at_once, stage, staging_scope
-from ..sources.vault_store import VaultStore
+from ..sources.staging import at_once, stage
+from ..sources.vault_store import VaultStore, load_scope
 
 HUBS = {
     "hub_customer": ("hk_customer", "customer_id"),
@@ -56,16 +56,18 @@ def zones_of(table: str, width: int | None) -> Zones | None:
 
 
 def hub(stg: DataFrame, table: str, load_ts: LoadTime, existing: DataFrame | None = None,
-        zone_width: int | None = None) -> DataFrame:
+        zone_width: int | None = None, once: bool = False) -> DataFrame:
     hk, bk = HUBS[table]
-    return load_hub(stg, hk, bk, load_ts, existing, zones=zones_of(table, zone_width))
+    return load_hub(stg, hk, bk, load_ts, existing, zones=zones_of(table, zone_width), once=once)
 
 
 def link(stg: DataFrame, table: str, load_ts: LoadTime, existing: DataFrame | None = None,
-         hubs: Existing | None = None, zone_width: int | None = None) -> DataFrame:
+         hubs: Existing | None = None, zone_width: int | None = None,
+         once: bool = False) -> DataFrame:
     hk, ends = LINKS[table]
     return load_link(stg, hk, [HUBS[h] for h in ends], load_ts, existing,
-                     [(hubs or {}).get(h) for h in ends], zones=zones_of(table, zone_width))
+                     [(hubs or {}).get(h) for h in ends], zones=zones_of(table, zone_width),
+                     once=once)
 
 
 def satellite(stg: DataFrame, table: str, load_ts: LoadTime, existing: DataFrame | None = None,
@@ -94,7 +96,8 @@ def run_vault(stg: DataFrame, load_ts: LoadTime, existing: Existing | None = Non
 
     Hubs and links of the same batch hold every key staged with it, so nothing checks
     parents here. `stg` is read once per table and only for its columns: give a stored
-    table. With `zone_width` the rows, and the `existing` ones, carry their zones.
+    table. With `zone_width` the rows, and the `existing` ones, carry their zones, and the rows
+    are gathered by them.
     """
     old, width = existing or {}, zone_width
 
@@ -117,9 +120,9 @@ def load_vault(stg: DataFrame, store: VaultStore, load_ts: LoadTime,
     """Append one batch to a store, hubs first. Repeating it, or finishing it after a
     failure, adds nothing twice. What the load staged is deleted with its end. Rows that are
     `written` already, as a stored table or some rows of one, are not written again."""
-    with staging_scope(store.spark):
-        stored = stg if written else stage(stg, "stg_orders", store.spark)
+    with load_scope(store.spark):
+        stored = stg if written else stage(stg, "stg_orders", store.spark, "zstd")
         existing = {t: store.stored(t) for t in TABLES}
         added = run_vault(stored, load_ts, existing, compare, store.zone_width)
         for layer in (HUBS, LINKS, [*SATELLITES, *LINK_SATELLITES]):
-            at_once(lambda t: store.append(t, added[t], gathered=existing[t] is None), layer)
+            at_once(lambda t: store.append(t, added[t], gathered=True), layer)
